@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -59,10 +60,16 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
-    """Remove what ``durable`` wrote, once nothing reads it any more."""
+    """Remove what ``durable`` wrote, once nothing reads it any more.
+
+    Shuffle files go when the driver's JVM collects its garbage, which it may put off for long.
+    """
     for df in frames:
         if path := getattr(df, "_tesserae_path", None):
             _remove(df.sparkSession, path)
+    gc.collect()
+    if (spark := SparkSession.getActiveSession()) is not None:
+        spark.sparkContext._jvm.System.gc()
 
 
 def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import mixing, packing, quality, sharding, simhash, tokens
+from tesserae.llm import linededup, mixing, packing, quality, sharding, simhash, tokens, toxicity
 from tesserae.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -42,13 +46,20 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {
