@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import linededup, mixing, packing, quality, sharding, simhash, tokens, toxicity
+from tesserae.llm import linededup, lm, mixing, packing, quality, sharding, simhash, tokens, toxicity
 from tesserae.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.scored(docs, *lm.fit(docs))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measured(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_lm": op5_lm,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
