@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import linededup, lm, mixing, packing, quality, sharding, simhash, tokens, toxicity
+from tesserae.llm import linededup, lm, mixing, neardup_vectors, packing, quality, sharding, simhash, tokens, toxicity
 from tesserae.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.linked(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
+    "op10_embeddings": op10_embeddings,
 }
 
 ORACLES: dict[str, str] = {
@@ -92,5 +97,22 @@ SELECT doc_id, size, source_size, target,
   (CASE WHEN source_size > 0 THEN budget // source_size * size
      + greatest(0, least(size, budget % source_size - before)) ELSE 0 END)::BIGINT AS taken
 FROM p
+""",
+    "op10_embeddings": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (
+  SELECT a.vec_id AS s, b.vec_id AS t FROM v a JOIN v b
+  ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r(s, t) AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s),
+c AS (SELECT s, min(t) AS least FROM r GROUP BY s),
+n AS (SELECT s, count(*) AS n FROM e GROUP BY s)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
+FROM embeddings LEFT JOIN c ON c.s = vec_id LEFT JOIN n ON n.s = vec_id
 """,
 }
