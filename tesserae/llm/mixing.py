@@ -47,8 +47,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     )
 
 
-def mix(docs: DataFrame, seed: int = 7, carry: list[str] | None = None, **rule) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, epochs, last_words), a row for each row of docs.
+def mix(docs: DataFrame, seed: int = 7, **rule) -> DataFrame:
+    """(key, doc_id, source, size, source_size, target, taken, epochs, last_words), a row for each row of docs.
 
     size: words of the text (a null text: 0). taken = epochs * size + last_words: every row is
     taken ``epochs`` times whole, and the rows first in the random order once more; the row at the
@@ -56,7 +56,7 @@ def mix(docs: DataFrame, seed: int = 7, carry: list[str] | None = None, **rule)
     A null source is a source of its own, after all others. Ties of the random key are ordered by
     doc_id, then by size; rows alike in both are interchangeable in the result. A source without
     words has the target 0. An empty table gives an empty result. Reruns agree: the key is a hash
-    of seed and doc_id. Columns beyond doc_id, text, source and those named in carry are ignored.
+    of seed and doc_id. key is a hash of doc_id and text. Columns beyond doc_id, text and source are ignored.
     """
     slim = durable(
         docs.select(
@@ -65,7 +65,7 @@ def mix(docs: DataFrame, seed: int = 7, carry: list[str] | None = None, **rule)
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
             F.isnull("source").alias("none"),
             F.coalesce("source", F.lit("")).alias("key"),
-            *(carry or []),
+            F.xxhash64("doc_id", "text").alias("row_key"),
         ).withColumn("h", hash_order("doc_id", seed=seed))
     )
     buckets = max(1, -(-slim.count() // ROWS_PER_BUCKET))
@@ -77,5 +77,34 @@ def mix(docs: DataFrame, seed: int = 7, carry: list[str] | None = None, **rule)
         summed.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("bigint"))
         .withColumn("last_words", F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("before"))).cast("bigint"))
         .withColumn("taken", F.col("epochs") * F.col("size") + F.col("last_words"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "last_words", *(carry or []))
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "last_words", "row_key")
+        .withColumnRenamed("row_key", "key")
     )
+
+
+def mixture(docs: DataFrame, seed: int = 7, **rule) -> DataFrame:
+    """The mix itself, all columns of docs: a row for each time that a row is taken; a row taken in part has its first words, with a blank between them.
+
+    The texts are shuffled once, against a table of decisions. n_chars, if there is one, follows
+    the text of a row taken in part. Rows that are not taken are not returned.
+    """
+    names = docs.columns
+    each = mix(docs, seed, **rule)
+    part = (F.col("last_words") > 0) & (F.col("last_words") < F.col("size"))
+    whole = F.col("epochs") + F.when((F.col("last_words") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)
+    chosen = durable(
+        each.where("taken > 0")
+        .groupBy(F.col("key").alias("__key"))
+        .agg(F.sum(whole).alias("__whole"), F.collect_list(F.when(part, F.col("last_words"))).alias("__parts"), F.count(F.lit(1)).alias("__n"))
+    )
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    if chosen.where("__n > 1").limit(1).count():  # rows alike in doc_id and text stand for one another
+        keyed = keyed.dropDuplicates(["__key"])
+    taken = keyed.join(chosen.hint("shuffle_hash"), "__key")
+    copies = F.concat(F.array_repeat(F.lit(-1).cast("bigint"), F.col("__whole").cast("int")), F.col("__parts"))
+    rows = taken.withColumn("__words", F.explode(copies))
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__words").cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col("__words") < 0, F.col("text")).otherwise(first))
+    if "n_chars" in names:
+        rows = rows.withColumn("n_chars", F.when(F.col("__words") < 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return rows.select(*[F.col(f"`{c}`") for c in names])
