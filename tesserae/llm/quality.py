@@ -24,10 +24,13 @@ class Rules:
     least_words: int = 10
     most_repeated_words_percent: int = 20
     #: n: the largest share of characters inside n-grams found twice or more.
-    ngrams: dict[int, float] = field(default_factory=lambda: {5: 0.20, 6: 0.19, 7: 0.18, 8: 0.17, 9: 0.16, 10: 0.15})
-    #: The largest share of lines, and of characters, in lines equal to an earlier one.
+    ngrams: dict[int, float] = field(default_factory=lambda: {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20})
+    #: The largest share of lines equal to an earlier one, where they are more than ``few``, and of characters in such lines.
     lines: float = 0.30
+    few: int = 2
     line_chars: float = 0.30
+    #: The largest share of words equal to the word before.
+    stutter: float = 0.25
     #: The largest share of words that are made of symbols or hold one.
     symbols: float = 0.25
 
@@ -93,7 +96,8 @@ def measure(text: str | None, rules: Rules = RULES) -> tuple[int, int, int, int,
     five = covered(codes, 5)
     repeated = int(five.sum())
     failed = n < rules.least_words or 100 * repeated > rules.most_repeated_words_percent * n
-    kept = not failed and again <= rules.lines * lines and again_chars <= rules.line_chars * chars and symbols <= rules.symbols * n
+    kept = not failed and again <= max(rules.few, rules.lines * lines) and again_chars <= rules.line_chars * chars and symbols <= rules.symbols * n
+    kept = kept and int((codes[1:] == codes[:-1]).sum()) <= rules.stutter * n
     if kept and repeated:  # longer n-grams repeat only where shorter ones do
         kept = all(int(lengths[five if k == 5 else covered(codes, k)].sum()) <= most * chars for k, most in rules.ngrams.items())
     return n, chars, symbols, again, repeated, failed, kept
