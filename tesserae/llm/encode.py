@@ -7,12 +7,12 @@ ids are those of the whole text; tests compare both on whole documents.
 from __future__ import annotations
 
 import re
+from struct import pack
 
-import numpy as np
 import regex
 
 #: A worker forgets what it has encoded beyond so many entries, which bounds its memory.
-ENTRIES = 500_000
+ENTRIES = 400_000
 
 _cache: dict[str, dict] = {}
 _models: dict[str, object] = {}
@@ -49,43 +49,66 @@ _RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
 
 
-def _ids(chunk: bytes, path: str, runs: dict) -> bytes | None:
-    """A chunk's ids through the model's merges, each pre-token once; None where normalizing takes more than lower case."""
-    x = chunk.decode()
-    if x.isascii() and x.isalpha():
-        parts = (x.lower(),)
-    elif not _PLAIN.fullmatch(x) or "<|" in x:
-        return None
-    elif x[-1] in ".," and x[:-1].isalpha():
-        parts = (x[:-1].lower(), x[-1])
-    else:
-        parts = _RUNS.findall(x.lower())
-    out = []
-    for run in parts:
-        if (ids := runs.get(run)) is None:
-            ids = runs[run] = np.array([t.id for t in _vocabulary(path).model.tokenize(run.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes()
-        out.append(ids)
-    return b"".join(out)
+class _Memory(dict):
+    """Remembers what ``make`` gives for a key; what is not asked for again is forgotten after two fillings."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def settle(self) -> "_Memory":
+        if len(self) > ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        return self
+
+
+class _Words:
+    """A lower-casing word BPE that drops white space: ids of chunks without ASCII white space."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.model = _vocabulary(path).model
+        self.runs, self.chunks = _Memory(self._run), _Memory(self._chunk)
+
+    def _run(self, run: str) -> bytes:
+        if not run.isascii():
+            run = run.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(run)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        """Through the model's merges, each pre-token once; by the library as a whole where normalizing takes more than lower case."""
+        x = chunk.decode()
+        if x.isascii() and x.isalpha():
+            return self.runs[x.lower()]
+        if not _PLAIN.fullmatch(x) or "<|" in x:
+            ids = _vocabulary(self.path).encode(x, add_special_tokens=False).ids
+            return pack(f"<{len(ids)}I", *ids)
+        if x[-1] in ".," and x[:-1].isalpha():
+            return self.runs[x[:-1].lower()] + self.runs[x[-1]]
+        return b"".join([self.runs[r] for r in _RUNS.findall(x.lower())])
 
 
 def word_ids(texts: list[str], path: str) -> list[bytes]:
     """The texts' ids as little-endian unsigned 32-bit integers, for a lower-casing word BPE that drops white space.
 
     Texts are split at ASCII white space alone; every other character stays with its neighbours.
-    What is not plain Latin-1 is left to the library as a whole.
     """
-    known, runs = bounded(path), bounded(f"{path} runs")
-    split = [x.encode().split() for x in texts]
-    rest = []
-    for w in {w for ws in split for w in ws if w not in known}:
-        if (ids := _ids(w, path, runs)) is None:
-            rest.append(w)
-        else:
-            known[w] = ids
-    if rest:
-        for w, e in zip(rest, _vocabulary(path).encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join([known[w] for w in ws]) for ws in split]
+    words = _words.get(path) or _words.setdefault(path, _Words(path))
+    words.runs.settle()
+    get = words.chunks.settle().__getitem__
+    return [b"".join(map(get, x.encode().split())) for x in texts]
+
+
+_words: dict[str, _Words] = {}
 
 
 _SPACED = re.compile(r" *[^ \n]+| +|\n")
