@@ -22,6 +22,8 @@ LIMIT = 2048
 CLASSES, PIECES = 64, 4
 #: Tokens that a pattern made of exact lengths may leave free; one that leaves more is left to the residual packing.
 SLACK = 0
+#: Weight of the shortest eighth of the classes in the fit: they fill gaps afterwards. Shares of the fitted counts to try.
+SHORT, SHARES = 0.1, (1.0, 0.75, 0.5, 0.25)
 ROWS_PER_BUCKET = 4096
 
 
@@ -118,14 +120,7 @@ class Places:
         return True
 
 
-def plan(histogram: np.ndarray, classes: int = CLASSES, pieces: int = PIECES, slack: int = SLACK) -> tuple[list[tuple[int, int, int, int]], int]:
-    """histogram[l]: how many pieces have l tokens, l up to the sequence length. The places, and how many sequences they take.
-
-    Patterns of length classes are fitted to the classes' counts by non-negative least squares;
-    their rounded counts are made of exact lengths, the last piece of a pattern as the longest
-    that still fits. What rounding leaves over is packed best-fit decreasing, first into the gaps.
-    Each step uses up a length or a pattern, so the table's size depends on the sequence length only.
-    """
+def _planned(histogram: np.ndarray, classes: int, pieces: int, slack: int, share: float) -> Places:
     limit = len(histogram) - 1
     h = Places(histogram.astype(np.int64))
     if h.left[limit]:
@@ -134,9 +129,10 @@ def plan(histogram: np.ndarray, classes: int = CLASSES, pieces: int = PIECES, sl
     of = -(-np.arange(limit + 1) // width)  # class of a length, from 1
     a = patterns(classes, pieces)
     counts = np.bincount(of, weights=h.left, minlength=classes + 1)[1 : classes + 1]
-    x = nonnegative(a, counts) if counts.any() else np.zeros(a.shape[1])
+    weight = np.where(np.arange(1, classes + 1) * 8 <= classes, SHORT, 1.0)
+    x = nonnegative(a * weight[:, None], counts * weight) if counts.any() else np.zeros(a.shape[1])
     for j in np.lexsort((np.arange(len(x)), -x)):
-        want = int(np.floor(x[j] + 0.5))
+        want = int(np.floor(share * x[j] + 0.5))
         if not want:
             break
         members = [c + 1 for c in np.flatnonzero(a[:, j]) for _ in range(int(a[c, j]))][::-1]
@@ -169,7 +165,20 @@ def plan(histogram: np.ndarray, classes: int = CLASSES, pieces: int = PIECES, sl
                     h.new([length] * each, n // each)
                 else:
                     h.new([length] * n, 1)
-    return h.rows, h.sequences
+    return h
+
+
+def plan(histogram: np.ndarray, classes: int = CLASSES, pieces: int = PIECES, slack: int = SLACK, shares: tuple[float, ...] = SHARES) -> tuple[list[tuple[int, int, int, int]], int]:
+    """histogram[l]: how many pieces have l tokens, l up to the sequence length. The places, and how many sequences they take.
+
+    Patterns of length classes are fitted to the classes' counts by non-negative least squares;
+    their rounded counts are made of exact lengths, the last piece of a pattern as the longest
+    that still fits. What is left over is packed best-fit decreasing, first into the gaps. Of the
+    shares of the fitted counts tried, the one with the fewest sequences stays. Each step uses up
+    a length or a pattern, so the table's size depends on the sequence length only.
+    """
+    best = min((_planned(histogram, classes, pieces, slack, x) for x in shares), key=lambda h: h.sequences)
+    return best.rows, best.sequences
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, limit: int = LIMIT, end: int = 0) -> DataFrame:
