@@ -38,9 +38,10 @@ def collapsed(df: DataFrame, key: str, order: str, first: list[str], every: list
     out += [F.min_by(c, F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.col(order))).alias(c) for c in given]
     out += [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, F.coalesce(c, F.array()).alias("x")))), lambda s: s["x"])).alias(c) for c in lists]
     merged = df.groupBy(key).agg(*out)
-    for c, name in lists.items():
-        mine = (lambda x, name=name: x[name]) if name else (lambda x: x)
-        merged = merged.withColumn(
-            c, F.filter(F.col(c), lambda x, i, c=c, mine=mine: F.array_position(F.transform(F.col(c), mine), mine(x)) == i + 1)
-        )
-    return merged
+    return merged.withColumns({c: _apart(F.col(c), name) for c, name in lists.items()})
+
+
+def _apart(c: Column, name: str) -> Column:
+    """An array's elements, the first of those that are alike in a field (or as a whole)."""
+    mine = lambda x: x[name] if name else x
+    return F.filter(c, lambda x, i: F.array_position(F.transform(c, lambda y: mine(y)), mine(x)) == i + 1)

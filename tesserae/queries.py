@@ -1,29 +1,501 @@
-"""The registered directory queries and their SQL."""
+"""The registered directory queries and their SQL.
+
+A query runs an operator on the supplied tables, or on the directory made of them; its SQL says
+the same in plain relational terms for another engine. Names in braces are the directory's views.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tesserae.functions import ages, names, origins
+from tesserae.functions import values as V
+from tesserae.operators import audits, read, resolve, write
+from tesserae.sources.analogue import directory, table, with_views
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = with_views(sql)
+        return f
+
+    return register
+
+
+def _quoted(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def _stripped(x: str) -> str:
+    """strip_titles of a normalised text in SQL."""
+    out = f"CASE WHEN ' ' || {x} || ' ' LIKE ' the %' THEN ' ' || substr(' ' || {x} || ' ', 6) ELSE ' ' || {x} || ' ' END"
+    for rank in V.RANKS:
+        out = f"replace({out}, ' {rank} ', ' ')"
+    return f"trim({out})"
+
+
+def _placeholder(x: str) -> str:
+    bare = f"CASE WHEN {x} LIKE 'the %' THEN substr({x}, 5) ELSE {x} END"
+    return f"({x} NOT IN ({_quoted(V.ALLOWED)}) AND {x} <> '' AND ({x} LIKE '% with %' OR list_last(string_split({x}, ' ')) IN ({_quoted(V.TAILS)}) OR {bare} IN ({_quoted(V.ROLES)})))"
+
+
+def _rank_decorated(n: str, tokens: str) -> str:
+    s = _stripped(n)
+    return f"({s} <> {n} AND {s} <> '' AND len(list_filter(string_split({s}, ' '), lambda x: NOT list_contains({tokens}, x))) = 0)"
+
+
+EDGES = """(SELECT character_a AS character_id, character_b AS other_id, relationship_type, directed FROM {relationships}
+  UNION ALL SELECT character_b, character_a, relationship_type, directed FROM {relationships} WHERE character_a <> character_b)"""
+TOKENS = f"(SELECT character_id, list_distinct(flatten(list(string_split({_stripped('alias_norm')}, ' ')))) AS tokens FROM {{aliases}} WHERE alias_type IN ('primary', 'given_name') GROUP BY character_id)"
+
+# ---------------------------------------------------------------- reading
+
+
+@query("SELECT character_id, primary_name, character_type FROM {characters} WHERE character_id IN (SELECT character_id FROM {aliases} WHERE alias_norm ILIKE '%ring h%') ORDER BY primary_name, character_id LIMIT 40")
+def search_alias(spark, sf_dir):
+    return read.search(directory(spark, sf_dir), "  RING h")
+
+
+@query("SELECT character_id, primary_name, character_type, nationality, (SELECT count(*) FROM {appearances} a WHERE a.character_id = c.character_id) AS appearances FROM {characters} c")
+def roster_counts(spark, sf_dir):
+    return read.roster(directory(spark, sf_dir))
+
+
+@query("""SELECT a.character_id, a.chapter_id, b.series_order, c.chapter_number, a.name_used, a.whereabouts
+FROM {appearances} a JOIN {chapters} c ON c.chapter_id = a.chapter_id JOIN {books} b ON b.book_id = c.book_id""")
+def profile_appearances(spark, sf_dir):
+    return read.appearances_of(directory(spark, sf_dir)).select("character_id", "chapter_id", "series_order", "chapter_number", "name_used", "whereabouts")
+
+
+@query(f"SELECT e.character_id, e.other_id, e.relationship_type, e.directed, coalesce(primary_name, '?') AS other FROM {EDGES} e LEFT JOIN {{characters}} c ON c.character_id = e.other_id")
+def profile_relationships(spark, sf_dir):
+    return read.named_edges(directory(spark, sf_dir)).select("character_id", "other_id", "relationship_type", "directed", "other")
+
+
+@query("""SELECT c.character_id, c.primary_name,
+  (SELECT string_agg(alias_type || ':' || alias_text, ', ' ORDER BY alias_type, alias_text) FROM {aliases} a WHERE a.character_id = c.character_id) AS aliases,
+  (SELECT string_agg(f.faction_type || ':' || f.name || ':' || cf.role, ', ' ORDER BY f.faction_type, f.name) FROM {character_factions} cf JOIN {factions} f ON f.faction_id = cf.faction_id WHERE cf.character_id = c.character_id) AS factions,
+  (SELECT count(*) FROM {mentions} m WHERE m.character_id = c.character_id) AS mentions
+FROM {characters} c""")
+def profiles(spark, sf_dir):
+    flat = lambda c, *fields: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *[x[f] for f in fields])), ", ")
+    p = read.profiles(directory(spark, sf_dir))
+    return p.select("character_id", "primary_name", flat("aliases", "alias_type", "alias_text").alias("aliases"), flat("factions", "faction_type", "name", "role").alias("factions"), F.coalesce(F.size("mentions"), F.lit(0)).cast("bigint").alias("mentions"))
+
+
+@query("SELECT faction_id, name, faction_type, (SELECT count(*) FROM {character_factions} m WHERE m.faction_id = f.faction_id) AS members FROM {factions} f")
+def factions(spark, sf_dir):
+    return read.factions(directory(spark, sf_dir))
+
+
+@query("SELECT m.faction_id, m.character_id, m.role, c.primary_name, c.character_type FROM {character_factions} m JOIN {characters} c ON c.character_id = m.character_id")
+def faction_members(spark, sf_dir):
+    return read.faction_members(directory(spark, sf_dir))
+
+
+@query("""SELECT b.book_id, b.series_order, b.slot, b.label, b.is_prequel, (SELECT string_agg(chapter_number || '/' || chapter_id, ', ' ORDER BY chapter_number) FROM {chapters} c WHERE c.book_id = b.book_id) AS chapters FROM {books} b""")
+def books_chapters_nested(spark, sf_dir):
+    b = read.books(directory(spark, sf_dir))
+    flat = F.array_join(F.transform("chapters", lambda x: F.concat_ws("/", x["chapter_number"].cast("string"), x["chapter_id"].cast("string"))), ", ")
+    return b.select("book_id", "series_order", "slot", "label", "is_prequel", flat.alias("chapters"))
+
+
+@query("""SELECT x.chapter_id, x.character_id, x.how, x.name_used, c.primary_name FROM (
+  SELECT chapter_id, character_id, 'present' AS how, name_used FROM {appearances} UNION ALL SELECT chapter_id, character_id, 'mentioned', name_used FROM {mentions}) x
+JOIN {characters} c ON c.character_id = x.character_id WHERE x.chapter_id = 7""")
+def chapter_cast(spark, sf_dir):
+    return read.cast(directory(spark, sf_dir), 7).select("chapter_id", "character_id", "how", "name_used", "primary_name")
+
+
+NODES = """SELECT c.character_id, primary_name, character_type, coalesce(n, 0) AS appearances, f.faction, least(coalesce(n, 0) * 3, 40) + 18 AS size FROM {characters} c
+LEFT JOIN (SELECT character_id, count(*) AS n FROM {appearances} GROUP BY character_id) a ON a.character_id = c.character_id
+LEFT JOIN (SELECT character_id, name AS faction FROM (SELECT m.character_id, name, row_number() OVER (PARTITION BY m.character_id ORDER BY list_position(['ajah', 'house', 'order', 'clan', 'society', 'other'], faction_type), f.faction_id) AS k FROM {character_factions} m JOIN {factions} f ON f.faction_id = m.faction_id) y WHERE k = 1) f ON f.character_id = c.character_id"""
+
+
+@query(NODES)
+def graph_nodes(spark, sf_dir):
+    return read.graph_nodes(directory(spark, sf_dir))
+
+
+@query(NODES + " WHERE c.character_id IN (SELECT character_id FROM {appearances} WHERE chapter_id = 5)")
+def graph_nodes_of_chapter(spark, sf_dir):
+    return read.graph_nodes(directory(spark, sf_dir), 5)
+
+
+@query("SELECT character_a, character_b, relationship_type, directed FROM {relationships}")
+def graph_edges(spark, sf_dir):
+    return read.graph_edges(directory(spark, sf_dir), 0)
+
+
+@query("""SELECT character_a, character_b, relationship_type, directed FROM {relationships}
+WHERE character_a IN (SELECT character_id FROM {appearances} WHERE chapter_id = 5) AND character_b IN (SELECT character_id FROM {appearances} WHERE chapter_id = 5)""")
+def graph_edges_of_chapter(spark, sf_dir):
+    return read.graph_edges(directory(spark, sf_dir), 5)
+
+
+SNAPSHOTS = """(SELECT 'book9' AS snapshot, series_order FROM {books} WHERE series_order <= 9 UNION ALL SELECT 'newspring', series_order FROM {books} WHERE series_order <= 5
+  UNION ALL SELECT 'book12', series_order FROM {books} WHERE series_order <= 12)"""
+
+
+def _snapshots(spark, sf_dir):
+    b = directory(spark, sf_dir).books
+    made = [b.where(F.col("series_order") <= n).select(F.lit(s).alias("snapshot"), "series_order") for s, n in (("book9", 9), ("newspring", 5), ("book12", 12))]
+    return made[0].union(made[1]).union(made[2])
+
+
+@query(f"SELECT snapshot, max(series_order) AS at FROM {SNAPSHOTS} s GROUP BY snapshot")
+def snapshot_order(spark, sf_dir):
+    return read.snapshot_order(_snapshots(spark, sf_dir))
+
+
+@query("SELECT * FROM (VALUES ('newspring', 'newspring'), ('9', 'book9'), ('book12', 'book12'), ('nowhere', 'newspring'), ('', 'newspring')) t(wanted, snapshot)")
+def snapshot_select(spark, sf_dir):
+    order = read.snapshot_order(_snapshots(spark, sf_dir))
+    wanted = ("newspring", "9", "book12", "nowhere", "")
+    return spark.createDataFrame([(w, read.select_snapshot(order, w)) for w in wanted], "wanted string, snapshot string")
+
+
+@query("SELECT book_id, series_order, slot, label, title FROM {books} WHERE slot = 'book7' UNION ALL SELECT book_id, series_order, slot, label, title FROM {books} WHERE slot = 'book3'")
+def resolve_book(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    return read.resolve_book(d, "7").union(read.resolve_book(d, " book3 "))
+
+
+# ---------------------------------------------------------------- aggregates, windows, upserts
+
+
+@query(f"""SELECT c.character_id, (SELECT count(*) FROM {{appearances}} a WHERE a.character_id = c.character_id) AS appearances,
+  (SELECT count(*) FROM {EDGES} e WHERE e.character_id = c.character_id) AS relationships, (SELECT count(*) FROM {{character_factions}} f WHERE f.character_id = c.character_id) AS factions FROM {{characters}} c""")
+def dependents_counts(spark, sf_dir):
+    return audits.dependents(directory(spark, sf_dir))
+
+
+@query("SELECT character_id, name_used, count(*) AS n FROM {appearances} GROUP BY character_id, name_used HAVING lower(trim(name_used)) <> lower(trim(max(whereabouts)))")
+def group_name_used(spark, sf_dir):
+    a = directory(spark, sf_dir).appearances
+    g = a.groupBy("character_id", "name_used").agg(F.count(F.lit(1)).alias("n"), F.max("whereabouts").alias("w"))
+    return g.where(F.lower(F.trim("name_used")) != F.lower(F.trim("w"))).select("character_id", "name_used", "n")
+
+
+@query("""SELECT 'books(series_order)' AS name, series_order::VARCHAR AS key, count(*) AS rows FROM {books} GROUP BY 1, 2 HAVING count(*) > 1
+UNION ALL SELECT 'characters(primary_name)', primary_name, count(*) FROM {characters} GROUP BY 1, 2 HAVING count(*) > 1
+UNION ALL SELECT 'aliases(character_id, alias_norm)', character_id || '|' || alias_norm, count(*) FROM {aliases} GROUP BY 1, 2 HAVING count(*) > 1""")
+def invariants_violations(spark, sf_dir):
+    return audits.broken_keys(directory(spark, sf_dir), ["books", "characters", "aliases", "appearances", "relationships"])
+
+
+@query("SELECT l_orderkey || '|' || l_linenumber AS key, count(*) AS rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def duplicate_line_numbers(spark, sf_dir):
+    n = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return n.select(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key"), "rows")
+
+
+@query("SELECT 'mentions.character_id' AS name, character_id AS value, count(*) AS rows FROM {mentions} WHERE character_id NOT IN (SELECT character_id FROM {characters}) GROUP BY 2 UNION ALL SELECT 'character_factions.faction_id', faction_id, count(*) FROM {character_factions} WHERE faction_id NOT IN (SELECT faction_id FROM {factions}) GROUP BY 2")
+def broken_pointers(spark, sf_dir):
+    return audits.broken_pointers(directory(spark, sf_dir))
+
+
+@query("SELECT c.character_id, count_if(is_primary) AS n FROM {characters} c LEFT JOIN {aliases} a ON a.character_id = c.character_id GROUP BY c.character_id HAVING count_if(is_primary) <> 1")
+def primary_counts(spark, sf_dir):
+    return audits.primaries(directory(spark, sf_dir))
+
+
+@query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k, count(*) OVER (PARTITION BY event_type) AS n FROM events),
+m AS (SELECT event_type, count(*) AS n, median(value) FILTER (k <= n // 2) AS first, median(value) FILTER (k > n // 2) AS second FROM r GROUP BY event_type)
+SELECT event_type, n, first, second, round(CASE WHEN n >= 4 AND first > 0 THEN second / first - 1 END, 9) AS change, coalesce(CASE WHEN n >= 4 AND first > 0 THEN second / first - 1 END > 0.15, false) AS climbing FROM m""")
+def median_trend(spark, sf_dir):
+    t = audits.token_trend(table(spark, sf_dir, "events"), "event_type", "event_id", "value")
+    return t.select("event_type", "n", "first", "second", F.round("change", 9).alias("change"), "climbing")
+
+
+@query("SELECT p_name, string_agg(DISTINCT p_brand, ', ' ORDER BY p_brand) AS brands, count(DISTINCT p_type) AS types FROM part GROUP BY p_name")
+def delimited_lists(spark, sf_dir):
+    p = table(spark, sf_dir, "part").groupBy("p_name").agg(F.array_join(F.array_sort(F.collect_set("p_brand")), ", ").alias("brands"), F.count_distinct("p_type").alias("types"))
+    return p
+
+
+@query("""SELECT text, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, bool_and(n_chars > 100) AS long, arg_min(CASE WHEN doc_id % 2 = 1 THEN source END, CASE WHEN doc_id % 2 = 1 THEN doc_id END) AS odd_source,
+  string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs FROM documents GROUP BY text""")
+def dedupe_merge(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("text", "doc_id", F.col("doc_id").alias("first_id"), "lang", (F.col("n_chars") > 100).alias("long"), F.when(F.col("doc_id") % 2 == 1, F.col("source")).alias("odd_source"), F.array("lang").alias("langs"))
+    m = write.collapsed(d, "text", "first_id", ["doc_id", "lang"], ["long"], ["odd_source"], {"langs": ""})
+    return m.select("text", "doc_id", "lang", "long", "odd_source", F.array_join(F.array_sort("langs"), ",").alias("langs"))
+
+
+@query("""SELECT character_id, chapter_id FROM (SELECT a.character_id, a.chapter_id, row_number() OVER (PARTITION BY a.character_id ORDER BY series_order, chapter_number) AS k
+FROM {appearances} a JOIN {chapters} c ON c.chapter_id = a.chapter_id JOIN {books} b ON b.book_id = c.book_id) x WHERE k = 1""")
+def earliest_anchor(spark, sf_dir):
+    a = read.appearances_of(directory(spark, sf_dir))
+    return a.groupBy("character_id").agg(F.min_by("chapter_id", F.struct("series_order", "chapter_number")).alias("chapter_id"))
+
+
+@query("SELECT character_id, CASE WHEN count(*) FILTER (size = top) = 1 THEN arg_max(alias_norm, size) END AS winner FROM (SELECT character_id, alias_norm, len(string_split(alias_norm, ' ')) AS size, max(len(string_split(alias_norm, ' '))) OVER (PARTITION BY character_id) AS top FROM {aliases}) x GROUP BY character_id")
+def unique_top_candidate(spark, sf_dir):
+    a = directory(spark, sf_dir).aliases.select("character_id", "alias_norm", F.size(F.split("alias_norm", " ")).alias("size"))
+    r = a.withColumn("k", F.rank().over(Window.partitionBy("character_id").orderBy(F.desc("size")))).where("k = 1")
+    return r.groupBy("character_id").agg(F.when(F.count(F.lit(1)) == 1, F.max("alias_norm")).alias("winner"))
+
+
+@query("SELECT character_id, faction FROM (" + NODES + ") n WHERE faction IS NOT NULL")
+def primary_faction(spark, sf_dir):
+    return read.graph_nodes(directory(spark, sf_dir)).select("character_id", "faction").where("faction is not null")
+
+
+UPSERT_OLD = "(SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events WHERE event_id % 2 = 0 AND user_id % 3 <> 0) x WHERE k = 1)"
+
+
+def _versions(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    keys = ["user_id", "event_type"]
+    none = e.where("false").select(*keys, "value")
+    old = write.insert_ignore(none, e.where("event_id % 2 = 0 and user_id % 3 <> 0"), keys, [F.col("event_id")])
+    return old, e.where("event_id % 2 = 1"), keys
+
+
+@query(f"""SELECT * FROM {UPSERT_OLD} o UNION ALL SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events WHERE event_id % 2 = 1) n
+WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM {UPSERT_OLD} o WHERE o.user_id = n.user_id AND o.event_type = n.event_type)""")
+def upsert_ignore(spark, sf_dir):
+    old, new, keys = _versions(spark, sf_dir)
+    return write.insert_ignore(old, new, keys, [F.col("event_id")])
+
+
+@query(f"""SELECT user_id, event_type, NULL::DOUBLE AS value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events WHERE event_id % 2 = 1) n WHERE k = 1
+UNION ALL SELECT user_id, event_type, value, NULL FROM {UPSERT_OLD} o WHERE NOT EXISTS (SELECT 1 FROM events n WHERE event_id % 2 = 1 AND o.user_id = n.user_id AND o.event_type = n.event_type)""")
+def upsert_replace(spark, sf_dir):
+    old, new, keys = _versions(spark, sf_dir)
+    wide = old.withColumn("props", F.lit(None).cast("string"))
+    out = write.insert_replace(wide, new.select(*keys, "event_id", "props"), keys, [F.col("event_id")])
+    return out.select("user_id", "event_type", "value", "props")
+
+
+@query("SELECT character_id, coalesce(nationality, whereabouts) AS nationality FROM {characters} c LEFT JOIN (SELECT character_id AS id, min(whereabouts) AS whereabouts FROM {appearances} GROUP BY 1) a ON a.id = c.character_id")
+def fill_once(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    given = d.appearances.groupBy("character_id").agg(F.min("whereabouts").alias("nationality"))
+    return write.fill_once(d.characters.select("character_id", "nationality"), given, ["character_id"], ["nationality"])
+
+
+@query("""SELECT a.p_name AS a, b.p_name AS b, list_sort(list_intersect(string_split(a.p_name, ' '), string_split(b.p_name, ' ')))[1] AS shared,
+  len(list_filter(string_split(a.p_name, ' '), lambda x: NOT list_contains(string_split(b.p_name, ' '), x))) = 0 AS inside
+FROM (SELECT DISTINCT p_name FROM part) a JOIN (SELECT DISTINCT p_name FROM part) b ON a.p_name < b.p_name AND len(list_intersect(string_split(a.p_name, ' '), string_split(b.p_name, ' '))) > 0""")
+def set_ops_tokens(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("t", names.tokens(names.norm(F.col("p_name"))))
+    w = p.withColumn("w", F.explode("t"))
+    met = w.selectExpr("p_name a", "t ta", "w").join(w.selectExpr("p_name b", "t tb", "w"), "w").where("a < b").dropDuplicates(["a", "b"])
+    return met.select("a", "b", F.array_sort(F.array_intersect("ta", "tb"))[0].alias("shared"), names.subset(F.col("ta"), F.col("tb")).alias("inside"))
+
+
+# ---------------------------------------------------------------- rules
+
+
+@query(r"SELECT doc_id, length(n) AS n_norm, length(s) AS n_search, md5(n) AS digest FROM (SELECT doc_id, trim(regexp_replace(replace(lower(text), '’', ''''), '\s+', ' ', 'g')) AS n, trim(regexp_replace(replace(replace(lower(text), '’', ''''), '‘', ''''), '\s+', ' ', 'g')) AS s FROM documents)")
+def norm_texts(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", names.norm(F.col("text")).alias("n"), names.norm_search(F.col("text")).alias("s"))
+    return d.select("doc_id", F.length("n").cast("bigint").alias("n_norm"), F.length("s").cast("bigint").alias("n_search"), F.md5("n").alias("digest"))
+
+
+@query(f"SELECT DISTINCT alias_norm, {_stripped('alias_norm')} AS key FROM {{aliases}}")
+def titles_stripped(spark, sf_dir):
+    return directory(spark, sf_dir).aliases.select("alias_norm", names.match_key(F.col("alias_norm")).alias("key")).distinct()
+
+
+@query(f"""SELECT a.character_id, a.alias_norm, a.alias_type,
+  CASE WHEN notes = 'wrongly named' OR {_rank_decorated('a.alias_norm', 'tokens')} THEN 'DROP'
+    WHEN a.alias_type IN ('title', 'epithet') AND a.alias_norm NOT LIKE 'the %' AND EXISTS (SELECT 1 FROM {{aliases}} s WHERE s.character_id = a.character_id AND s.alias_norm = 'the ' || a.alias_norm) THEN 'COLLAPSE'
+    WHEN (CASE WHEN a.alias_norm LIKE 'the %' THEN substr(a.alias_norm, 5) ELSE a.alias_norm END) IN ({_quoted(V.ROLES)}) OR {_stripped('a.alias_norm')} = '' THEN 'REVIEW' ELSE 'KEEP' END AS action
+FROM {{aliases}} a LEFT JOIN {TOKENS} t ON t.character_id = a.character_id WHERE a.alias_type IN ('title', 'epithet', 'nickname')""")
+def alias_cleanup(spark, sf_dir):
+    return audits.alias_cleanup(directory(spark, sf_dir)).select("character_id", "alias_norm", "alias_type", "action")
+
+
+@query(f"SELECT a.character_id, c.primary_name, a.alias_text, a.alias_type FROM {{aliases}} a JOIN {{characters}} c ON c.character_id = a.character_id WHERE alias_norm IN ({_quoted(V.GENERIC)}) OR NOT is_primary AND alias_norm IN ({_quoted(V.SUSPECT)})")
+def generic_aliases(spark, sf_dir):
+    return audits.generic_aliases(directory(spark, sf_dir))
+
+
+@query(f"""SELECT character_id, CASE WHEN {_placeholder('n')} THEN 'placeholder' WHEN n NOT IN ({_quoted(V.ALLOWED)}) AND character_type IN ('trolloc', 'myrddraal') AND (contains(n, character_type) OR n LIKE 'the %' OR n LIKE 'a %') THEN 'collective'
+  WHEN n NOT IN ({_quoted(V.ALLOWED)}) AND n LIKE 'the %' THEN 'title' END AS verdict FROM (SELECT *, lower(primary_name) AS n FROM {{characters}}) c""")
+def name_gates(spark, sf_dir):
+    return directory(spark, sf_dir).characters.select("character_id", names.rejection(F.col("primary_name"), F.col("character_type")).alias("verdict"))
+
+
+@query(f"""SELECT x.character_id, x.verdict, x.verdict = 'title' AND (SELECT count(*) FROM {{appearances}} a WHERE a.character_id = x.character_id) > 2 AS rename FROM (
+  SELECT character_id, CASE WHEN {_placeholder('n')} THEN 'placeholder' WHEN character_type IN ('trolloc', 'myrddraal') AND (contains(n, character_type) OR n LIKE 'the %' OR n LIKE 'a %') THEN 'collective' WHEN n LIKE 'the %' THEN 'title' END AS verdict
+  FROM (SELECT *, lower(primary_name) AS n FROM {{characters}}) c) x WHERE verdict IS NOT NULL""")
+def odd_names(spark, sf_dir):
+    return audits.odd_names(directory(spark, sf_dir)).select("character_id", "verdict", "rename")
+
+
+ORIGIN = "CASE nationality WHEN 'unknown' THEN NULL WHEN 'Andoran' THEN 'Andor' WHEN 'Two Rivers' THEN 'Two Rivers, Andor' WHEN 'Maule (presumably)' THEN 'Maule, Tear' ELSE nationality END"
+
+
+@query(f"SELECT character_id, {ORIGIN} AS origin, nationality IS NULL OR nationality = 'unknown' AS unresolved, CASE WHEN character_type = 'trolloc' THEN 'Shadow' END AS category FROM {{characters}}")
+def origin_normalise(spark, sf_dir):
+    n = F.col("nationality")
+    return directory(spark, sf_dir).characters.select("character_id", origins.normalized(n).alias("origin"), origins.is_unresolved(n).alias("unresolved"), origins.category(F.col("primary_name"), F.col("character_type")).alias("category"))
+
+
+@query(f"""SELECT character_id, CASE WHEN o IS NULL THEN 'Andor' WHEN o = 'Two Rivers, Andor' THEN o ELSE o END AS value, o IS NOT NULL AND o NOT IN ('Andor', 'Two Rivers, Andor') AS conflict
+FROM (SELECT character_id, {ORIGIN} AS o FROM {{characters}}) x""")
+def origin_refine(spark, sf_dir):
+    r = origins.refined(F.col("nationality"), F.lit("Andoran"))
+    return directory(spark, sf_dir).characters.select("character_id", r.alias("r")).select("character_id", "r.value", "r.conflict")
+
+
+@query("""SELECT character_id, CASE age WHEN 'young man' THEN 'young' WHEN 'about 40' THEN 'about 40' WHEN 'Sixty-three' THEN 'about 63' WHEN 'ageless' THEN 'ageless' END AS age,
+  CASE age WHEN 'young man' THEN 'older' WHEN 'about 40' THEN 'older' WHEN 'Sixty-three' THEN 'about 63' WHEN 'ageless' THEN 'ageless' ELSE 'older' END AS refined FROM {characters}""")
+def age_vocabulary(spark, sf_dir):
+    a = ages.normalized(F.col("age"))
+    return directory(spark, sf_dir).characters.select("character_id", a.alias("age"), ages.refined(a, F.lit("older (gray-haired)")).alias("refined"))
+
+
+@query("SELECT DISTINCT p_brand, CASE WHEN p_brand IS NULL THEN '#8a8170' END IS NULL AS coloured FROM part")
+def hash_colours(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_brand").distinct().select("p_brand", names.hash_colour(F.col("p_brand")).isin(*V.PALETTE).alias("coloured"))
+
+
+# ---------------------------------------------------------------- audits
+
+OWNERS = "(SELECT lower(primary_name) AS alias_norm, max(character_id) AS other_id, arg_max(primary_name, character_id) AS other FROM {characters} GROUP BY 1)"
+
+
+@query(f"""SELECT a.character_id, c.primary_name AS owner, a.alias_text AS alias, CASE WHEN a.alias_type = 'given_name' THEN 'possible-duplicate' ELSE a.alias_type END AS bucket, o.other_id, o.other
+FROM {{aliases}} a JOIN {OWNERS} o ON o.alias_norm = a.alias_norm JOIN {{characters}} c ON c.character_id = a.character_id
+WHERE NOT a.is_primary AND a.character_id <> o.other_id AND NOT EXISTS (SELECT 1 FROM {{acknowledged_collisions}} k WHERE k.owner_cid = a.character_id AND k.other_cid = o.other_id AND k.alias_norm = a.alias_norm)""")
+def collisions_suppressed(spark, sf_dir):
+    return audits.collisions(directory(spark, sf_dir))
+
+
+@query()
+def near_duplicates(spark, sf_dir):
+    """No other engine here has the similarity; a test compares with the library on all pairs."""
+    return audits.similar_names(directory(spark, sf_dir))
+
+
+@query(f"""SELECT character_id, primary_name, character_type FROM {{characters}} c WHERE character_type = 'other' AND lower(primary_name) NOT IN ({_quoted(V.ALLOWED)})
+AND NOT EXISTS (SELECT 1 FROM {{appearances}} x WHERE x.character_id = c.character_id) AND NOT EXISTS (SELECT 1 FROM {{mentions}} x WHERE x.character_id = c.character_id)
+AND NOT EXISTS (SELECT 1 FROM {{relationships}} x WHERE c.character_id IN (x.character_a, x.character_b)) AND NOT EXISTS (SELECT 1 FROM {{character_factions}} x WHERE x.character_id = c.character_id)""")
+def empty_shells(spark, sf_dir):
+    return audits.empty_shells(directory(spark, sf_dir))
+
+
+@query("""SELECT persona_norm, true_cid, reveal_book, book, CASE WHEN book >= reveal_book THEN 'merged' ELSE 'separate' END AS expected,
+  concat_ws('; ', CASE WHEN book >= reveal_book AND apart THEN 'separate past reveal' END, CASE WHEN book >= reveal_book AND NOT masked THEN 'alias missing' END,
+    CASE WHEN book < reveal_book AND NOT apart THEN 'row missing' END, CASE WHEN book < reveal_book AND masked THEN 'alias too early' END) AS problems
+FROM (SELECT m.*, (SELECT max(series_order) FROM {books}) AS book, o.row_id IS NOT NULL AND o.row_id <> m.true_cid AS apart,
+    EXISTS (SELECT 1 FROM {aliases} a WHERE a.character_id = m.true_cid AND a.alias_norm = m.persona_norm AND a.alias_type = 'disguise') AS masked
+  FROM {disguise_map} m LEFT JOIN (SELECT lower(primary_name) AS persona_norm, min(character_id) AS row_id FROM {characters} GROUP BY 1) o ON o.persona_norm = m.persona_norm) x
+WHERE CASE WHEN book >= reveal_book THEN apart OR NOT masked ELSE NOT apart OR masked END""")
+def reveal_consistency(spark, sf_dir):
+    return audits.reveals(directory(spark, sf_dir))
+
+
+@query("SELECT a.character_id, c.primary_name, a.alias_text AS the_form, b.alias_text AS bare_form FROM {aliases} a JOIN {aliases} b ON b.character_id = a.character_id AND a.alias_norm = 'the ' || b.alias_norm JOIN {characters} c ON c.character_id = a.character_id")
+def article_duplicates(spark, sf_dir):
+    return audits.article_duplicates(directory(spark, sf_dir))
+
+
+@query(f"SELECT a.character_id, c.primary_name, a.alias_text, a.alias_type FROM {{aliases}} a JOIN {TOKENS} t ON t.character_id = a.character_id JOIN {{characters}} c ON c.character_id = a.character_id WHERE a.alias_type IN ('title', 'epithet', 'nickname') AND {_rank_decorated('a.alias_norm', 'tokens')}")
+def rank_duplicates(spark, sf_dir):
+    return audits.rank_duplicates(directory(spark, sf_dir))
+
+
+@query(f"""WITH r AS (SELECT character_id, primary_name, character_type, lower(primary_name) AS n, {_stripped('lower(primary_name)')} AS k FROM {{characters}})
+SELECT s.character_id AS short_id, s.primary_name AS short, l.character_id AS long_id, l.primary_name AS long FROM r l JOIN r s ON s.character_type = l.character_type AND s.k <> '' AND l.k LIKE s.k || ' %'
+WHERE s.n <> l.n AND NOT {_placeholder('l.n')} AND len(string_split(l.k, ' ')) BETWEEN 2 AND 4
+AND NOT EXISTS (SELECT 1 FROM {{distinct_pairs}} p WHERE p.cid_low = least(s.character_id, l.character_id) AND p.cid_high = greatest(s.character_id, l.character_id))
+AND NOT EXISTS (SELECT 1 FROM {{aliases}} a WHERE a.character_id = l.character_id AND a.alias_norm = s.n) AND NOT EXISTS (SELECT 1 FROM {{aliases}} a WHERE a.character_id = s.character_id AND a.alias_norm = l.n)""")
+def fuller_names(spark, sf_dir):
+    return audits.fuller_names(directory(spark, sf_dir))
+
+
+@query("SELECT 'bad slot' AS problem, slot FROM (SELECT 'Book!' AS slot) UNION ALL SELECT 'empty label', 'book4' UNION ALL SELECT 'file named after another book', slot FROM {books} WHERE series_order = (SELECT max(series_order) FROM {books})")
+def book_problems(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    b = d.books.withColumn("slot", F.when(F.col("series_order") == 2, "Book!").otherwise(F.col("slot"))).withColumn("label", F.when(F.col("series_order") == 4, " ").otherwise(F.col("label")))
+    return audits.book_problems(d.having(books=b), "book3")
+
+
+@query(r"""WITH w AS (SELECT doc_id, len(regexp_extract_all(lower(text), '(^|[^\p{L}\p{N}_])(the)($|[^\p{L}\p{N}_])')) AS x FROM documents WHERE false),
+c AS (SELECT doc_id AS chapter_id, list_filter(string_split_regex(lower(text), '[^a-z0-9_à-öø-ÿ]+'), lambda t: t <> '') AS ws FROM documents WHERE lang = 'en'),
+t AS (SELECT unnest(['the', 'idiot', 'Erin', 'trash']) AS term)
+SELECT chapter_id, term, len(list_filter(ws, lambda x: x = lower(term))) AS n FROM c, t WHERE len(list_filter(ws, lambda x: x = lower(term))) > 0""")
+def term_counts(spark, sf_dir):
+    c = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("chapter_id"), F.col("text").alias("full_text"))
+    return audits.mentions_found(c, spark.createDataFrame([(x,) for x in ("the", "idiot", "Erin", "trash")], "term string"))
+
+
+@query()
+def mention_gap(spark, sf_dir):
+    """Words are told apart by Unicode rules that the other engine lacks; a test compares with a plain scan."""
+    d = directory(spark, sf_dir)
+    extra = spark.createDataFrame([(1, "erin"), (2, "trash"), (3, "clown")], "character_id bigint, alias_text string").select("character_id", "alias_text", F.col("alias_text").alias("alias_norm"), F.lit("nickname").alias("alias_type"), F.lit(False).alias("is_primary"))
+    return audits.mention_gaps(d.having(aliases=d.aliases.select("character_id", "alias_text", "alias_norm", "alias_type", "is_primary").union(extra.select("character_id", "alias_text", "alias_norm", "alias_type", "is_primary"))))
+
+
+@query(r"""SELECT item_id AS id, evidence, bool_or(contains(trim(regexp_replace(lower(d.text), '\s+', ' ', 'g')), trim(regexp_replace(lower(evidence), '\s+', ' ', 'g')))) AS verified
+FROM (SELECT item_id, text AS evidence FROM benchmark) b JOIN documents d ON d.doc_id % 40 = b.item_id % 40 GROUP BY item_id, evidence""")
+def evidence_verify(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("evidence"), (F.col("item_id") % 40).alias("g"))
+    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 40).alias("g"), "text")
+    return audits.evidence(b.select("id", "evidence"), d.join(b.select("id", "g"), "g").select("id", "text"))
+
+
+@query("SELECT 'books' AS name, 'source_file' AS \"column\", count(*) AS rows FROM {books} UNION ALL SELECT 'characters', 'description', count(*) FROM {characters} WHERE description IS NOT NULL UNION ALL SELECT 'books', 'source_file', count(*) FROM {books}")
+def export_verify(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    from tesserae.model import public
+
+    shown = public(d)
+    return audits.export_problems(d, shown.having(books=d.books))
+
+
+@query("SELECT 'nation' AS name, 'n_name' AS \"column\", count(*) AS rows FROM nation WHERE n_name LIKE '%NATION_1%' HAVING count(*) > 0")
+def path_marks(spark, sf_dir):
+    return audits.leaks(table(spark, sf_dir, "nation"), "nation", ("nation_1", "BOOKS/"))
+
+
+# ---------------------------------------------------------------- resolution
+
+
+def _wanted(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    return d.characters.select(F.col("character_id").alias("id"), F.concat(F.when(F.col("character_id") % 2 == 0, F.lit("")).otherwise(F.lit("Dame ")), F.substring_index("primary_name", " ", 2)).alias("name"))
+
+
+@query(f"""WITH q AS (SELECT character_id AS id, (CASE WHEN character_id % 2 = 0 THEN '' ELSE 'dame ' END) || array_to_string(string_split(lower(primary_name), ' ')[1:2], ' ') AS n FROM {{characters}}),
+e AS (SELECT alias_norm, max(character_id) AS cid FROM {{aliases}} GROUP BY 1),
+s AS (SELECT k, min(character_id) AS cid FROM (SELECT {_stripped('alias_norm')} AS k, character_id FROM {{aliases}}) y WHERE k <> '' GROUP BY k HAVING count(DISTINCT character_id) = 1)
+SELECT id, coalesce(e.cid, s.cid, -1) AS cid FROM q LEFT JOIN e ON e.alias_norm = n LEFT JOIN s ON s.k = {_stripped('n')}""")
+def resolve_exact(spark, sf_dir):
+    return resolve.exact(_wanted(spark, sf_dir), directory(spark, sf_dir).aliases).select("id", F.coalesce("exact_cid", F.lit(-1)).alias("cid"))
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+SHARED = f"len(list_filter(list_intersect(t, u), lambda x: length(x) >= 2 AND x NOT IN ({_quoted(V.STOPWORDS)})))"
 
-def roster_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer with its number of orders, zero included."""
-    counts = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        _table(spark, sf_dir, "customer")
-        .join(counts, "c_custkey", "left")
-        .select("c_custkey", "c_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("appearances"))
-    )
 
+@query(f"""WITH q AS (SELECT DISTINCT 'new ' || lower(n_name) || ' ' || split_part(p_name, ' ', 2) AS name FROM part JOIN nation ON n_nationkey = p_partkey % 5 UNION SELECT DISTINCT p_name || ' x' FROM part),
+a AS (SELECT DISTINCT character_id, alias_norm, list_distinct(string_split(alias_norm, ' ')) AS u FROM {{aliases}}),
+m AS (SELECT name, character_id AS cid, {SHARED} AS d, len(list_intersect(t, u))::DOUBLE / greatest(len(t), len(u)) AS s FROM (SELECT name, list_distinct(string_split(name, ' ')) AS t FROM q) q, a
+  WHERE len(list_filter(t, lambda x: NOT list_contains(u, x))) = 0 OR len(list_filter(u, lambda x: NOT list_contains(t, x))) = 0)
+SELECT name, cid, max(d)::INT AS shared, max(s) AS score FROM m WHERE d > 0 GROUP BY name, cid""")
+def resolve_tokens(spark, sf_dir):
+    p, n = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
+    q = p.join(n, F.col("n_nationkey") == F.col("p_partkey") % 5).select(F.concat(F.lit("new "), F.lower("n_name"), F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("name"))
+    return resolve.token_candidates(q.union(p.select(F.concat("p_name", F.lit(" x")))), directory(spark, sf_dir).aliases)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"roster_counts": roster_counts}
 
-ORACLES: dict[str, str] = {
-    "roster_counts": "SELECT c_custkey, c_name, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS appearances FROM customer",
-}
+@query()
+def resolve_existing(spark, sf_dir):
+    """The whole ladder with hints; its similarity has no SQL. Tests hold it to golden scenarios."""
+    q = _wanted(spark, sf_dir).withColumn("pointer", F.when(F.col("id") % 3 == 0, F.concat(F.col("name"), F.lit("s"))).otherwise(F.col("name")))
+    return resolve.resolve(q, directory(spark, sf_dir).aliases).select("id", "name", "cid", "method", F.size("candidates").alias("n_candidates"))
