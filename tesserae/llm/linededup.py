@@ -36,8 +36,15 @@ def normal(line: bytes) -> bytes:
 
 
 def shingles(line: bytes) -> np.ndarray:
-    n = len(line) - SHINGLE + 1
-    return np.unique(np.ndarray((max(0, n),), "<u8", line, 0, (1,)))
+    """The line's distinct shingles, sorted."""
+    x = np.sort(np.ndarray((max(0, len(line) - SHINGLE + 1),), "<u8", line, 0, (1,)))
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+def shared_by(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate((a, b))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -140,10 +147,10 @@ class _Band:
 
     def __init__(self, similarity: float):
         self.similarity, self.sets = similarity, Sets()
-        self.groups: list[list[tuple[int, frozenset]]] = []
+        self.groups: list[list[tuple[int, np.ndarray]]] = []
 
     def add(self, cls: int, text: bytes) -> None:
-        own = frozenset(shingles(text).tolist())
+        own = shingles(text)
         same = []
         for i, g in enumerate(self.groups):
             for other, theirs in reversed(g):
@@ -151,7 +158,7 @@ class _Band:
                     return
                 small, large = sorted((len(own), len(theirs)))
                 if small >= self.similarity * large:
-                    both = len(own & theirs)
+                    both = shared_by(own, theirs)
                     if both >= self.similarity * (len(own) + len(theirs) - both):
                         self.sets.join(cls, other)
                         same.append(i)
@@ -165,6 +172,41 @@ class _Band:
         return [(x, r) for x in list(self.sets.parent) if (r := self.sets.root(x)) != x]
 
 
+def _fresh(rows: DataFrame) -> DataFrame:
+    """rows: (band, a, b, class, bands) clustered and sorted by the first three. (band, a, b, class) of those that meet someone there for the first time.
+
+    Two lines that share a band before this one are compared in that one.
+    """
+
+    def of(part: list[tuple]) -> list[tuple]:
+        bands = np.array([r[4] for r in part], np.int64)
+        place = int(np.flatnonzero(bands[0] == part[0][0])[0])
+        met = np.eye(len(part), dtype=bool)
+        for k in range(place):
+            met |= bands[:, k][:, None] == bands[:, k][None, :]
+        return [part[k][:4] for k in np.flatnonzero(~met.all(axis=1))]
+
+    def run(batches):
+        part: list[tuple] = []
+
+        def out(found):
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], ["band", "a", "b", "class"])
+
+        for b in batches:
+            found = []
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part and r[:3] != part[0][:3]:
+                    found += of(part)
+                    part = []
+                part.append(r)
+            if found:
+                yield out(found)
+        if part and (found := of(part)):
+            yield out(found)
+
+    return arrow_map(rows, run, "band bigint, a int, b int, class bigint")
+
+
 def _verified(rows: DataFrame, similarity: float) -> DataFrame:
     """rows: (band, a, b, class, text) clustered and sorted by the first three. (u, v): similar lines, at most one link for each."""
 
@@ -197,34 +239,39 @@ def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEA
     lines that similar ones connect, the first stays, in the order of doc_id (null last), line
     and document key.
     """
-    scanned = durable(_scanned(docs, least))
-    lines = scanned.select("key", "doc_id", F.inline("lines"))
+    fat = durable(_scanned(docs, least))
+    lines = fat.select("key", "doc_id", F.inline("lines"))
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line", "key")
-    classes = durable(lines.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
-    dealt = classes.select(F.explode("bands").alias("band"), "class").repartition("band")
+    banded = durable(lines.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
+    scanned = durable(fat.withColumn("lines", F.expr("transform(lines, x -> named_struct('line', x.line, 'class', x.class))")))
+    release(fat)
+    dealt = banded.select(F.explode("bands").alias("band"), "class").repartition("band")
     shared = durable(dealt.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("n > 1"))
     release()
-    wanted = shared.select("class").distinct().join(classes.select("class", F.col("first.key").alias("key"), F.col("first.line").alias("line")), "class")
-    texts = durable(_texts(docs, wanted).dropDuplicates(["class"]))
     # a crowded band is cut into parts, and each two parts meet in a task of their own
-    parts = F.ceil(F.col("n") / CROWD).cast("int")
     own = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    pairs = (
-        shared.withColumn("parts", parts)
+    met = (
+        shared.join(banded.select("class", "bands"), "class")
+        .withColumn("parts", F.ceil(F.col("n") / CROWD).cast("int"))
         .withColumn("own", own)
-        .select("band", "class", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "class")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "class", "bands")
     )
-    rows = pairs.join(texts, "class").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "class").select("band", "a", "b", "class", "text")
+    fresh = durable(_fresh(met.repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "class")))
+    classes = durable(banded.drop("bands"))
+    release(shared, banded)
+    wanted = fresh.select("class").distinct().join(classes.select("class", F.col("first.key").alias("key"), F.col("first.line").alias("line")), "class")
+    texts = durable(_texts(docs, wanted).dropDuplicates(["class"]))
+    rows = fresh.join(texts, "class").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "class").select("band", "a", "b", "class", "text")
     found = durable(_verified(rows, similarity))
-    release(shared, texts)
+    release(fresh, texts)
     roots = components(found)
     of = classes.select("class", "first", "n").join(roots, F.col("class") == F.col("node"), "left").select("class", "first", "n", "root").where("n > 1 or root is not null")
     of = durable(of.withColumn("root", F.coalesce("root", "class")))
     stays = of.groupBy("root").agg(F.min("first").alias("stays"))
     verdict = of.join(stays, "root").select("class", "stays")
     removed = (
-        lines.select("key", "line", "class")
+        scanned.select("key", F.inline("lines"))
         .join(verdict, "class")
         .where(~((F.col("stays.key") == F.col("key")) & (F.col("stays.line") == F.col("line"))))
         .select("key", "line")
