@@ -148,15 +148,19 @@ def faction_type(c: Column) -> Column:
     return coerced(c, V.FACTION_TYPES, "other")
 
 
+def is_named(c: Column) -> Column:
+    """Every word is a name's: capitalised, a particle, or one fused to a name."""
+    bare = F.filter(F.transform(words(squeezed(_text(c))), lambda t: F.regexp_replace(t, "^[’'\",.;:]+|[’'\",.;:]+$", "")), lambda t: t != "")
+    return F.forall(bare, lambda t: _within(F.lower(t), V.PARTICLES) | F.rlike(t, F.lit(r"^\p{Lu}")) | F.rlike(t, F.lit("^[a-z]{1,3}['’][A-Z]")))
+
+
 def is_fuller(candidate: Column, primary: Column) -> Column:
     """A proper name that has all words of the primary name and more, up to four."""
     c, p = strip(_text(candidate)), strip(_text(primary))
     mine, theirs = words(match_key(c)), words(match_key(p))
-    bare = F.filter(F.transform(words(squeezed(c)), lambda t: F.regexp_replace(t, "^[’'\",.;:]+|[’'\",.;:]+$", "")), lambda t: t != "")
-    named = F.forall(bare, lambda t: _within(F.lower(t), V.PARTICLES) | F.rlike(t, F.lit(r"^\p{Lu}")) | F.rlike(t, F.lit("^[a-z]{1,3}['’][A-Z]")))
     more = subset(theirs, mine) & ~subset(mine, theirs)
     length = (F.size(theirs) > 0) & (F.size(mine) > 1) & (F.size(mine) <= 4)
-    return (norm(c) != norm(p)) & (c != "") & (p != "") & ~is_placeholder(c) & ~is_generic(c) & length & more & named
+    return (norm(c) != norm(p)) & (c != "") & (p != "") & ~is_placeholder(c) & ~is_generic(c) & length & more & is_named(c)
 
 
 def adopted(c: Column) -> Column:
