@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tesserae.functions import ages, names, origins
+from tesserae.functions import ages, names, origins, texts
 from tesserae.functions import values as V
 from tesserae.operators import audits, read, resolve, write
+from tesserae.plans import change, merge, reconcile
 from tesserae.sources.analogue import directory, table, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -499,3 +500,235 @@ def resolve_existing(spark, sf_dir):
     """The whole ladder with hints; its similarity has no SQL. Tests hold it to golden scenarios."""
     q = _wanted(spark, sf_dir).withColumn("pointer", F.when(F.col("id") % 3 == 0, F.concat(F.col("name"), F.lit("s"))).otherwise(F.col("name")))
     return resolve.resolve(q, directory(spark, sf_dir).aliases).select("id", "name", "cid", "method", F.size("candidates").alias("n_candidates"))
+
+
+# ---------------------------------------------------------------- plans
+
+
+PAIRS = "(SELECT c_custkey AS keep, c_custkey + 5 AS \"drop\" FROM customer WHERE c_custkey % 50 = 0)"
+
+
+def _pairs(spark, sf_dir):
+    return table(spark, sf_dir, "customer").where("c_custkey % 50 = 0").selectExpr("c_custkey as keep", "c_custkey + 5 as drop")
+
+
+def _no_place(x: str) -> str:
+    return f"({x} IS NULL OR trim({x}) = '' OR lower(trim({x})) LIKE 'unknown%')"
+
+
+@query(f"""WITH u AS (UNPIVOT (SELECT character_id, coalesce(nationality, '~') AS nationality, coalesce(physical_traits, '~') AS physical_traits, coalesce(age, '~') AS age, coalesce(filiations, '~') AS filiations,
+    coalesce(associations, '~') AS associations, coalesce(personality, '~') AS personality, coalesce(description, '~') AS description FROM {{characters}}) ON nationality, physical_traits, age, filiations, associations, personality, description INTO NAME field VALUE v),
+t AS (SELECT character_id, field, nullif(v, '~') AS v FROM u)
+SELECT keep, "drop", a.field, CASE WHEN NOT {_no_place('a.v')} THEN 'keep' WHEN NOT {_no_place('b.v')} THEN 'fill' ELSE 'both_placeholder' END AS action, a.v AS kept, b.v AS dropped,
+  NOT {_no_place('a.v')} AND NOT {_no_place('b.v')} AND lower(a.v) <> lower(b.v) AS differs FROM {PAIRS} p JOIN t a ON a.character_id = keep JOIN t b ON b.character_id = "drop" AND b.field = a.field""")
+def merge_plan_traits(spark, sf_dir):
+    return merge.traits(directory(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(f"""WITH o AS (SELECT character_id, first_chapter_id, series_order * 100000 + chapter_number AS place FROM {{characters}} LEFT JOIN {{chapters}} c ON c.chapter_id = first_chapter_id LEFT JOIN {{books}} b ON b.book_id = c.book_id)
+SELECT keep, "drop", CASE WHEN b.place IS NOT NULL AND (a.place IS NULL OR b.place < a.place) THEN 'update' ELSE 'keep' END AS action,
+  coalesce(CASE WHEN b.place IS NOT NULL AND (a.place IS NULL OR b.place < a.place) THEN b.first_chapter_id ELSE a.first_chapter_id END, -1) AS first_chapter_id
+FROM {PAIRS} p JOIN o a ON a.character_id = keep JOIN o b ON b.character_id = "drop\"""")
+def merge_plan_anchors(spark, sf_dir):
+    a = merge.anchors(directory(spark, sf_dir), _pairs(spark, sf_dir))
+    return a.withColumn("first_chapter_id", F.coalesce("first_chapter_id", F.lit(-1)))
+
+
+@query(f"""WITH r AS (SELECT keep, alias_text, alias_norm, CASE WHEN alias_type = 'primary' THEN 'epithet' ELSE alias_type END AS alias_type, 0 AS k FROM {PAIRS} p JOIN {{aliases}} a ON a.character_id = "drop"
+  UNION ALL SELECT keep, primary_name, lower(primary_name), 'epithet', 1 FROM {PAIRS} p JOIN {{characters}} c ON c.character_id = "drop"),
+n AS (SELECT *, row_number() OVER (PARTITION BY keep, alias_norm ORDER BY k, alias_text) AS i FROM r)
+SELECT keep, alias_text, alias_norm, alias_type, CASE WHEN i = 1 AND NOT EXISTS (SELECT 1 FROM {{aliases}} a WHERE a.character_id = keep AND a.alias_norm = n.alias_norm) THEN 'insert' ELSE 'skip' END AS action FROM n""")
+def merge_plan_aliases(spark, sf_dir):
+    return merge.aliases(directory(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(f"""SELECT keep, "drop", chapter_id, CASE WHEN EXISTS (SELECT 1 FROM {{appearances}} x WHERE x.character_id = keep AND x.chapter_id = a.chapter_id) THEN 'conflict' ELSE 'reassign' END AS action
+FROM {PAIRS} p JOIN {{appearances}} a ON a.character_id = "drop\"""")
+def merge_plan_appearances(spark, sf_dir):
+    return merge.appearances(directory(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(f"""WITH m AS (SELECT keep, character_id AS owner, chapter_id, row_number() OVER (PARTITION BY keep, chapter_id ORDER BY character_id <> keep) AS k FROM {PAIRS} p JOIN {{mentions}} m ON character_id IN (keep, "drop"))
+SELECT keep, owner, chapter_id, CASE WHEN k > 1 OR EXISTS (SELECT 1 FROM {PAIRS} q JOIN {{appearances}} a ON a.character_id IN (q.keep, q."drop") WHERE q.keep = m.keep AND a.chapter_id = m.chapter_id) THEN 'drop' WHEN owner = keep THEN 'keep' ELSE 'reassign' END AS action FROM m""")
+def merge_plan_mentions(spark, sf_dir):
+    return merge.mentions(directory(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(f"""WITH r AS (SELECT keep, character_a, character_b, relationship_type, directed, CASE WHEN character_a = "drop" THEN character_b ELSE character_a END AS other_id, CASE WHEN character_a = "drop" THEN 'a' ELSE 'b' END AS side
+  FROM {PAIRS} p JOIN {{relationships}} ON "drop" IN (character_a, character_b)),
+f AS (SELECT r.*, CASE WHEN other_id = keep THEN 'self_loop' WHEN EXISTS (SELECT 1 FROM {{relationships}} x WHERE x.relationship_type = r.relationship_type AND
+  (x.character_a = keep AND x.character_b = other_id AND (NOT r.directed OR side = 'a') OR x.character_a = other_id AND x.character_b = keep AND (NOT r.directed OR side = 'b'))) THEN 'duplicate' END AS verdict FROM r)
+SELECT keep, character_a, character_b, relationship_type, directed, other_id, side, coalesce(verdict, CASE WHEN row_number() OVER (PARTITION BY keep, other_id, relationship_type, verdict ORDER BY character_a, character_b) = 1 THEN 'reassign' ELSE 'duplicate' END) AS action FROM f""")
+def merge_plan_relationships(spark, sf_dir):
+    return merge.relationships(directory(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(f"""SELECT keep, "drop", faction_id, role, CASE WHEN EXISTS (SELECT 1 FROM {{character_factions}} x WHERE x.character_id = keep AND x.faction_id = f.faction_id) THEN 'duplicate' ELSE 'reassign' END AS action
+FROM {PAIRS} p JOIN {{character_factions}} f ON f.character_id = "drop\"""")
+def merge_plan_factions(spark, sf_dir):
+    return merge.factions(directory(spark, sf_dir), _pairs(spark, sf_dir)).drop("first_chapter_id")
+
+
+@query(f"""SELECT 'characters' AS name, (SELECT count(*) FROM {{characters}}) - (SELECT count(*) FROM {PAIRS} p JOIN {{characters}} ON character_id = "drop") AS rows
+UNION ALL SELECT 'appearances', (SELECT count(*) FROM (SELECT DISTINCT coalesce(keep, character_id), chapter_id FROM {{appearances}} LEFT JOIN {PAIRS} p ON "drop" = character_id) x)
+UNION ALL SELECT 'character_factions', (SELECT count(*) FROM (SELECT DISTINCT coalesce(keep, character_id), faction_id FROM {{character_factions}} LEFT JOIN {PAIRS} p ON "drop" = character_id) x)""")
+def merge_applied_counts(spark, sf_dir):
+    d = merge.apply(directory(spark, sf_dir), _pairs(spark, sf_dir))
+    one = lambda t: getattr(d, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows")
+    return one("characters").union(one("appearances")).union(one("character_factions"))
+
+
+DOOMED = "(SELECT c_custkey FROM customer WHERE c_custkey % 7 = 3)"
+
+
+@query(f"""SELECT 'aliases' AS name, count(*) AS rows FROM {{aliases}} WHERE character_id IN {DOOMED} UNION ALL SELECT 'appearances', count(*) FROM {{appearances}} WHERE character_id IN {DOOMED}
+UNION ALL SELECT 'mentions', count(*) FROM {{mentions}} WHERE character_id IN {DOOMED} UNION ALL SELECT 'relationships', count(*) FROM {{relationships}} WHERE character_a IN {DOOMED} OR character_b IN {DOOMED}
+UNION ALL SELECT 'character_factions', count(*) FROM {{character_factions}} WHERE character_id IN {DOOMED} UNION ALL SELECT 'distinct_pairs', count(*) FROM {{distinct_pairs}} WHERE cid_low IN {DOOMED} OR cid_high IN {DOOMED}
+UNION ALL SELECT 'acknowledged_collisions', count(*) FROM {{acknowledged_collisions}} WHERE owner_cid IN {DOOMED} OR other_cid IN {DOOMED} UNION ALL SELECT 'disguise_map', count(*) FROM {{disguise_map}} WHERE true_cid IN {DOOMED}
+UNION ALL SELECT 'characters', count(*) FROM {{characters}} WHERE character_id IN {DOOMED}""")
+def delete_cascade_counts(spark, sf_dir):
+    ids = table(spark, sf_dir, "customer").where("c_custkey % 7 = 3").select(F.col("c_custkey").alias("character_id"))
+    return change.deletion_counts(directory(spark, sf_dir), ids)
+
+
+@query(f"SELECT character_a, character_b, relationship_type FROM {{relationships}} WHERE character_a NOT IN {DOOMED} AND character_b NOT IN {DOOMED}")
+def delete_cascade(spark, sf_dir):
+    ids = table(spark, sf_dir, "customer").where("c_custkey % 7 = 3").select(F.col("c_custkey").alias("character_id"))
+    return change.delete(directory(spark, sf_dir), ids).relationships.select("character_a", "character_b", "relationship_type")
+
+
+def _earlier(spark, sf_dir, last: int = 8):
+    """The snapshot up to a book: later rows are not there, and some traits and names are not yet told."""
+    d = directory(spark, sf_dir)
+    books = d.books.where(F.col("series_order") <= last)
+    chapters = d.chapters.join(books.select("book_id"), "book_id", "left_semi")
+    people = d.characters.where("character_id % 4 <> 1").withColumn("physical_traits", F.when(F.col("character_id") % 8 == 0, F.col("physical_traits"))).withColumn("age", F.when(F.col("character_id") % 3 == 0, F.col("age")))
+    own = people.select("character_id")
+    return d.having(
+        books=books, chapters=chapters, characters=people, appearances=d.appearances.join(chapters.select("chapter_id"), "chapter_id", "left_semi").join(own, "character_id", "left_semi"),
+        character_factions=d.character_factions.join(own, "character_id", "left_semi").where("(character_id + faction_id) % 2 = 0"), factions=d.factions.where("faction_id % 5 <> 0"),
+    )
+
+
+@query("""WITH n AS (SELECT chapter_id, series_order, chapter_number FROM {chapters} c JOIN {books} b ON b.book_id = c.book_id), u AS (SELECT chapter_id FROM {appearances} WHERE character_id % 100 = 1 UNION SELECT chapter_id FROM {mentions} WHERE character_id % 100 = 1)
+SELECT 'chapter' AS kind, chapter_id::VARCHAR AS value FROM u JOIN n USING (chapter_id) WHERE series_order > 8
+UNION ALL SELECT DISTINCT 'faction', name_norm FROM {character_factions} m JOIN {factions} f ON f.faction_id = m.faction_id WHERE m.character_id % 100 = 1 AND f.faction_id % 5 = 0
+UNION ALL SELECT 'character', primary_name FROM {characters} c WHERE character_id % 100 <> 1 AND character_id IN (SELECT character_a FROM {relationships} WHERE character_b % 100 = 1 UNION SELECT character_b FROM {relationships} WHERE character_a % 100 = 1)
+  AND primary_name NOT IN (SELECT primary_name FROM {characters} WHERE character_id % 4 <> 1)
+UNION ALL SELECT 'name taken', primary_name FROM {characters} c WHERE character_id % 100 = 1 AND primary_name IN (SELECT primary_name FROM {characters} WHERE character_id % 4 <> 1)""")
+def restore_lookup_check(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    ids = d.characters.where("character_id % 100 = 1").select("character_id")
+    return change.restore_gaps(d, _earlier(spark, sf_dir), ids)
+
+
+@query(f"""WITH f AS (SELECT primary_name, 'Origin ' || c_nationkey AS nationality, CASE c_custkey % 3 WHEN 0 THEN 'x_book3.db' WHEN 1 THEN 'x_book11.db' ELSE 'x_newspring.db' END AS db_file FROM customer JOIN {{characters}} ON character_id = c_custkey WHERE c_custkey % 2 = 0
+  UNION ALL SELECT 'Nobody At All', 'Tear', 'x_book2.db'),
+i AS (SELECT lower(primary_name) AS key, count(*) AS n, min(character_id) AS cid, arg_min(coalesce(nationality, ''), character_id) AS cur FROM {{characters}} GROUP BY 1)
+SELECT primary_name, nationality, db_file, action, CASE WHEN action IN ('would_write', 'already_matches', 'conflict') THEN cid ELSE -1 END AS character_id FROM (
+  SELECT f.*, cid, CASE WHEN db_file LIKE '%newspring%' THEN 'skipped_no_book_number' WHEN db_file LIKE '%book11%' THEN 'filtered_by_book' WHEN n IS NULL THEN 'not_found' WHEN n > 1 THEN 'ambiguous' WHEN {_no_place('cur')} THEN 'would_write' WHEN lower(cur) = lower(nationality) THEN 'already_matches' ELSE 'conflict' END AS action
+  FROM f LEFT JOIN i ON i.key = lower(primary_name)) x""")
+def carry_forward(spark, sf_dir):
+    d = directory(spark, sf_dir)
+    c = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").join(d.characters.select(F.col("character_id").alias("c_custkey"), "primary_name"), "c_custkey")
+    file = F.when(F.col("c_custkey") % 3 == 0, "x_book3.db").when(F.col("c_custkey") % 3 == 1, "x_book11.db").otherwise("x_newspring.db")
+    found = c.select("primary_name", F.concat(F.lit("Origin "), F.col("c_nationkey").cast("string")).alias("nationality"), file.alias("db_file")).union(spark.createDataFrame([("Nobody At All", "Tear", "x_book2.db")], "primary_name string, nationality string, db_file string"))
+    return change.carry_forward(found, d, 10).withColumn("character_id", F.coalesce("character_id", F.lit(-1)))
+
+
+MAIN = "(SELECT a.character_id FROM {appearances} a JOIN {chapters} c ON c.chapter_id = a.chapter_id JOIN {books} b ON b.book_id = c.book_id WHERE NOT is_prequel)"
+
+
+@query(f"""SELECT character_id, 'physical_traits' AS field, physical_traits AS value FROM {{characters}} WHERE character_id % 4 <> 1 AND character_id % 8 <> 0 AND trim(physical_traits) <> '' AND character_id IN {MAIN}
+UNION ALL SELECT character_id, 'age', age FROM {{characters}} WHERE character_id % 4 <> 1 AND character_id % 3 <> 0 AND trim(age) <> '' AND character_id IN {MAIN}""")
+def snapshot_diff_revert(spark, sf_dir):
+    return change.prequel_fills(directory(spark, sf_dir), _earlier(spark, sf_dir))
+
+
+@query(f"""SELECT m.character_id, m.faction_id FROM {{character_factions}} m JOIN {{factions}} f ON f.faction_id = m.faction_id WHERE f.faction_type IN ('other', 'order') AND m.character_id % 4 <> 1 AND m.character_id IN {MAIN} AND (m.character_id + m.faction_id) % 2 <> 0""")
+def prequel_memberships(spark, sf_dir):
+    return change.prequel_memberships(directory(spark, sf_dir), _earlier(spark, sf_dir))
+
+
+@query(f"""SELECT character_id, 'age' AS field, age AS before, CASE age WHEN 'young man' THEN 'young' WHEN 'Sixty-three' THEN 'about 63' END AS after FROM {{characters}} WHERE age IN ('young man', 'alive', 'Sixty-three')
+UNION ALL SELECT character_id, 'nationality', nationality, {ORIGIN} FROM {{characters}} WHERE nationality IN ('unknown', 'Andoran', 'Two Rivers', 'Maule (presumably)')""")
+def trait_changes(spark, sf_dir):
+    return change.trait_changes(directory(spark, sf_dir))
+
+
+@query(f"""WITH k AS (SELECT character_id, {_stripped('lower(primary_name)')} AS p FROM {{characters}}), g AS (SELECT a.character_id, p, {_stripped('a.alias_norm')} AS q FROM {{aliases}} a JOIN k USING (character_id) WHERE alias_type = 'given_name')
+SELECT character_id, q AS chosen FROM g WHERE len(string_split(q, ' ')) > len(string_split(p, ' ')) AND len(list_filter(string_split(p, ' '), lambda x: NOT list_contains(string_split(q, ' '), x))) = 0""")
+def promotions(spark, sf_dir):
+    return change.promotions(directory(spark, sf_dir)).select("character_id", F.lower("chosen").alias("chosen"))
+
+
+@query("""WITH q AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE event_id % 10 = 0)
+SELECT q.event_id AS review_id, CASE WHEN k % 3 = 0 THEN 'merge' WHEN k % 3 = 1 AND i.id IS NOT NULL THEN 'merge' WHEN k % 3 = 1 THEN 'create' ELSE 'dismiss' END AS action, CASE WHEN k % 3 = 0 THEN k WHEN k % 3 = 1 THEN coalesce(i.id, -1) ELSE -1 END AS character_id
+FROM q LEFT JOIN (SELECT lower(primary_name) AS n, max(character_id) AS id FROM {characters} GROUP BY 1) i ON i.n = 'red widget' AND k % 2 = 0""")
+def review_replay(spark, sf_dir):
+    e = table(spark, sf_dir, "events").where("event_id % 10 = 0").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    name = F.when(F.col("k") % 2 == 0, "Red  Widget").otherwise("Nobody New")
+    payload = F.to_json(F.struct(F.struct(name.alias("name_used_in_text")).alias("character")))
+    queue = e.select(F.col("event_id").alias("review_id"), F.lit("possible_duplicate").alias("kind"), payload.alias("payload"), F.lit(False).alias("resolved"))
+    action = F.when(F.col("k") % 3 == 0, "merge").when(F.col("k") % 3 == 1, "create").otherwise("dismiss")
+    decisions = e.select(F.col("event_id").alias("review_id"), action.alias("action"), F.lit(None).cast("string").alias("target"), F.when(F.col("k") % 3 == 0, F.col("k")).cast("bigint").alias("target_cid"))
+    done = reconcile.decided(queue, decisions, directory(spark, sf_dir))
+    return done.select("review_id", "action", F.coalesce("character_id", F.lit(-1)).alias("character_id"))
+
+
+# ---------------------------------------------------------------- texts
+
+
+@query()
+def html_text(spark, sf_dir):
+    """Pages as text; a parser has no SQL, tests hold it to golden pages."""
+    return table(spark, sf_dir, "pages").select("page_id", texts.html_text(F.col("html")).alias("text"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS title FROM pages")
+def html_title(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.coalesce(texts.heading(F.col("html")), F.lit("")).alias("title"))
+
+
+LABELS = """(SELECT conv_id, turn, CASE turn WHEN 0 THEN 'Prologue: Dark' WHEN 1 THEN 'Contents' WHEN 2 THEN concat(turn, '  The Road') WHEN 3 THEN concat('Chapter ', turn) WHEN 4 THEN 'Epilogue' WHEN 5 THEN '1st Age' ELSE concat('chapter ', turn, ': ', role) END AS label FROM conversations)"""
+
+
+@query(f"""SELECT conv_id, turn, kind, number, coalesce(title, '') AS title FROM (SELECT conv_id, turn, CASE turn WHEN 0 THEN 'prologue' WHEN 4 THEN 'epilogue' ELSE 'chapter' END AS kind,
+  (CASE turn WHEN 0 THEN 0 WHEN 4 THEN 1 + max(CASE WHEN turn NOT IN (1, 4, 5) THEN turn END) OVER (PARTITION BY conv_id) ELSE turn END)::INT AS number,
+  CASE turn WHEN 0 THEN 'Dark' WHEN 2 THEN 'The Road' WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE role END AS title FROM conversations) x WHERE turn NOT IN (1, 5)""")
+def toc_classify(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    t = F.col("turn")
+    label = F.when(t == 0, "Prologue: Dark").when(t == 1, "Contents").when(t == 2, F.concat(t.cast("string"), F.lit("  The Road"))).when(t == 3, F.concat(F.lit("Chapter "), t.cast("string"))).when(t == 4, "Epilogue").when(t == 5, "1st Age").otherwise(F.concat(F.lit("chapter "), t.cast("string"), F.lit(": "), F.col("role")))
+    return texts.numbered_chapters(c.withColumn("label", label), "conv_id", "turn").select("conv_id", "turn", "kind", "number", F.coalesce("title", F.lit("")).alias("title"))
+
+
+@query()
+def passages(spark, sf_dir):
+    """Where three words stand and what is around them; positions have no SQL here, tests compare with a plain scan."""
+    terms = spark.createDataFrame([(1, "idiot"), (2, "the"), (3, "trash")], "id bigint, term string")
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("chapter_id"), F.col("text").alias("full_text"))
+    met = audits.mentions_found(docs, terms.select("term")).join(terms, "term").join(docs, "chapter_id")
+    return texts.gathered(met.select("id", "chapter_id", "term", "full_text"), 50)
+
+
+@query()
+def reconcile_fold(spark, sf_dir):
+    """Conversations as chapters: each turn names characters, some known; the fold is no SQL, tests hold it to golden chapters."""
+    d = directory(spark, sf_dir)
+    few = d.characters.where("character_id < 40").select(*[F.col(c) if c in d.characters.columns else F.lit(None).alias(c) for c in d.characters.columns])
+    keep = few.select("character_id")
+    small = d.having(**{t: getattr(d, t).join(keep, "character_id", "left_semi") for t in ("aliases", "appearances", "mentions", "character_factions")}, characters=few, relationships=d.relationships.where("character_a < 40 and character_b < 40"))
+    c = table(spark, sf_dir, "conversations").where("conv_id < 12").join(d.chapters.select("chapter_id"), F.col("chapter_id") == F.col("conv_id"), "left_semi")
+    word = F.initcap(F.regexp_extract("text", r"(\p{L}+)", 1))
+    person = F.struct(
+        F.when(F.col("turn") % 2 == 0, word).otherwise(F.concat(word, F.lit(" Red Widget"))).alias("name_used_in_text"), F.lit(None).cast("string").alias("likely_matches_existing"), (F.col("turn") % 2 == 0).alias("is_new_character"), F.lit("high").alias("confidence"), F.lit("human").alias("character_type"),
+        F.struct(F.lit("Andoran").alias("nationality"), F.lit(None).cast("string").alias("physical_traits"), F.lit("young").alias("age"), F.lit(None).cast("string").alias("filiations"), F.lit(None).cast("string").alias("personality")).alias("stable_traits"),
+        F.array(F.struct(F.initcap("role").alias("name"), F.lit("society").alias("faction_type"), F.lit("member").alias("role"), F.lit(None).cast("string").alias("notes"))).alias("factions"),
+        F.array().cast("array<struct<alias_text:string,alias_type:string,notes:string>>").alias("aliases_observed"), F.lit(None).cast("string").alias("notes"),
+    )
+    seen = F.struct(F.lit("x").alias("character"), F.lit(None).cast("string").alias("whereabouts"), F.lit(None).cast("string").alias("notable_actions"), F.array().cast("array<string>").alias("alliances_shown"), F.lit(None).cast("string").alias("demeanor"))
+    rows = c.groupBy(F.col("conv_id").alias("chapter_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", person.alias("p")))), lambda s: s["p"]).alias("characters"))
+    told = rows.select("chapter_id", F.lit("x").alias("title"), "characters", F.array_remove(F.array(seen), seen).alias("appearances"), F.array().cast("array<struct<character:string,context:string>>").alias("mentions"), F.array().cast("array<struct<character_a:string,character_b:string,relationship_type:string,directed:boolean,description:string>>").alias("relationships"))
+    out = reconcile.reconcile(small, told, "all", auto=True)
+    return out.characters.select("character_id", "primary_name", "nationality", "age").unionByName(out.review_queue.select(F.col("review_id").alias("character_id"), F.col("kind").alias("primary_name"), F.lit(None).cast("string").alias("nationality"), F.lit(None).cast("string").alias("age")))
