@@ -137,13 +137,13 @@ def passages(text: pd.Series, term: pd.Series) -> pd.Series:
     return pd.Series([passages_of(t, w) for t, w in zip(text, term, strict=True)])
 
 
-def gathered(matches: DataFrame, most: int = 1 << 30) -> DataFrame:
+def gathered(matches: DataFrame) -> DataFrame:
     """matches: (id, chapter_id, term, full_text). (id, chapters, matches, passages): passages of all terms, each once, in order of chapters."""
     found = matches.withColumn("p", passages(F.col("full_text"), F.col("term")))
     rows = found.select("id", "chapter_id", "term", F.posexplode("p").alias("k", "passage"))
     first = rows.groupBy("id", "chapter_id", "passage").agg(F.min(F.struct("term", "k")).alias("at"), F.count(F.lit(1)).alias("n"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("chapter_id", "at", "passage"))), lambda s: s["passage"])
-    return first.groupBy("id").agg(F.count_distinct("chapter_id").alias("chapters"), F.sum("n").alias("matches"), F.slice(listed, 1, most).alias("passages"))
+    return first.groupBy("id").agg(F.count_distinct("chapter_id").alias("chapters"), F.sum("n").alias("matches"), listed.alias("passages"))
 
 
 def outcome(current: Column, passages_: Column, said: Column, quoted: Column, error: Column) -> Column:

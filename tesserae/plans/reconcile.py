@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import difflib
 import json
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import ages, names, origins
 from tesserae.functions import values as V
 from tesserae.model import SCHEMAS, Directory
+from tesserae.operators.write import insert_ignore, insert_replace
 
 #: One chapter's extraction.
 EXTRACTION = """chapter_id bigint, title string,
@@ -32,7 +33,9 @@ relationships array<struct<character_a:string, character_b:string, relationship_
     "factions array_of_factions", "factions:array<struct<name:string, faction_type:string, role:string, notes:string>>"
 )
 TRAITS = ("physical_traits", "filiations", "personality")
-RESULT = ("characters", "aliases", "appearances", "mentions", "relationships", "factions", "character_factions", "review_queue")
+#: Tables that the fold holds and gives back whole, and those it only adds rows to.
+RESULT = ("characters", "aliases", "factions", "character_factions", "review_queue")
+ADDED = ("appearances", "mentions", "relationships")
 
 
 def _names(raw: DataFrame) -> DataFrame:
@@ -154,42 +157,66 @@ class Fold:
         for p in self.people.values():
             p |= {"name": told.name(p["primary_name"]), "origin_known": bool(told.of("origin", p.get("nationality")).get("value")), "age_rank": told.of("age", p.get("age")).get("own", -1)}
         self.aliases: dict[int, dict[str, dict]] = defaultdict(dict)
+        # whose is a key; whose is it without ranks; which keys have a word
+        self.norms: dict[str, set[int]] = defaultdict(set)
+        self.keys: dict[str, Counter] = defaultdict(Counter)
+        self.words: dict[str, set[str]] = defaultdict(set)
         for r in state["aliases"]:
-            name = told.name(r["alias_text"])
-            self.aliases[r["character_id"]][r.get("alias_norm") or name["norm"]] = r | {"name": name}
+            self.put(r["character_id"], r.get("alias_norm") or told.name(r["alias_text"])["norm"], r | {"name": told.name(r["alias_text"])})
         self.groups = {r["name_norm"]: r for r in state["factions"]}
         self.members = {(r["character_id"], r["faction_id"]): r for r in state["character_factions"]}
-        self.seen = {(r["character_id"], r["chapter_id"]): r for r in state["appearances"]}
-        self.told = {(r["character_id"], r["chapter_id"]): r for r in state["mentions"]}
-        self.edges = {(r["character_a"], r["character_b"], r["relationship_type"]): r for r in state["relationships"]}
         self.queue = list(state["review_queue"])
-        self.main = {r["character_id"] for r in state["appearances"] if not r.get("in_prequel")}
+        self.last = max((r["review_id"] for r in self.queue), default=0)
+        self.newest = max(self.people, default=0)
+        self.seen = {(r["character_id"], r["chapter_id"]): None for r in state["appearances"]}
+        self.told: dict[tuple[int, int], dict] = {}
+        self.edges: dict[tuple[int, int, str], dict] = {}
+        self.main = {c for c, p in self.people.items() if p.get("in_main")}
         self.made: set[int] = set()
         self.auto = False
 
+    def put(self, c: int, n: str, alias: dict) -> None:
+        self.aliases[c][n] = alias
+        self.norms[n].add(c)
+        self.keys[alias["name"]["key"]][c] += 1
+        for w in n.split():
+            self.words[w].add(n)
+
+    def drop(self, c: int, n: str) -> None:
+        key = self.aliases[c].pop(n)["name"]["key"]
+        self.norms[n].discard(c)
+        self.keys[key] -= Counter([c])
+
     # ------------------------------------------------ who it is
 
     def owner(self, name: dict) -> int | None:
-        exact = [c for c, own in self.aliases.items() if name["norm"] in own]
-        if exact:
+        if exact := self.norms.get(name["norm"]):
             return max(exact)
-        bare = {c for c, own in self.aliases.items() for a in own.values() if name["key"] and a["name"]["key"] == name["key"]}
-        return bare.pop() if len(bare) == 1 else None
+        bare = self.keys.get(name["key"]) if name["key"] else None
+        return next(iter(bare)) if bare and len(bare) == 1 else None
 
     def candidates(self, name: dict) -> dict[int, tuple[int, float]]:
         mine, out = set(name["norm"].split()), {}
-        for c, own in self.aliases.items():
-            for a in own:
-                theirs = set(a.split())
-                both = mine & theirs
-                telling = sum(len(t) > 1 and t not in V.STOPWORDS for t in both)
-                if telling and theirs and (both == mine or both == theirs):
+        telling = lambda words: sum(len(t) > 1 and t not in V.STOPWORDS for t in words)
+        for n in {n for w in mine if telling([w]) for n in self.words.get(w, ())}:
+            theirs = set(n.split())
+            both = mine & theirs
+            if both == mine or both == theirs:
+                for c in self.norms.get(n, ()):
                     d, s = out.get(c, (0, 0.0))
-                    out[c] = max(d, telling), max(s, len(both) / max(len(mine), len(theirs)))
+                    out[c] = max(d, telling(both)), max(s, len(both) / max(len(mine), len(theirs)))
         return out
 
     def closest(self, name: dict) -> tuple[int | None, float]:
-        return max(((c, _similar(name["norm"], a)) for c, own in sorted(self.aliases.items()) for a in own), key=lambda x: x[1], default=(None, 0.0))
+        """The most similar key's owner, if it is similar enough to matter; cheap bounds come first."""
+        best: tuple[int | None, float] = (None, 0.0)
+        m = difflib.SequenceMatcher(None, "", "")
+        for n, owners in self.norms.items():
+            if owners and 2 * min(len(n), len(name["norm"])) >= V.FUZZY * (len(n) + len(name["norm"])):
+                m.set_seqs(name["norm"], n)
+                if m.quick_ratio() >= V.FUZZY and (r := m.ratio()) >= V.FUZZY and (r, -min(owners)) > (best[1], -(best[0] or 0)):
+                    best = min(owners), r
+        return best
 
     def likeness(self, name: dict, c: int) -> float:
         return max((_similar(name["norm"], a) for a in self.aliases.get(c, {})), default=0.0)
@@ -218,7 +245,11 @@ class Fold:
             "appearance": next((a for a in chapter["appearances"] if same(a.get("character"))), None),
             "relationships": [r for r in chapter["relationships"] if same(r.get("character_a")) or same(r.get("character_b"))],
         }
-        self.queue.append({"review_id": max((r["review_id"] for r in self.queue), default=0) + 1, "chapter_id": chapter["chapter_id"], "kind": kind, "payload": json.dumps(payload, ensure_ascii=False), "note": note, "resolved": False})
+        self.queued(chapter["chapter_id"], kind, payload, note)
+
+    def queued(self, chapter_id: int | None, kind: str, payload: dict, note: str) -> None:
+        self.last += 1
+        self.queue.append({"review_id": self.last, "chapter_id": chapter_id, "kind": kind, "payload": json.dumps(payload, ensure_ascii=False), "note": note, "resolved": False})
 
     def tokens(self, c: int) -> set[str]:
         return {w for a in self.aliases[c].values() if a["alias_type"] in ("primary", "given_name") for w in a["name"]["bare"]}
@@ -238,8 +269,9 @@ class Fold:
                     return
                 bare = own.get(n.removeprefix("the "))
                 if n.startswith("the ") and bare and bare["alias_type"] in ("title", "epithet"):
-                    del own[n.removeprefix("the ")]
-        own.setdefault(n, {"character_id": c, "alias_text": name["text"], "alias_norm": n, "alias_type": kind, "notes": notes, "is_primary": primary, "name": name})
+                    self.drop(c, n.removeprefix("the "))
+        if n not in own:
+            self.put(c, n, {"character_id": c, "alias_text": name["text"], "alias_norm": n, "alias_type": kind, "notes": notes, "is_primary": primary, "name": name})
 
     def promote(self, c: int) -> None:
         """The primary name becomes the one fullest form that has all its words."""
@@ -256,10 +288,9 @@ class Fold:
         if len(best) != 1 or best[0]["clean_norm"] == now["norm"]:
             return
         x = best[0]
-        other = next((o for o, p in self.people.items() if p["primary_name"] == x["clean"] and o != c), None)
+        other = next((o for o in sorted(self.norms.get(x["clean_norm"], ())) if o != c and self.people[o]["primary_name"] == x["clean"]), None)
         if other is not None:
-            payload = json.dumps({"character_id": c, "from": person["primary_name"], "to": x["clean"], "conflicts_with": other})
-            self.queue.append({"review_id": max((r["review_id"] for r in self.queue), default=0) + 1, "chapter_id": None, "kind": "promotion_blocked_duplicate", "payload": payload, "note": f"{other} has the name {x['clean']}", "resolved": False})
+            self.queued(None, "promotion_blocked_duplicate", {"character_id": c, "from": person["primary_name"], "to": x["clean"], "conflicts_with": other}, f"{other} has the name {x['clean']}")
             return
         for n, a in own.items():
             if a["name"]["clean_norm"] == x["clean_norm"] and n != x["clean_norm"] and (a["alias_type"] == "given_name" or a["is_primary"]):
@@ -267,12 +298,13 @@ class Fold:
         if now["norm"] in own:
             own[now["norm"]] |= {"alias_type": "given_name", "is_primary": False}
         whole = x if x["norm"] == x["clean_norm"] else x | {"text": x["clean"], "norm": x["clean_norm"], "key": " ".join(x["bare"]), "ranked": False, "plain": x["clean_norm"].split()}
-        own.setdefault(x["clean_norm"], {"character_id": c, "alias_text": x["clean"], "alias_norm": x["clean_norm"], "notes": None, "name": whole})
+        if x["clean_norm"] not in own:
+            self.put(c, x["clean_norm"], {"character_id": c, "alias_text": x["clean"], "alias_norm": x["clean_norm"], "notes": None, "name": whole})
         own[x["clean_norm"]] |= {"alias_type": "primary", "is_primary": True}
         person |= {"primary_name": x["clean"], "name": whole}
 
     def create(self, e: dict) -> int:
-        c = max(self.people, default=0) + 1
+        self.newest = c = self.newest + 1
         traits = {t: e["traits"].get(t) for t in TRAITS}
         self.people[c] = {"character_id": c, "primary_name": e["name"]["text"], "character_type": e["type"], "nationality": e.get("origin") or e.get("category"), "age": e.get("age"), "age_rank": e["age_rank"], "name": e["name"], "first_chapter_id": None, **traits}
         self.made.add(c)
@@ -391,22 +423,25 @@ class Fold:
         for k, a in enumerate(own):
             a["alias_id"] = k + 1
         return {
-            "characters": list(self.people.values()), "aliases": own, "appearances": list(self.seen.values()), "mentions": list(self.told.values()), "relationships": list(self.edges.values()),
-            "factions": list(self.groups.values()), "character_factions": list(self.members.values()), "review_queue": self.queue,
+            "characters": list(self.people.values()), "aliases": own, "factions": list(self.groups.values()), "character_factions": list(self.members.values()), "review_queue": self.queue,
+            "appearances": [r for r in self.seen.values() if r], "mentions": list(self.told.values()), "relationships": list(self.edges.values()),
         }
 
 
-def _state(d: Directory, slot: str) -> DataFrame:
-    """(slot, name, at, payload): the directory's rows."""
+def _state(d: Directory, slot: str, chapters: DataFrame) -> DataFrame:
+    """(slot, name, at, payload): what the fold holds of the directory: its roster, and who is in the chapters told."""
+    from tesserae.plans.change import main_series
+
+    main = main_series(d).withColumn("in_main", F.lit(True))
     told = {
-        "characters": d.characters.drop("created_at", "updated_at"),
+        "characters": d.characters.drop("created_at", "updated_at").join(main, "character_id", "left"),
         "factions": d.factions.drop("created_at"),
         "review_queue": d.review_queue.drop("created_at"),
-        "appearances": d.appearances.join(d.chapters.select("chapter_id", "book_id"), "chapter_id", "left").join(d.books.select("book_id", F.col("is_prequel").alias("in_prequel")), "book_id", "left").drop("book_id"),
     }
     out = None
-    for t in RESULT:
+    for t in (*RESULT, "appearances"):
         df = told.get(t, getattr(d, t))
+        df = df.join(chapters.select("chapter_id").distinct(), "chapter_id", "left_semi").select("character_id", "chapter_id") if t == "appearances" else df
         rows = df.select(F.lit(slot).alias("slot"), F.lit(t).alias("name"), F.lit(0).cast("bigint").alias("at"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("payload"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -425,7 +460,7 @@ def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool =
     told = chapters.select(F.lit(slot).alias("slot"), F.lit("chapter").alias("name"), "at", F.to_json(F.struct("chapter_id", "is_prequel", "characters", "appearances", "mentions", "relationships"), {"ignoreNullFields": "false"}).alias("payload"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        state: dict[str, list[dict]] = {t: [] for t in RESULT}
+        state: dict[str, list[dict]] = {t: [] for t in (*RESULT, "appearances")}
         said: list[tuple[str, dict]] = []
         for t, x in zip(rows["name"], rows["payload"], strict=True):
             if t.startswith("told "):
@@ -442,8 +477,13 @@ def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool =
     from tesserae.session import ship
 
     ship(d.spark)
-    folded = _state(d, slot).unionByName(told).unionByName(_told(_texts(d, extractions), slot)).groupBy("slot").applyInPandas(run, "slot string, name string, payload string").cache()
-    new = {t: folded.where(F.col("name") == t).select(F.from_json("payload", SCHEMAS[t]).alias("x")).select("x.*") for t in RESULT}
+    folded = _state(d, slot, extractions).unionByName(told).unionByName(_told(_texts(d, extractions), slot)).groupBy("slot").applyInPandas(run, "slot string, name string, payload string").cache()
+    made = {t: folded.where(F.col("name") == t).select(F.from_json("payload", SCHEMAS[t]).alias("x")).select("x.*") for t in (*RESULT, *ADDED)}
+    new = {t: made[t] for t in RESULT}
+    one = lambda t: made[t].select(*[c for c in made[t].columns if c in getattr(d, t).columns])
+    new["appearances"] = insert_replace(d.appearances, one("appearances"), ["character_id", "chapter_id"], [F.col("name_used")])
+    for t, keys in (("mentions", ["character_id", "chapter_id"]), ("relationships", ["character_a", "character_b", "relationship_type"])):
+        new[t] = insert_ignore(getattr(d, t), one(t), keys, [F.col(keys[0])])
     done = extractions.select("chapter_id").distinct().withColumn("__done", F.lit(True))
     marked = d.chapters.join(done, "chapter_id", "left").withColumn("extracted", F.coalesce("__done", "extracted")).select(d.chapters.columns)
     return d.having(**new, chapters=marked)
