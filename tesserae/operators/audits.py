@@ -123,11 +123,13 @@ def alias_cleanup(d: Directory) -> DataFrame:
 
 
 def fuller_names(d: Directory) -> DataFrame:
-    """(short_id, long_id): names that begin with another character's whole name, of the same type, not linked by an alias; met by the first word."""
-    rows = people(d).withColumn("w", N.words(N.match_key(F.col("primary_name")))).withColumn("head", F.element_at("w", 1)).where("head is not null")
-    short = rows.select(F.col("character_id").alias("short_id"), F.col("primary_name").alias("short"), "character_type", "head", F.col("w").alias("sw"))
-    long = rows.select(F.col("character_id").alias("long_id"), F.col("primary_name").alias("long"), "character_type", "head", F.col("w").alias("lw")).where(F.size("lw") > 1)
-    met = long.join(short, ["head", "character_type"]).where("long_id <> short_id").where(F.slice("lw", 1, F.size("sw")) == F.col("sw")).where(N.is_fuller(F.col("long"), F.col("short")))
+    """(short_id, long_id): names that begin with another character's whole name, of the same type, not linked by an alias. Distinct names meet by a name's first words."""
+    rows = people(d)
+    w = rows.select("primary_name").distinct().withColumn("w", N.words(N.match_key(F.col("primary_name")))).where(F.size("w") > 0)
+    begins = w.where(F.size("w") > 1).select(F.col("primary_name").alias("long"), F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda k: F.array_join(F.slice(F.col("w"), F.lit(1), k), " "))).alias("key"))
+    pairs = begins.join(w.select(F.col("primary_name").alias("short"), F.array_join("w", " ").alias("key")), "key").select("long", "short").where(N.is_fuller(F.col("long"), F.col("short")))
+    of = lambda c: rows.select(F.col("primary_name").alias(c), F.col("character_id").alias(f"{c}_id"), F.col("character_type").alias(f"{c}_type"))
+    met = pairs.join(of("long"), "long").join(of("short"), "short").where("long_type = short_type and long_id <> short_id")
     known = d.distinct_pairs.select(F.col("cid_low").alias("low"), F.col("cid_high").alias("high"))
     met = met.withColumn("low", F.least("short_id", "long_id")).withColumn("high", F.greatest("short_id", "long_id")).join(known, ["low", "high"], "left_anti")
     linked = lambda a, b: d.aliases.select(F.col("character_id").alias(a), F.col("alias_norm").alias(b))
@@ -192,15 +194,17 @@ def _occurs(text: Column, term: Column) -> Column:
 def mentions_found(chapters: DataFrame, wanted: DataFrame) -> DataFrame:
     """(chapter_id, term, n): terms that stand in a text, n times. wanted: distinct terms.
 
-    Chapters and terms meet by the terms' first words, so that a term costs only chapters that have
-    that word; terms of several words or odd characters are then counted in the text itself.
+    Chapters and terms meet by the terms' longest words, so that a term costs only chapters that
+    have that word; it is then counted in the text itself, of which a chapter's terms share one copy.
     """
-    head = lambda c: F.element_at(F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != ""), 1)
+    parts = lambda c: F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
+    head = lambda c: F.array_max(F.transform(parts(c), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     t = wanted.select("term").distinct().withColumn("head", head(F.col("term"))).where("head is not null")
     c = chapters.select("chapter_id", "full_text").where("full_text is not null")
     words = c.select("chapter_id", F.explode(F.array_distinct(F.split(F.lower("full_text"), r"(?U)\W+"))).alias("head"))
-    met = words.join(t, "head").select("chapter_id", "term").join(c, "chapter_id")
-    return met.select("chapter_id", "term", _occurs(F.col("full_text"), F.col("term")).cast("bigint").alias("n")).where("n > 0")
+    wanted_there = words.join(t, "head").groupBy("chapter_id").agg(F.collect_set("term").alias("terms"))
+    counted = F.filter(F.transform("terms", lambda x: F.struct(x.alias("term"), _occurs(F.col("full_text"), x).cast("bigint").alias("n"))), lambda s: s["n"] > 0)
+    return c.join(wanted_there, "chapter_id").select("chapter_id", F.explode(counted).alias("x")).select("chapter_id", "x.term", "x.n")
 
 
 def mention_gaps(d: Directory, threshold: int = 1) -> DataFrame:
