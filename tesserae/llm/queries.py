@@ -73,6 +73,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embeddings": op10_embeddings,
 }
 
+def _quality_sql(r: quality.Rules) -> str:
+    """The rules in SQL: windows of n words by their concatenation, and who lies inside one found again."""
+
+    def cover(n: int) -> str:
+        text = f"concat_ws(' ', {', '.join(['w'] + [f'lead(w, {k}) OVER o' for k in range(1, n)])})"
+        return f"""SELECT doc_id, sum(len_) AS chars, count(*) AS words FROM (
+      SELECT doc_id, len_, max(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside FROM (
+        SELECT doc_id, i, len_, g IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g) > 1 AS again FROM (
+          SELECT doc_id, i, length(w) AS len_, CASE WHEN lead(w, {n - 1}) OVER o IS NOT NULL THEN {text} END AS g FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)) a) b) c WHERE inside GROUP BY doc_id"""
+
+    word, ngrams = mixing.WORD, r.ngrams
+    failed = f"(n_words < {r.least_words} OR 100 * n_repeat_words > {r.most_repeated_words_percent} * n_words)"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
+l AS (SELECT doc_id, count(*) AS lines, count(*) - count(DISTINCT line) AS again, coalesce(sum(chars) FILTER (k > 1), 0) AS again_chars FROM (
+  SELECT doc_id, line, len(array_to_string(regexp_extract_all(line, '{word}'), '')) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY j) AS k
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS j FROM d) x WHERE regexp_matches(line, '{word}')) y GROUP BY doc_id),
+s AS (SELECT doc_id, count_if(w = p) AS same FROM (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w) x GROUP BY doc_id),
+{", ".join(f"c{n} AS ({cover(n)})" for n in ngrams)},
+m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(array_to_string(ws, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  coalesce(l.again, 0)::BIGINT AS n_dup_lines, coalesce(c5.words, 0)::BIGINT AS n_repeat_words, coalesce(lines, 0) AS lines, coalesce(again_chars, 0) AS again_chars, coalesce(same, 0) AS same,
+  {", ".join(f"coalesce(c{n}.chars, 0) AS k{n}" for n in ngrams)}
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id {" ".join(f"LEFT JOIN c{n} ON c{n}.doc_id = d.doc_id" for n in ngrams)})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
+  NOT {failed} AND n_dup_lines <= greatest({r.few}, {r.lines}::DOUBLE * lines) AND again_chars <= {r.line_chars}::DOUBLE * word_chars
+  AND n_symbols <= {r.symbols}::DOUBLE * n_words AND same <= {r.stutter}::DOUBLE * n_words AND {" AND ".join(f"k{n} <= {x}::DOUBLE * word_chars" for n, x in ngrams.items())} AS kept
+FROM m"""
+
+
+#: CRC-32 from its polynomial, byte by byte.
+CRC_TABLE = "(SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) t(i)) x)"
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(t))), lambda j: ('0x' || substr(hex_, 2 * j + 1, 2))::BIGINT)),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_mixing": r"""
 WITH d AS (
@@ -114,5 +150,14 @@ n AS (SELECT s, count(*) AS n FROM e GROUP BY s)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
   vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
 FROM embeddings LEFT JOIN c ON c.s = vec_id LEFT JOIN n ON n.s = vec_id
+""",
+    "op6_quality": _quality_sql(quality.RULES),
+    "op8_sharding": f"""
+WITH d AS (SELECT doc_id, source, octet_length(encode(t)) + 1 AS size, {CRC} AS crc
+  FROM (SELECT doc_id, source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS hex_ FROM documents) x, {CRC_TABLE} y),
+h AS (SELECT *, source IS NULL AS none, coalesce(source, '') AS key, ('0x' || substr(md5('11|' || coalesce(doc_id::VARCHAR, '~') || '|' || crc), 1, 15))::BIGINT AS h FROM d),
+f AS (SELECT *, (row_number() OVER (PARTITION BY none, key ORDER BY h, doc_id NULLS FIRST, size, crc) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY none, key) AS f FROM h),
+p AS (SELECT *, row_number() OVER (ORDER BY f, none, key, h, doc_id NULLS FIRST, size, crc) - 1 AS place, count(*) OVER () AS n FROM f)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (place * 8 // n)::INT AS shard, (place - ((place * 8 // n) * n + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard FROM p
 """,
 }
