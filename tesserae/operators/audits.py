@@ -269,3 +269,28 @@ def token_trend(rows: DataFrame, group: str, order: str, value: str, climb: floa
     enough = (F.col("n") >= 4) & (F.col("first") > 0)
     out = out.withColumn("change", F.when(enough, F.col("second") / F.col("first") - 1))
     return out.withColumn("climbing", F.coalesce(F.col("change") > climb, F.lit(False)))
+
+
+#: What a full audit runs, by the names of its report.
+CHECKS = {
+    "generic aliases": generic_aliases,
+    "odd names": odd_names,
+    "collisions": collisions,
+    "collisions kept": lambda d: collisions(d, acknowledged=True),
+    "similar names": similar_names,
+    "empty shells": empty_shells,
+    "reveals": reveals,
+    "article duplicates": article_duplicates,
+    "rank duplicates": rank_duplicates,
+    "fuller names": fuller_names,
+    "book problems": book_problems,
+    "broken keys": broken_keys,
+    "broken pointers": broken_pointers,
+    "primary aliases": primaries,
+}
+
+
+def summary(d: Directory, checks: list[str] | None = None) -> DataFrame:
+    """(name, rows): how many rows each check flags, in one plan."""
+    one = lambda name: CHECKS[name](d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+    return reduce(DataFrame.unionByName, [one(name) for name in checks or CHECKS])
