@@ -110,14 +110,14 @@ def ranked(df: DataFrame, by: list[str], bucket: Column, order: list[Column | st
     """df with ``out``: the sum of value over the rows before it in its ``by`` group, in the order (bucket, order).
 
     bucket must follow the order and be an integer: a group of any size is split by it over many
-    tasks, which exchange only their sums. extra: columns by ``by`` for every row, joined to the
+    tasks, which exchange only their sums. extra: columns by ``by`` (which is not empty then), joined to the
     sums (of which there are few) and not to the rows.
     """
     d = df.withColumn("__bucket", bucket)
     sums = d.groupBy(*by, "__bucket").agg(F.sum(value).alias("__total"))
     starts = running_total(sums, by, "__bucket", "__total", "__start").drop("__total")
     if extra is not None:
-        starts = starts.join(extra, by) if by else starts.crossJoin(extra)
+        starts = starts.join(extra, by)
     w = Window.partitionBy(*by, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         d.join(starts, [*by, "__bucket"])

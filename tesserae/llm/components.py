@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import arrow_map, durable, release
 
 
+#: Nodes that a task holds while it contracts edges.
+HELD = 500_000
+
+
 class Sets:
     """Union-find that keeps the smallest member as root."""
 
@@ -31,17 +35,22 @@ class Sets:
 
 
 def _forests(edges: DataFrame) -> DataFrame:
-    """For each partition a star for each of its components: at most as many edges as it has nodes."""
+    """For each partition a star for each of its components: at most as many edges as it has nodes. A task holds so many nodes at most, then begins anew."""
 
     def run(batches):
         sets = Sets()
+
+        def out():
+            found = [(x, r) for x in list(sets.parent) if (r := sets.root(x)) != x]
+            return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64())], ["u", "v"])
+
         for b in batches:
             for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 sets.join(x, y)
-        found = [(x, r) for x in list(sets.parent) if (r := sets.root(x)) != x]
-        if found:
-            u, v = zip(*found, strict=True)
-            yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            if len(sets.parent) > HELD:
+                yield out()
+                sets = Sets()
+        yield out()
 
     return arrow_map(edges, run, "u bigint, v bigint")
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tesserae.llm import components as connected
 from tesserae.llm import simhash
 from tesserae.llm.components import components
 from tests.llm.cases import docs, odd_rows, prose, rows_of
@@ -108,7 +109,10 @@ def test_empty_table(spark):
     assert simhash.keep_one(docs(spark, [])).count() == 0
 
 
-def test_components_of_paths_stars_and_rings(spark):
+@pytest.mark.parametrize("held", [500_000, 4])
+def test_components_of_paths_stars_and_rings(spark, monkeypatch, held):
+    monkeypatch.setattr(connected, "HELD", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
     links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(300 + k, 300 + (k + 1) % 17) for k in range(17)] + [(5, 5), (9, 9)]
     found = components(spark.createDataFrame(links, "a bigint, b bigint").repartition(5))
     got = {r["node"]: r["root"] for r in found.collect()}
@@ -116,3 +120,4 @@ def test_components_of_paths_stars_and_rings(spark):
     assert got == {k: v for k, v in want.items() if k not in (5, 9)}
     assert found.count() == len(got)
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
