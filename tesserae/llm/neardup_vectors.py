@@ -2,10 +2,12 @@
 
 Equal vectors of a label are one node. Every node starts with neighbours along a few random
 orderings of its label's nodes; then, again and again, a node's neighbours (and those it is a
-neighbour of) are compared with one another, and each keeps the nearest it has met. Lists full of
-links are enlarged. A node may have more links than any list holds: inside each component that
-the links connect, all pairs are compared in blocks, in double precision, which gives the exact
-number of links and the exact links that remain. A sample compared with all rows tells how many
+neighbour of) are compared with one another, and each keeps the nearest it has met. Every link met
+joins two components, whether or not a list has room for it, and each node also keeps the nearest
+it has met outside its component, so that a crowd of copies never hides what lies around it. Lists
+full of links are enlarged. A node may have more links than any list holds: inside each component
+that the links connect, all pairs are compared in blocks, in double precision, which gives the
+exact number of links and the exact links that remain. A sample compared with all rows tells how many
 links the search has found; if too few, it goes on from more orderings.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import arrow_map, durable, release
-from tesserae.llm.components import Sets, components
+from tesserae.llm.components import HELD, Sets, components
 
 SIMILARITY = 0.93
 #: Neighbours a node keeps at first, and at most; random orderings; rounds of refinement.
@@ -98,37 +100,54 @@ def _orderings(nodes: DataFrame, n: int, seeds: range, near: int) -> DataFrame:
     return cut.select("node", F.array_compact(F.array(*[F.lead("node", k).over(w) for k in range(1, near + 1)])).alias("next")).select(F.col("node").alias("pivot"), F.explode("next").alias("member"))
 
 
-def _met(lists: DataFrame, nodes: DataFrame, near: int) -> DataFrame:
-    """lists: (pivot, member). (node, other, sim): what the members of a list, the pivot included, learn from one another."""
+def _met(lists: DataFrame, nodes: DataFrame, roots: DataFrame, near: int, similarity: float) -> DataFrame:
+    """lists: (pivot, member). (node, other, sim, out, link): what the members of a list, the pivot included, learn from one another.
+
+    out: the two lie in different components. For link, node and other are roots of components
+    that links met here connect; each task gives a forest of them.
+    """
     members = lists.union(lists.select("pivot", F.col("pivot").alias("member"))).distinct()
-    rows = members.join(nodes.select(F.col("node").alias("member"), "u"), "member").repartition("pivot").sortWithinPartitions("pivot", "member").select("pivot", "member", "u")
+    known = nodes.select("node", "u").join(roots, "node").select(F.col("node").alias("member"), "root", "u")
+    rows = members.join(known, "member").repartition("pivot").sortWithinPartitions("pivot", "member").select("pivot", "member", "root", "u")
 
     def run(batches):
-        held: tuple[np.ndarray, np.ndarray, list[bytes]] | None = None
-        last = None
+        held: tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]] | None = None
+        sets = Sets()
         for b in batches:
-            pivot, member, u = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_pylist()
+            pivot, member, root, u = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_pylist()
             if held is not None:
-                pivot, member, u = np.concatenate((held[0], pivot)), np.concatenate((held[1], member)), held[2] + u
+                pivot, member, root, u = np.concatenate((held[0], pivot)), np.concatenate((held[1], member)), np.concatenate((held[2], root)), held[3] + u
             if not len(pivot):
                 continue
             at = int(np.searchsorted(pivot, pivot[-1]))  # the last list may go on in the next batch
-            last = _learned(pivot[:at], member[:at], u[:at], near)
-            held = (pivot[at:], member[at:], u[at:])
+            last = _learned(pivot[:at], member[:at], root[:at], u[:at], near, similarity, sets)
+            held = (pivot[at:], member[at:], root[at:], u[at:])
             if last is not None:
                 yield last
-        if held is not None and (last := _learned(*held, near)) is not None:
+            if len(sets.parent) > HELD:
+                yield _joined(sets)
+                sets = Sets()
+        if held is not None and (last := _learned(*held, near, similarity, sets)) is not None:
             yield last
+        yield _joined(sets)
+
+    return arrow_map(rows, run, "node bigint, other bigint, sim float, out boolean, link boolean")
 
-    met = arrow_map(rows, run, "node bigint, other bigint, sim float")
-    return met.groupBy("node", "other").agg(F.max("sim").alias("sim"))
 
+_MET = ["node", "other", "sim", "out", "link"]
 
-def _learned(pivot: np.ndarray, member: np.ndarray, u: list[bytes], near: int) -> pa.RecordBatch | None:
+
+def _joined(sets: Sets) -> pa.RecordBatch:
+    links = [(x, r) for x in list(sets.parent) if (r := sets.root(x)) != x]
+    n = len(links)
+    return pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([r for _, r in links], pa.int64()), pa.array(np.zeros(n, np.float32)), pa.array(np.ones(n, bool)), pa.array(np.ones(n, bool))], _MET)
+
+
+def _learned(pivot: np.ndarray, member: np.ndarray, root: np.ndarray, u: list[bytes], near: int, similarity: float, sets: Sets) -> pa.RecordBatch | None:
     if not len(pivot):
         return None
     cuts = np.flatnonzero(pivot[1:] != pivot[:-1]) + 1
-    a, b, s = [], [], []
+    a, b, s, o = [], [], [], []
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pivot)], strict=True):
         n = hi - lo
         if n < 2:
@@ -136,49 +155,94 @@ def _learned(pivot: np.ndarray, member: np.ndarray, u: list[bytes], near: int) -
         x = np.frombuffer(b"".join(u[lo:hi]), "<f4").reshape(n, -1)
         sims = x @ x.T
         np.fill_diagonal(sims, -2)
+        own, of = member[lo:hi], root[lo:hi]
+        apart = of[:, None] != of[None, :]
+        i, j = np.nonzero(np.triu(apart & (sims >= similarity - _SLACK)))
+        for p, q in set(zip(of[i].tolist(), of[j].tolist(), strict=True)):
+            sets.join(p, q)
         k = min(near, n - 1)
         best = np.argpartition(sims, n - k, axis=1)[:, n - k :] if k < n - 1 else np.argsort(sims, axis=1)[:, 1:]
-        own = member[lo:hi]
-        a.append(np.repeat(own, k))
-        b.append(own[best].reshape(-1))
-        s.append(np.take_along_axis(sims, best, 1).reshape(-1))
+        take = np.zeros((n, n), bool)
+        np.put_along_axis(take, best, True, axis=1)
+        if k < n - 1 and not apart[~np.eye(n, dtype=bool)].all():
+            far = np.where(apart, sims, -3)
+            best = np.argpartition(far, n - k, axis=1)[:, n - k :]
+            more = np.zeros((n, n), bool)
+            np.put_along_axis(more, best, True, axis=1)
+            take |= more & apart
+        i, j = np.nonzero(take)
+        a.append(own[i])
+        b.append(own[j])
+        s.append(sims[i, j])
+        o.append(apart[i, j])
     if not a:
         return None
-    return pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(s).astype(np.float32))], ["node", "other", "sim"])
+    out = np.concatenate(o)
+    return pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(s).astype(np.float32)), pa.array(out), pa.array(np.zeros(len(out), bool))], _MET)
+
+
+def _first(rows: DataFrame, node: str, other: str, near: int, *also: str) -> DataFrame:
+    """Of each node's rows the nearest, and the nearest that lead out of its component."""
+    k = F.row_number().over(Window.partitionBy(node, *also).orderBy(F.desc("sim"), other))
+    k_out = F.row_number().over(Window.partitionBy(node, *also, "out").orderBy(F.desc("sim"), other))
+    return rows.withColumn("k", k).withColumn("k_out", k_out).where((F.col("k") <= near) | (F.col("out") & (F.col("k_out") <= near))).drop("k", "k_out")
 
 
 def _nearest(found: DataFrame, near: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "other"))
-    return found.withColumn("k", rank).where(F.col("k") <= near).drop("k")
+    """found: as from ``_met``. Links all stay; each is a list of its own here, however many a root has."""
+    once = found.groupBy("node", "other", "out", "link").agg(F.max("sim").alias("sim")).select(*_MET)
+    return _first(once.withColumn("spread", F.when(F.col("link"), F.col("other"))), "node", "other", near, "link", "spread").drop("spread")
 
 
 def _lists(graph: DataFrame, near: int) -> DataFrame:
     """(pivot, member): a node's neighbours, and the nearest of those whose neighbour it is."""
-    back = F.row_number().over(Window.partitionBy("other").orderBy(F.desc("sim"), "node"))
-    reverse = graph.withColumn("k", back).where(F.col("k") <= near).select(F.col("other").alias("pivot"), F.col("node").alias("member"))
+    reverse = _first(graph, "other", "node", near).select(F.col("other").alias("pivot"), F.col("node").alias("member"))
     return graph.select(F.col("node").alias("pivot"), F.col("other").alias("member")).union(reverse)
 
 
-def descend(nodes: DataFrame, graph: DataFrame | None, n: int, similarity: float, seeds: range, near: int = NEAREST, most: int = MOST, rounds: int = ROUNDS) -> DataFrame:
-    """(node, other, sim): each node's nearest. Goes on until a round changes next to nothing; then lists that are full of links are enlarged."""
-    found = _met(_orderings(nodes, n, seeds, near // 2), nodes, near)
+def _told_apart(graph: DataFrame, roots: DataFrame) -> DataFrame:
+    """graph with ``out`` by the components of now."""
+    a, b = roots.select("node", F.col("root").alias("a")), roots.select(F.col("node").alias("other"), F.col("root").alias("b"))
+    return graph.select("node", "other", "sim").join(a, "node").join(b, "other").select("node", "other", "sim", (F.col("a") != F.col("b")).alias("out"), F.lit(False).alias("link"))
+
+
+def _merged(roots: DataFrame, met: DataFrame) -> DataFrame | None:
+    """(node, root) after the links met, or nothing if they join no components."""
+    links = met.where("link").select("node", "other")
+    if links.isEmpty():
+        return None
+    up = components(links).select(F.col("node").alias("root"), F.col("root").alias("up"))
+    return durable(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+
+
+def descend(nodes: DataFrame, graph: DataFrame | None, roots: DataFrame, n: int, similarity: float, seeds: range, near: int = NEAREST, most: int = MOST, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(node, other, sim, out): each node's nearest; and (node, root), the components that all links met connect.
+
+    Goes on until a round changes next to nothing; then lists that are full of links are enlarged.
+    """
+    found = _met(_orderings(nodes, n, seeds, near // 2), nodes, roots, near, similarity)
     if graph is not None:
-        found = found.union(graph).groupBy("node", "other").agg(F.max("sim").alias("sim"))
-    graph = durable(_nearest(found, near))
+        found = found.union(_told_apart(graph, roots))
+    new = durable(_nearest(found, near))
+    roots, graph = _merged(roots, new) or roots, new.where("not link")
     full = similarity - _SLACK
     for _ in range(rounds):
-        wider = graph.union(_met(_lists(graph, near), nodes, near)).groupBy("node", "other").agg(F.max("sim").alias("sim"))
-        new = durable(_nearest(wider, near))
-        change = new.join(graph.select("node", "other"), ["node", "other"], "left_anti").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("sim") >= full, 1)).alias("links")).first()
-        release(graph)
-        graph = new
+        now = _told_apart(graph, roots)
+        held = new
+        new = durable(_nearest(now.union(_met(_lists(now, near), nodes, roots, near, similarity)), near))
+        merged, wider = _merged(roots, new), new.where("not link")
+        change = wider.join(graph.select("node", "other"), ["node", "other"], "left_anti").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("sim") >= full, 1)).alias("links")).first()
+        if merged is not None:
+            roots = merged
+        release(held)
+        graph = wider
         if change["n"] <= 0.02 * n or not change["links"]:
-            # saturated: every neighbour is a link. The search goes on with longer lists; beyond ``most`` the blocks are exact
+            # saturated: every neighbour is a link. The search goes on with longer lists; what lies outside the component has its own places at any length
             saturated = graph.where(F.col("sim") >= full).groupBy("node").count().where(F.col("count") >= near).limit(1).count()
             if not saturated or near >= most:
                 break
             near *= 2
-    return graph
+    return graph, roots
 
 
 def _exact(nodes: DataFrame, roots: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
@@ -284,10 +348,10 @@ def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = R
     rows = prepared(vectors)
     nodes = _nodes(rows)
     n = nodes.count()
-    graph = None
+    graph, roots = None, nodes.select("node", F.col("node").alias("root"))
     for k in range(tries):
-        graph = descend(nodes, graph, n, similarity, range(k * ORDERINGS, (k + 1) * ORDERINGS))
-        near = components(graph.where(F.col("sim") >= similarity - _SLACK).select("node", "other"))
+        graph, roots = descend(nodes, graph, roots, n, similarity, range(k * ORDERINGS, (k + 1) * ORDERINGS))
+        near = roots.join(roots.where("node <> root").select("root").distinct(), "root", "left_semi").select("node", "root")
         exact = durable(_exact(nodes, near, similarity))
         counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
         if k == tries - 1 or audit(nodes, counts, similarity) >= recall:

@@ -62,3 +62,38 @@ def test_audit_sees_what_is_missed(spark):
     nodes = N._nodes(N.prepared(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
     none = spark.createDataFrame([], "node bigint, n bigint")
     assert N.audit(nodes, none, 0.93) == 0.0
+
+
+def crowds(n=45, dim=48, seed=4):
+    """Two crowds of one label: cosine 0.99 inside a crowd, 0.94 across."""
+    r = np.random.default_rng(seed)
+    q, _ = np.linalg.qr(r.standard_normal((dim, 2)))
+    far = np.sqrt(0.06 / 2 / 0.99)  # the centres' half distance, so that the cosine across is near 0.94
+    rows = []
+    for g in range(2):
+        centre = q[:, 0] + (far if g else -far) * q[:, 1]
+        for k in range(n):
+            noise = r.standard_normal(dim)
+            noise -= q @ (q.T @ noise)
+            rows.append((g * 1000 + k, (centre + 0.08 * noise / np.linalg.norm(noise)).tolist(), 1))
+    return rows
+
+
+def test_links_beyond_full_lists(spark):
+    rows = crowds()
+    want = by_hand(rows)
+    assert {r[1] for r in want} == {89} and {r[2] for r in want} == {0}
+    got = N.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+def test_a_met_link_outside_the_list_joins_components(spark):
+    """A list of nine: one node lies 0.94 from eight that lie closer to one another."""
+    x = crowds(9)
+    rows = [(k, v, 1) for k, (_, v, _) in enumerate(x[:9] + x[9:10])]
+    nodes = N._nodes(N.prepared(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
+    ids = sorted(r["node"] for r in nodes.select("node").collect())
+    lists = spark.createDataFrame([(ids[0], k) for k in ids[1:]], "pivot bigint, member bigint")
+    roots = nodes.select("node", nodes.node.alias("root"))
+    met = N._nearest(N._met(lists, nodes, roots, 2, 0.93), 2)
+    assert {r["root"] for r in N._merged(roots, met).collect()} == {ids[0]}
