@@ -7,12 +7,16 @@ joins two components, whether or not a list has room for it, and each node also
 it has met outside its component, so that a crowd of copies never hides what lies around it. Lists
 full of links are enlarged. A node may have more links than any list holds: inside each component
 that the links connect, all pairs are compared in blocks, in double precision, which gives the
-exact number of links and the exact links that remain. A sample compared with all rows tells how many
-links the search has found; if too few, it goes on from more orderings.
+exact number of links and the exact links that remain. A sample compared with all rows tells what share
+of their links the sampled nodes have found, those with few links apart from those with many; if
+too little, the search goes on from more orderings, and if that does not help, all nodes of a
+label are compared in blocks.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -26,7 +30,7 @@ SIMILARITY = 0.93
 NEAREST, MOST, ORDERINGS, ROUNDS = 8, 32, 4, 8
 #: Rows of an ordering that one task sorts, and nodes of a component that one task compares with as many.
 CELL, BLOCK = 4096, 2048
-#: Nodes compared with all others to audit the search, and the share of their links to be found.
+#: Nodes compared with all others to audit the search, at least (their number grows with the root of all nodes), and the share of their links to be found.
 AUDITED, RECALL = 256, 0.99
 _SLACK = 1e-4  # single precision in the search
 
@@ -218,7 +222,8 @@ def _merged(roots: DataFrame, met: DataFrame) -> DataFrame | None:
 def descend(nodes: DataFrame, graph: DataFrame | None, roots: DataFrame, n: int, similarity: float, seeds: range, near: int = NEAREST, most: int = MOST, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(node, other, sim, out): each node's nearest; and (node, root), the components that all links met connect.
 
-    Goes on until a round changes next to nothing; then lists that are full of links are enlarged.
+    Goes on until a round changes next to nothing and joins no components, or ``rounds`` in a row
+    join none; then lists that are full of links are enlarged.
     """
     found = _met(_orderings(nodes, n, seeds, near // 2), nodes, roots, near, similarity)
     if graph is not None:
@@ -226,17 +231,19 @@ def descend(nodes: DataFrame, graph: DataFrame | None, roots: DataFrame, n: int,
     new = durable(_nearest(found, near))
     roots, graph = _merged(roots, new) or roots, new.where("not link")
     full = similarity - _SLACK
-    for _ in range(rounds):
+    quiet = 0
+    while quiet < rounds:
         now = _told_apart(graph, roots)
         held = new
         new = durable(_nearest(now.union(_met(_lists(now, near), nodes, roots, near, similarity)), near))
         merged, wider = _merged(roots, new), new.where("not link")
         change = wider.join(graph.select("node", "other"), ["node", "other"], "left_anti").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("sim") >= full, 1)).alias("links")).first()
+        quiet += 1
         if merged is not None:
-            roots = merged
+            roots, quiet = merged, 0
         release(held)
         graph = wider
-        if change["n"] <= 0.02 * n or not change["links"]:
+        if merged is None and (change["n"] <= 0.02 * n or not change["links"]):
             # saturated: every neighbour is a link. The search goes on with longer lists; what lies outside the component has its own places at any length
             saturated = graph.where(F.col("sim") >= full).groupBy("node").count().where(F.col("count") >= near).limit(1).count()
             if not saturated or near >= most:
@@ -308,7 +315,10 @@ def _sparse(near: np.ndarray) -> np.ndarray:
 
 
 def audit(nodes: DataFrame, counts: DataFrame, similarity: float, sample: int = AUDITED) -> float:
-    """The share of links found, of a sample of nodes compared with all. The sample is bounded and travels with the tasks."""
+    """The share of its links that a node of a sample has found, on average; the lower one of nodes with few links and of nodes with many.
+
+    The sample is compared with all nodes and travels with the tasks.
+    """
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("node", "group", "x").collect()
     by: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for g in {r["group"] for r in chosen}:
@@ -318,9 +328,10 @@ def audit(nodes: DataFrame, counts: DataFrame, similarity: float, sample: int =
     def run(batches):
         total: dict[int, int] = {}
         for b in batches:
-            groups = b.column(1).to_pylist()
-            for g in set(groups) & by.keys():
-                at = [k for k, x in enumerate(groups) if x == g]
+            every = b.column(1).to_pylist()
+            for g, lo in [(g, lo) for lo in range(0, len(every), 1024) for g in set(every[lo : lo + 1024]) & by.keys()]:
+                groups = every[lo : lo + 1024]
+                at = [lo + k for k, x in enumerate(groups) if x == g]
                 take = pa.array(at, pa.int64())
                 ids, m = b.column(0).take(take).to_numpy(), b.column(3).take(take).to_numpy()
                 near = by[g][1] @ _unit(b.column(2).take(take)).T >= similarity
@@ -331,8 +342,9 @@ def audit(nodes: DataFrame, counts: DataFrame, similarity: float, sample: int =
             yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["node", "n"])
 
     true = arrow_map(nodes.select("node", "group", "x", "m"), run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n")).where("n > 0")
-    both = true.join(counts.select("node", F.col("n").alias("found")), "node", "left").agg(F.sum("n").alias("n"), F.sum("found").alias("found")).first()
-    return (both["found"] or 0) / both["n"] if both["n"] else 1.0
+    share = F.coalesce("found", F.lit(0)) / F.col("n")
+    both = true.join(counts.select("node", F.col("n").alias("found")), "node", "left").groupBy(F.col("n") <= NEAREST).agg(F.avg(share).alias("share"))
+    return min((r["share"] for r in both.collect()), default=1.0)  # two rows
 
 
 def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, tries: int = 3) -> DataFrame:
@@ -354,9 +366,13 @@ def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = R
         near = roots.join(roots.where("node <> root").select("root").distinct(), "root", "left_semi").select("node", "root")
         exact = durable(_exact(nodes, near, similarity))
         counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
-        if k == tries - 1 or audit(nodes, counts, similarity) >= recall:
+        if audit(nodes, counts, similarity, max(AUDITED, 4 * math.isqrt(n))) >= recall:
             break
         release(exact)
+    else:  # the search misses too much: each group is compared as if it were one component
+        whole = nodes.select("node", F.xxhash64("group").alias("root"))
+        exact = durable(_exact(nodes, whole, similarity))
+        counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(exact.where("v is not null").select("u", "v"))
     of = nodes.join(counts, "node", "left").join(roots, "node", "left").select("node", "group", "x", "m", "n", F.coalesce("root", "node").alias("root"))
     named = rows.withColumn("group", F.concat_ws("|", "label", F.octet_length("x").cast("string")))

@@ -97,3 +97,23 @@ def test_a_met_link_outside_the_list_joins_components(spark):
     roots = nodes.select("node", nodes.node.alias("root"))
     met = N._nearest(N._met(lists, nodes, roots, 2, 0.93), 2)
     assert {r["root"] for r in N._merged(roots, met).collect()} == {ids[0]}
+
+
+def test_audit_does_not_let_crowds_hide_pairs(spark):
+    """A crowd whose links are all found, and pairs whose links are not."""
+    r = np.random.default_rng(3)
+    rows = [*crowds(60)]
+    for k in range(20):
+        x = r.standard_normal(48)
+        rows += [(5000 + 2 * k, x.tolist(), 2), (5001 + 2 * k, (x + 0.01 * r.standard_normal(48)).tolist(), 2)]
+    nodes = N._nodes(N.prepared(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
+    counts = nodes.where("`group` like '1|%'").selectExpr("node", "119L as n")
+    assert 40 / (40 + 120 * 119) < 0.01
+    assert N.audit(nodes, counts, 0.93) == 0.0
+
+
+def test_a_search_that_finds_nothing_is_made_up_for(spark, monkeypatch):
+    monkeypatch.setattr(N, "descend", lambda nodes, graph, roots, *_: (graph, roots))
+    rows = table(60)
+    got = N.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == by_hand(rows)
