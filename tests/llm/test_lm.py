@@ -71,3 +71,11 @@ def test_nothing_to_learn(spark):
     one = docs(spark, [(1, None, None, None, None)])
     r = lm.scored(one, *lm.fit(one)).first()
     assert (r["n_tokens"], math.isfinite(r["score"])) == (1, True)
+
+
+def test_more_than_five_kinds_of_words_are_told_apart(spark):
+    """Eight languages without common words."""
+    tongues = [[a + b for a in ab for b in ("al", "or", "in", "us", "et")] for ab in ("bc", "df", "gh", "jk", "lm", "np", "rs", "tv")]
+    rows = [(k, prose(120, k, tongues[k % 8]), "en", "a", 1) for k in range(160)]
+    v = lm.fit(docs(spark, rows))[0].vocabulary
+    assert len(set((v.classes // 3).tolist())) > 5
