@@ -8,6 +8,8 @@ another.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,8 +21,9 @@ from tesserae.llm.components import Sets, components
 
 SHINGLE = 8
 SIMILARITY = 0.8
-#: Shorter lines (in bytes, after stripping) are left alone: headings, single words, rules.
+#: Shorter lines (in bytes, after stripping) are not compared with similar ones, and removed as equal only if asked for.
 LEAST_BYTES = 32
+_WORDY = re.compile(r"[^\W_]")
 #: Ten bands of four minima find a pair of similarity 0.8 with a probability of 0.995.
 BANDS, ROWS = 10, 4
 #: A band's lines beyond so many are dealt to several tasks.
@@ -96,23 +99,26 @@ def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.n
 _FOUND = "key bigint, doc_id bigint, n_lines int, lines array<struct<line:int,class:bigint,bands:array<bigint>>>"
 
 
-def _scanned(docs: DataFrame, least: int) -> DataFrame:
-    """A row for each document: its lines that may be compared, with classes and band keys."""
+def _scanned(docs: DataFrame, least: int, short: bool) -> DataFrame:
+    """A row for each document: its lines that may be compared, with classes and band keys. short: shorter lines with a word, too, without band keys."""
 
     def run(batches):
         for b in batches:
-            numbers, classes, texts, ends, totals = [], [], [], [0], []
+            numbers, classes, texts, banded, ends, totals = [], [], [], [0], [0], []
             for x in b.column(2).to_pylist():
                 parts = x.encode().split(b"\n") if x is not None else []
                 totals.append(len(parts))
                 for n, p in enumerate(parts):
                     if len(p) >= least and len(p := normal(p)) >= least:
-                        numbers.append(n)
-                        classes.append(xxhash.xxh3_64_intdigest(p))
                         texts.append(p)
+                    elif not (short and (p := normal(p)) and _WORDY.search(p.decode())):
+                        continue
+                    numbers.append(n)
+                    classes.append(xxhash.xxh3_64_intdigest(p))
+                    banded.append(len(texts) * BANDS)
                 ends.append(len(numbers))
             keys = signatures(texts)
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))
+            bands = pa.ListArray.from_arrays(pa.array(banded, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))
             each = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(np.array(classes, np.uint64).view(np.int64)), bands], ["line", "class", "bands"])
             yield pa.record_batch([b.column(0), b.column(1), pa.array(totals, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)], ["key", "doc_id", "n_lines", "lines"])
 
@@ -232,14 +238,15 @@ def _verified(rows: DataFrame, similarity: float) -> DataFrame:
     return arrow_map(rows, run, "u bigint, v bigint")
 
 
-def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEAST_BYTES) -> tuple[DataFrame, DataFrame]:
+def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEAST_BYTES, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """What was scanned, and (key, removed): for each document with duplicate lines their numbers, from 0.
 
     Lines are similar if the Jaccard index of their shingles is ``similarity`` or more; of the
     lines that similar ones connect, the first stays, in the order of doc_id (null last), line
-    and document key.
+    and document key. Lines under ``least`` bytes are left alone, or, with short, duplicates of
+    equal lines if they have a letter or digit.
     """
-    fat = durable(_scanned(docs, least))
+    fat = durable(_scanned(docs, least, short))
     lines = fat.select("key", "doc_id", F.inline("lines"))
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line", "key")
     banded = durable(lines.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
@@ -287,7 +294,7 @@ def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEA
 def line_report(docs: DataFrame, **rule) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed), a row for each row of docs; removed: numbers of duplicate lines, from 0.
 
-    A null text has no lines, an empty one has one. Lines under LEAST_BYTES are never removed.
+    A null text has no lines, an empty one has one. Lines under LEAST_BYTES are removed only with short=True.
     Rows alike in doc_id and text are one document and judged alike; rows with the same doc_id and
     other texts are documents of their own. An empty table gives an empty result; further columns
     are ignored.

@@ -26,7 +26,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.line_report(table(spark, sf_dir, "documents"))
+    return linededup.line_report(table(spark, sf_dir, "documents"), short=True)
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

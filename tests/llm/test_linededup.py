@@ -99,3 +99,19 @@ def test_bands_find_pairs_at_the_threshold():
 def test_empty_table(spark):
     assert L.line_report(docs(spark, [])).count() == 0
     assert L.drop_lines(docs(spark, [])).count() == 0
+
+
+def test_short_lines_that_are_equal(spark, tmp_path):
+    """A menu of 31 bytes, ten CJK characters and a word go but once; rules, blanks and near copies of short lines stay."""
+    from tesserae.llm.queries import QUERIES
+
+    menu = "Home | News | Contact | Sign in"
+    assert len(menu) == 31
+    cjk = "分享到微信朋友圈吧。"
+    table = [(k, "\n".join((prose(20, 900 + k), (menu, f" {menu.upper()} ")[k % 2], cjk, "-----", "", "ok", f"item {k}")), "en", "a", 1) for k in range(6)]
+    docs(spark, table).write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows_of(QUERIES["op3_line_dedup"](spark, str(tmp_path)), "doc_id", "n_lines", "removed")
+    assert got == [(k, 7, [1, 2, 5] if k else []) for k in range(6)]
+    left = rows_of(L.drop_lines(docs(spark, table), short=True), "doc_id", "text")
+    assert left[1] == (1, "\n".join((prose(20, 901), "-----", "", "item 1")))
+    assert rows_of(L.line_report(docs(spark, table)), "removed") == [([],)] * 6
