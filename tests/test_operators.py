@@ -277,3 +277,12 @@ def test_streamed_appearances(spark, aliases, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(tuple(r) for r in streaming.told(spark, f"{tmp_path}/out").collect()) == [(1, 11, "Rand al'Thor"), (8, 12, "Adan")]
+
+
+def test_passages_reads_documents_of_any_language(spark, tmp_path):
+    from tesserae.queries import QUERIES
+
+    rows = [(1, "the one", "en"), (2, "the two", "de"), (3, "the three", None), (4, "none here", "fr")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    (r,) = QUERIES["passages"](spark, str(tmp_path)).collect()
+    assert (r["id"], r["chapters"], r["matches"], sorted(r["passages"])) == (2, 3, 3, ["the one", "the three", "the two"])
