@@ -87,6 +87,19 @@ def hash_order(*parts: Column | str, seed: int) -> Column:
 HASHES = 1 << 60
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The smallest n that at most ``most`` rows of counts reach; from 2 ** 16 on n are told apart by powers of two only."""
+    coarse = F.when(F.col("n") < 1 << 16, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("bigint"))
+    rows = counts.groupBy(coarse.alias("at")).agg(F.count(F.lit(1)).alias("k")).collect()  # at most 2 ** 16 + 48
+    least, total = 1 << 62, 0
+    for at, k in sorted(rows, reverse=True):
+        total += k
+        if total > most:
+            break
+        least = at
+    return least
+
+
 def running_total(counts: DataFrame, by: list[str], order: str, value: str, out: str, width: int = 1024) -> DataFrame:
     """counts with ``out``: the sum of value over rows of the same ``by`` with a smaller ``order``.
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: A worker forgets what it has encoded beyond so many entries, which bounds its memory.
@@ -49,7 +52,7 @@ _RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
 
 
-class _Memory(dict):
+class Memory(dict):
     """Remembers what ``make`` gives for a key; what is not asked for again is forgotten after two fillings."""
 
     def __init__(self, make):
@@ -63,7 +66,7 @@ class _Memory(dict):
         self[key] = found
         return found
 
-    def settle(self) -> "_Memory":
+    def settle(self) -> "Memory":
         if len(self) > ENTRIES:
             self.old = dict(self)
             self.clear()
@@ -76,7 +79,7 @@ class _Words:
     def __init__(self, path: str):
         self.path = path
         self.model = _vocabulary(path).model
-        self.runs, self.chunks = _Memory(self._run), _Memory(self._chunk)
+        self.runs, self.chunks = Memory(self._run), Memory(self._chunk)
 
     def _run(self, run: str) -> bytes:
         if not run.isascii():
@@ -111,35 +114,35 @@ def word_ids(texts: list[str], path: str) -> list[bytes]:
 _words: dict[str, _Words] = {}
 
 
-_SPACED = re.compile(r" *[^ \n]+| +|\n")
+#: Texts in which blanks and line breaks stand apart from words, or that are empty, are split by a pattern; all others at single blanks.
+_IRREGULAR = r"  |\n | \n|^[ \n]| $|^$"
+_SPACED = re.compile(r"\n[^ \n]*| *[^ \n]+| +")
 
 
-def pretokens(text: str) -> list[str]:
-    """Pieces that a sentence-piece model without white space inside its pieces encodes one by one.
+def pretokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All pre-tokens of the texts in a row, and where each text's begin and the last one's end; for a sentence-piece model without white space inside its pieces.
 
-    A piece starts with its blanks; the text's first piece gets the blank that the model puts
-    before every text; a piece after a line break has none. Line breaks are pieces.
+    A pre-token is a word with the blanks before it, the last of which is left out (the model puts
+    one before whatever it encodes, the text included), or a line break with the word that follows
+    it at once. The model's own mark for a blank is a blank, as it is for the model.
     """
-    if "  " in text or "\n " in text or " \n" in text or text[:1] in (" ", "\n") or text[-1:] == " ":
-        return _SPACED.findall(" " + text) if text else []
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n") if text else []):
-        if k:
-            out.append("\n")
-        if line:
-            first, *rest = line.split(" ")
-            out.append(first if k else " " + first)
-            out += [" " + w for w in rest]
-    return out
-
-
-def piece_counts(distinct: list[str], path: str) -> dict[str, int]:
-    """How many tokens each pre-token has; known ones are looked up."""
-    known = bounded(path)
-    if missing := [x for x in distinct if x not in known]:
-        model = _vocabulary(path)
-        # The model puts one blank before what it encodes: that stands for the piece's first blank, or is taken off again with a line break's token.
-        plain = [x[1:] if x[0] == " " else "\n" + x for x in missing]
-        for x, given, ids in zip(missing, plain, model.encode(plain, num_threads=1), strict=True):
-            known[x] = 1 if x == "\n" or not given else len(ids) - (0 if x[0] == " " else 2)
-    return known
+    plain = pc.replace_substring(pc.fill_null(texts, ""), "\u2581", " ")
+    odd = pc.match_substring_regex(plain, _IRREGULAR)
+    lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+    if not pc.any(odd).as_py():
+        return lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    where = odd.to_numpy(zero_copy_only=False)
+    apart = [[x[1:] if x[0] == " " else x for x in _SPACED.findall(" " + t)] if t else [] for t in plain.filter(odd).to_pylist()]
+    lengths = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    lengths[where] = list(map(len, apart))
+    # the texts in their order again: those of both kinds have their tokens in a row each
+    flat = pa.concat_arrays([lists.filter(pc.invert(odd)).flatten(), pa.array([x for a in apart for x in a], pa.string())])
+    order = np.argsort(np.repeat(where, lengths), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return flat.take(pa.array(place)), np.concatenate(([0], np.cumsum(lengths)))
+
+
+def piece_counts(distinct: list[str], path: str) -> list[int]:
+    """How many pieces each pre-token has. A line break begins with the model's own blank, which is taken off again; a lone blank is that one."""
+    return [1 if not x else len(ids) - (x[0] == "\n") for x, ids in zip(distinct, _vocabulary(path).encode(distinct, num_threads=1), strict=True)]

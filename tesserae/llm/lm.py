@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import arrow_map, durable, release
+from tesserae.llm.common import arrow_map, durable, least_count, release
 
 #: Words known to every task; words that are features of their own; words whose neighbours make the clusters, and neighbours counted.
 FREQUENT, FEATURES, CLUSTERED, NEIGHBOURS = 131_072, 8_192, 2_048, 256
@@ -183,21 +183,8 @@ def _neighbours(train: DataFrame, words: list[bytes]) -> np.ndarray:
     return _summed(train.select("text"), arrays, (CLUSTERED, NEIGHBOURS), "<i8")
 
 
-def _least_count(counts: DataFrame) -> int:
-    """The smallest count that at most FREQUENT words reach; counts over 2 ** 16 are told apart by powers of two only."""
-    coarse = F.when(F.col("n") < 1 << 16, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("bigint"))
-    rows = counts.where("word <> X'20'").groupBy(coarse.alias("at")).agg(F.count(F.lit(1)).alias("k")).collect()  # at most 2 ** 16 + 48
-    least, total = 1 << 62, 0
-    for at, k in sorted(rows, reverse=True):
-        total += k
-        if total > FREQUENT:
-            break
-        least = at
-    return least
-
-
 def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
-    least = _least_count(counts)
+    least = least_count(counts.where("word <> X'20'"), FREQUENT)
     top = sorted(counts.where(f"word <> X'20' and n >= {least}").collect(), key=lambda r: (-r["n"], r["word"]))  # at most FREQUENT
     words = [bytes(r["word"]) for r in top]
     n = np.array([r["n"] for r in top], np.int64)

@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -22,18 +24,34 @@ def test_ids_are_the_librarys(x):
     assert np.frombuffer(encode.word_ids([x], WORDS)[0], "<u4").tolist() == bpe.encode(x, add_special_tokens=False).ids
 
 
-@settings(max_examples=400, deadline=None)
-@given(texts)
-def test_counts_are_the_librarys(x):
-    split = encode.pretokens(x)
-    known = encode.piece_counts(list(set(split)), PIECES)
-    assert sum(known[w] for w in split) == len(sp.encode(x))
+def counted(xs):
+    flat, offsets = encode.pretokens(pa.array(xs, pa.string()))
+    return np.add.reduceat([*encode.piece_counts(flat.to_pylist(), PIECES), 0], offsets[:-1]) * (np.diff(offsets) > 0)
 
 
-@pytest.mark.parametrize("extra", [False, True])
-def test_token_counts(spark, extra):
-    want = sorted(((i, len((x or "").encode()), n := len(sp.encode(x or "")), n > 4096) for i, x, *_ in odd_rows()), key=repr)
-    assert rows_of(tokens.count_tokens(docs(spark, extra=extra), PIECES), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+@settings(max_examples=400, deadline=None)
+@given(st.lists(texts, min_size=1, max_size=8))
+def test_counts_are_the_librarys(xs):
+    assert counted(xs).tolist() == [len(sp.encode(x)) for x in xs]
+
+
+def test_counts_of_blanks_and_their_mark():
+    """The model's mark for a blank is a blank to it, wherever it stands."""
+    xs = ["▁ ", "a▁ ", "▁  ", "▁", " ▁", "▁▁", "\n▁", "▁\n", "a▁b", "", " ", "\n", "\n\n", " \n ", "a \n\n b", "<s>▁</s>"]
+    assert counted(xs).tolist() == [len(sp.encode(x)) for x in xs]
+    r, letters = random.Random(3), list(" \n\tab'I.▁▁é日") + ["  ", "the ", "<unk>"]
+    xs = ["".join(r.choice(letters) for _ in range(r.randint(0, 8))) for _ in range(50_000)]
+    assert counted(xs).tolist() == [len(x) for x in sp.encode(xs)]
+
+
+@pytest.mark.parametrize(("extra", "travel", "bits"), [(False, 1 << 20, 64), (True, 40, 64), (False, 0, 6)])
+def test_token_counts(spark, monkeypatch, extra, travel, bits):
+    """Whether pre-tokens travel or are joined, and with hashes so short that many clash."""
+    whole = tokens._hash
+    monkeypatch.setattr(tokens, "_hash", lambda x: whole(x) % (1 << bits) if bits < 64 else whole(x))
+    rows = [*odd_rows(), (500, "日" * 300 + " ▁ " + "x" * 400, "ja", "a", 1), (501, "日" * 300, "ja", "a", 1)]
+    want = sorted(((i, len((x or "").encode()), n := len(sp.encode(x or "")), n > 4096) for i, x, *_ in rows), key=repr)
+    assert rows_of(tokens.count_tokens(docs(spark, rows, extra), PIECES, travel=travel), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
 
 
 def check_places(got, limit):
