@@ -137,3 +137,22 @@ def ranked(df: DataFrame, by: list[str], bucket: Column, order: list[Column | st
         .withColumn(out, F.col("__start") + F.coalesce(F.sum(value).over(w), F.lit(0)))
         .drop("__bucket", "__start")
     )
+
+
+def spare(name: str, taken: list[str]) -> str:
+    """name, lengthened until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def repeated(df: DataFrame, n: str, k: str, by: list[str], most: int, width: int = 4096) -> DataFrame:
+    """df with n rows for each row, numbered by k from 0; rows with more copies than ``width`` are dealt to several tasks.
+
+    by: columns that tell rows apart; most: the largest n.
+    """
+    if most <= width:
+        return df.withColumn(k, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1)))
+    start = spare("start", df.columns)
+    dealt = df.withColumn(start, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1, F.lit(width).cast("bigint")))).repartition(*by, start)
+    return dealt.withColumn(k, F.explode(F.sequence(F.col(start), F.least(F.col(start) + width, F.col(n)) - 1))).drop(start)

@@ -7,10 +7,10 @@ epochs as it holds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import HASHES, WORD, durable, hash_order, ranked
+from tesserae.llm.common import HASHES, WORD, durable, hash_order, ranked, repeated, spare
 
 ROWS_PER_BUCKET = 4096
 #: Weights dealt to the sources in code point order, null last, again and again.
@@ -47,64 +47,76 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     )
 
 
+def _identity(docs: DataFrame) -> Column:
+    """A hash of all that a row has: rows alike in it are one row and its copies. Columns that can't be hashed are left out."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"])
+
+
 def mix(docs: DataFrame, seed: int = 7, **rule) -> DataFrame:
-    """(key, doc_id, source, size, source_size, target, taken, epochs, last_words), a row for each row of docs.
-
-    size: words of the text (a null text: 0). taken = epochs * size + last_words: every row is
-    taken ``epochs`` times whole, and the rows first in the random order once more; the row at the
-    cut gives its first last_words words, so that a source's taken words are its target, rounded.
-    A null source is a source of its own, after all others. Ties of the random key are ordered by
-    doc_id, then by size; rows alike in both are interchangeable in the result. A source without
-    words has the target 0. An empty table gives an empty result. Reruns agree: the key is a hash
-    of seed and doc_id. key is a hash of doc_id and text. Columns beyond doc_id, text and source are ignored.
+    """(doc_id, source, size, source_size, target, taken), a row for each row of docs.
+
+    size: words of the text (a null text: 0). Every row is taken as many times whole as its source
+    has epochs in the mix, and the rows first in the random order once more; the row at the
+    cut gives its first words only, so that a source's taken words are its target, rounded.
+    A null source is a source of its own, after all others. The random key is a hash of seed,
+    doc_id, source and text, so reruns agree; rows alike in these are interchangeable in the
+    result, and are ranked as one row with their number, so that copies crowd no bucket. A source
+    without words has the target 0. An empty table gives an empty result. Columns beyond doc_id,
+    text and source are ignored.
     """
-    slim = durable(
-        docs.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-            F.isnull("source").alias("none"),
-            F.coalesce("source", F.lit("")).alias("key"),
-            F.xxhash64("doc_id", "text").alias("row_key"),
-        ).withColumn("h", hash_order("doc_id", seed=seed))
-    )
-    buckets = max(1, -(-slim.count() // ROWS_PER_BUCKET))
-    goals = targets(slim.groupBy("none", "key").agg(F.sum("size").alias("source_size")), **rule)
-    summed = ranked(slim, ["none", "key"], F.expr(f"h div {-(-HASHES // buckets)}"), ["h", "doc_id", "size"], "size", "before", goals)
-    budget = F.round("target").cast("bigint")
-    left = F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0)
-    return (
-        summed.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("bigint"))
-        .withColumn("last_words", F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("before"))).cast("bigint"))
-        .withColumn("taken", F.col("epochs") * F.col("size") + F.col("last_words"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "last_words", "row_key")
-        .withColumnRenamed("row_key", "key")
+    found, most = _mixed(docs, seed, F.lit(0).cast("bigint"), **rule)
+    each = repeated(found, "m", "copy", ["h", "doc_id", "size"], most, ROWS_PER_BUCKET)
+    last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before") - F.col("copy") * F.col("size"))).cast("bigint")
+    return each.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + last).alias("taken"))
+
+
+def _mixed(docs: DataFrame, seed: int, identity: Column, **rule) -> tuple[DataFrame, int]:
+    """A row for each rows alike in identity, doc_id, source and text: m, how many; epochs; left, words that the source gives once more; before, words of it that come before. And the largest m."""
+    plain = docs.select(
+        "doc_id",
+        "source",
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+        F.isnull("source").alias("none"),
+        F.coalesce("source", F.lit("")).alias("key"),
+        identity.alias("identity"),
+        hash_order(F.col("doc_id"), F.col("source"), F.md5("text"), seed=seed).alias("h"),
     )
+    slim = durable(plain.groupBy(*plain.columns).agg(F.count(F.lit(1)).alias("m")).withColumn("words", F.col("m") * F.col("size")))
+    total = slim.agg(F.sum("m").alias("rows"), F.max("m").alias("most")).first()
+    buckets = max(1, -(-(total["rows"] or 0) // ROWS_PER_BUCKET))
+    goals = targets(slim.groupBy("none", "key").agg(F.sum("words").alias("source_size")), **rule)
+    summed = ranked(slim, ["none", "key"], F.expr(f"h div {-(-HASHES // buckets)}"), ["h", "doc_id", "size", "identity"], "words", "before", goals)
+    budget, any_words = F.round("target").cast("bigint"), F.col("source_size") > 0
+    epochs = F.when(any_words, F.floor(budget / F.col("source_size"))).otherwise(0).cast("bigint")
+    return summed.withColumn("epochs", epochs).withColumn("left", F.when(any_words, budget % F.col("source_size")).otherwise(0)), total["most"] or 0
 
 
 def mixture(docs: DataFrame, seed: int = 7, **rule) -> DataFrame:
     """The mix itself, all columns of docs: a row for each time that a row is taken; a row taken in part has its first words, with a blank between them.
 
     The texts are shuffled once, against a table of decisions. n_chars, if there is one, follows
-    the text of a row taken in part. Rows that are not taken are not returned.
+    the text of a row taken in part. Rows that are not taken are not returned. Copies (rows alike
+    in all columns) are decided together, and only they.
     """
     names = docs.columns
-    each = mix(docs, seed, **rule)
-    part = (F.col("last_words") > 0) & (F.col("last_words") < F.col("size"))
-    whole = F.col("epochs") + F.when((F.col("last_words") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)
-    chosen = durable(
-        each.where("taken > 0")
-        .groupBy(F.col("key").alias("__key"))
-        .agg(F.sum(whole).alias("__whole"), F.collect_list(F.when(part, F.col("last_words"))).alias("__parts"), F.count(F.lit(1)).alias("__n"))
-    )
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    if chosen.where("__n > 1").limit(1).count():  # rows alike in doc_id and text stand for one another
-        keyed = keyed.dropDuplicates(["__key"])
-    taken = keyed.join(chosen.hint("shuffle_hash"), "__key")
-    copies = F.concat(F.array_repeat(F.lit(-1).cast("bigint"), F.col("__whole").cast("int")), F.col("__parts"))
-    rows = taken.withColumn("__words", F.explode(copies))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__words").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("__words") < 0, F.col("text")).otherwise(first))
+    own: dict[str, str] = {}
+    for c in ("id", "whole", "part", "n", "k"):
+        own[c] = spare(f"__{c}", [*names, *own.values()])
+    found, most = _mixed(docs, seed, _identity(docs), **rule)
+    room = F.least(F.greatest(F.col("left") - F.col("before"), F.lit(0)), F.col("words"))  # words that these rows give once more
+    once = F.when(F.col("size") > 0, F.floor(room / F.col("size"))).otherwise(0)
+    part = F.when(F.col("size") > 0, room % F.col("size")).otherwise(0)
+    whole = F.when(F.col("size") > 0, F.col("m") * F.col("epochs") + once).otherwise(0)
+    counted = found.select(F.col("identity").alias(own["id"]), whole.cast("bigint").alias(own["whole"]), part.cast("bigint").alias(own["part"]))
+    chosen = durable(counted.withColumn(own["n"], F.col(own["whole"]) + (F.col(own["part"]) > 0).cast("bigint")).where(F.col(own["n"]) > 0))
+    keyed = docs.withColumn(own["id"], _identity(docs))
+    if most > 1:
+        keyed = keyed.dropDuplicates([own["id"]])
+    copies = chosen.agg(F.max(own["n"])).first()[0] or 1
+    rows = repeated(keyed.join(chosen, own["id"]), own["n"], own["k"], [own["id"]], copies, ROWS_PER_BUCKET)
+    cut = F.col(own["k"]) == F.col(own["whole"])
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col(own["part"]).cast("int")), " ")
+    rows = rows.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("__words") < 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        rows = rows.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*[F.col(f"`{c}`") for c in names])

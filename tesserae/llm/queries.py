@@ -22,7 +22,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ ORACLES: dict[str, str] = {
 WITH d AS (
   SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS key,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '~')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '~') || '|' || coalesce(source, '~') || '|' || coalesce(md5(text), '~')), 1, 15))::BIGINT AS h
   FROM documents),
 s AS (SELECT none, key, sum(size)::BIGINT AS source_size FROM d GROUP BY ALL),
 n AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][((row_number() OVER (ORDER BY none, key) - 1) % 3 + 1)::INT] AS w,

@@ -5,8 +5,9 @@ Sorting all rows by it interleaves the sources in proportion, so that any run of
 rows has the mixture of the whole. Cutting the sorted rows into equal runs gives the shards.
 
 Neither order is ever sorted in one task: both keys are uniform, so an equal-width bucket of the
-key is a small group, and only the buckets' counts are summed across tasks. Three narrow
-shuffles; the texts are read once and never moved.
+key is a small group, and only the buckets' counts are summed across tasks. A few narrow
+shuffles; the texts are read once and never moved. Rows alike are ranked as one row with their
+number, so that no bucket is crowded by copies.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import HASHES, durable, hash_order, ranked
+from tesserae.llm.common import HASHES, durable, hash_order, ranked, repeated
 
 #: Rows a task sorts together; the number of buckets follows the table.
 ROWS_PER_BUCKET = 4096
@@ -28,24 +29,25 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 11) -> DataFrame:
     doc_id (nulls first), then by size and CRC; rows alike in all of them are interchangeable. An
     empty table gives an empty result. Columns beyond doc_id, text and source are ignored.
     """
-    slim = durable(
-        docs.select(
-            "doc_id",
-            "source",
-            (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
-            F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint").alias("text_crc32"),
-            F.isnull("source").alias("none"),
-            F.coalesce("source", F.lit("")).alias("key"),
-        ).withColumn("h", hash_order("doc_id", "text_crc32", seed=seed))
+    plain = docs.select(
+        "doc_id",
+        "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint").alias("text_crc32"),
+        F.isnull("source").alias("none"),
+        F.coalesce("source", F.lit("")).alias("key"),
     )
-    rows = slim.count()
+    alike = plain.groupBy(*plain.columns).agg(F.count(F.lit(1)).alias("m"))
+    slim = durable(alike.withColumn("h", hash_order("doc_id", "text_crc32", seed=seed)))
+    found = slim.agg(F.sum("m").alias("rows"), F.max("m").alias("most")).first()
+    rows, most = found["rows"] or 0, found["most"] or 0
     buckets = max(1, -(-rows // ROWS_PER_BUCKET))
     width = -(-HASHES // buckets)
-    totals = slim.groupBy("none", "key").agg(F.count(F.lit(1)).alias("n"))
-    one = slim.withColumn("one", F.lit(1).cast("bigint"))
+    totals = slim.groupBy("none", "key").agg(F.sum("m").alias("n"))
     ties = ["doc_id", "size", "text_crc32"]
-    by_source = ranked(one, ["none", "key"], F.expr(f"h div {width}"), ["h", *ties], "one", "r", totals)
-    spread = by_source.withColumn("f", (F.col("r") + 0.5) / F.col("n"))
+    by_source = ranked(slim, ["none", "key"], F.expr(f"h div {width}"), ["h", *ties], "m", "r", totals)
+    each = repeated(by_source, "m", "copy", ["none", "key", "h", *ties], most, ROWS_PER_BUCKET)
+    spread = each.withColumn("f", (F.col("r") + F.col("copy") + 0.5) / F.col("n")).withColumn("one", F.lit(1).cast("bigint"))
     placed = ranked(spread, [], F.floor(F.col("f") * buckets), ["f", "none", "key", "h", *ties], "one", "at")
     number = f"at * {shards} div {max(rows, 1)}"
     return placed.select(

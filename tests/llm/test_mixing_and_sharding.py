@@ -62,6 +62,28 @@ def test_mixture_gives_the_words_taken(spark):
     assert +got == +taken
 
 
+@pytest.mark.parametrize("bucket", [4096, 4])
+def test_copies_are_spread_and_told_apart(spark, monkeypatch, bucket):
+    """Many rows alike, and texts that stand in two sources under one number: each source gets its own words."""
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", bucket)
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", bucket)
+    both = [(k, "some words " * 15, "en", s, 1) for k in range(31) for s in "ab"]
+    rows = [(None, "all the same to me", "en", "a", 1)] * 40 + both + [(k, f"row {k} of others", "en", "cd"[k % 2], 1) for k in range(40, 90)]
+    taken, got = Counter(), Counter()
+    for r in mixing.mix(docs(spark, rows)).collect():
+        taken[r["source"]] += r["taken"]
+    for r in mixing.mixture(docs(spark, rows).selectExpr("*", "'x' as __id", "1 as __N")).collect():
+        assert r["__id"] == "x"
+        got[r["source"]] += len(words(r["text"]))
+    sizes = Counter()
+    for _, x, _, s, _ in rows:
+        sizes[s] += len(words(x))
+    assert got == taken and all(abs(taken[s] - g) <= 0.5 for s, g in targets(dict(sizes)).items())
+    places = sharding.shard(docs(spark, rows)).collect()
+    assert len(places) == len(rows) and max(Counter(r["shard"] for r in places).values()) == -(-len(rows) // 8)
+    assert {(r["shard"], r["slot"]) for r in places} == {(s, k) for s, n in Counter(r["shard"] for r in places).items() for k in range(n)}
+
+
 def test_nothing_to_mix_or_shard(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     assert mixing.mixture(docs(spark, [])).count() == 0
