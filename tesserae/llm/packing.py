@@ -14,20 +14,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import HASHES, arrow_map, durable, hash_order, ranked
+from tesserae.llm.common import HASHES, arrow_map, durable, hash_order, ranked, repeated
 from tesserae.llm.encode import word_ids
 
 LIMIT = 2048
-#: Lengths are put into so many classes when patterns are fitted, and patterns have so many pieces at most.
-CLASSES, PIECES = 64, 4
-#: Tokens that a pattern made of exact lengths may leave free; one that leaves more is left to the residual packing.
-SLACK = 0
-#: Weight of the shortest eighth of the classes in the fit: they fill gaps afterwards. Shares of the fitted counts to try.
-SHORT, SHARES = 0.1, (1.0, 0.75, 0.5, 0.25)
+#: Patterns to fit: into how many classes lengths are put, and how many pieces a pattern has at most. The fit with the fewest sequences stays.
+GRAINS = ((64, 5), (128, 3))
+#: Tokens that a pattern made of exact lengths may leave free; a pattern that would leave more is left to the residual packing.
+SLACK = 2
+#: Weight of the shortest eighth of the classes in the fit: they fill gaps afterwards.
+SHORT = 0.1
 ROWS_PER_BUCKET = 4096
 
 
-def patterns(classes: int = CLASSES, pieces: int = PIECES) -> np.ndarray:
+def patterns(classes: int, pieces: int) -> np.ndarray:
     """A column for each multiset of 2 to ``pieces`` length classes that fills a sequence, rows are classes."""
     found = []
 
@@ -81,7 +81,7 @@ class Places:
     def __init__(self, histogram: np.ndarray):
         self.left = histogram.copy()
         self.taken = np.zeros_like(histogram)
-        self.sequences = 0
+        self.sequences = self.whole = self.fitted = 0  # all; those of one piece that fills them; those that begin as a pattern
         self.rows: list[tuple[int, int, int, int]] = []
         self.open: list[list[tuple[int, int]]] = [[] for _ in histogram]  # by free tokens: (first sequence, how many)
         self.free = np.zeros(len(histogram), np.int64)
@@ -120,11 +120,35 @@ class Places:
         return True
 
 
-def _planned(histogram: np.ndarray, classes: int, pieces: int, slack: int, share: float) -> Places:
+def _exact(left: np.ndarray, members: list[int], width: int, slack: int) -> list[int] | None:
+    """Lengths there are for a pattern of classes, longest first: the most frequent ones, and a last pair that fills the sequence up to slack."""
+    room, spare, chosen = len(left) - 1, left.copy(), []
+    for c in members[:-2]:
+        low = (c - 1) * width + 1
+        part = spare[low : min(c * width, room) + 1]
+        if not len(part) or not part.any():
+            return None
+        chosen.append(low + int(part.argmax()))
+        spare[chosen[-1]] -= 1
+        room -= chosen[-1]
+    a = np.arange((members[-2] - 1) * width + 1, min(members[-2] * width, room - 1) + 1)
+    a = a[spare[a] > 0] if len(a) else a
+    for free in range(slack + 1):
+        x = a[a < room - free]
+        y = room - free - x
+        n = np.where(x == y, spare[x] // 2, np.minimum(spare[x], spare[y]))
+        if len(n) and n.max() > 0:
+            k = int(n.argmax())
+            return [*chosen, int(x[k]), int(y[k])]
+    return None
+
+
+def _planned(histogram: np.ndarray, classes: int, pieces: int, slack: int) -> Places:
     limit = len(histogram) - 1
     h = Places(histogram.astype(np.int64))
     if h.left[limit]:
         h.new([limit], int(h.left[limit]))
+    h.whole = h.sequences
     width = -(-limit // classes)
     of = -(-np.arange(limit + 1) // width)  # class of a length, from 1
     a = patterns(classes, pieces)
@@ -132,30 +156,17 @@ def _planned(histogram: np.ndarray, classes: int, pieces: int, slack: int, share
     weight = np.where(np.arange(1, classes + 1) * 8 <= classes, SHORT, 1.0)
     x = nonnegative(a * weight[:, None], counts * weight) if counts.any() else np.zeros(a.shape[1])
     for j in np.lexsort((np.arange(len(x)), -x)):
-        want = int(np.floor(share * x[j] + 0.5))
+        want = int(np.floor(x[j] + 0.5))
         if not want:
             break
         members = [c + 1 for c in np.flatnonzero(a[:, j]) for _ in range(int(a[c, j]))][::-1]
-        while want > 0:
-            chosen: list[int] = []
-            room, spare = limit, h.left.copy()
-            for k, c in enumerate(members):
-                last = k == len(members) - 1
-                high = min(c * width, room)
-                low = max(1, (c - 1 - 2 * last) * width + 1)
-                fit = np.flatnonzero(spare[low : high + 1] > 0)
-                if not len(fit):
-                    break
-                got = low + int(fit[-1] if last or k % 2 == 0 else fit[0])
-                chosen.append(got)
-                spare[got] -= 1
-                room -= got
-            if len(chosen) < len(members) or room > slack:
+        while want > 0 and (chosen := _exact(h.left, members, width, slack)):
+            n = min(want, *(int(h.left[c]) // chosen.count(c) for c in chosen))
+            if n < 1:  # a length is wanted more often than it is there
                 break
-            uses = {c: chosen.count(c) for c in chosen}
-            n = min(want, *(int(h.left[c]) // u for c, u in uses.items()))
             h.new(chosen, n)
             want -= n
+    h.fitted = h.sequences - h.whole
     for length in range(limit, 0, -1):
         while h.left[length]:
             if not h.fill(length):
@@ -168,16 +179,20 @@ def _planned(histogram: np.ndarray, classes: int, pieces: int, slack: int, share
     return h
 
 
-def plan(histogram: np.ndarray, classes: int = CLASSES, pieces: int = PIECES, slack: int = SLACK, shares: tuple[float, ...] = SHARES) -> tuple[list[tuple[int, int, int, int]], int]:
-    """histogram[l]: how many pieces have l tokens, l up to the sequence length. The places, and how many sequences they take.
+def planned(histogram: np.ndarray, grains: tuple[tuple[int, int], ...] = GRAINS, slack: int = SLACK) -> Places:
+    """histogram[l]: how many pieces have l tokens, l up to the sequence length.
 
     Patterns of length classes are fitted to the classes' counts by non-negative least squares;
-    their rounded counts are made of exact lengths, the last piece of a pattern as the longest
-    that still fits. What is left over is packed best-fit decreasing, first into the gaps. Of the
-    shares of the fitted counts tried, the one with the fewest sequences stays. Each step uses up
-    a length or a pattern, so the table's size depends on the sequence length only.
+    their rounded counts are made of exact lengths, whose last pair is chosen so that the sequence
+    is full. What is left over is packed best-fit decreasing, first into the gaps. Each step uses
+    up a length or a pattern, so the table's size depends on the sequence length only.
     """
-    best = min((_planned(histogram, classes, pieces, slack, x) for x in shares), key=lambda h: h.sequences)
+    return min((_planned(histogram, *g, slack) for g in grains), key=lambda h: h.sequences)
+
+
+def plan(histogram: np.ndarray, **how) -> tuple[list[tuple[int, int, int, int]], int]:
+    """The places, and how many sequences they take."""
+    best = planned(histogram, **how)
     return best.rows, best.sequences
 
 
@@ -204,7 +219,7 @@ def pack(docs: DataFrame, vocabulary: str, limit: int = LIMIT, seed: int = 5) ->
 
     A null or empty text is the end id alone. Repeated rows are packed one by one. Pieces of a
     length are numbered in the order of a hash of what they are; pieces alike in all columns are
-    interchangeable. An empty table gives an empty result; columns beyond doc_id and text are ignored.
+    interchangeable, and numbered as one with their number, so that copies crowd no bucket. An empty table gives an empty result; columns beyond doc_id and text are ignored.
     """
     pieces = durable(pieces_of(docs, vocabulary, limit))
     histogram = np.zeros(limit + 1, np.int64)
@@ -222,6 +237,8 @@ def pack(docs: DataFrame, vocabulary: str, limit: int = LIMIT, seed: int = 5) ->
             yield pa.record_batch([*(b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(table[at, 2] + rank - table[at, 1]), pa.array(table[at, 3])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     buckets = max(1, -(-int(histogram.sum()) // ROWS_PER_BUCKET))
-    keyed = pieces.withColumn("h", hash_order("doc_id", "piece", "ids_crc32", seed=seed)).withColumn("one", F.lit(1).cast("bigint"))
-    numbered = ranked(keyed, ["length"], F.expr(f"h div {-(-HASHES // buckets)}"), ["h", "doc_id", "piece", "ids_crc32"], "one", "at")
+    alike = durable(pieces.groupBy(*pieces.columns).agg(F.count(F.lit(1)).alias("m")).withColumn("h", hash_order("doc_id", "piece", "ids_crc32", seed=seed)))
+    most = alike.agg(F.max("m")).first()[0] or 0
+    first = ranked(alike, ["length"], F.expr(f"h div {-(-HASHES // buckets)}"), ["h", "doc_id", "piece", "ids_crc32"], "m", "first")
+    numbered = repeated(first, "m", "copy", ["doc_id", "piece", "ids_crc32"], most, ROWS_PER_BUCKET).withColumn("at", F.col("first") + F.col("copy"))
     return arrow_map(numbered, run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")

@@ -116,6 +116,22 @@ def test_plan_places_every_piece_once_and_tightly(seed):
     assert n <= best * (1.01 if seed != 2 else 1.47) + 1  # two pieces of 700 to a sequence
 
 
+def test_patterns_make_most_sequences():
+    r = np.random.default_rng(9)
+    h = np.bincount(r.lognormal(5.6, 1.0, 40_000).astype(int).clip(1, 2048), minlength=2049)
+    p = packing.planned(h)
+    assert p.whole == h[2048] and p.fitted >= 0.6 * (p.sequences - p.whole)
+    assert p.sequences <= 1.001 * (h @ np.arange(2049)) / 2048 + 1
+
+
+@pytest.mark.parametrize("bucket", [4096, 7])
+def test_packing_of_copies(spark, monkeypatch, bucket):
+    monkeypatch.setattr(packing, "ROWS_PER_BUCKET", bucket)
+    df = packing.pack(docs(spark, [(None, "the same", "en", "a", 1)] * 50 + [(k, "and others", "en", "a", 1) for k in range(40)]), WORDS)
+    got = df.collect()
+    assert len(got) == 90 and check_places(got, 2048) == 1
+
+
 def test_plan_of_nothing():
     assert packing.plan(np.zeros(2049, int)) == ([], 0)
 
