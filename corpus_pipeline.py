@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
-    return simhash.keep_one(docs)
+    """Of each group of near-duplicates, by shingles of five words, the document with the smallest doc_id."""
+    return simhash.keep_one(docs, shingle=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
 """Fuzzy line dedup: MinHash signatures of character shingles, banding, exact Jaccard, union-find.
 
-A shingle is 8 consecutive bytes of the line's UTF-8, so it is a 64-bit number and equal numbers
-are equal shingles. Equal lines are one class before any banding, by a 64-bit hash of the line;
-only distinct lines are compared, and texts are fetched only for lines that share a band with
+Lines are compared in ASCII lower case and without white space around them; lines without a letter,
+a digit or a character beyond ASCII are no text and stay. Equal lines are one class before any
+banding, by a 64-bit hash of the line, however short they are. Two lines are similar by the Jaccard
+index of their shingles: of 8 characters if the longer line has LONG characters or more, else of 5,
+for one changed letter alters as many shingles as a shingle is long. A line that can be similar to
+longer and to shorter ones is banded under both; one without a shingle can only be equal to another.
+Only distinct lines are compared, and texts are fetched only for lines that share a band with
 another.
 """
 
@@ -16,20 +20,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import arrow_map, durable, release
+from tesserae.llm.common import arrow_map, durable, release, spare
 from tesserae.llm.components import Sets, components
 
-SHINGLE = 8
+#: Characters of a shingle in short pairs and in long ones; a pair is long if its longer line has so many characters.
+SHORT_SHINGLE, LONG_SHINGLE, LONG = 5, 8, 80
 SIMILARITY = 0.8
-#: Shorter lines (in bytes, after stripping) are not compared with similar ones, and removed as equal only if asked for.
-LEAST_BYTES = 32
-_WORDY = re.compile(r"[^\W_]")
+_WORDY = re.compile(rb"[0-9A-Za-z\x80-\xff]")
 #: Ten bands of four minima find a pair of similarity 0.8 with a probability of 0.995.
 BANDS, ROWS = 10, 4
 #: A band's lines beyond so many are dealt to several tasks.
 CROWD = 2048
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_D = np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -38,12 +42,26 @@ def normal(line: bytes) -> bytes:
     return line.lower().strip()
 
 
-def shingles(line: bytes) -> np.ndarray:
+def _rolled(text: bytes, k: int) -> np.ndarray:
+    """A 64-bit number for each k characters in a row of a UTF-8 text."""
+    c = np.frombuffer(text, np.uint8).astype(np.uint64) if text.isascii() else np.frombuffer(text.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
+    x = c[: max(0, len(c) - k + 1)]
+    for j in range(1, k):
+        x = x * _D + c[j : j + len(x)]
+    return _mixed(x)
+
+
+def shingles(line: bytes, k: int) -> np.ndarray:
     """The line's distinct shingles, sorted."""
-    x = np.sort(np.ndarray((max(0, len(line) - SHINGLE + 1),), "<u8", line, 0, (1,)))
+    x = np.sort(_rolled(line, k))
     return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
+def lengths(lines: list[bytes]) -> np.ndarray:
+    """The lines' characters."""
+    return np.fromiter((len(x) if x.isascii() else len(x.decode()) for x in lines), np.int64, len(lines))
+
+
 def shared_by(a: np.ndarray, b: np.ndarray) -> int:
     both = np.concatenate((a, b))
     both.sort()
@@ -58,24 +76,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """(lines, bands) band keys: minima of one permutation in bins; an empty bin takes the next one's minimum."""
+def signatures(lines: list[bytes], chars: np.ndarray, shingle: int, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """(lines, bands) band keys of lines with a shingle or more: minima of one permutation in bins; an empty bin takes the next one's minimum."""
     k = bands * rows
     out = np.empty((len(lines), bands), np.int64)
+    edges = np.concatenate(([0], np.cumsum(chars)))
     at = 0
     while at < len(lines):
-        stop, size = at, 0
-        while stop < len(lines) and (stop == at or size + len(lines[stop]) < 1 << 20):
-            size += len(lines[stop])
-            stop += 1
-        part = lines[at:stop]
-        joined = b"".join(part)
-        counts = np.fromiter(map(len, part), np.int64, len(part)) - SHINGLE + 1
-        line = np.repeat(np.arange(len(part)), counts)
-        where = np.arange(len(line)) + line * (SHINGLE - 1)
-        h = _mixed(np.ndarray((len(joined) - SHINGLE + 1,), "<u8", joined, 0, (1,)).copy())[where]
+        stop = max(at + 1, int(np.searchsorted(edges, edges[at] + (1 << 18), "right")) - 1)
+        counts = chars[at:stop] - shingle + 1
+        line = np.repeat(np.arange(stop - at), counts)
+        where = np.arange(len(line)) + line * (shingle - 1)
+        h = _rolled(b"".join(lines[at:stop]), shingle)[where]
         bins = ((h >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
-        low = np.full(len(part) * k, _NONE)
+        low = np.full((stop - at) * k, _NONE)
         np.minimum.at(low, line * k + bins, h * _C)
         low = low.reshape(-1, k)
         empty = low == _NONE
@@ -87,8 +101,8 @@ def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.n
             take = empty & (moved != _NONE)
             full[take] = moved[take] + np.uint64(step * int(_B) & (1 << 64) - 1)
             empty &= ~take
-        full = full.reshape(len(part), bands, rows)
-        key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _C, (len(part), bands)).copy()
+        full = full.reshape(stop - at, bands, rows)
+        key = np.broadcast_to((np.arange(1, bands + 1) + 100 * shingle).astype(np.uint64) * _C, (stop - at, bands)).copy()
         for r in range(rows):
             key = _mixed(key ^ full[:, :, r])
         out[at:stop] = key.view(np.int64)
@@ -96,29 +110,39 @@ def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.n
     return out
 
 
+def banded(lines: list[bytes], similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all lines in a row, those among short lines before those among long ones, and where each line's begin and the last one's end."""
+    chars = lengths(lines)
+    short = (chars >= SHORT_SHINGLE) & (chars < LONG)
+    long = (chars >= LONG_SHINGLE) & (chars >= np.floor(similarity * LONG))
+    table = np.zeros((len(lines), 2, BANDS), np.int64)
+    for k, (own, shingle) in enumerate(((short, SHORT_SHINGLE), (long, LONG_SHINGLE))):
+        at = np.flatnonzero(own)
+        table[at, k] = signatures([lines[i] for i in at], chars[at], shingle)
+    use = np.stack([short, long], axis=1)
+    return table[use].reshape(-1), np.concatenate(([0], np.cumsum(use.sum(axis=1) * BANDS)))
+
+
 _FOUND = "key bigint, doc_id bigint, n_lines int, lines array<struct<line:int,class:bigint,bands:array<bigint>>>"
 
 
-def _scanned(docs: DataFrame, least: int, short: bool) -> DataFrame:
-    """A row for each document: its lines that may be compared, with classes and band keys. short: shorter lines with a word, too, without band keys."""
+def _scanned(docs: DataFrame, similarity: float) -> DataFrame:
+    """A row for each document: its lines with text, their classes and band keys."""
 
     def run(batches):
         for b in batches:
-            numbers, classes, texts, banded, ends, totals = [], [], [], [0], [0], []
+            numbers, classes, texts, ends, totals = [], [], [], [0], []
             for x in b.column(2).to_pylist():
-                parts = x.encode().split(b"\n") if x is not None else []
+                parts = x.encode().lower().split(b"\n") if x is not None else []
                 totals.append(len(parts))
                 for n, p in enumerate(parts):
-                    if len(p) >= least and len(p := normal(p)) >= least:
+                    if _WORDY.search(p := p.strip()):
                         texts.append(p)
-                    elif not (short and (p := normal(p)) and _WORDY.search(p.decode())):
-                        continue
-                    numbers.append(n)
-                    classes.append(xxhash.xxh3_64_intdigest(p))
-                    banded.append(len(texts) * BANDS)
+                        numbers.append(n)
+                        classes.append(xxhash.xxh3_64_intdigest(p))
                 ends.append(len(numbers))
-            keys = signatures(texts)
-            bands = pa.ListArray.from_arrays(pa.array(banded, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))
+            keys, starts = banded(texts, similarity)
+            bands = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys, pa.int64()))
             each = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(np.array(classes, np.uint64).view(np.int64)), bands], ["line", "class", "bands"])
             yield pa.record_batch([b.column(0), b.column(1), pa.array(totals, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)], ["key", "doc_id", "n_lines", "lines"])
 
@@ -133,7 +157,7 @@ def _key():
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(class, text) for the classes wanted, each from the document and line given with it."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("line", "class")).alias("want"))
-    found = docs.select(_key(), "text").join(lists.hint("shuffle_hash"), "key")
+    found = docs.select(_key(), "text").join(lists, "key")
 
     def run(batches):
         for b in batches:
@@ -148,27 +172,46 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(found.select("text", "want"), run, "class bigint, text binary")
 
 
+class Line:
+    """A line's shingles, of both lengths if it may be part of short and of long pairs."""
+
+    def __init__(self, text: bytes):
+        self.chars = int(lengths([text])[0])
+        self.short = shingles(text, SHORT_SHINGLE) if self.chars < LONG else None
+        self._long, self._text = None, text
+
+    @property
+    def long(self) -> np.ndarray:
+        if self._long is None:
+            self._long = shingles(self._text, LONG_SHINGLE)
+        return self._long
+
+    def similar(self, other: Line, similarity: float) -> bool:
+        a, b = (self.short, other.short) if self.short is not None and other.short is not None else (self.long, other.long)
+        if not len(a) or min(len(a), len(b)) < similarity * max(len(a), len(b)):
+            return False
+        both = shared_by(a, b)
+        return both >= similarity * (len(a) + len(b) - both)
+
+
 class _Band:
     """Lines of one band. A line is compared with members of each group until one is similar: what a group connects is not compared again."""
 
     def __init__(self, similarity: float):
         self.similarity, self.sets = similarity, Sets()
-        self.groups: list[list[tuple[int, np.ndarray]]] = []
+        self.groups: list[list[tuple[int, Line]]] = []
 
     def add(self, cls: int, text: bytes) -> None:
-        own = shingles(text)
+        own = Line(text)
         same = []
         for i, g in enumerate(self.groups):
             for other, theirs in reversed(g):
                 if other == cls:
                     return
-                small, large = sorted((len(own), len(theirs)))
-                if small >= self.similarity * large:
-                    both = shared_by(own, theirs)
-                    if both >= self.similarity * (len(own) + len(theirs) - both):
-                        self.sets.join(cls, other)
-                        same.append(i)
-                        break
+                if own.similar(theirs, self.similarity):
+                    self.sets.join(cls, other)
+                    same.append(i)
+                    break
         joined = [(cls, own)]
         for i in reversed(same):
             joined = self.groups.pop(i) + joined
@@ -185,7 +228,8 @@ def _fresh(rows: DataFrame) -> DataFrame:
     """
 
     def of(part: list[tuple]) -> list[tuple]:
-        bands = np.array([r[4] for r in part], np.int64)
+        at = [r[4].index(r[0]) // BANDS * BANDS for r in part]  # among short lines or among long ones
+        bands = np.array([r[4][k : k + BANDS] for r, k in zip(part, at, strict=True)], np.int64)
         place = int(np.flatnonzero(bands[0] == part[0][0])[0])
         met = np.eye(len(part), dtype=bool)
         for k in range(place):
@@ -238,35 +282,33 @@ def _verified(rows: DataFrame, similarity: float) -> DataFrame:
     return arrow_map(rows, run, "u bigint, v bigint")
 
 
-def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEAST_BYTES, short: bool = False) -> tuple[DataFrame, DataFrame]:
+def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """What was scanned, and (key, removed): for each document with duplicate lines their numbers, from 0.
 
-    Lines are similar if the Jaccard index of their shingles is ``similarity`` or more; of the
-    lines that similar ones connect, the first stays, in the order of doc_id (null last), line
-    and document key. Lines under ``least`` bytes are left alone, or, with short, duplicates of
-    equal lines if they have a letter or digit.
+    Of the lines that equal and similar ones connect, the first stays, in the order of doc_id
+    (null last), line and document key.
     """
-    fat = durable(_scanned(docs, least, short))
+    fat = durable(_scanned(docs, similarity))
     lines = fat.select("key", "doc_id", F.inline("lines"))
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line", "key")
     banded = durable(lines.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
     scanned = durable(fat.withColumn("lines", F.expr("transform(lines, x -> named_struct('line', x.line, 'class', x.class))")))
     release(fat)
-    dealt = banded.select(F.explode("bands").alias("band"), "class").repartition("band")
-    shared = durable(dealt.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("n > 1"))
+    dealt = banded.select(F.explode("bands").alias("band"), "class")
+    # a crowded band is cut into parts before its lines come together, and each two parts meet in a task of their own
+    crowded = durable(dealt.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("band", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")))
+    parted = dealt.join(crowded, "band", "left").withColumn("own", F.pmod(F.xxhash64("class"), F.coalesce("parts", F.lit(1))).cast("int"))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("band", "own")) == 1
+    shared = durable(parted.repartition("band", "own").withColumn("alone", alone).where("parts is not null or not alone").drop("alone"))
     release()
-    # a crowded band is cut into parts, and each two parts meet in a task of their own
-    own = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
     met = (
         shared.join(banded.select("class", "bands"), "class")
-        .withColumn("parts", F.ceil(F.col("n") / CROWD).cast("int"))
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
         .select("band", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "class", "bands")
     )
     fresh = durable(_fresh(met.repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "class")))
     classes = durable(banded.drop("bands"))
-    release(shared, banded)
+    release(shared, banded, crowded)
     wanted = fresh.select("class").distinct().join(classes.select("class", F.col("first.key").alias("key"), F.col("first.line").alias("line")), "class")
     texts = durable(_texts(docs, wanted).dropDuplicates(["class"]))
     rows = fresh.join(texts, "class").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "class").select("band", "a", "b", "class", "text")
@@ -294,8 +336,7 @@ def duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEA
 def line_report(docs: DataFrame, **rule) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed), a row for each row of docs; removed: numbers of duplicate lines, from 0.
 
-    A null text has no lines, an empty one has one. Lines under LEAST_BYTES are removed only with short=True.
-    Rows alike in doc_id and text are one document and judged alike; rows with the same doc_id and
+    A null text has no lines, an empty one has one. A very long text is held by one task. Rows alike in doc_id and text are one document and judged alike; rows with the same doc_id and
     other texts are documents of their own. An empty table gives an empty result; further columns
     are ignored.
     """
@@ -312,10 +353,11 @@ def drop_lines(docs: DataFrame, **rule) -> DataFrame:
     """
     _, removed = duplicates(docs, **rule)
     names = docs.columns
-    joined = docs.withColumn("__key", F.xxhash64("doc_id", "text")).join(removed.select(F.col("key").alias("__key"), F.col("removed").alias("__removed")).hint("shuffle_hash"), "__key", "left")
-    left = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(__removed, i)), '\\n')")
-    new = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(left)
-    out = joined.withColumn("text", new).where(F.col("__removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    key, gone = spare("__key", names), spare("__removed", names)
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(removed.select(F.col("key").alias(key), F.col("removed").alias(gone)), key, "left")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    new = F.when(F.col(gone).isNull(), F.col("text")).otherwise(left)
+    out = joined.withColumn("text", new).where(F.col(gone).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("__removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[F.col(f"`{c}`") for c in names])

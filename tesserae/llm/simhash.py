@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import arrow_map, durable, release
+from tesserae.llm.common import arrow_map, durable, release, spare
 from tesserae.llm.components import Sets, components
 from tesserae.session import ship
 
@@ -224,21 +224,24 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
     """
     from pyspark.sql import types as T
 
+    names = docs.columns
+    id_, fp_ = spare("__id", names), spare("__fp", names)
+    own = spare("__own", [*names, id_, fp_])
+    n = spare("__n", [*names, id_, fp_, own])
     slim = durable(grouped(docs, shingle, threshold))
     first = slim.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "fp")).alias("w"))
-    wanted = first.select(F.col("w.doc_id").alias("__id"), F.col("w.fp").alias("__fp"))
-    own_id = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id"))
+    wanted = first.select(F.col("w.doc_id").alias(id_), F.col("w.fp").alias(fp_))
+    own_id = F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_))
     if not slim.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return docs.join(wanted.hint("shuffle_hash"), own_id, "left_semi")
-    names = docs.columns
+        return docs.join(wanted, own_id, "left_semi")
     at = names.index("text")
 
     def run(batches):
         for b in batches:
-            yield pa.record_batch([*b.columns, pa.array([_signed(fingerprint(x, shingle)) for x in b.column(at).to_pylist()], pa.int64())], [*names, "__own"])
+            yield pa.record_batch([*b.columns, pa.array([_signed(fingerprint(x, shingle)) for x in b.column(at).to_pylist()], pa.int64())], [*names, own])
 
     ship(docs.sparkSession)
-    tagged = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__own", T.LongType())]))
-    found = tagged.join(wanted.hint("shuffle_hash"), own_id & (F.col("__own") == F.col("__fp")), "left_semi")
-    order = Window.partitionBy("doc_id", "__own").orderBy(*[F.col(f"`{c}`") for c in names])
-    return found.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[F.col(f"`{c}`") for c in names])
+    tagged = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    found = tagged.join(wanted, own_id & (F.col(own) == F.col(fp_)), "left_semi")
+    order = Window.partitionBy("doc_id", own).orderBy(*[F.col(f"`{c}`") for c in names])
+    return found.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in names])

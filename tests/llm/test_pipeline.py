@@ -39,11 +39,11 @@ def test_each_stage(spark, stages):
         if y.strip() or (i, x) not in gone:
             left.append((i, y, None, s, None))
     assert pairs(lines) == sorted(((r[0], r[1]) for r in left), key=repr)
-    fps = {naive(r[1]) for r in left}
+    fps = {naive(r[1], 5) for r in left}
     of = grouped(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4])
     best = {}
     for r in left:
-        key = of[naive(r[1])]
+        key = of[naive(r[1], 5)]
         rank = (r[0] is None, r[0] or 0)
         if key not in best or rank < best[key][0]:
             best[key] = rank, r
