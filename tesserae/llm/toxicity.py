@@ -23,8 +23,10 @@ from tesserae.llm.encode import bounded
 
 #: At most so many labelled rows, the first in the order of a hash, teach the lexicon.
 SAMPLE = 12_000
-#: A term is in so many toxic texts of the sample at least; at most so many terms are weighed.
-SUPPORT, CANDIDATES = 3, 60_000
+#: A term is in so many toxic texts of the sample at least, and raises the log odds of a text to so much.
+SUPPORT, TELLING = 3, 1.2
+#: Distinct terms that a task counts before it hands them on.
+HELD = 500_000
 #: Stems have from 4 letters to 8; terms with at least 5 letters are found with an error.
 STEMS, FUZZY = range(4, 9), 5
 WINDOW = 6
@@ -188,25 +190,33 @@ def score(text: str | None, model: Model, automaton: Automaton) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _counted(sample: DataFrame, emit) -> Counter:
-    """Sums over the sample of what emit(text, toxic) yields; the sample is bounded and so is the answer."""
+def _counted(sample: DataFrame, emit) -> DataFrame:
+    """(term, n): sums over the sample of what emit(text, toxic) yields."""
 
     def run(batches):
         total: Counter = Counter()
+
+        def out():
+            return pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+
         for b in batches:
             for x, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for term in emit(x or "", toxic):
-                    total[term] += 1
-        if total:
-            yield pa.record_batch([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+                total.update(emit(x or "", toxic))
+                if len(total) > HELD:
+                    yield out()
+                    total.clear()
+        yield out()
+
+    return arrow_map(sample.select("text", "toxic"), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+
 
-    summed = arrow_map(sample.select("text", "toxic"), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    rows = summed.where(F.col("n") >= (SUPPORT if emit is _of_toxic else 1)).orderBy(F.desc("n"), "term").limit(2 * CANDIDATES).collect()
-    return Counter({r["term"]: r["n"] for r in rows})
+def terms_in(text: str) -> set[str]:
+    return {t for w in {core(w) for w in text.lower().split()} if w for t in terms_of(w)}
 
 
-def _of_toxic(text: str, toxic: int):
-    return {t for w in {core(w) for w in text.lower().split()} if len(w) > 2 for t in terms_of(w)} if toxic else ()
+def _ratio(a, b, positives: int, negatives: int, log=math.log):
+    """A term's log-likelihood ratio if it is in a toxic texts and b others."""
+    return log((a + 0.5) / (positives + 1)) - log((b + 0.5) / (negatives + 1))
 
 
 def choose(toxic: Counter, clean: Counter, texts: list[set[str]], negatives: int) -> dict[str, float]:
@@ -219,10 +229,10 @@ def choose(toxic: Counter, clean: Counter, texts: list[set[str]], negatives: int
     positives = len(texts)
 
     def ratio(t: str) -> float:
-        return math.log((toxic[t] + 0.5) / (positives + 1)) - math.log((clean[t] + 0.5) / (negatives + 1))
+        return _ratio(toxic[t], clean[t], positives, negatives)
 
     odds = math.log((positives + 0.5) / (negatives + 0.5))
-    precision = {t: toxic[t] / (toxic[t] + clean[t]) for t in toxic if toxic[t] >= SUPPORT and ratio(t) + odds >= 1.2}
+    precision = {t: toxic[t] / (toxic[t] + clean[t]) for t in toxic if toxic[t] >= SUPPORT and ratio(t) + odds >= TELLING}
     left = [x & precision.keys() for x in texts]
     fresh = Counter(t for x in left for t in x)
     chosen: list[str] = []
@@ -275,31 +285,31 @@ def fit(docs: DataFrame, labels: DataFrame, remainder: int = 1, folds: int = 3,
     rows = durable(arrow_map(texts.select("text", "toxic"), keyed, "text string, toxic int, a bigint, b bigint, c bigint").dropDuplicates(["toxic", "a"]).dropDuplicates(["toxic", "b"]).dropDuplicates(["toxic", "c"]))
     count = dict(rows.groupBy("toxic").count().collect())
     positives, negatives = count.get(1, 0), count.get(0, 0)
-    toxic = dict(_counted(rows, _of_toxic).most_common(CANDIDATES))
-
-    def of_clean(text: str, label: int):
-        return () if label else {t for w in {core(w) for w in text.lower().split()} for t in terms_of(w) if t in toxic}
+    odds = math.log((positives + 0.5) / (negatives + 0.5))
+    of_toxic = _counted(rows.where("toxic = 1"), lambda text, _: terms_in(text)).where(F.col("n") >= SUPPORT)
+    of_clean = _counted(rows.where("toxic = 0"), lambda text, _: terms_in(text)).withColumnRenamed("n", "clean")
+    both = of_toxic.join(of_clean, "term", "left").select("term", "n", F.coalesce("clean", F.lit(0)).alias("clean"))
+    telling = both.where(_ratio(F.col("n"), F.col("clean"), positives, negatives, F.log) + odds >= TELLING - 1e-9).collect()  # of the bounded sample's terms
+    toxic, clean = Counter({r["term"]: r["n"] for r in telling}), Counter({r["term"]: r["clean"] for r in telling})
 
-    def of_toxic(batches):
+    def listed(batches):
         for b in batches:
-            yield pa.record_batch([pa.array([sorted({t for w in {core(w) for w in x.lower().split()} for t in terms_of(w) if t in toxic}) for x in b.column(0).to_pylist()], pa.list_(pa.string()))], ["terms"])
+            yield pa.record_batch([pa.array([sorted(terms_in(x) & toxic.keys()) for x in b.column(0).to_pylist()], pa.list_(pa.string()))], ["terms"])
 
-    clean = _counted(rows, of_clean)
-    each = [set(r["terms"]) for r in arrow_map(rows.where("toxic = 1").select("text"), of_toxic, "terms array<string>").collect()]  # of the bounded sample
-    weights = choose(Counter(toxic), clean, each, negatives)
-    odds = math.log((positives + 0.5) / (negatives + 0.5))
+    each = [set(r["terms"]) for r in arrow_map(rows.where("toxic = 1").select("text"), listed, "terms array<string>").collect()]  # of the bounded sample
+    weights = choose(toxic, clean, each, negatives)
     first = Model(weights, odds, odds)
 
     def of_found(text: str, label: int):
         found = found_in(text, first, first.automaton)
         return [f"{label}{f}" for f in found] if all(f[0] == "~" for f in found) and found else ([] if found else [f"{label}"])
 
-    seen = _counted(rows, of_found)
+    seen = Counter({r["term"]: r["n"] for r in _counted(rows, of_found).collect()})  # at most three for each chosen term
     release(rows)
     for t in list(weights):
         if len(t.removesuffix("$")) >= FUZZY:  # without examples a misspelling counts for a little less than the term
             a, b = seen[f"1~{t}"], seen[f"0~{t}"]
-            weights[f"~{t}"] = 0.8 * weights[t] if not a + b else min(0.8 * weights[t], math.log((a + 0.5) / (positives + 1)) - math.log((b + 0.5) / (negatives + 1)))
+            weights[f"~{t}"] = 0.8 * weights[t] if not a + b else min(0.8 * weights[t], _ratio(a, b, positives, negatives))
     none = math.log((seen["1"] + 0.5) / (seen["0"] + 0.5)) if count else 0.0
     return Model(weights, odds if count else 0.0, min(none, odds) if count else 0.0)
 

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -82,6 +83,45 @@ def test_spelling_and_context(model):
     assert plain > 0.7 > quoted
 
 
+def plain_score(text, model):
+    """Every word against every term by edit distance, and the formula."""
+    words, found = (text or "").lower().split(), {}
+    terms = [t for t in model.weights if t[0] != "~"]
+    for at, word in enumerate(words):
+        w, near = X.core(word), {}
+        for t in terms:
+            bare = t.removesuffix("$")
+            d = min(distance(bare, x) for x in ([w] if t[-1] == "$" else [w[:k] for k in range(len(w) + 1)]))
+            if d <= (1 if len(bare) >= X.FUZZY else 0):
+                near[t] = d
+        for t in [t for t, d in near.items() if not d] or [f"~{t}" for t in near]:
+            found[t] = max(found.get(t, 0.0), X.context(words, at))
+    gains = sorted((model.weights.get(f, 0.0) * c for f, c in found.items()), reverse=True)
+    z = model.prior + sum(g / 2**k for k, g in enumerate(gains)) if found else model.none
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_against_a_plain_implementation(spark, model):
+    r, rows = random.Random(8), []
+    for k in range(60):
+        words = prose(15, 5000 + k).split()
+        for _ in range(k % 4):
+            w = list(r.choice(BAD))
+            if k % 3:
+                w[r.randrange(len(w))] = r.choice(["z", "", "0", "ab"])
+            words.insert(r.randrange(len(words)), r.choice(['"%s"', "%s!", "you %s", "said %s"]) % "".join(w))
+        rows.append((k, " ".join(words), "en", "a", 1))
+    got = {x["doc_id"]: x["score"] for x in X.scored(docs(spark, rows), model).collect()}
+    assert got == pytest.approx({k: plain_score(x, model) for k, x, *_ in rows})
+    assert len({round(x, 3) for x in got.values()}) > 5
+
+
+def test_short_words_are_terms_too(spark):
+    rows = [(k, prose(12, k) + (" xq " if k % 2 else " ab ") + prose(12, 300 + k), "en", "a", 1) for k in range(200)]
+    m = X.fit(docs(spark, rows), spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id bigint, toxic int"))
+    assert "xq$" in m.weights and value(m, "a xq b") >= 0.7 > value(m, "ab")
+
+
 def test_without_labels(spark):
     m = X.fit(docs(spark), spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert {r["score"] for r in X.scored(docs(spark), m).collect()} == {0.5}
