@@ -191,20 +191,29 @@ def _occurs(text: Column, term: Column) -> Column:
     return F.when(there, F.regexp_count(text, quoted)).otherwise(0)
 
 
-def mentions_found(chapters: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(chapter_id, term, n): terms that stand in a text, n times. wanted: distinct terms.
+#: Terms that are looked for in every text without a shuffle.
+FEW = 64
 
-    Chapters and terms meet by the terms' longest words, so that a term costs only chapters that
+
+def mentions_found(chapters: DataFrame, wanted: DataFrame, text: bool = False) -> DataFrame:
+    """(chapter_id, term, n): terms that stand in a text, n times; with text the full_text, too. wanted: distinct terms.
+
+    A handful of terms is looked for in every text where it lies. Otherwise chapters and terms meet by the terms' longest words, so that a term costs only chapters that
     have that word; it is then counted in the text itself, of which a chapter's terms share one copy.
     """
     parts = lambda c: F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
     head = lambda c: F.array_max(F.transform(parts(c), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     t = wanted.select("term").distinct().withColumn("head", head(F.col("term"))).where("head is not null")
     c = chapters.select("chapter_id", "full_text").where("full_text is not null")
+    found = lambda ts: F.filter(F.transform(ts, lambda x: F.struct(x.alias("term"), _occurs(F.col("full_text"), x).cast("bigint").alias("n"))), lambda s: s["n"] > 0)
+    more = ["full_text"] if text else []
+    few = [r["term"] for r in t.select("term").limit(FEW + 1).collect()]
+    if len(few) <= FEW:
+        own = F.array(*[F.lit(x) for x in few]).cast("array<string>")
+        return c.select("chapter_id", *more, F.explode(found(own)).alias("x")).select("chapter_id", "x.term", "x.n", *more)
     words = c.select("chapter_id", F.explode(F.array_distinct(F.split(F.lower("full_text"), r"(?U)\W+"))).alias("head"))
     wanted_there = words.join(t, "head").groupBy("chapter_id").agg(F.collect_set("term").alias("terms"))
-    counted = F.filter(F.transform("terms", lambda x: F.struct(x.alias("term"), _occurs(F.col("full_text"), x).cast("bigint").alias("n"))), lambda s: s["n"] > 0)
-    return c.join(wanted_there, "chapter_id").select("chapter_id", F.explode(counted).alias("x")).select("chapter_id", "x.term", "x.n")
+    return c.join(wanted_there, "chapter_id").select("chapter_id", *more, F.explode(found("terms")).alias("x")).select("chapter_id", "x.term", "x.n", *more)
 
 
 def mention_gaps(d: Directory, threshold: int = 1) -> DataFrame:
@@ -232,6 +241,30 @@ def evidence(claims: DataFrame, texts: DataFrame) -> DataFrame:
     return met.groupBy("id", "evidence").agg(F.bool_or("ok").alias("verified"))
 
 
+def evidence_anywhere(claims: DataFrame, documents: DataFrame) -> DataFrame:
+    """claims (id, evidence) with verified: the evidence stands in any of the documents (key, text), both normalised; an empty one always does.
+
+    A word with others on both sides must stand in the text as it is, so a claim meets the texts
+    that have its longest such word, and is looked for there. Claims of one or two words have none
+    such; they are looked for in the distinct words, or pairs of words, of all texts.
+    """
+    e = claims.select("id", "evidence", N.norm_search(F.col("evidence")).alias("e")).withColumn("words", F.split("e", " "))
+    inner = F.slice("words", 2, F.greatest(F.size("words") - 2, F.lit(0)))
+    head = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    long = e.where(F.size("words") > 2).withColumn("head", head)
+    t = documents.where("text is not null").select("key", N.norm_search(F.col("text")).alias("t"))
+    listed = long.groupBy("head").agg(F.collect_set(F.struct("e")).alias("sought"))
+    there = t.select("key", F.explode(F.array_distinct(F.split("t", " "))).alias("head")).join(listed, "head").groupBy("key").agg(F.flatten(F.collect_list("sought")).alias("sought"))
+    hits = t.join(there, "key").select(F.explode(F.filter("sought", lambda s: F.contains(F.col("t"), s["e"]))).alias("x")).select("x.e")
+    short = e.where((F.size("words") <= 2) & (F.col("e") != "")).select("e", "words").distinct()
+    parts = F.split("t", " ")
+    last = F.size(parts) - 1
+    pairs = F.zip_with(F.slice(parts, 1, last), F.slice(parts, 2, last), lambda x, y: F.concat_ws(" ", x, y))
+    seen = lambda c, n: t.select(F.explode(F.array_distinct(c)).alias("w")).distinct().join(short.where(F.size("words") == n), F.contains("w", F.col("e"))).select("e")
+    found = hits.union(seen(parts, 1)).union(seen(pairs, 2)).distinct().withColumn("ok", F.lit(True))
+    return e.join(found, "e", "left").groupBy("id", "evidence").agg(F.bool_or((F.col("e") == "") | F.coalesce("ok", F.lit(False))).alias("verified"))
+
+
 def leaks(df: DataFrame, name: str, marks=V.PATH_MARKS) -> DataFrame:
     """(name, column, rows): text columns with a mark of a local path; all columns in one pass."""
     texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
@@ -294,3 +327,30 @@ def summary(d: Directory, checks: list[str] | None = None) -> DataFrame:
     """(name, rows): how many rows each check flags, in one plan."""
     one = lambda name: CHECKS[name](d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
     return reduce(DataFrame.unionByName, [one(name) for name in checks or CHECKS])
+
+
+def dossier(d: Directory, character_id: int | None = None) -> DataFrame:
+    """(character_id, primary_name, appearances, relationships, factions, neighbours, sources, findings): one character, or each, as an auditor reads it.
+
+    neighbours: names at the other ends, each once; sources: labels of the chapters that anchor the
+    character and the memberships; findings: the audits that name the character.
+    """
+    from tesserae.operators import read
+
+    only = (lambda df: df) if character_id is None else (lambda df: df.where(F.col("character_id") == character_id))
+    near = only(read.named_edges(d)).groupBy("character_id").agg(F.array_sort(F.collect_set("other")).alias("neighbours"))
+    where_ = read.reading_order(d).select("chapter_id", "series_order", "chapter_number")
+    anchors = only(d.characters).select("character_id", F.col("first_chapter_id").alias("chapter_id")).union(only(d.character_factions).select("character_id", "first_chapter_id")).where("chapter_id is not null")
+    label = read.chapter_label(F.col("series_order"), F.col("chapter_number"))
+    sources = anchors.join(where_, "chapter_id").groupBy("character_id").agg(F.transform(F.array_sort(F.collect_set(F.struct("series_order", "chapter_number", label.alias("label")))), lambda s: s["label"]).alias("sources"))
+    named = {
+        "generic alias": generic_aliases(d), "odd name": odd_names(d), "collision": collisions(d), "article duplicate": article_duplicates(d),
+        "rank duplicate": rank_duplicates(d), "primary aliases": primaries(d), "empty shell": empty_shells(d), "fuller name": fuller_names(d).select(F.col("short_id").alias("character_id")),
+    }
+    found = reduce(DataFrame.union, [only(df).select("character_id", F.lit(k).alias("finding")) for k, df in named.items()])
+    findings = found.groupBy("character_id").agg(F.array_sort(F.collect_set("finding")).alias("findings"))
+    out = only(d.characters).select("character_id", "primary_name").join(dependents(d), "character_id", "left")
+    for x in (near, sources, findings):
+        out = out.join(x, "character_id", "left")
+    none = F.array().cast("array<string>")
+    return out.select("character_id", "primary_name", "appearances", "relationships", "factions", *[F.coalesce(c, none).alias(c) for c in ("neighbours", "sources", "findings")])

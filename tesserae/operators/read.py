@@ -167,3 +167,34 @@ def resolve_book(d: Directory, wanted: str) -> DataFrame:
     number = F.when(F.rlike(w, F.lit("^[0-9]+$")), w.cast("int"))
     rank = F.when(F.col("slot") == slot_of_number(w), 1).when(F.col("series_order") == number, 2)
     return d.books.withColumn("rank", rank).where("rank is not null").orderBy("rank").limit(1).select("book_id", "series_order", "slot", "label", "title")
+
+
+def chapters_between(d: Directory, book_id: int | None = None, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Chapters in reading order, of one book or of all, with either end of the range of numbers open; those without text are left out."""
+    c = d.chapters.where("trim(full_text) <> ''")
+    for wanted in ((F.col("book_id") == book_id) if book_id is not None else None, (F.col("chapter_number") >= first) if first is not None else None, (F.col("chapter_number") <= last) if last is not None else None):
+        c = c if wanted is None else c.where(wanted)
+    b = d.books.select("book_id", "series_order")
+    return c.join(b, "book_id").select("chapter_id", "book_id", "series_order", "chapter_number", "title", "full_text").orderBy("series_order", "chapter_number")
+
+
+def chapter_text(d: Directory, book: str, number: int) -> DataFrame:
+    """The text of a chapter by its book (as ``resolve_book`` takes it) and number; no row if there is none."""
+    return d.chapters.where(F.col("chapter_number") == number).join(resolve_book(d, book).select("book_id", "series_order"), "book_id").select("chapter_id", "series_order", "chapter_number", "title", "full_text")
+
+
+def chapter_label(series_order: Column, chapter_number: Column, long: bool = False) -> Column:
+    """b3_c7, or Bk 3 Ch 7; null if either number is."""
+    n = [x.cast("string") for x in (series_order, chapter_number)]
+    return F.concat(F.lit("Bk "), n[0], F.lit(" Ch "), n[1]) if long else F.concat(F.lit("b"), n[0], F.lit("_c"), n[1])
+
+
+def shortened(texts: Column, most: int) -> Column:
+    """The first texts of a list, and how many more there are."""
+    n = F.size(texts)
+    return F.when(n > most, F.concat(F.slice(texts, 1, most), F.array(F.concat(F.lit("... "), (n - most).cast("string"), F.lit(" more"))))).otherwise(texts)
+
+
+def legend(nodes: DataFrame, most: int = 12) -> DataFrame:
+    """The first groups of a graph's nodes, by name, each once."""
+    return nodes.where("faction is not null").select("faction").distinct().orderBy("faction").limit(most)

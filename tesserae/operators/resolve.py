@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import values as V
 from tesserae.functions.names import distinctive, match_key, norm, subset, tokens
-from tesserae.functions.similarity import lengths_allow, letters_allow, ratio
+from tesserae.functions.similarity import may_be_similar, ratio
 
 
 def exact_index(aliases: DataFrame) -> DataFrame:
@@ -47,15 +47,12 @@ def token_candidates(names: DataFrame, aliases: DataFrame, name: str = "name") -
 def fuzzy(names: DataFrame, aliases: DataFrame, name: str = "name", least: float = V.FUZZY) -> DataFrame:
     """(name, cid, ratio): the most similar alias's character, at ``least`` or above; ties go to the smallest id.
 
-    Only pairs whose lengths and letters leave room for the threshold are compared: distinct names
-    meet by length, within the ratio that the threshold allows, and by the UDF last.
+    Names meet by segments that a similar pair must share; the UDF comes last.
     """
     n = names.select(name).distinct().withColumn("n", norm(F.col(name))).where("n <> ''")
     a = aliases.groupBy("alias_norm").agg(F.min("character_id").alias("cid"))
-    most = (2 - least) / least
-    by_length = n.withColumn("len", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.length("n") / most)).cast("int"), F.floor(F.length("n") * most).cast("int"))))
-    met = by_length.join(a.withColumn("len", F.length("alias_norm")), "len")
-    close = met.where(lengths_allow(F.col("n"), F.col("alias_norm"), least) & letters_allow(F.col("n"), F.col("alias_norm"), least))
+    met = may_be_similar(n.select("n").distinct(), a.select("alias_norm"), least).toDF("n", "alias_norm")
+    close = n.join(met, "n").join(a, "alias_norm")
     scored = close.withColumn("ratio", ratio(F.col("n"), F.col("alias_norm"))).where(F.col("ratio") >= least)
     best = F.row_number().over(Window.partitionBy(name).orderBy(F.desc("ratio"), "cid"))
     return scored.withColumn("k", best).where("k = 1").select(name, "cid", "ratio")
@@ -105,12 +102,9 @@ def confident(resolved: DataFrame) -> DataFrame:
 def near_duplicates(names: DataFrame, cutoff: float = V.NEAR, top: int = 4) -> DataFrame:
     """(a, b, ratio) of distinct names, b among a's ``top`` most similar (a itself counts as one) at the cutoff or above.
 
-    names: (name): normalised and distinct. Pairs meet by length within what the cutoff allows.
+    names: (name): normalised and distinct. Pairs meet by segments that a similar pair must share.
     """
-    most = (2 - cutoff) / cutoff
-    a = names.select(F.col("name").alias("a")).withColumn("len", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.length("a") / most)).cast("int"), F.floor(F.length("a") * most).cast("int"))))
-    b = names.select(F.col("name").alias("b")).withColumn("len", F.length("b"))
-    met = a.join(b, "len").where((F.col("a") != F.col("b")) & lengths_allow(F.col("a"), F.col("b"), cutoff) & letters_allow(F.col("a"), F.col("b"), cutoff))
+    met = may_be_similar(names.select("name"), names.select("name"), cutoff).where("a <> b")
     # the probe comes second, as it does where the closest are looked up
     close = met.withColumn("probe", ratio(F.col("b"), F.col("a"))).where(F.col("probe") >= cutoff)
     k = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("probe"), F.desc("b")))

@@ -225,6 +225,29 @@ def seed_pairs(d: Directory, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return d.distinct_pairs.unionByName(new, allowMissingColumns=True), skipped
 
 
+def seed_collisions(d: Directory, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """wanted: (owner, other, alias, note) names. The next acknowledged_collisions, each once, and the names that nobody has."""
+    ids = d.characters.select(N.norm(F.col("primary_name")).alias("key"), "character_id").groupBy("key").agg(F.max("character_id").alias("id"))
+    w = wanted.withColumn("ka", N.norm(F.col("owner"))).withColumn("kb", N.norm(F.col("other"))).withColumn("alias_norm", N.norm(F.col("alias")))
+    met = w.join(ids.withColumnsRenamed({"key": "ka", "id": "owner_cid"}), "ka", "left").join(ids.withColumnsRenamed({"key": "kb", "id": "other_cid"}), "kb", "left")
+    keys = ["owner_cid", "other_cid", "alias_norm"]
+    good = met.where("owner_cid is not null and other_cid is not null and owner_cid <> other_cid and alias_norm <> ''").select(*keys).distinct()
+    new = good.join(d.acknowledged_collisions.select(*keys), keys, "left_anti")
+    skipped = met.where("owner_cid is null").select(F.col("owner").alias("name")).union(met.where("other_cid is null").select("other")).distinct()
+    return d.acknowledged_collisions.unionByName(new, allowMissingColumns=True), skipped
+
+
+def seed_disguises(d: Directory, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """wanted: (persona, true_name, reveal_book) names. The next disguise_map, each persona of a character once, and true names that nobody has; a persona may have a row of its own."""
+    ids = d.characters.select(N.norm(F.col("primary_name")).alias("key"), "character_id").groupBy("key").agg(F.max("character_id").alias("id"))
+    w = wanted.withColumn("persona_norm", N.norm(F.col("persona"))).withColumn("kt", N.norm(F.col("true_name")))
+    met = w.join(ids.withColumnsRenamed({"key": "kt", "id": "true_cid"}), "kt", "left").join(ids.withColumnsRenamed({"key": "persona_norm", "id": "persona_cid"}), "persona_norm", "left")
+    keys = ["persona_norm", "true_cid"]
+    good = met.where("true_cid is not null and persona_norm <> ''").groupBy(*keys).agg(F.min("persona").alias("persona_name"), F.min("true_name").alias("true_name"), F.min("reveal_book").cast("int").alias("reveal_book"), F.max("persona_cid").alias("persona_cid"))
+    new = good.join(d.disguise_map.select(*keys), keys, "left_anti")
+    return d.disguise_map.unionByName(new, allowMissingColumns=True), met.where("true_cid is null").select(F.col("true_name").alias("name")).distinct()
+
+
 def with_slots(books: DataFrame) -> DataFrame:
     """Books of an older version with slot, label and is_prequel filled in."""
     out = books

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import difflib
 import json
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import ages, names, origins
@@ -173,6 +174,7 @@ class Fold:
         self.edges: dict[tuple[int, int, str], dict] = {}
         self.main = {c for c, p in self.people.items() if p.get("in_main")}
         self.made: set[int] = set()
+        self.touched: set[int] = set()  # whose traits or names were written, if only with what they had
         self.auto = False
 
     def put(self, c: int, n: str, alias: dict) -> None:
@@ -302,12 +304,14 @@ class Fold:
             self.put(c, x["clean_norm"], {"character_id": c, "alias_text": x["clean"], "alias_norm": x["clean_norm"], "notes": None, "name": whole})
         own[x["clean_norm"]] |= {"alias_type": "primary", "is_primary": True}
         person |= {"primary_name": x["clean"], "name": whole}
+        self.touched.add(c)
 
     def create(self, e: dict) -> int:
         self.newest = c = self.newest + 1
         traits = {t: e["traits"].get(t) for t in TRAITS}
         self.people[c] = {"character_id": c, "primary_name": e["name"]["text"], "character_type": e["type"], "nationality": e.get("origin") or e.get("category"), "age": e.get("age"), "age_rank": e["age_rank"], "name": e["name"], "first_chapter_id": None, **traits}
         self.made.add(c)
+        self.touched.add(c)
         self.add_alias(c, e["name"], "primary", primary=True)
         for a in e["aliases"]:
             self.add_alias(c, a["name"], a["type"], a.get("notes"), a["misnomer"])
@@ -324,19 +328,23 @@ class Fold:
             said, now = e["origin"], p["nationality"] if p.get("origin_known", True) else None
             if now is None:
                 p |= {"nationality": said, "origin_known": True}
+                self.touched.add(c)
             elif not _places(now) & _places(said):
                 self.park(chapter, "origin_conflict", e, f"have {now}, chapter suggests {said}; kept")
             elif len(_places(said)) > len(_places(now)):
                 p["nationality"] = said
+                self.touched.add(c)
         if e.get("age") and not guard:
             rank, now = e["age_rank"], p.get("age_rank")
             now = -1 if now is None or p.get("age") is None else now
             number = e["age"].startswith("about ") and not str(p.get("age")).startswith("about ")
             if rank > now or (rank == now and number):
                 p |= {"age": e["age"], "age_rank": rank}
+                self.touched.add(c)
         for t in TRAITS:
-            if e["traits"].get(t) and not (guard and t in V.GUARDED_TRAITS) and p.get(t) is None:
-                p[t] = e["traits"][t]
+            if e["traits"].get(t) and not (guard and t in V.GUARDED_TRAITS):
+                p[t] = e["traits"][t] if p.get(t) is None else p[t]
+                self.touched.add(c)
         for a in e["aliases"]:
             self.add_alias(c, a["name"], a["type"], a.get("notes"), a["misnomer"])
         x, now = e["name"], p["name"]
@@ -422,12 +430,24 @@ class Fold:
         own = [a for c in sorted(self.aliases) for a in self.aliases[c].values()]
         for k, a in enumerate(own):
             a["alias_id"] = k + 1
+        for c, p in self.people.items():
+            p["touched"] = c in self.touched
         return {
             "characters": list(self.people.values()), "aliases": own, "factions": list(self.groups.values()), "character_factions": list(self.members.values()), "review_queue": self.queue,
             "appearances": [r for r in self.seen.values() if r], "mentions": list(self.told.values()), "relationships": list(self.edges.values()),
         }
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """df, computed once: written where all executors can read it, or kept by a session that names no such folder."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/tesserae-fold-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _state(d: Directory, slot: str, chapters: DataFrame) -> DataFrame:
     """(slot, name, at, payload): what the fold holds of the directory: its roster, and who is in the chapters told."""
     from tesserae.plans.change import main_series
@@ -447,12 +467,26 @@ def _state(d: Directory, slot: str, chapters: DataFrame) -> DataFrame:
     return out
 
 
-def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool = False) -> Directory:
+def _dated(d: Directory, t: str, rows: DataFrame, now: Column) -> DataFrame:
+    """rows with the times of creation and change: those of the directory, or now for new rows; now is also the change of rows that were touched."""
+    old, key = getattr(d, t), {"characters": "character_id", "factions": "faction_id", "review_queue": "review_id"}[t]
+    made, changed = (f"old_{c}" for c in ("created_at", "updated_at"))
+    at = lambda c: F.col(c).cast("timestamp") if c in old.columns else F.lit(None).cast("timestamp")
+    times = old.select(key, at("created_at").alias(made), at("updated_at").alias(changed), F.lit(True).alias("known"))
+    met = rows.drop("created_at", "updated_at").join(times, key, "left")
+    out = met.withColumn("created_at", F.when(F.col("known"), F.col(made)).otherwise(now))
+    if t == "characters":
+        out = out.withColumn("updated_at", F.when(F.col("touched"), now).otherwise(F.col(changed)))
+    return out.select(*[f.strip().split()[0] for f in SCHEMAS[t].split(",")])
+
+
+def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool = False, now: Column | None = None) -> Directory:
     """The next version of the directory, with all chapters of the extractions told in reading order.
 
     extractions: rows of EXTRACTION. Chapters that the directory lacks are refused by leaving them
     out; missing lists are empty. auto: new characters whose confidence is high are made though a
-    similar name exists, and queued all the same.
+    similar name exists, and queued all the same. now: the time that new and changed rows bear, that
+    of the run by default. The fold's answer is written to the shared folder once.
     """
     order = d.chapters.select("chapter_id", "book_id", "chapter_number").join(d.books.select("book_id", "series_order", F.coalesce("is_prequel", F.lit(False)).alias("is_prequel")), "book_id")
     listed = lambda c: F.coalesce(c, F.array()).alias(c)
@@ -477,9 +511,11 @@ def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool =
     from tesserae.session import ship
 
     ship(d.spark)
-    folded = _state(d, slot, extractions).unionByName(told).unionByName(_told(_texts(d, extractions), slot)).groupBy("slot").applyInPandas(run, "slot string, name string, payload string").cache()
-    made = {t: folded.where(F.col("name") == t).select(F.from_json("payload", SCHEMAS[t]).alias("x")).select("x.*") for t in (*RESULT, *ADDED)}
-    new = {t: made[t] for t in RESULT}
+    folded = _state(d, slot, extractions).unionByName(told).unionByName(_told(_texts(d, extractions), slot)).groupBy("slot").applyInPandas(run, "slot string, name string, payload string")
+    folded = _written(folded)
+    made = {t: folded.where(F.col("name") == t).select(F.from_json("payload", SCHEMAS[t] + ", touched boolean" * (t == "characters")).alias("x")).select("x.*") for t in (*RESULT, *ADDED)}
+    now = F.current_timestamp() if now is None else now
+    new = {t: _dated(d, t, made[t], now) if t in ("characters", "factions", "review_queue") else made[t] for t in RESULT}
     one = lambda t: made[t].select(*[c for c in made[t].columns if c in getattr(d, t).columns])
     new["appearances"] = insert_replace(d.appearances, one("appearances"), ["character_id", "chapter_id"], [F.col("name_used")])
     for t, keys in (("mentions", ["character_id", "chapter_id"]), ("relationships", ["character_a", "character_b", "relationship_type"])):

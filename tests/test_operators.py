@@ -3,6 +3,7 @@
 import difflib
 import io
 import json
+import random
 import re
 import zipfile
 
@@ -59,7 +60,6 @@ def test_fuzzy_against_all_pairs(spark, aliases):
 
 
 def test_near_duplicates_against_the_library(spark):
-    import random
 
     r = random.Random(5)
     names = set()
@@ -286,3 +286,34 @@ def test_passages_reads_documents_of_any_language(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     (r,) = QUERIES["passages"](spark, str(tmp_path)).collect()
     assert (r["id"], r["chapters"], r["matches"], sorted(r["passages"])) == (2, 3, 3, ["the one", "the three", "the two"])
+
+
+def test_pairs_that_may_be_similar(spark):
+    """All pairs over the ratio are among those that meet by segments, and few others."""
+
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdeilmnorst") for _ in range(r.randint(1, 14))) for _ in range(120)]
+    names = set(words) | {"é", "aa", "aab"}
+    for w in list(words):
+        x = list(w)
+        for _ in range(r.randint(1, 2)):
+            x.insert(r.randrange(len(x) + 1), r.choice(["", "z", "é"]))
+            if r.random() < 0.5:
+                x.pop(r.randrange(len(x)))
+        names.add("".join(x))
+    names = sorted(n for n in names if n)
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    for least in (0.86, 0.88):
+        want = {(a, b) for a in names for b in names if difflib.SequenceMatcher(None, a, b).ratio() >= least}
+        got = {(x["a"], x["b"]) for x in similarity.may_be_similar(df, df, least).collect()}
+        assert want <= got and len(got) <= 0.05 * len(names) ** 2
+
+
+def test_evidence_anywhere(spark):
+    texts = ["The old  man‘s hat, and a stick", "Two words", None, "", "one"]
+    claims = ["old MAN's hat,", "man's", "wo wor", "two word", "an's hat, and a st", "d man's hat, and a sti", "stick one", "hat a", "", "ne", "nothing here at all"]
+    c = spark.createDataFrame(list(enumerate(claims)), "id int, evidence string")
+    t = spark.createDataFrame(list(enumerate(texts)), "key int, text string")
+    got = {r["evidence"]: r["verified"] for r in audits.evidence_anywhere(c, t).collect()}
+    low = [" ".join((x or "").lower().replace("‘", "'").split()) for x in texts if x is not None]
+    assert got == {x: any(" ".join(x.lower().split()) in y for y in low) for x in claims}

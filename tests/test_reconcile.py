@@ -122,3 +122,19 @@ def test_rosters_and_files(spark):
 @pytest.mark.parametrize("entries,want", [([], 0), ([{"name": {"norm": ""}}], 0)])
 def test_dedupe_of_nothing(entries, want):
     assert len(R.dedupe(entries)) == want
+
+
+def test_times(spark):
+    """Who is told of is changed now; all others, and all creations, keep their times."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    old, now = datetime(2020, 1, 2, 3, 4, 5, 123456), datetime(2030, 1, 1)
+    people = [(k, n, "human", None, None, None, None, None, None, None, None, old, old) for k, n in ((1, "Rand al'Thor"), (2, "Verin Mathwin"))]
+    aliases = [(k, k, n, n.lower(), "primary", None, True, None) for k, n in ((1, "Rand al'Thor"), (2, "Verin Mathwin"))]
+    one = {"chapter_id": 11, "characters": [person("Verin Mathwin", False, physical_traits="stout"), person("Nynaeve", kind="human")]}
+    out = R.reconcile(directory(spark, characters=people, aliases=aliases), said(spark, one), auto=True, now=F.lit(now))
+    assert table(out, "characters", "character_id", "created_at", "updated_at") == [(1, old, old), (2, old, now), (3, now, now)]
+    none = {"chapter_id": 12, "characters": []}
+    assert table(R.reconcile(out, said(spark, none)), "characters", "created_at", "updated_at") == table(out, "characters", "created_at", "updated_at")
