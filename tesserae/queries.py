@@ -439,7 +439,7 @@ def book_problems(spark, sf_dir):
     return audits.book_problems(d.having(books=b), "book3")
 
 
-@query(r"""SELECT chapter_id, term, count(*) AS n FROM (SELECT doc_id AS chapter_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Pc}]+')) AS w FROM documents) c
+@query(r"""SELECT chapter_id, term, count(*) AS n FROM (SELECT doc_id AS chapter_id, unnest(string_split_regex(lower(text), '[^\pL\pM0-9_]+')) AS w FROM documents) c
 JOIN (SELECT unnest(['the', 'idiot', 'Erin', 'trash']) AS term) t ON w = lower(term) GROUP BY ALL""")
 def term_counts(spark, sf_dir):
     c = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chapter_id"), F.col("text").alias("full_text"))
