@@ -354,7 +354,8 @@ def drop_lines(docs: DataFrame, **rule) -> DataFrame:
     _, removed = duplicates(docs, **rule)
     names = docs.columns
     key, gone = spare("__key", names), spare("__removed", names)
-    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(removed.select(F.col("key").alias(key), F.col("removed").alias(gone)), key, "left")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given stays: whole texts are not put together to few large tasks
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).repartition(parts, key).join(removed.select(F.col("key").alias(key), F.col("removed").alias(gone)), key, "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
     new = F.when(F.col(gone).isNull(), F.col("text")).otherwise(left)
     out = joined.withColumn("text", new).where(F.col(gone).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
