@@ -16,6 +16,8 @@ import regex
 
 #: A worker forgets what it has encoded beyond so many entries, which bounds its memory.
 ENTRIES = 400_000
+#: Of ids, it keeps so many entries and as many older ones.
+KEPT = 131_072
 
 _cache: dict[str, dict] = {}
 _models: dict[str, object] = {}
@@ -67,7 +69,7 @@ class Memory(dict):
         return found
 
     def settle(self) -> "Memory":
-        if len(self) > ENTRIES:
+        if len(self) > KEPT:
             self.old = dict(self)
             self.clear()
         return self
