@@ -1,10 +1,12 @@
 """Language-model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The class comes from a softmax over
-hashed features of the history: the word before, the pair before, and the words two and three
-places before (skips). Within its class a word has its smoothed share of the counts. Classes are
-clusters of words by their neighbours, split by frequency; rare words join the cluster that their
-spelling resembles.
+P(word | history) = P(class | history) * P(group | class, history) * P(word | group). The class
+comes from a softmax over hashed features of the history: the word before, the pair before, and the
+words two and three places before (skips). A second softmax with features of its own, each hashed
+together with the class, tells the groups of a class of frequent words apart: a common word is a
+group of its own, others share theirs. Within its group a word has its smoothed share of the counts.
+Classes are clusters of words by their neighbours, split by frequency; rare words join the cluster
+that their spelling resembles and are one group there.
 
 The frequent words, at most FREQUENT of them, travel with the tasks. Counts of all other words
 stay distributed: a text's rare words are joined to them.
@@ -30,12 +32,15 @@ CLUSTERS, PAIRS = 8, 1 << 14
 #: Of each cluster two classes of frequent words with half its mass each, and one of rare words; then the end of a text.
 CLASSES = 3 * CLUSTERS + 1
 END = CLASSES - 1
+#: Groups of a class; buckets of their features.
+GROUPS, FINE = CLASSES, 1 << 16
 ROUNDS, RATE, BATCH = 2, 0.3, 8192
 #: Groups of tasks whose sums are added first: of 800,000 tasks 1,600 rows of some 100 kB come together, then FAN.
 FAN = 512
 #: A feature for each word that is one, for each class, and for the text's beginning.
 WORDS = FEATURES + CLASSES + 1
-ROWS = 3 * WORDS + PAIRS
+COARSE = 3 * WORDS + PAIRS
+ROWS = COARSE + FINE
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -84,6 +89,7 @@ class Vocabulary:
     words: list[bytes]
     counts: np.ndarray  # of the frequent words
     classes: np.ndarray  # of the frequent words
+    groups: np.ndarray  # of the frequent words, within their classes
     spelling: np.ndarray  # (65536, clusters): log-likelihood of two bytes in a row
 
     def ranks(self) -> pa.Array:
@@ -185,6 +191,18 @@ def _neighbours(train: DataFrame, words: list[bytes]) -> np.ndarray:
     return _summed(train.select("text"), arrays, (CLUSTERED, NEIGHBOURS), "<i8")
 
 
+def grouped(n: np.ndarray, most: int) -> np.ndarray:
+    """Groups of words with counts n, the most frequent first: each takes words until it has an equal share of what is left."""
+    out, left, group, held = np.zeros(len(n), np.int64), float(n.sum()), 0, 0.0
+    for k, x in enumerate(n.tolist()):
+        if held and group < most - 1 and held >= (left + held) / (most - group):
+            group, held = group + 1, 0.0
+        out[k] = group
+        held += x
+        left -= x
+    return out
+
+
 def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
     least = least_count(counts.where("word <> X'20'"), FREQUENT)
     top = sorted(counts.where(f"word <> X'20' and n >= {least}").collect(), key=lambda r: (-r["n"], r["word"]))  # at most FREQUENT
@@ -199,12 +217,15 @@ def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
         np.add.at(table, (pairs, np.repeat(of_top[: len(first)], lengths)), 1.0)
     spelling = np.log(table / table.sum(0, keepdims=True)).astype(np.float32)
     group = np.concatenate((of_top[:CLUSTERED], spelled(words[CLUSTERED:], spelling))) if len(words) > CLUSTERED else of_top
-    classes = np.zeros(len(words), np.int64)
+    classes, groups = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     for g in range(CLUSTERS):
         own = np.flatnonzero(group == g)
         mass = np.cumsum(n[own])
         classes[own] = 3 * g + (mass > mass[-1] / 2) if len(own) else 0
-    return Vocabulary(words, n, classes, spelling)
+    for c in range(CLASSES):
+        own = np.flatnonzero(classes == c)
+        groups[own] = grouped(n[own], GROUPS)
+    return Vocabulary(words, n, classes, groups, spelling)
 
 
 @dataclass
@@ -213,11 +234,22 @@ class Encoded:
 
     classes: np.ndarray
     features: np.ndarray  # (tokens, 4) rows of the weight table
+    split: np.ndarray  # the tokens whose class has groups
+    groups: np.ndarray  # of those tokens
+    fine: np.ndarray  # of those tokens: (tokens, 3) rows of the weight table
     ranks: np.ndarray  # -1: rare, -2: end
     starts: np.ndarray
     rare: list[list[bytes]]
 
 
+def _buckets(*parts: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(parts[-1]), np.uint64)
+    for p in parts:
+        h = (h ^ np.asarray(p).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(33)).astype(np.int64) % FINE
+
+
 def encode(texts, v: Vocabulary, ranks: pa.Array) -> Encoded:
     texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
     flat, offsets = split(texts)
@@ -243,15 +275,23 @@ def encode(texts, v: Vocabulary, ranks: pa.Array) -> Encoded:
     word = np.where(known & (rank < FEATURES), rank, FEATURES + cls)
     begin = WORDS - 1
     inside = np.arange(total) - np.repeat(starts, lengths)
-    before = []
-    for k in (1, 2, 3):
-        x = np.full(total, begin, np.int64)
-        x[k:] = word[:-k] if k < total else word[:0]
-        x[inside < k] = begin
-        before.append(x)
+
+    def back(a, k, first):
+        x = np.full(total, first, np.int64)
+        x[k:] = a[:-k] if k < total else a[:0]
+        x[inside < k] = first
+        return x
+
+    before = [back(word, k, begin) for k in (1, 2, 3)]
     pair = ((before[0] * 0x9E3779B1 + before[1] * 0x85EBCA77) >> 7) % PAIRS
     features = np.stack([before[0], before[1] + WORDS, before[2] + 2 * WORDS, pair + 3 * WORDS], axis=1)
-    return Encoded(cls, features, rank, starts, rare)
+    at = np.flatnonzero(known)
+    name = np.where(known, rank, len(v.words) + cls)  # every frequent word is a feature here
+    one, two = (back(name, k, len(v.words) + CLASSES)[at] for k in (1, 2))
+    own = cls[at]
+    kind = lambda j: np.full(len(at), j, np.int64)
+    fine = COARSE + np.stack([_buckets(kind(1), own, one), _buckets(kind(2), own, two), _buckets(kind(3), own, one, two)], axis=1)
+    return Encoded(cls, features, at, v.groups[rank[at]], fine, rank, starts, rare)
 
 
 def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -263,11 +303,11 @@ def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) ->
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def _descend(weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, bias: np.ndarray, e: Encoded) -> None:
-    """One adaptive gradient step for each so many tokens."""
-    for s in range(0, len(e.classes), BATCH):
-        f, c = e.features[s : s + BATCH], e.classes[s : s + BATCH]
-        g = np.exp(log_softmax(weights, bias, f))
+def _descend(weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, bias: np.ndarray, features: np.ndarray, chosen: np.ndarray) -> None:
+    """One adaptive gradient step for each so many tokens. bias: of all tokens, or a row for each."""
+    for s in range(0, len(chosen), BATCH):
+        f, c = features[s : s + BATCH], chosen[s : s + BATCH]
+        g = np.exp(log_softmax(weights, bias if bias.ndim == 1 else bias[s : s + BATCH], f))
         g[np.arange(len(c)), c] -= 1
         for j in range(f.shape[1]):
             order = np.argsort(f[:, j])
@@ -282,7 +322,7 @@ def _descend(weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, bias: n
             seen[rows] += n
 
 
-def train_weights(train: DataFrame, v: Vocabulary, bias: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def train_weights(train: DataFrame, v: Vocabulary, bias: np.ndarray, group_bias: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Each round takes the training texts of one hash slice: every task goes down the gradient from the weights it is given; a row's steps are averaged over the tasks, weighted by the tokens that used it."""
     weights = np.zeros((ROWS, CLASSES), np.float32)
     for r in range(rounds):
@@ -295,7 +335,9 @@ def train_weights(train: DataFrame, v: Vocabulary, bias: np.ndarray, rounds: int
             for b in batches:
                 any_rows = any_rows or b.num_rows > 0
                 for k in range(0, b.num_rows, 500):
-                    _descend(own, squares, seen, bias, encode(b.column(0).slice(k, 500), v, ranks))
+                    e = encode(b.column(0).slice(k, 500), v, ranks)
+                    _descend(own, squares, seen, bias, e.features, e.classes)
+                    _descend(own, squares, seen, group_bias[e.classes[e.split]], e.fine, e.groups)
             if not any_rows:
                 return None
             return np.concatenate(((own - given) * seen[:, None], seen[:, None]), axis=1).astype("<f4")
@@ -311,14 +353,15 @@ class Model:
     vocabulary: Vocabulary
     weights: np.ndarray
     bias: np.ndarray
-    log_mass: np.ndarray  # log10 of each class's smoothed mass
+    group_bias: np.ndarray  # (classes, groups)
+    log_mass: np.ndarray  # (classes, groups): log10 of each group's smoothed mass
     n: int
     distinct: int
     ends: int
 
 
 def _masses(counts: DataFrame, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """Each class's tokens and distinct words, and (h, n) of the rare words."""
+    """Each group's tokens and distinct words, both (classes, groups), and (h, n) of the rare words."""
     top = v.words
     own = set(top)
 
@@ -331,12 +374,12 @@ def _masses(counts: DataFrame, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, D
             yield pa.record_batch([pa.array(np.array([xxhash.xxh64_intdigest(w, 42) for w in left], np.uint64).view(np.int64)), n, pa.array(v.rare(left), pa.int32())], ["h", "n", "class"])
 
     rare = durable(arrow_map(counts, run, "h bigint, n bigint, class int"))
-    tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    tokens, kinds = np.zeros((CLASSES, GROUPS)), np.zeros((CLASSES, GROUPS))
     for r in rare.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():  # CLASSES rows
-        tokens[r["class"]] += r["n"]
-        kinds[r["class"]] += r["k"]
-    np.add.at(tokens, v.classes, v.counts)
-    np.add.at(kinds, v.classes, 1)
+        tokens[r["class"], 0] += r["n"]
+        kinds[r["class"], 0] += r["k"]
+    np.add.at(tokens, (v.classes, v.groups), v.counts)
+    np.add.at(kinds, (v.classes, v.groups), 1)
     return tokens, kinds, rare
 
 
@@ -350,12 +393,16 @@ def fit(docs: DataFrame, remainder: int = 2, folds: int = 7) -> tuple[Model, Dat
     tokens, kinds, rare = _masses(counts, v)
     release(counts)
     ends = total["ends"] or 0
-    tokens[END], kinds[END] = ends, 1
+    tokens[END, 0], kinds[END, 0] = ends, 1
+    masses = tokens + kinds
     # a rare class holds one word never seen, too; classes without words have only that share
-    mass = tokens + kinds + ((np.arange(CLASSES) % 3 == 2) & (np.arange(CLASSES) != END))
+    masses[(np.arange(CLASSES) % 3 == 2) & (np.arange(CLASSES) != END), 0] += 1
+    mass = masses.sum(axis=1)
     bias = np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1)).astype(np.float32)
-    weights = train_weights(train, v, bias) if total["n"] else np.zeros((ROWS, CLASSES), np.float32)
-    return Model(v, weights, bias, np.log10(np.maximum(mass, 1.0)), total["n"] or 0, total["k"] or 0, ends), rare
+    # groups without words are never chosen
+    group_bias = np.where(masses > 0, np.log(np.maximum(masses, 1e-3) / np.maximum(mass, 1)[:, None]), -1e9).astype(np.float32)
+    weights = train_weights(train, v, bias, group_bias) if total["n"] else np.zeros((ROWS, CLASSES), np.float32)
+    return Model(v, weights, bias, group_bias, np.log10(np.maximum(masses, 1.0)), total["n"] or 0, total["k"] or 0, ends), rare
 
 
 def scored(docs: DataFrame, model: Model, counts: DataFrame, remainder: int = 2, folds: int = 7) -> DataFrame:
@@ -369,7 +416,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame, remainder: int = 2,
     unit = float(np.log10(n + distinct + 1))
     logs = np.log10(v.counts + 1.0)
     end = float(np.log10(model.ends + 1.0))
-    weights, bias, log_mass = model.weights, model.bias, model.log_mass
+    weights, bias, group_bias, log_mass = model.weights, model.bias, model.group_bias, model.log_mass
 
     def run(batches):
         ranks = v.ranks()
@@ -379,7 +426,11 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame, remainder: int = 2,
                 gain = np.empty(len(e.classes))
                 for s in range(0, len(gain), BATCH):
                     f, c = e.features[s : s + BATCH], e.classes[s : s + BATCH]
-                    gain[s : s + BATCH] = log_softmax(weights, bias, f)[np.arange(len(c)), c] / np.log(10) - log_mass[c]
+                    gain[s : s + BATCH] = log_softmax(weights, bias, f)[np.arange(len(c)), c] / np.log(10) - log_mass[c, 0]
+                for s in range(0, len(e.split), BATCH):
+                    at, g = e.split[s : s + BATCH], e.groups[s : s + BATCH]
+                    c = e.classes[at]
+                    gain[at] += log_softmax(weights, group_bias[c], e.fine[s : s + BATCH])[np.arange(len(g)), g] / np.log(10) + log_mass[c, 0] - log_mass[c, g]
                 known = np.full(len(gain), end)
                 known[e.ranks == -1] = 0
                 at = e.ranks >= 0
