@@ -284,41 +284,67 @@ def encode(texts, v: Vocabulary, ranks: pa.Array) -> Encoded:
 
     before = [back(word, k, begin) for k in (1, 2, 3)]
     pair = ((before[0] * 0x9E3779B1 + before[1] * 0x85EBCA77) >> 7) % PAIRS
-    features = np.stack([before[0], before[1] + WORDS, before[2] + 2 * WORDS, pair + 3 * WORDS], axis=1)
+    features = np.stack([before[0], before[1] + WORDS, before[2] + 2 * WORDS, pair + 3 * WORDS]).T  # a feature's rows side by side
     at = np.flatnonzero(known)
     name = np.where(known, rank, len(v.words) + cls)  # every frequent word is a feature here
     one, two = (back(name, k, len(v.words) + CLASSES)[at] for k in (1, 2))
     own = cls[at]
     kind = lambda j: np.full(len(at), j, np.int64)
-    fine = COARSE + np.stack([_buckets(kind(1), own, one), _buckets(kind(2), own, two), _buckets(kind(3), own, one, two)], axis=1)
+    fine = COARSE + np.stack([_buckets(kind(1), own, one), _buckets(kind(2), own, two), _buckets(kind(3), own, one, two)]).T
     return Encoded(cls, features, at, v.groups[rank[at]], fine, rank, starts, rare)
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[:, 0]]
+def _raised(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits of each token, their exponentials, and the sums of these; shifted by each row's largest where they may leave the range of a float."""
+    z = weights.take(features[:, 0], axis=0)
     for j in range(1, features.shape[1]):
-        z += weights[features[:, j]]
+        z += weights.take(features[:, j], axis=0)
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    e = np.exp(np.minimum(z, 60))
+    total = e @ np.ones(z.shape[1], z.dtype)
+    odd = np.flatnonzero((total > 1e25) | (total < 1e-25))
+    if len(odd):
+        z[odd] -= z[odd].max(axis=1, keepdims=True)
+        e[odd] = np.exp(z[odd])
+        total[odd] = e[odd].sum(axis=1)
+    return z, e, total
+
+
+def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    z, _, total = _raised(weights, bias, features)
+    return z - np.log(total)[:, None]
+
+
+def log_chosen(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log_softmax of one choice for each token."""
+    z, _, total = _raised(weights, bias, features)
+    return z[np.arange(len(chosen)), chosen] - np.log(total)
 
 
 def _descend(weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, bias: np.ndarray, features: np.ndarray, chosen: np.ndarray) -> None:
     """One adaptive gradient step for each so many tokens. bias: of all tokens, or a row for each."""
     for s in range(0, len(chosen), BATCH):
         f, c = features[s : s + BATCH], chosen[s : s + BATCH]
-        g = np.exp(log_softmax(weights, bias if bias.ndim == 1 else bias[s : s + BATCH], f))
+        _, g, total = _raised(weights, bias if bias.ndim == 1 else bias[s : s + BATCH], f)
+        g /= total[:, None]
         g[np.arange(len(c)), c] -= 1
+        place = np.arange(len(c))
         for j in range(f.shape[1]):
-            order = np.argsort(f[:, j])
-            ordered = f[order, j]
+            both = f[:, j] * BATCH + place  # sorted as one number, tokens of a row stay in their order
+            both.sort()
+            ordered = both // BATCH
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             rows = ordered[first]
-            d = np.add.reduceat(g[order], first, axis=0)
-            n = np.diff(np.append(first, len(order)))
-            d /= np.sqrt(n)[:, None]  # frequent rows have many tokens in one step
-            squares[rows] += d * d
-            weights[rows] -= RATE * d / np.sqrt(squares[rows])
+            d = np.add.reduceat(g.take(both % BATCH, axis=0), first, axis=0)
+            n = np.diff(np.append(first, len(both)))
+            d /= np.sqrt(n, dtype=np.float32)[:, None]  # frequent rows have many tokens in one step
+            sq = squares.take(rows, axis=0)
+            sq += d * d
+            squares[rows] = sq
+            np.sqrt(sq, out=sq)
+            d *= RATE
+            d /= sq
+            weights[rows] -= d
             seen[rows] += n
 
 
@@ -426,11 +452,11 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame, remainder: int = 2,
                 gain = np.empty(len(e.classes))
                 for s in range(0, len(gain), BATCH):
                     f, c = e.features[s : s + BATCH], e.classes[s : s + BATCH]
-                    gain[s : s + BATCH] = log_softmax(weights, bias, f)[np.arange(len(c)), c] / np.log(10) - log_mass[c, 0]
+                    gain[s : s + BATCH] = log_chosen(weights, bias, f, c) / np.log(10) - log_mass[c, 0]
                 for s in range(0, len(e.split), BATCH):
                     at, g = e.split[s : s + BATCH], e.groups[s : s + BATCH]
                     c = e.classes[at]
-                    gain[at] += log_softmax(weights, group_bias[c], e.fine[s : s + BATCH])[np.arange(len(g)), g] / np.log(10) + log_mass[c, 0] - log_mass[c, g]
+                    gain[at] += log_chosen(weights, group_bias[c], e.fine[s : s + BATCH], g) / np.log(10) + log_mass[c, 0] - log_mass[c, g]
                 known = np.full(len(gain), end)
                 known[e.ranks == -1] = 0
                 at = e.ranks >= 0
