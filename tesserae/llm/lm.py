@@ -55,30 +55,44 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, offsets
 
 
-def _chunks(a: np.ndarray, rows: int = 1024):
+def _chunks(a: np.ndarray, rows: int = 1024) -> pa.RecordBatch:
+    """Rows of a that have something, by blocks of rows: their places in the block, and what they have."""
+    out = []
     for k in range(0, len(a), rows):
-        yield k // rows, a[k : k + rows].tobytes()
+        block = a[k : k + rows]
+        at = np.flatnonzero(block.any(axis=1)).astype("<u2")
+        if len(at):
+            out.append((k // rows, at.tobytes(), block[at].tobytes()))
+    return pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["chunk", "rows", "data"])
+
+
+def _gathered(df: DataFrame) -> DataFrame:
+    """df in fewer tasks where it has many: each sends sums of a fixed size, so it is to sum more text, up to eight splits, while every core has two tasks."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-df.rdd.getNumPartitions() // 8)))
 
 
 def _summed(df: DataFrame, arrays, shape: tuple[int, int], dtype: str) -> np.ndarray:
     """The sum over all tasks of the arrays that ``arrays(batches)`` gives, of a fixed shape: added up in two levels of tasks."""
+    width = shape[1]
 
     def emit(batches):
         total = arrays(batches)
         if total is not None:
-            parts = list(_chunks(total))
-            yield pa.record_batch([pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["chunk", "data"])
+            yield _chunks(total)
 
     def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), dtype) for x in t.column("data"))
-        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()], pa.int32()), "data": pa.array([np.asarray(total, dtype).tobytes()], pa.binary())})
-
-    rows = arrow_map(df, emit, "chunk int, data binary")
-    some = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy("chunk", "part").applyInArrow(add, "chunk int, data binary")
+        total = np.zeros((1024, width), dtype)
+        for rows, x in zip(t.column("rows"), t.column("data"), strict=True):
+            total[np.frombuffer(rows.as_py(), "<u2")] += np.frombuffer(x.as_py(), dtype).reshape(-1, width)
+        out = _chunks(total).to_pydict()
+        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * len(out["chunk"]), pa.int32()), "rows": pa.array(out["rows"], pa.binary()), "data": pa.array(out["data"], pa.binary())})
+
+    schema = "chunk int, rows binary, data binary"
+    rows = arrow_map(_gathered(df), emit, schema)
+    some = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy("chunk", "part").applyInArrow(add, schema)
     out = np.zeros(shape, dtype)
-    for r in some.groupBy("chunk").applyInArrow(add, "chunk int, data binary").collect():  # as many bytes as the shape has
-        got = np.frombuffer(r["data"], dtype).reshape(-1, shape[1])
-        out[r["chunk"] * 1024 : r["chunk"] * 1024 + len(got)] = got
+    for r in some.groupBy("chunk").applyInArrow(add, schema).collect():  # as many bytes as the shape has
+        out[r["chunk"] * 1024 + np.frombuffer(r["rows"], "<u2").astype(np.int64)] = np.frombuffer(r["data"], dtype).reshape(-1, width)
     return out
 
 
