@@ -37,6 +37,8 @@ GROUPS, FINE = CLASSES, 1 << 16
 ROUNDS, RATE, BATCH = 2, 0.3, 8192
 #: Groups of tasks whose sums are added first: of 800,000 tasks 1,600 rows of some 100 kB come together, then FAN.
 FAN = 512
+#: Tokens of a task that sends sums.
+MANY, FEW = 1 << 24, 1 << 20
 #: A feature for each word that is one, for each class, and for the text's beginning.
 WORDS = FEATURES + CLASSES + 1
 COARSE = 3 * WORDS + PAIRS
@@ -66,9 +68,9 @@ def _chunks(a: np.ndarray, rows: int = 1024) -> pa.RecordBatch:
     return pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["chunk", "rows", "data"])
 
 
-def _gathered(df: DataFrame) -> DataFrame:
-    """df in fewer tasks where it has many: each sends sums of a fixed size, so it is to sum more text, up to eight splits, while every core has two tasks."""
-    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-df.rdd.getNumPartitions() // 8)))
+def _gathered(train: DataFrame, tokens: int) -> DataFrame:
+    """train in as many tasks as it deserves: each sends sums of a fixed size, so it sums up to MANY tokens, or fewer while cores are idle, but not below FEW."""
+    return train.coalesce(max(1, tokens // MANY, min(train.sparkSession.sparkContext.defaultParallelism, tokens // FEW)))
 
 
 def _summed(df: DataFrame, arrays, shape: tuple[int, int], dtype: str) -> np.ndarray:
@@ -88,7 +90,7 @@ def _summed(df: DataFrame, arrays, shape: tuple[int, int], dtype: str) -> np.nda
         return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * len(out["chunk"]), pa.int32()), "rows": pa.array(out["rows"], pa.binary()), "data": pa.array(out["data"], pa.binary())})
 
     schema = "chunk int, rows binary, data binary"
-    rows = arrow_map(_gathered(df), emit, schema)
+    rows = arrow_map(df, emit, schema)
     some = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy("chunk", "part").applyInArrow(add, schema)
     out = np.zeros(shape, dtype)
     for r in some.groupBy("chunk").applyInArrow(add, schema).collect():  # as many bytes as the shape has
@@ -428,8 +430,9 @@ def fit(docs: DataFrame, remainder: int = 2, folds: int = 7) -> tuple[Model, Dat
     own = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     train = docs.select("doc_id", "text").where(F.coalesce(own != remainder, F.lit(True)))
     counts = durable(_counted(train))
-    v = vocabulary(train, counts)
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.when(F.col("word") == F.expr("X'20'"), F.col("n"))).alias("ends")).first()
+    train = _gathered(train, total["n"] or 0)
+    v = vocabulary(train, counts)
     tokens, kinds, rare = _masses(counts, v)
     release(counts)
     ends = total["ends"] or 0
