@@ -35,10 +35,10 @@ END = CLASSES - 1
 #: Groups of a class; buckets of their features.
 GROUPS, FINE = CLASSES, 1 << 16
 ROUNDS, RATE, BATCH = 2, 0.3, 8192
-#: Groups of tasks whose sums are added first: of 800,000 tasks 1,600 rows of some 100 kB come together, then FAN.
+#: Tasks whose sums are added first: FAN rows of some 100 kB come together, then of 800,000 tasks 1,600.
 FAN = 512
-#: Tokens of a task that sends sums.
-MANY, FEW = 1 << 24, 1 << 20
+#: Tokens of a task that sends sums, at least.
+MANY = 1 << 22
 #: A feature for each word that is one, for each class, and for the text's beginning.
 WORDS = FEATURES + CLASSES + 1
 COARSE = 3 * WORDS + PAIRS
@@ -69,8 +69,8 @@ def _chunks(a: np.ndarray, rows: int = 1024) -> pa.RecordBatch:
 
 
 def _gathered(train: DataFrame, tokens: int) -> DataFrame:
-    """train in as many tasks as it deserves: each sends sums of a fixed size, so it sums up to MANY tokens, or fewer while cores are idle, but not below FEW."""
-    return train.coalesce(max(1, tokens // MANY, min(train.sparkSession.sparkContext.defaultParallelism, tokens // FEW)))
+    """train in no more tasks than one for MANY tokens each: every task sends sums of a fixed size, so they follow the input."""
+    return train.coalesce(max(1, tokens // MANY))
 
 
 def _summed(df: DataFrame, arrays, shape: tuple[int, int], dtype: str) -> np.ndarray:
@@ -91,7 +91,7 @@ def _summed(df: DataFrame, arrays, shape: tuple[int, int], dtype: str) -> np.nda
 
     schema = "chunk int, rows binary, data binary"
     rows = arrow_map(df, emit, schema)
-    some = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy("chunk", "part").applyInArrow(add, schema)
+    some = rows.withColumn("part", F.floor(F.spark_partition_id() / F.lit(FAN))).groupBy("chunk", "part").applyInArrow(add, schema)
     out = np.zeros(shape, dtype)
     for r in some.groupBy("chunk").applyInArrow(add, schema).collect():  # as many bytes as the shape has
         out[r["chunk"] * 1024 + np.frombuffer(r["rows"], "<u2").astype(np.int64)] = np.frombuffer(r["data"], dtype).reshape(-1, width)
