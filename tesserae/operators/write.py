@@ -28,6 +28,15 @@ def fill_once(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str
     return old.join(given, keys, "left").select(*[F.coalesce(c, f"__{c}").alias(c) if c in columns else F.col(c) for c in old.columns])
 
 
+def new_ids(df: DataFrame, out: str, last: int, key: str, order: list[str], buckets: int = 1024) -> DataFrame:
+    """df with ``out``: ids from last + 1 without gaps, dealt bucket by bucket of the key's hash; only the buckets' counts meet in one task."""
+    d = df.withColumn("__b", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
+    return d.join(starts, "__b").withColumn(out, (F.lit(last) + F.col("__start") + place).cast("bigint")).drop("__b", "__start")
+
+
 def collapsed(df: DataFrame, key: str, order: str, first: list[str], every: list[str], given: list[str], lists: dict[str, str]) -> DataFrame:
     """Several entries of one key as one: scalars of the first, flags that all have, the first value given, arrays joined by an element's key.
 

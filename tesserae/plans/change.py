@@ -16,6 +16,7 @@ from tesserae.functions import values as V
 from tesserae.model import Directory
 from tesserae.operators import audits
 from tesserae.operators.read import reading_order
+from tesserae.operators.write import new_ids
 
 #: Where characters are pointed to.
 ENDS = {
@@ -82,7 +83,7 @@ def restore(source: Directory, target: Directory, ids: DataFrame) -> Directory:
         raise ValueError("the target lacks what the characters need")
     last = target.characters.agg(F.coalesce(F.max("character_id"), F.lit(0)).alias("last")).first()["last"]
     own = source.characters.join(ids, "character_id", "left_semi")
-    new = own.select(F.col("character_id").alias("old"), (F.lit(last) + F.row_number().over(Window.orderBy("character_id"))).cast("bigint").alias("id"))
+    new = new_ids(own.select(F.col("character_id").alias("old")), "id", last, "old", ["old"])
     rest = source.characters.join(ids, "character_id", "left_anti").select(F.col("character_id").alias("old"), "primary_name").join(target.characters.select(F.col("character_id").alias("id"), "primary_name"), "primary_name")
     people = new.union(rest.select("old", "id"))
     chapters = translated(source, target)

@@ -13,6 +13,7 @@ from tesserae.functions.names import norm_search
 from tesserae.functions.origins import is_placeholder_value
 from tesserae.model import Directory
 from tesserae.operators.read import reading_order
+from tesserae.operators.write import new_ids
 
 TRAITS = ["nationality", "physical_traits", "age", "filiations", "associations", "personality", "description"]
 
@@ -146,7 +147,7 @@ def apply(d: Directory, pairs: DataFrame, kind: str = "epithet") -> Directory:
     more = aliases(d, pairs, kind).where("action = 'insert'").select(F.col("keep").alias("character_id"), "alias_text", "alias_norm", "alias_type", F.lit(False).alias("is_primary"))
     last = d.aliases.agg(F.coalesce(F.max("alias_id"), F.lit(0)).alias("last")).first()["last"] if "alias_id" in d.aliases.columns else 0
     if "alias_id" in d.aliases.columns:
-        more = more.withColumn("alias_id", F.lit(last) + F.row_number().over(Window.orderBy("character_id", "alias_norm")))
+        more = new_ids(more, "alias_id", last, "character_id", ["character_id", "alias_norm"])
     out = {"characters": characters, "aliases": rest(d.aliases).unionByName(more.select(*[x for x in more.columns if x in d.aliases.columns]), allowMissingColumns=True)}
     moved = appearances(d, pairs).where("action = 'reassign'").select(F.col("drop").alias("character_id"), "chapter_id", "keep")
     out["appearances"] = rest(d.appearances).unionByName(d.appearances.join(moved, ["character_id", "chapter_id"]).withColumn("character_id", F.col("keep")).select(d.appearances.columns))

@@ -317,3 +317,13 @@ def test_evidence_anywhere(spark):
     got = {r["evidence"]: r["verified"] for r in audits.evidence_anywhere(c, t).collect()}
     low = [" ".join((x or "").lower().replace("‘", "'").split()) for x in texts if x is not None]
     assert got == {x: any(" ".join(x.lower().split()) in y for y in low) for x in claims}
+
+
+def test_new_ids_have_no_gaps(spark):
+    from tesserae.operators.write import new_ids
+
+    df = spark.createDataFrame([(k // 3, str(k)) for k in range(300)], "k bigint, x string")
+    got = new_ids(df, "id", 10, "k", ["k", "x"], buckets=7)
+    assert got.columns == ["k", "x", "id"]
+    assert sorted(r["id"] for r in got.collect()) == list(range(11, 311))
+    assert new_ids(df.where("false"), "id", 10, "k", ["k"]).count() == 0
