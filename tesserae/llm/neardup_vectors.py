@@ -32,6 +32,8 @@ NEAREST, MOST, ORDERINGS, ROUNDS = 8, 32, 4, 8
 CELL, BLOCK = 4096, 2048
 #: Nodes compared with all others to audit the search, at least (their number grows with the root of all nodes), and the share of their links to be found.
 AUDITED, RECALL = 256, 0.99
+#: Sampled nodes with links that an audit asks for, and bytes of a sample that travel with tasks.
+LINKED, TRAVEL = 32, 1 << 25
 _SLACK = 1e-4  # single precision in the search
 
 
@@ -314,15 +316,35 @@ def _sparse(near: np.ndarray) -> np.ndarray:
     return out
 
 
-def audit(nodes: DataFrame, counts: DataFrame, similarity: float, sample: int = AUDITED) -> float:
-    """The share of its links that a node of a sample has found, on average; the lower one of nodes with few links and of nodes with many.
+def audit(nodes: DataFrame, counts: DataFrame, similarity: float, n: int | None = None, sample: int | None = None) -> float:
+    """The share of its links that a node has found, on average over sampled nodes that have links; the lower one of nodes with few links and of nodes with many.
 
-    The sample is compared with all nodes and travels with the tasks.
+    A sample is compared with all of the n nodes and travels with the tasks, in TRAVEL bytes at most. Where fewer than
+    LINKED of its nodes have links, four times as many further nodes follow, until that many have, or
+    until every node was compared: only then are no links taken for a full recall.
     """
-    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("node", "group", "x").collect()
+    n = nodes.count() if n is None else n
+    size = nodes.agg(F.max(F.octet_length("x"))).first()[0] or 8
+    want = max(AUDITED, 4 * math.isqrt(n)) if sample is None else sample
+    place = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1 << 40)) / float(1 << 40)
+    low, tally = 0.0, {True: [0, 0.0], False: [0, 0.0]}
+    while low < 1.0 and sum(k for k, _ in tally.values()) < LINKED:
+        high = min(1.0, low + min(want, max(1, TRAVEL // size)) / max(n, 1))
+        chosen = nodes.where((place >= low) & (place < high)).select("node", "group", "x").collect()  # of bounded size
+        for r in _shares(nodes, counts, similarity, chosen).collect():  # two rows
+            tally[r["few"]][0] += r["k"]
+            tally[r["few"]][1] += r["share"]
+        low, want = high, 4 * want
+    return min((share / k for k, share in tally.values() if k), default=1.0)
+
+
+def _shares(nodes: DataFrame, counts: DataFrame, similarity: float, chosen: list) -> DataFrame:
+    """(few, k, share): of the chosen nodes that have links, apart for those with few and with many, their number and the sum of the shares found."""
     by: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for g in {r["group"] for r in chosen}:
-        own = [r for r in chosen if r["group"] == g]
+    members: dict[str, list] = {}
+    for r in chosen:
+        members.setdefault(r["group"], []).append(r)
+    for g, own in members.items():
         by[g] = np.array([r["node"] for r in own], np.int64), _unit(pa.array([bytes(r["x"]) for r in own], pa.binary()))
 
     def run(batches):
@@ -334,17 +356,21 @@ def audit(nodes: DataFrame, counts: DataFrame, similarity: float, sample: int =
                 at = [lo + k for k, x in enumerate(groups) if x == g]
                 take = pa.array(at, pa.int64())
                 ids, m = b.column(0).take(take).to_numpy(), b.column(3).take(take).to_numpy()
-                near = by[g][1] @ _unit(b.column(2).take(take)).T >= similarity
-                near &= by[g][0][:, None] != ids[None, :]
-                for node, k in zip(by[g][0].tolist(), (near @ m).tolist(), strict=True):
-                    total[node] = total.get(node, 0) + k
+                new = _unit(b.column(2).take(take)).T
+                for first in range(0, len(by[g][0]), 1024):
+                    own, x = by[g][0][first : first + 1024], by[g][1][first : first + 1024]
+                    near = x @ new >= similarity
+                    near &= own[:, None] != ids[None, :]
+                    for node, k in zip(own.tolist(), (near @ m).tolist(), strict=True):
+                        if k:
+                            total[node] = total.get(node, 0) + k
         if total:
             yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["node", "n"])
 
     true = arrow_map(nodes.select("node", "group", "x", "m"), run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n")).where("n > 0")
     share = F.coalesce("found", F.lit(0)) / F.col("n")
-    both = true.join(counts.select("node", F.col("n").alias("found")), "node", "left").groupBy(F.col("n") <= NEAREST).agg(F.avg(share).alias("share"))
-    return min((r["share"] for r in both.collect()), default=1.0)  # two rows
+    met = true.join(counts.select("node", F.col("n").alias("found")), "node", "left")
+    return met.groupBy((F.col("n") <= NEAREST).alias("few")).agg(F.count(F.lit(1)).alias("k"), F.sum(share).alias("share"))
 
 
 def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, tries: int = 3) -> DataFrame:
@@ -366,7 +392,7 @@ def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = R
         near = roots.join(roots.where("node <> root").select("root").distinct(), "root", "left_semi").select("node", "root")
         exact = durable(_exact(nodes, near, similarity))
         counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
-        if audit(nodes, counts, similarity, max(AUDITED, 4 * math.isqrt(n))) >= recall:
+        if audit(nodes, counts, similarity, n) >= recall:
             break
         release(exact)
     else:  # the search misses too much: each group is compared as if it were one component

@@ -112,6 +112,34 @@ def test_audit_does_not_let_crowds_hide_pairs(spark):
     assert N.audit(nodes, counts, 0.93) == 0.0
 
 
+def rare(n=700, pairs=2, dim=24, seed=8):
+    """Vectors of which hardly any have links."""
+    r = np.random.default_rng(seed)
+    rows = [(k, r.standard_normal(dim).tolist(), 1) for k in range(n)]
+    for k in range(pairs):
+        rows.append((10_000 + k, (np.array(rows[300 * k + 5][1]) * 1.5).tolist() if k else (np.array(rows[5][1]) + 0.01).tolist(), 1))
+    return rows
+
+
+def test_no_sampled_link_is_no_recall(spark):
+    rows = rare(pairs=2)
+    nodes = N._nodes(N.prepared(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
+    none = spark.createDataFrame([], "node bigint, n bigint")
+    assert N.audit(nodes, none, 0.93) == 0.0
+    assert N.audit(nodes, none, 0.93, sample=10) == 0.0
+    linked = {r[0] for r in by_hand(rows) if r[1]}
+    assert len(linked) == 4
+    none_linked = N._nodes(N.prepared(spark.createDataFrame([r for r in rows if r[0] not in linked], "vec_id bigint, embedding array<double>, label int")))
+    assert N.audit(none_linked, none, 0.93, sample=500) == 1.0
+
+
+def test_rare_links_of_a_search_that_finds_nothing(spark, monkeypatch):
+    monkeypatch.setattr(N, "descend", lambda nodes, graph, roots, *_: (graph, roots))
+    rows = rare(pairs=2)
+    got = N.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == by_hand(rows)
+
+
 def test_a_search_that_finds_nothing_is_made_up_for(spark, monkeypatch):
     monkeypatch.setattr(N, "descend", lambda nodes, graph, roots, *_: (graph, roots))
     rows = table(60)
