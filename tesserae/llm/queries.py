@@ -227,7 +227,7 @@ FROM embeddings LEFT JOIN c ON c.s = vec_id LEFT JOIN n ON n.s = vec_id
 WITH d AS (SELECT doc_id, source, octet_length(encode(t)) + 1 AS size, {CRC} AS crc
   FROM (SELECT doc_id, source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS hex_ FROM documents) x, {CRC_TABLE} y),
 h AS (SELECT *, source IS NULL AS none, coalesce(source, '') AS key, ('0x' || substr(md5('11|' || coalesce(doc_id::VARCHAR, '~') || '|' || crc), 1, 15))::BIGINT AS h FROM d),
-f AS (SELECT *, (row_number() OVER (PARTITION BY none, key ORDER BY h, doc_id NULLS FIRST, size, crc) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY none, key) AS f FROM h),
+f AS (SELECT *, (row_number() OVER (PARTITION BY none, key ORDER BY h, doc_id NULLS FIRST, size, crc) - 1 + ('0x' || substr(md5('11|' || CASE WHEN none THEN '~' ELSE '=' || key END), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE) / count(*) OVER (PARTITION BY none, key) AS f FROM h),
 p AS (SELECT *, row_number() OVER (ORDER BY f, none, key, h, doc_id NULLS FIRST, size, crc) - 1 AS place, count(*) OVER () AS n FROM f)
 SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (place * 8 // n)::INT AS shard, (place - ((place * 8 // n) * n + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard FROM p
 """,

@@ -1,6 +1,7 @@
 """Sharding by proportional stratified interleaving, with DataFrame operations alone.
 
-Rows of a source get a seeded random order; row r of n has the fractional rank (r + 1/2) / n.
+Rows of a source get a seeded random order; row r of n has the fractional rank (r + u) / n, u
+being a number from 0 to 1 that a hash of the source gives, so that sources of one size don't fall on the same ranks.
 Sorting all rows by it interleaves the sources in proportion, so that any run of consecutive
 rows has the mixture of the whole. Cutting the sorted rows into equal runs gives the shards.
 
@@ -12,7 +13,7 @@ number, so that no bucket is crowded by copies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import HASHES, durable, hash_order, ranked, repeated
@@ -21,6 +22,12 @@ from tesserae.llm.common import HASHES, durable, hash_order, ranked, repeated
 ROWS_PER_BUCKET = 4096
 
 
+def _offset(seed: int) -> Column:
+    """A source's place between two ranks: 48 bits of an MD5 as a fraction."""
+    told = F.concat(F.lit(f"{seed}|"), F.when(F.col("none"), "~").otherwise(F.concat(F.lit("="), F.col("key"))))
+    return F.conv(F.substring(F.md5(told), 1, 12), 16, 10).cast("double") / float(1 << 48)
+
+
 def shard(docs: DataFrame, shards: int = 8, seed: int = 11) -> DataFrame:
     """(doc_id, source, size, text_crc32, law, shard, slot, grown_shard), a row for each row of docs.
 
@@ -47,7 +54,7 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 11) -> DataFrame:
     ties = ["doc_id", "size", "text_crc32"]
     by_source = ranked(slim, ["none", "key"], F.expr(f"h div {width}"), ["h", *ties], "m", "r", totals)
     each = repeated(by_source, "m", "copy", ["none", "key", "h", *ties], most, ROWS_PER_BUCKET)
-    spread = each.withColumn("f", (F.col("r") + F.col("copy") + 0.5) / F.col("n")).withColumn("one", F.lit(1).cast("bigint"))
+    spread = each.withColumn("f", (F.col("r") + F.col("copy") + _offset(seed)) / F.col("n")).withColumn("one", F.lit(1).cast("bigint"))
     placed = ranked(spread, [], F.floor(F.col("f") * buckets), ["f", "none", "key", "h", *ties], "one", "at")
     number = f"at * {shards} div {max(rows, 1)}"
     return placed.select(

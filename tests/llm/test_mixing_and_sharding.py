@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tesserae.llm import common, mixing, sharding
 from tests.llm.cases import docs, odd_rows, rows_of
@@ -117,6 +118,22 @@ def test_every_shard_has_the_mixture(spark):
     assert len(got) == 8 * len(total)
 
 
+def test_many_small_sources_crowd_no_bucket(spark, monkeypatch):
+    """Every row a source of its own: a bucket of the second ranking holds about as many rows as it should."""
+    seen = []
+
+    def watched(df, by, bucket, *more, f=common.ranked):
+        if not by:
+            seen.append(df.groupBy(bucket.alias("b")).count().agg(F.max("count"), F.count(F.lit(1))).first())
+        return f(df, by, bucket, *more)
+
+    monkeypatch.setattr(sharding, "ranked", watched)
+    rows = spark.range(40_000).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "concat('host', id) as source", "1L as n_chars")
+    got = sharding.shard(rows).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots")).collect()
+    assert seen[0][1] == 10 and seen[0][0] < 1.2 * sharding.ROWS_PER_BUCKET
+    assert [(r["n"], r["last"], r["slots"]) for r in got] == [(5000, 4999, 5000)] * 8
+
+
 def test_running_total_in_two_levels(spark):
     d = spark.range(1000).selectExpr("id % 3 as g", "id div 3 as k", "id as v")
     got = rows_of(common.running_total(d, ["g"], "k", "v", "s", width=10), "g", "k", "s")
