@@ -5,7 +5,8 @@ order and keeps, for each of four states (nothing yet, after system, after user,
 the least (cost, audit string); each row's layer is closed with at most two insertions. Equal
 costs mean that no audit is a prefix of another, so the least string so far stays the least.
 What all survivors agree on is final: it is handed on and forgotten, so that a task holds the part
-of a conversation on which they differ, and not the conversation.
+of a conversation on which they differ, and not the conversation. (In the worst case, rows that fit no
+order better than another, they differ throughout.)
 """
 
 from __future__ import annotations
@@ -51,6 +52,12 @@ def advance(layer: list[Survivor], initial: str, must_go: bool, cut: bool) -> li
     return closed(found)
 
 
+def hopeful(layer: list[Survivor]) -> list[Survivor]:
+    """The layer without survivors that can't win any more: after an assistant everything can follow that follows a system, and what follows nothing but for one row's deletion."""
+    nothing, system, user, assistant = layer
+    return [nothing if nothing[0] <= assistant[0] + DELETE else _NEVER, system if system[0] <= assistant[0] else _NEVER, user, assistant]
+
+
 class Repair:
     """One conversation, row by row."""
 
@@ -80,6 +87,7 @@ class Repair:
         self.layer = advance(self.layer, initial, blank or again, cut)
         self.pending.append((role, digest))
         if not self.rows % SETTLE:
+            self.layer = hopeful(self.layer)
             agreed = os.path.commonprefix([a for c, a in self.layer if c < _NEVER[0]])
             self._final(agreed)
             self.layer = [(c, a[len(agreed) :]) for c, a in self.layer]
