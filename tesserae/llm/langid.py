@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import arrow_map, durable, hash_order, release
+from tesserae.llm.common import HASHES, arrow_map, durable, hash_order, release
 
 #: About so many training texts at most, those with the least hashes, fit the weights; every tenth of them the temperature.
 SAMPLE = 8_000
@@ -196,7 +196,8 @@ def fit(docs: DataFrame, remainder: int = 0, folds: int = 5, sample: int = SAMPL
         return Model([], idf, np.zeros((BUCKETS + 1, 0)), 1.0)
     number = {x: k for k, x in enumerate(langs)}
     key = hash_order("doc_id", F.md5("text"), "lang", seed=13)
-    drawn = durable(rows.withColumn("key", key).orderBy("key", "doc_id").limit(sample).select("key", "text", "lang"))
+    most = HASHES if total <= sample else int(HASHES * max(1.0, sample - 4 * math.sqrt(sample)) / total)  # four deviations under the bound
+    drawn = durable(rows.withColumn("key", key).where(F.col("key") < most).groupBy("key").agg(F.first("text").alias("text"), F.first("lang").alias("lang")))
 
     def run(batches):
         taken = []
