@@ -1,12 +1,14 @@
 """Merging characters: what becomes of every row of the duplicates, for any number of pairs at once.
 
-pairs: (keep, drop), each character in one pair at most. A plan is a table to look at; ``apply``
-makes the next version of the directory from the same plans.
+pairs: (keep, drop). A plan is a table to look at, for pairs whose kept ones stay; ``resolved`` makes
+such pairs of any that lead on to others (chains and trees), and ``apply`` the next version of the directory.
+Of several that go into one character, what went into another of them comes right after it, as if
+the merges had been made one by one from the ends of the chains.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions.names import norm_search
@@ -14,18 +16,44 @@ from tesserae.functions.origins import is_placeholder_value
 from tesserae.model import Directory
 from tesserae.operators.read import reading_order
 from tesserae.operators.write import new_ids
+from tesserae.plans.chains import ends
 
 TRAITS = ["nationality", "physical_traits", "age", "filiations", "associations", "personality", "description"]
 
 
-def allowed(d: Directory, pairs: DataFrame) -> DataFrame:
-    """Pairs of existing characters of one type; others are not merged."""
-    of = lambda c: d.characters.select(F.col("character_id").alias(c), F.col("character_type").alias(f"{c}_type"))
-    return pairs.where("keep <> drop").join(of("keep"), "keep").join(of("drop"), "drop").where("keep_type = drop_type").select("keep", "drop")
+def problems(d: Directory, pairs: DataFrame) -> DataFrame:
+    """(keep, drop, problem): pairs that can't be merged: of unknown characters, of different types, of one with itself, of one that goes twice."""
+    of = lambda c: d.characters.select(F.col("character_id").alias(c), F.col("character_type").alias(f"{c}_type"), F.lit(True).alias(f"{c}_known"))
+    times = pairs.distinct().groupBy("drop").agg(F.count(F.lit(1)).alias("times"))
+    met = pairs.distinct().join(of("keep"), "keep", "left").join(of("drop"), "drop", "left").join(times, "drop", "left")
+    problem = (
+        F.when(F.col("keep").eqNullSafe(F.col("drop")), "merged with itself")
+        .when(F.col("keep_known").isNull() | F.col("drop_known").isNull(), "unknown character")
+        .when(~F.col("keep_type").eqNullSafe(F.col("drop_type")), F.concat(F.lit("types differ: "), F.coalesce("keep_type", F.lit("none")), F.lit(" and "), F.coalesce("drop_type", F.lit("none"))))
+        .when(F.col("times") > 1, "merged twice")
+    )
+    return met.select("keep", "drop", problem.alias("problem")).where("problem is not null")
+
+
+def resolved(d: Directory, pairs: DataFrame) -> DataFrame:
+    """(keep, drop, path): every duplicate with the character that stays in the end; nothing is merged if a pair can't be.
+
+    ValueError on ``problems`` and on circles. Chains of any length; a path is as long as its chain.
+    """
+    wrong = problems(d, pairs).orderBy("keep", "drop").limit(5).collect()
+    if wrong:
+        raise ValueError("no merge: " + "; ".join(f"{r['drop']} into {r['keep']}: {r['problem']}" for r in wrong))
+    return ends(pairs.select("keep", "drop").distinct(), "drop", "keep").select("keep", "drop", "path")
+
+
+def _path(pairs: DataFrame) -> Column:
+    """Where a duplicate stands among those of its kept character."""
+    return F.col("path") if "path" in pairs.columns else F.array("drop")
 
 
 def _of_drop(d: Directory, pairs: DataFrame, table: str) -> DataFrame:
-    return getattr(d, table).join(pairs.withColumnRenamed("drop", "character_id"), "character_id")
+    placed = pairs.select("keep", F.col("drop").alias("character_id"), _path(pairs).alias("path"))
+    return getattr(d, table).join(placed, "character_id")
 
 
 def _of_keep(d: Directory, pairs: DataFrame, table: str) -> DataFrame:
@@ -61,8 +89,8 @@ def anchors(d: Directory, pairs: DataFrame) -> DataFrame:
 
 def aliases(d: Directory, pairs: DataFrame, kind: str = "epithet") -> DataFrame:
     """(keep, alias_text, alias_norm, alias_type, action): the dropped one's aliases and former name, inserted where the key is new; a primary one becomes ``kind``."""
-    own = _of_drop(d, pairs, "aliases").select("keep", "alias_text", "alias_norm", F.when(F.col("alias_type") == "primary", kind).otherwise(F.col("alias_type")).alias("alias_type"), F.lit(0).alias("k"))
-    former = _of_drop(d, pairs, "characters").select("keep", F.col("primary_name").alias("alias_text"), norm_search(F.col("primary_name")).alias("alias_norm"), F.lit(kind).alias("alias_type"), F.lit(1).alias("k"))
+    own = _of_drop(d, pairs, "aliases").select("keep", "alias_text", "alias_norm", F.when(F.col("alias_type") == "primary", kind).otherwise(F.col("alias_type")).alias("alias_type"), F.concat("path", F.array(F.lit(-1).cast("bigint"))).alias("k"))
+    former = _of_drop(d, pairs, "characters").select("keep", F.col("primary_name").alias("alias_text"), norm_search(F.col("primary_name")).alias("alias_norm"), F.lit(kind).alias("alias_type"), F.concat("path", F.array(F.lit((1 << 63) - 1).cast("bigint"))).alias("k"))
     there = _of_keep(d, pairs, "aliases").select("keep", "alias_norm").distinct().withColumn("there", F.lit(True))
     rows = own.union(former).join(there, ["keep", "alias_norm"], "left")
     first = F.row_number().over(Window.partitionBy("keep", "alias_norm").orderBy("k", "alias_text"))
@@ -70,19 +98,20 @@ def aliases(d: Directory, pairs: DataFrame, kind: str = "epithet") -> DataFrame:
 
 
 def appearances(d: Directory, pairs: DataFrame) -> DataFrame:
-    """(keep, drop, chapter_id, action): moved, or in conflict where both are in the chapter."""
+    """(keep, drop, chapter_id, action): moved, or in conflict where the kept one, or another that goes into it first, is in the chapter."""
     there = _of_keep(d, pairs, "appearances").select("keep", "chapter_id").withColumn("there", F.lit(True))
-    rows = _of_drop(d, pairs, "appearances").select("keep", F.col("character_id").alias("drop"), "chapter_id")
-    return rows.join(there, ["keep", "chapter_id"], "left").select("keep", "drop", "chapter_id", F.when(F.col("there"), "conflict").otherwise("reassign").alias("action"))
+    rows = _of_drop(d, pairs, "appearances").select("keep", F.col("character_id").alias("drop"), "chapter_id", "path")
+    first = F.row_number().over(Window.partitionBy("keep", "chapter_id").orderBy("path")) == 1
+    return rows.join(there, ["keep", "chapter_id"], "left").select("keep", "drop", "chapter_id", F.when(F.col("there").isNull() & first, "reassign").otherwise("conflict").alias("action"))
 
 
 def mentions(d: Directory, pairs: DataFrame) -> DataFrame:
     """(keep, owner, chapter_id, action): moved or kept, or dropped where the merged character is in the chapter or mentioned already."""
-    mine = _of_keep(d, pairs, "mentions").select("keep", F.col("keep").alias("owner"), "chapter_id")
-    theirs = _of_drop(d, pairs, "mentions").select("keep", F.col("character_id").alias("owner"), "chapter_id")
+    mine = _of_keep(d, pairs, "mentions").select("keep", F.col("keep").alias("owner"), "chapter_id", F.array().cast("array<bigint>").alias("path"))
+    theirs = _of_drop(d, pairs, "mentions").select("keep", F.col("character_id").alias("owner"), "chapter_id", "path")
     present = _of_keep(d, pairs, "appearances").select("keep", "chapter_id").union(_of_drop(d, pairs, "appearances").select("keep", "chapter_id")).distinct().withColumn("present", F.lit(True))
     rows = mine.union(theirs).join(present, ["keep", "chapter_id"], "left")
-    first = F.row_number().over(Window.partitionBy("keep", "chapter_id").orderBy(F.col("owner") != F.col("keep"), "owner"))
+    first = F.row_number().over(Window.partitionBy("keep", "chapter_id").orderBy("path"))
     action = F.when(F.col("present") | (first > 1), "drop").when(F.col("owner") == F.col("keep"), "keep").otherwise("reassign")
     return rows.withColumn("action", action).select("keep", "owner", "chapter_id", "action")
 
@@ -109,7 +138,7 @@ def factions(d: Directory, pairs: DataFrame) -> DataFrame:
     """(keep, drop, faction_id, role, action, first_chapter_id): moved, or a duplicate whose earlier first chapter the kept membership takes."""
     placed = lambda df, p: df.join(places(d), F.col("first_chapter_id") == F.col("chapter_id"), "left").drop("chapter_id").withColumnsRenamed({"place": p})
     mine = placed(_of_keep(d, pairs, "character_factions").select("keep", "faction_id", "first_chapter_id"), "my_place").withColumnRenamed("first_chapter_id", "mine").withColumn("there", F.lit(True))
-    theirs = placed(_of_drop(d, pairs, "character_factions").select("keep", F.col("character_id").alias("drop"), "faction_id", "role", "first_chapter_id"), "their_place").withColumnRenamed("first_chapter_id", "theirs")
+    theirs = placed(_of_drop(d, pairs, "character_factions").select("keep", F.col("character_id").alias("drop"), "faction_id", "role", "first_chapter_id", "path"), "their_place").withColumnRenamed("first_chapter_id", "theirs")
     met = theirs.join(mine, ["keep", "faction_id"], "left")
     earlier = F.col("their_place").isNotNull() & (F.col("my_place").isNull() | (F.col("their_place") < F.col("my_place")))
     action = F.when(F.col("there").isNull(), "reassign").when(earlier, "duplicate_earlier").otherwise("duplicate")
@@ -133,14 +162,71 @@ def suppressions(d: Directory, pairs: DataFrame) -> Directory:
     return d.having(distinct_pairs=p.select(d.distinct_pairs.columns), acknowledged_collisions=k.select(d.acknowledged_collisions.columns), disguise_map=m.select(d.disguise_map.columns))
 
 
+def _edges(d: Directory, pairs: DataFrame) -> DataFrame:
+    """relationships after the merge: between kept characters, no loops, no edge for which another of its type stands already.
+
+    What stood there stays. Moved edges follow in order; an undirected one needs a free pair, a directed one its
+    own direction, and a duplicate gives one edge a type to the same other. Edges of one pair and
+    type are compared in one row, of which there are as many as went into the two characters.
+    """
+    r = d.relationships
+    for c, to, path in (("character_a", "__a", "__pa"), ("character_b", "__b", "__pb")):
+        r = r.join(pairs.select(F.col("drop").alias(c), F.col("keep").alias(to), F.col("path").alias(path)), c, "left").withColumn(to, F.coalesce(to, c))
+    moved, sorted_ = F.col("__pa").isNotNull() | F.col("__pb").isNotNull(), ~F.coalesce("directed", F.lit(False)) & (F.col("__a") > F.col("__b"))
+    still = r.where(~moved).select(d.relationships.columns)
+    # characters whose edges may meet a moved one
+    gone = r.where(moved & (F.col("__a") != F.col("__b")))
+    low, high = F.least("__a", "__b"), F.greatest("__a", "__b")
+    touched = gone.select(low.alias("__low"), high.alias("__high"), F.col("relationship_type").alias("__type")).distinct()
+    placed = gone.withColumn("__order", F.coalesce("__pa", "__pb"))
+    rows = placed.select("__order", F.lit(True).alias("__moved"), F.when(sorted_, F.col("__b")).otherwise(F.col("__a")).alias("__x"), F.when(sorted_, F.col("__a")).otherwise(F.col("__b")).alias("__y"), low.alias("__low"), high.alias("__high"), *d.relationships.columns)
+    there = still.select(F.array().cast("array<bigint>").alias("__order"), F.lit(False).alias("__moved"), F.col("character_a").alias("__x"), F.col("character_b").alias("__y"), F.least("character_a", "character_b").alias("__low"), F.greatest("character_a", "character_b").alias("__high"), *d.relationships.columns)
+    met = (there["__low"] == touched["__low"]) & (there["__high"] == touched["__high"]) & there["relationship_type"].eqNullSafe(touched["__type"])
+    beside = there.join(touched, met, "left_semi")
+    edge = F.struct("__order", F.col("character_a").alias("__was_a"), F.col("character_b").alias("__was_b"), "__moved", "__x", "__y", F.coalesce("directed", F.lit(False)).alias("__way"), F.struct(*[c for c in d.relationships.columns if c not in ("character_a", "character_b", "relationship_type")]).alias("__rest"))
+    groups = rows.unionByName(beside).groupBy("__low", "__high", "relationship_type").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+
+    def taken(kept, e):
+        own = F.exists(kept, lambda k: k["__moved"] & (k["__order"] == e["__order"]))
+        slot = F.exists(kept, lambda k: (k["__x"] == e["__x"]) & (k["__y"] == e["__y"]))
+        free = ~own & F.when(e["__way"], ~slot).otherwise(F.size(kept) == 0)
+        return F.when(~e["__moved"] | free, F.concat(kept, F.array(e))).otherwise(kept)
+
+    folded = groups.select("relationship_type", F.explode(F.aggregate("edges", F.slice("edges", 1, 1), lambda k, e: F.when(e == F.element_at("edges", 1), k).otherwise(taken(k, e)))).alias("e")).where("e.__moved")
+    made = folded.select(F.col("e.__x").alias("character_a"), F.col("e.__y").alias("character_b"), "relationship_type", "e.__rest.*")
+    return still.unionByName(made.select(d.relationships.columns))
+
+
+def _memberships(d: Directory, pairs: DataFrame) -> DataFrame:
+    """character_factions after the merge: the kept one's membership or the first that goes into it, with the earliest first chapter of all."""
+    f = d.character_factions
+    named = f.join(pairs.select(F.col("drop").alias("character_id"), "keep", "path"), "character_id", "left")
+    mine = f.join(pairs.select(F.col("keep").alias("character_id")).distinct(), "character_id", "left_semi")
+    order = F.array().cast("array<bigint>")
+    rows = named.where("keep is not null").select("keep", "path", *[c for c in f.columns if c != "character_id"]).unionByName(mine.select(F.col("character_id").alias("keep"), order.alias("path"), *[c for c in f.columns if c != "character_id"]))
+    placed = rows.join(places(d), F.col("first_chapter_id") == F.col("chapter_id"), "left").drop("chapter_id")
+    rest = [c for c in f.columns if c not in ("character_id", "faction_id", "first_chapter_id")]
+    one = placed.groupBy("keep", "faction_id").agg(F.min_by(F.struct(*rest, "first_chapter_id"), "path").alias("x"), F.min_by("first_chapter_id", F.when(F.col("place").isNotNull(), F.struct("place", "path"))).alias("earliest"))
+    made = one.select(F.col("keep").alias("character_id"), "faction_id", *[F.col(f"x.{c}").alias(c) for c in rest], F.coalesce("earliest", "x.first_chapter_id").alias("first_chapter_id"))
+    theirs = pairs.select(F.explode(F.array("keep", "drop")).alias("character_id")).distinct()
+    return f.join(theirs, "character_id", "left_anti").select(f.columns).unionByName(made.select(f.columns))
+
+
 def apply(d: Directory, pairs: DataFrame, kind: str = "epithet") -> Directory:
-    """The directory with every allowed pair merged."""
-    pairs = allowed(d, pairs)
+    """The directory with all pairs merged, chains to their ends; ValueError, and no merge at all, where ``resolved`` finds a fault."""
+    return merged(d, resolved(d, pairs), kind)
+
+
+def merged(d: Directory, pairs: DataFrame, kind: str = "epithet") -> Directory:
+    """The directory with resolved pairs (keep, drop, path) merged."""
     gone = pairs.select(F.col("drop").alias("character_id"))
     rest = lambda df: df.join(gone, "character_id", "left_anti")
-    filled = traits(d, pairs).where("action = 'fill'").groupBy(F.col("keep").alias("character_id")).pivot("field", TRAITS).agg(F.first("dropped"))
+    fills = traits(d, pairs).where("action = 'fill'").join(pairs.select("drop", "path"), "drop")
+    filled = fills.groupBy(F.col("keep").alias("character_id")).pivot("field", TRAITS).agg(F.min_by("dropped", "path"))
     filled = filled.select("character_id", *[F.col(t).alias(f"__{t}") for t in TRAITS])
-    first = anchors(d, pairs).select(F.col("keep").alias("character_id"), F.col("first_chapter_id").alias("__first"), F.lit(True).alias("__kept"))
+    placed = anchors(d, pairs).join(places(d), F.col("first_chapter_id") == F.col("chapter_id"), "left")
+    earliest = F.coalesce(F.min_by("first_chapter_id", F.when(F.col("place").isNotNull(), F.col("place"))), F.min("first_chapter_id"))
+    first = placed.groupBy(F.col("keep").alias("character_id")).agg(earliest.alias("__first"), F.lit(True).alias("__kept"))
     c = rest(d.characters).join(filled, "character_id", "left").join(first, "character_id", "left")
     new = {t: F.coalesce(f"__{t}", t) for t in TRAITS} | {"first_chapter_id": F.when(F.col("__kept"), F.col("__first")).otherwise(F.col("first_chapter_id"))}
     characters = c.select(*[new.get(x, F.col(x)).alias(x) for x in d.characters.columns])
@@ -154,16 +240,6 @@ def apply(d: Directory, pairs: DataFrame, kind: str = "epithet") -> Directory:
     verdict = mentions(d, pairs).select(F.col("owner").alias("character_id"), "chapter_id", "keep", "action")
     told = d.mentions.join(verdict, ["character_id", "chapter_id"], "left").where("action is null or action <> 'drop'")
     out["mentions"] = told.withColumn("character_id", F.coalesce("keep", "character_id")).select(d.mentions.columns)
-    key = ["character_a", "character_b", "relationship_type"]
-    edges = relationships(d, pairs)
-    lost = edges.where("action <> 'reassign'").select(*key).distinct()
-    kept = _renamed(d.relationships.join(lost, key, "left_anti"), pairs, ["character_a", "character_b"]).where("character_a <> character_b")
-    low, high = F.least("character_a", "character_b"), F.greatest("character_a", "character_b")
-    kept = kept.withColumn("__low", F.when(F.col("directed"), F.col("character_a")).otherwise(low)).withColumn("character_b", F.when(F.col("directed"), F.col("character_b")).otherwise(high)).withColumn("character_a", F.col("__low"))
-    out["relationships"] = kept.dropDuplicates(key).select(d.relationships.columns)
-    f = factions(d, pairs)
-    earlier = f.where("action = 'duplicate_earlier'").select(F.col("keep").alias("character_id"), "faction_id", F.col("first_chapter_id").alias("__first"))
-    own = rest(d.character_factions).join(earlier, ["character_id", "faction_id"], "left").withColumn("first_chapter_id", F.coalesce("__first", "first_chapter_id")).select(d.character_factions.columns)
-    joined = d.character_factions.join(f.where("action = 'reassign'").select(F.col("drop").alias("character_id"), "faction_id", "keep"), ["character_id", "faction_id"])
-    out["character_factions"] = own.unionByName(joined.withColumn("character_id", F.col("keep")).select(d.character_factions.columns))
+    out["relationships"] = _edges(d, pairs)
+    out["character_factions"] = _memberships(d, pairs)
     return suppressions(d.having(**out), pairs)
