@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import difflib
 import json
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -18,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.durable import written
 from tesserae.functions import ages, names, origins
 from tesserae.functions import values as V
 from tesserae.model import SCHEMAS, Directory
@@ -438,16 +438,6 @@ class Fold:
         }
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """df, computed once: written where all executors can read it, or kept by a session that names no such folder."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df.persist()
-    path = f"{folder.rstrip('/')}/tesserae-fold-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _state(d: Directory, slot: str, chapters: DataFrame) -> DataFrame:
     """(slot, name, at, payload): what the fold holds of the directory: its roster, and who is in the chapters told."""
     from tesserae.plans.change import main_series
@@ -512,7 +502,7 @@ def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool =
 
     ship(d.spark)
     folded = _state(d, slot, extractions).unionByName(told).unionByName(_told(_texts(d, extractions), slot)).groupBy("slot").applyInPandas(run, "slot string, name string, payload string")
-    folded = _written(folded)
+    folded = written(folded)
     made = {t: folded.where(F.col("name") == t).select(F.from_json("payload", SCHEMAS[t] + ", touched boolean" * (t == "characters")).alias("x")).select("x.*") for t in (*RESULT, *ADDED)}
     now = F.current_timestamp() if now is None else now
     new = {t: _dated(d, t, made[t], now) if t in ("characters", "factions", "review_queue") else made[t] for t in RESULT}
@@ -526,18 +516,10 @@ def reconcile(d: Directory, extractions: DataFrame, slot: str = "", auto: bool =
 
 
 def decided(queue: DataFrame, decisions: DataFrame, d: Directory) -> DataFrame:
-    """(review_id, action, character_id, name): what decisions (review_id, action, target, target_cid) make of open items.
+    """(review_id, kind, action, character_id, created_by, name): ``replay.outcomes`` of the decisions."""
+    from tesserae.plans.replay import outcomes
 
-    A payload is a character or a character with its surroundings. A creation whose name exists is
-    a merge into it; a target is an id, or the name of a character.
-    """
-    name = F.coalesce(F.get_json_object("payload", "$.character.name_used_in_text"), F.get_json_object("payload", "$.name_used_in_text"))
-    open_items = queue.where("not coalesce(resolved, false)").select("review_id", "kind", name.alias("name"))
-    ids = d.characters.groupBy(names.norm(F.col("primary_name")).alias("key")).agg(F.max("character_id").alias("id"))
-    met = open_items.join(decisions, "review_id")
-    met = met.withColumn("key", F.when(F.col("action") == "merge", names.norm(F.col("target"))).otherwise(names.norm(F.col("name")))).join(ids, "key", "left")
-    action = F.when((F.col("action") == "create") & F.col("id").isNotNull(), "merge").when((F.col("action") == "merge") & F.coalesce("target_cid", "id").isNull(), "unresolved").otherwise(F.col("action"))
-    return met.withColumn("done", action).select("review_id", "kind", F.col("done").alias("action"), F.when(F.col("done") == "merge", F.coalesce("target_cid", "id")).alias("character_id"), "name")
+    return outcomes(queue, decisions, d.characters).select("review_id", "kind", "action", "character_id", "created_by", "name")
 
 
 def backfill(d: Directory, extractions: DataFrame) -> Directory:
