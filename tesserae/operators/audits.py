@@ -7,9 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.durable import written
 from tesserae.functions import names as N
 from tesserae.functions import values as V
 from tesserae.model import POINTERS, PUBLIC, UNIQUE, Directory
+from tesserae.operators import search
+from tesserae.operators.ranks import medians, ranked
 from tesserae.operators.read import counts_by, edges_of
 from tesserae.operators.resolve import near_duplicates
 
@@ -191,26 +194,21 @@ def _occurs(text: Column, term: Column) -> Column:
     return F.when(there, F.regexp_count(text, quoted)).otherwise(0)
 
 
-#: Terms that are looked for in every text without a shuffle.
-FEW = 64
-
-
 def mentions_found(chapters: DataFrame, wanted: DataFrame, text: bool = False) -> DataFrame:
-    """(chapter_id, term, n): terms that stand in a text, n times; with text the full_text, too. wanted: distinct terms.
+    """(chapter_id, term, n): terms that stand in a text, n times; with text the full_text, too. wanted: distinct terms, of which those without a word are nowhere.
 
-    A handful of terms is looked for in every text where it lies. Otherwise chapters and terms meet by the terms' longest words, so that a term costs only chapters that
+    Every text is read once, where it lies, by an automaton of all terms. More terms than PASSES automata hold
+    meet the chapters by their longest words, so that a term costs only chapters that
     have that word; it is then counted in the text itself, of which a chapter's terms share one copy.
     """
     parts = lambda c: F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
     head = lambda c: F.array_max(F.transform(parts(c), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    t = wanted.select("term").distinct().withColumn("head", head(F.col("term"))).where("head is not null")
+    t = written(wanted.select("term").distinct().withColumn("head", head(F.col("term"))).where("head is not null"))
     c = chapters.select("chapter_id", "full_text").where("full_text is not null")
-    found = lambda ts: F.filter(F.transform(ts, lambda x: F.struct(x.alias("term"), _occurs(F.col("full_text"), x).cast("bigint").alias("n"))), lambda s: s["n"] > 0)
     more = ["full_text"] if text else []
-    few = [r["term"] for r in t.select("term").limit(FEW + 1).collect()]
-    if len(few) <= FEW:
-        own = F.array(*[F.lit(x) for x in few]).cast("array<string>")
-        return c.select("chapter_id", *more, F.explode(found(own)).alias("x")).select("chapter_id", "x.term", "x.n", *more)
+    if (n := search.passes(t)) <= search.PASSES:
+        return search.counted(c, "chapter_id", "full_text", t, n, text)
+    found = lambda ts: F.filter(F.transform(ts, lambda x: F.struct(x.alias("term"), _occurs(F.col("full_text"), x).cast("bigint").alias("n"))), lambda s: s["n"] > 0)
     words = c.select("chapter_id", F.explode(F.array_distinct(F.split(F.lower("full_text"), r"(?U)\W+"))).alias("head"))
     wanted_there = words.join(t, "head").groupBy("chapter_id").agg(F.collect_set("term").alias("terms"))
     return c.join(wanted_there, "chapter_id").select("chapter_id", *more, F.explode(found("terms")).alias("x")).select("chapter_id", "x.term", "x.n", *more)
@@ -244,11 +242,23 @@ def evidence(claims: DataFrame, texts: DataFrame) -> DataFrame:
 def evidence_anywhere(claims: DataFrame, documents: DataFrame) -> DataFrame:
     """claims (id, evidence) with verified: the evidence stands in any of the documents (key, text), both normalised; an empty one always does.
 
-    A word with others on both sides must stand in the text as it is, so a claim meets the texts
-    that have its longest such word, and is looked for there. Claims of one or two words have none
-    such; they are looked for in the distinct words, or pairs of words, of all texts.
+    All claims at once are looked for by an automaton, which reads every text where it lies. More than
+    PASSES automata hold meet the texts instead: a word with others on both sides must stand in the text as it is, so
+    a claim of three words or more meets the texts that have its longest such word, and is looked for there. Shorter ones
+    are looked for by their trigrams in the distinct words, or pairs of words, of all texts.
     """
-    e = claims.select("id", "evidence", N.norm_search(F.col("evidence")).alias("e")).withColumn("words", F.split("e", " "))
+    e = claims.select("id", "evidence", N.norm_search(F.col("evidence")).alias("e"))
+    said = written(e.where("e <> ''").select(F.col("e").alias("term")).distinct())
+    if (n := search.passes(said)) <= search.PASSES:
+        found = search.standing(documents.where("text is not null").select(N.norm_search(F.col("text")).alias("t")), said, n).withColumnRenamed("term", "e")
+    else:
+        found = _evidence_met(e, documents)
+    return e.join(found.withColumn("ok", F.lit(True)), "e", "left").groupBy("id", "evidence").agg(F.bool_or((F.col("e") == "") | F.coalesce("ok", F.lit(False))).alias("verified"))
+
+
+def _evidence_met(e: DataFrame, documents: DataFrame) -> DataFrame:
+    """(e): normalised claims that stand in a document, where there are too many for automata."""
+    e = e.withColumn("words", F.split("e", " "))
     inner = F.slice("words", 2, F.greatest(F.size("words") - 2, F.lit(0)))
     head = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     long = e.where(F.size("words") > 2).withColumn("head", head)
@@ -256,13 +266,16 @@ def evidence_anywhere(claims: DataFrame, documents: DataFrame) -> DataFrame:
     listed = long.groupBy("head").agg(F.collect_set(F.struct("e")).alias("sought"))
     there = t.select("key", F.explode(F.array_distinct(F.split("t", " "))).alias("head")).join(listed, "head").groupBy("key").agg(F.flatten(F.collect_list("sought")).alias("sought"))
     hits = t.join(there, "key").select(F.explode(F.filter("sought", lambda s: F.contains(F.col("t"), s["e"]))).alias("x")).select("x.e")
-    short = e.where((F.size("words") <= 2) & (F.col("e") != "")).select("e", "words").distinct()
+    short = written(e.where((F.size("words") <= 2) & (F.col("e") != "")).select(F.col("e").alias("pattern"), F.size("words").alias("n")).distinct())
     parts = F.split("t", " ")
     last = F.size(parts) - 1
     pairs = F.zip_with(F.slice(parts, 1, last), F.slice(parts, 2, last), lambda x, y: F.concat_ws(" ", x, y))
-    seen = lambda c, n: t.select(F.explode(F.array_distinct(c)).alias("w")).distinct().join(short.where(F.size("words") == n), F.contains("w", F.col("e"))).select("e")
-    found = hits.union(seen(parts, 1)).union(seen(pairs, 2)).distinct().withColumn("ok", F.lit(True))
-    return e.join(found, "e", "left").groupBy("id", "evidence").agg(F.bool_or((F.col("e") == "") | F.coalesce("ok", F.lit(False))).alias("verified"))
+
+    def seen(c: Column, n: int) -> DataFrame:
+        distinct = t.select(F.explode(F.array_distinct(c)).alias("w")).distinct()
+        return search.containing(short.where(F.col("n") == n).select("pattern"), distinct.withColumn("key", F.xxhash64("w")), "key", "w").select(F.col("pattern").alias("e"))
+
+    return hits.union(seen(parts, 1)).union(seen(pairs, 2)).distinct()
 
 
 def leaks(df: DataFrame, name: str, marks=V.PATH_MARKS) -> DataFrame:
@@ -294,11 +307,17 @@ def export_problems(private: Directory, shown: Directory) -> DataFrame:
 
 
 def token_trend(rows: DataFrame, group: str, order: str, value: str, climb: float = 0.15) -> DataFrame:
-    """(group, n, total, first, second, change, climbing): medians of the halves of an ordered series; fewer than four have none."""
-    w = Window.partitionBy(group)
-    r = rows.where(F.col(value).isNotNull()).withColumn("k", F.row_number().over(w.orderBy(order))).withColumn("n", F.count(F.lit(1)).over(w))
-    half = F.col("k") <= F.floor(F.col("n") / 2)
-    out = r.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.median(F.when(half, F.col(value))).alias("first"), F.median(F.when(~half, F.col(value))).alias("second"))
+    """(group, n, total, first, second, change, climbing): medians of the halves of an ordered series; fewer than four have none.
+
+    The halves are told apart and their medians found by ranks, so a series may be of any length.
+    """
+    given = ranked(rows.where(F.col(value).isNotNull()).select(group, order, value), [group], [order], "k", "n")
+    halves = given.withColumn("half", F.when(F.col("k") <= F.floor(F.col("n") / 2), 1).otherwise(2))
+    middle = medians(halves.select(group, "half", value), [group, "half"], value)
+    side = lambda k: F.max(F.when(F.col("half") == k, F.col("median")))
+    out = middle.groupBy(group).agg(F.sum("n").alias("n"), side(1).alias("first"), side(2).alias("second"))
+    total = rows.groupBy(group).agg(F.sum(value).alias("total"))
+    out = out.join(total.withColumnRenamed(group, "__g"), F.col(group).eqNullSafe(F.col("__g"))).select(group, "n", "total", "first", "second")
     enough = (F.col("n") >= 4) & (F.col("first") > 0)
     out = out.withColumn("change", F.when(enough, F.col("second") / F.col("first") - 1))
     return out.withColumn("climbing", F.coalesce(F.col("change") > climb, F.lit(False)))

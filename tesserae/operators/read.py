@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions.names import strip
 from tesserae.model import Directory
+from tesserae.operators.search import containing, postings
 
 SEARCH_LIMIT = 40
 
@@ -32,6 +33,26 @@ def search(d: Directory, query: str | None, limit: int = SEARCH_LIMIT) -> DataFr
     return hits.orderBy("primary_name", "character_id").limit(limit)
 
 
+def alias_postings(d: Directory) -> DataFrame:
+    """(gram, alias_norm): the trigrams of all keys; written with a snapshot, it answers searches without a scan of the aliases."""
+    return postings(d.aliases.select("alias_norm").distinct().withColumn("key", F.col("alias_norm")), "key", "alias_norm").withColumnRenamed("key", "alias_norm")
+
+
+def search_many(d: Directory, queries: DataFrame, index: DataFrame | None = None, limit: int = SEARCH_LIMIT) -> DataFrame:
+    """(query, character_id, primary_name, character_type): what ``search`` finds for each distinct query, by name, all at once.
+
+    Queries (query) are trimmed and lower-cased; % and _ are letters here. index: ``alias_postings``, saved. Keys meet queries
+    by trigrams, and only those that contain the query meet characters.
+    """
+    q = queries.select("query", F.lower(F.trim("query")).alias("pattern")).where("pattern <> ''").distinct()
+    keys = d.aliases.select("alias_norm").distinct().withColumn("key", F.col("alias_norm"))
+    found = containing(q.select("pattern"), keys, "key", "alias_norm", None if index is None else index.withColumnRenamed("alias_norm", "key"))
+    hits = found.withColumnRenamed("key", "alias_norm").join(d.aliases.select("alias_norm", "character_id"), "alias_norm").select("pattern", "character_id").distinct()
+    named = hits.join(d.characters.select("character_id", "primary_name", "character_type"), "character_id")
+    first = F.row_number().over(Window.partitionBy("pattern").orderBy("primary_name", "character_id"))
+    return named.withColumn("k", first).where(F.col("k") <= limit).join(q, "pattern").select("query", "character_id", "primary_name", "character_type")
+
+
 def counts_by(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
