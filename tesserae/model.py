@@ -8,9 +8,11 @@ not to know yet is not in the snapshot at all.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMAS = {
     "books": "book_id bigint, series_order int, slot string, label string, title string, source_file string, is_prequel boolean",
@@ -85,6 +87,10 @@ class Directory:
         return replace(self, tables=self.tables | tables)
 
 
+class NotAsPlanned(RuntimeError):
+    """What was written is not what the plan says."""
+
+
 def _paths(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -97,23 +103,31 @@ def load(spark: SparkSession, path: str) -> Directory:
     return Directory(spark, {t: spark.read.parquet(f"{path}/{t}") for t in SCHEMAS if t in there})
 
 
-def save(directory: Directory, path: str) -> None:
-    """All tables at once: written to a folder beside it and renamed. A snapshot that is there already stays."""
+def save(directory: Directory, path: str, flag: dict[str, Column] | None = None, check: Callable[[dict[str, dict[str, int]]], list[str]] | None = None) -> None:
+    """All tables at once: written to a folder beside it and renamed. A snapshot that is there already stays.
+
+    While a table is written its rows are counted, and those where its ``flag`` holds. check is given these counts, {table: {"rows", "flagged"}},
+    before the snapshot is put in place; where it names problems the folder goes and NotAsPlanned is raised.
+    """
     spark = directory.spark
     files, target = _paths(spark, path)
     if files.exists(target):
         raise FileExistsError(path)
     aside = f"{path}.writing-{uuid.uuid4().hex[:8]}"
+    found = {}
     for name, df in directory.tables.items():
-        df.write.parquet(f"{aside}/{name}")
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if((flag or {}).get(name, F.lit(False))).alias("flagged")).write.parquet(f"{aside}/{name}")
+        found[name] = seen.get
+    if problems := check(found) if check else []:
+        files.delete(_paths(spark, aside)[1], True)
+        raise NotAsPlanned("; ".join(problems))
     if not files.rename(_paths(spark, aside)[1], target):
         raise OSError(f"{aside} can't be renamed to {path}")
 
 
 def public(directory: Directory) -> Directory:
     """The tables and columns that are shown, with no source files."""
-    from pyspark.sql import functions as F
-
     out = {}
     for name, columns in PUBLIC.items():
         df = getattr(directory, name)

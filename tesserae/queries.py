@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import ages, names, origins, texts
 from tesserae.functions import values as V
 from tesserae.operators import audits, read, resolve, write
-from tesserae.plans import change, merge, reconcile
+from tesserae.plans import change, merge, reconcile, replay, traced
 from tesserae.sources.analogue import directory, table, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,21 @@ def search_alias(spark, sf_dir):
     return read.search(directory(spark, sf_dir), "  RING h")
 
 
+SOUGHT = "(SELECT DISTINCT substr(p_name, 2 + p_partkey % 3, 1 + p_partkey % 7) || CASE WHEN p_partkey % 5 = 0 THEN ' ' ELSE '' END AS query FROM part)"
+
+
+@query(f"""SELECT query, character_id, primary_name, character_type FROM (
+  SELECT query, c.character_id, primary_name, character_type, row_number() OVER (PARTITION BY lower(trim(query)), query ORDER BY primary_name, c.character_id) AS k
+  FROM (SELECT DISTINCT query, character_id FROM {SOUGHT} q JOIN (SELECT DISTINCT character_id, alias_norm FROM {{aliases}}) a ON contains(alias_norm, lower(trim(query))) WHERE trim(query) <> '') h
+  JOIN {{characters}} c ON c.character_id = h.character_id) x WHERE k <= 40""")
+def search_many(spark, sf_dir):
+    """Pieces of part names, from one letter to seven, all looked for at once."""
+    p = table(spark, sf_dir, "part")
+    piece = F.substring("p_name", (2 + F.col("p_partkey") % 3).cast("int"), (1 + F.col("p_partkey") % 7).cast("int"))
+    wanted = p.select(F.concat(piece, F.when(F.col("p_partkey") % 5 == 0, " ").otherwise("")).alias("query")).distinct()
+    return read.search_many(directory(spark, sf_dir), wanted)
+
+
 @query("SELECT character_id, primary_name, character_type, nationality, (SELECT count(*) FROM {appearances} a WHERE a.character_id = c.character_id) AS appearances FROM {characters} c")
 def roster_counts(spark, sf_dir):
     return read.roster(directory(spark, sf_dir))
@@ -608,6 +623,44 @@ def merge_applied_counts(spark, sf_dir):
     return one("characters").union(one("appearances")).union(one("character_factions"))
 
 
+LINKS = "(SELECT c_custkey AS \"drop\", c_custkey - 5 AS keep FROM customer WHERE c_custkey % 35 >= 5 AND (c_custkey % 35) // 5 <= 1 + (c_custkey // 35) % 5)"
+#: Everyone with whom they are in the end, how far above, and the order in which they go into them.
+ROOTS = f"""up("drop", keep, depth) AS (SELECT "drop", keep, 1 FROM {LINKS} l UNION ALL SELECT up."drop", l.keep, depth + 1 FROM up JOIN {LINKS} l ON l."drop" = up.keep),
+roots AS (SELECT "drop", arg_max(keep, depth) AS keep, max(depth) AS depth FROM up GROUP BY "drop"),
+everyone AS (SELECT c_custkey AS character_id, coalesce(keep, c_custkey) AS root, coalesce(depth, 0) AS depth FROM customer LEFT JOIN roots ON "drop" = c_custkey)"""
+
+
+def _links(spark, sf_dir):
+    """Chains of two to six characters of one type, each of whom goes into the one before."""
+    c = table(spark, sf_dir, "customer").where("c_custkey % 35 >= 5 and floor((c_custkey % 35) / 5) <= 1 + floor(c_custkey / 35) % 5")
+    return c.selectExpr("c_custkey - 5 as keep", "c_custkey as drop")
+
+
+@query(f'WITH RECURSIVE {ROOTS} SELECT "drop", keep, depth FROM roots')
+def merge_chains(spark, sf_dir):
+    found = merge.resolved(directory(spark, sf_dir), _links(spark, sf_dir))
+    return found.select("drop", "keep", F.size("path").alias("depth"))
+
+
+@query(f"""WITH RECURSIVE {ROOTS},
+a AS (SELECT root, chapter_id, arg_min(whereabouts, depth) AS whereabouts FROM {{appearances}} JOIN everyone USING (character_id) GROUP BY ALL),
+m AS (SELECT DISTINCT root, chapter_id FROM {{mentions}} JOIN everyone USING (character_id) EXCEPT SELECT root, chapter_id FROM a),
+f AS (SELECT root, faction_id, arg_min(role, depth) AS role FROM {{character_factions}} JOIN everyone USING (character_id) GROUP BY ALL),
+r AS (SELECT DISTINCT least(x.root, y.root) AS low, greatest(x.root, y.root) AS high, relationship_type FROM {{relationships}} e JOIN everyone x ON x.character_id = character_a JOIN everyone y ON y.character_id = character_b WHERE x.root <> y.root)
+SELECT 'appearances' AS name, root AS a, chapter_id AS b, whereabouts AS said FROM a UNION ALL SELECT 'mentions', root, chapter_id, NULL FROM m
+UNION ALL SELECT 'character_factions', root, faction_id, role FROM f UNION ALL SELECT 'relationships', low, high, relationship_type FROM r
+UNION ALL SELECT 'characters', root, NULL, NULL FROM everyone WHERE depth = 0 AND root IN (SELECT character_id FROM {{characters}})""")
+def merge_chains_applied(spark, sf_dir):
+    """What is left of all tables; relationships as pairs, whichever way they point."""
+    d = merge.apply(directory(spark, sf_dir), _links(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    row = lambda df, name, a, b, said: df.select(F.lit(name).alias("name"), F.expr(a).cast("bigint").alias("a"), F.expr(b).cast("bigint").alias("b"), said.alias("said"))
+    out = row(d.appearances, "appearances", "character_id", "chapter_id", F.col("whereabouts"))
+    out = out.union(row(d.mentions, "mentions", "character_id", "chapter_id", none)).union(row(d.character_factions, "character_factions", "character_id", "faction_id", F.col("role")))
+    pairs = d.relationships.selectExpr("least(character_a, character_b) as low", "greatest(character_a, character_b) as high", "relationship_type").distinct()
+    return out.union(row(pairs, "relationships", "low", "high", F.col("relationship_type"))).union(row(d.characters, "characters", "character_id", "null", none))
+
+
 DOOMED = "(SELECT c_custkey FROM customer WHERE c_custkey % 7 = 3)"
 
 
@@ -692,18 +745,82 @@ def promotions(spark, sf_dir):
     return change.promotions(directory(spark, sf_dir)).select("character_id", F.lower("chosen").alias("chosen"))
 
 
-@query("""WITH q AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)
-SELECT q.event_id AS review_id, CASE WHEN k % 3 = 0 THEN 'merge' WHEN k % 3 = 1 AND i.id IS NOT NULL THEN 'merge' WHEN k % 3 = 1 THEN 'create' ELSE 'dismiss' END AS action, CASE WHEN k % 3 = 0 THEN k WHEN k % 3 = 1 THEN coalesce(i.id, -1) ELSE -1 END AS character_id
-FROM q LEFT JOIN (SELECT lower(primary_name) AS n, max(character_id) AS id FROM {characters} GROUP BY 1) i ON i.n = 'red widget' AND k % 2 = 0""")
+BARE = "regexp_replace({0}, '^((the|Lord|Lady) )+', '')"
+
+
+@query(f"""WITH k AS (SELECT character_id, primary_name, {_stripped('lower(primary_name)')} AS p FROM {{characters}}),
+up AS (SELECT DISTINCT character_id, primary_name, {BARE.format('alias_text')} AS chosen, lower({BARE.format('alias_text')}) AS cn, lower(primary_name) AS was FROM (SELECT a.character_id, primary_name, alias_text, p, {_stripped('a.alias_norm')} AS q FROM {{aliases}} a JOIN k USING (character_id) WHERE alias_type = 'given_name') g
+  WHERE len(string_split(q, ' ')) > len(string_split(p, ' ')) AND len(list_filter(string_split(p, ' '), lambda x: NOT list_contains(string_split(q, ' '), x))) = 0),
+b AS (SELECT up.*, (SELECT min(character_id) FROM {{characters}} o WHERE o.primary_name = up.chosen AND o.character_id <> up.character_id) AS owner FROM up),
+free AS (SELECT * FROM b WHERE owner IS NULL),
+a2 AS (SELECT a.character_id, alias_text, alias_norm, notes, CASE WHEN cn IS NULL THEN alias_type WHEN alias_norm = cn THEN 'primary' WHEN alias_norm = was THEN 'given_name'
+    WHEN lower({BARE.format('alias_text')}) = cn AND (alias_type = 'given_name' OR is_primary) THEN 'title' ELSE alias_type END AS alias_type FROM {{aliases}} a LEFT JOIN free USING (character_id)
+  UNION ALL SELECT character_id, chosen, cn, NULL, 'primary' FROM free WHERE NOT EXISTS (SELECT 1 FROM {{aliases}} a WHERE a.character_id = free.character_id AND a.alias_norm = cn)),
+t AS (SELECT character_id, list_distinct(flatten(list(string_split({_stripped('alias_norm')}, ' ')))) AS tokens FROM a2 WHERE alias_type IN ('primary', 'given_name') GROUP BY character_id),
+v AS (SELECT a.*, coalesce(chosen, c.primary_name) AS primary_name, CASE WHEN notes = 'wrongly named' THEN 'corrected_misnomer' WHEN {_rank_decorated('a.alias_norm', 'tokens')} THEN 'rank_decorated'
+    WHEN a.alias_type IN ('title', 'epithet') AND a.alias_norm NOT LIKE 'the %' AND EXISTS (SELECT 1 FROM a2 s WHERE s.character_id = a.character_id AND s.alias_norm = 'the ' || a.alias_norm) THEN 'article_dup'
+    WHEN (CASE WHEN a.alias_norm LIKE 'the %' THEN substr(a.alias_norm, 5) ELSE a.alias_norm END) IN ({_quoted(V.ROLES)}) THEN 'generic_role' WHEN {_stripped('a.alias_norm')} = '' THEN 'empty_residue' ELSE '' END AS rule
+  FROM a2 a JOIN {{characters}} c ON c.character_id = a.character_id LEFT JOIN free f ON f.character_id = a.character_id LEFT JOIN t ON t.character_id = a.character_id WHERE a.alias_type IN ('title', 'epithet', 'nickname'))
+SELECT character_id, CASE WHEN owner IS NULL THEN chosen ELSE primary_name END AS primary_name, chosen AS alias_text, cn AS alias_norm, 'primary' AS alias_type, CASE WHEN owner IS NULL THEN 'PROMOTE' ELSE 'PROMOTE_BLOCKED' END AS action, 'promotion' AS rule,
+  CASE WHEN owner IS NULL THEN 'from ' || primary_name ELSE 'name of character ' || owner END AS note FROM b
+UNION ALL SELECT character_id, primary_name, alias_text, alias_norm, alias_type, CASE rule WHEN 'corrected_misnomer' THEN 'DROP' WHEN 'rank_decorated' THEN 'DROP' WHEN 'article_dup' THEN 'COLLAPSE' WHEN '' THEN 'KEEP' ELSE 'REVIEW' END, rule, coalesce(notes, '') FROM v""")
+def cleanup_trace(spark, sf_dir):
+    """Every decision of the cleaning and why."""
+    return traced.trace(directory(spark, sf_dir))
+
+
+ITEMS = """(SELECT event_id, k, CASE WHEN k % 2 = 0 THEN 'Red  Widget' ELSE 'Nobody ' || (user_id % 40)::VARCHAR END AS said, CASE k % 4 WHEN 0 THEN 'merge' WHEN 3 THEN 'dismiss' ELSE 'create' END AS asked,
+  CASE WHEN event_id % 3 = 0 THEN 'nobody ' || (user_id % 40)::VARCHAR END AS target, CASE WHEN event_id % 3 = 1 THEN k END AS target_cid, CASE WHEN event_id % 11 = 0 THEN 'Renamed ' || (k % 10)::VARCHAR END AS rename, event_type
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e)"""
+#: What each item comes to: who is there by its name, or which item created them before.
+OUTCOMES = f"""ids AS (SELECT lower(primary_name) AS key, max(character_id) AS id FROM {{characters}} GROUP BY 1),
+w AS (SELECT i.*, CASE WHEN asked = 'create' THEN coalesce(rename, said) ELSE said END AS name, lower(replace(CASE WHEN asked = 'merge' THEN target WHEN asked = 'create' THEN coalesce(rename, said) ELSE said END, '  ', ' ')) AS key FROM {ITEMS} i),
+x AS (SELECT w.*, id FROM w LEFT JOIN ids USING (key)),
+firsts AS (SELECT key, min(event_id) AS first FROM x WHERE asked = 'create' AND id IS NULL GROUP BY key),
+y AS (SELECT x.*, CASE WHEN asked = 'merge' THEN coalesce(target_cid, id) ELSE id END AS there, first FROM x LEFT JOIN firsts USING (key)),
+outcome AS (SELECT event_id, name, event_type, there, first, CASE WHEN asked = 'dismiss' THEN 'dismiss' WHEN there IS NOT NULL OR first < event_id THEN 'merge' WHEN asked = 'create' AND first = event_id THEN 'create' ELSE 'unresolved' END AS action FROM y)"""
+
+
+def _review(spark, sf_dir):
+    """Items of the queue and decisions on them: creations of names that others create as well, and merges into names, by id or by name, before and after their creation."""
+    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    nobody = F.concat(F.lit("obody "), (F.col("user_id") % 40).cast("string"))
+    name = F.when(F.col("k") % 2 == 0, "Red  Widget").otherwise(F.concat(F.lit("N"), nobody))
+    person = F.struct(name.alias("name_used_in_text"), F.struct(F.col("event_type").alias("physical_traits")).alias("stable_traits"))
+    queue = e.select(F.col("event_id").alias("review_id"), (F.col("event_id") % 50).alias("chapter_id"), F.lit("possible_duplicate").alias("kind"), F.to_json(F.struct(person.alias("character"))).alias("payload"), F.lit("").alias("note"), F.lit(False).alias("resolved"))
+    action = F.when(F.col("k") % 4 == 0, "merge").when(F.col("k") % 4 == 3, "dismiss").otherwise("create")
+    decisions = e.select(
+        F.col("event_id").alias("review_id"), action.alias("action"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("n"), nobody)).alias("target"), F.when(F.col("event_id") % 3 == 1, F.col("k")).alias("target_cid"),
+        F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("Renamed "), (F.col("k") % 10).cast("string"))).alias("rename"),
+    )
+    return queue, decisions
+
+
+@query(f"WITH {OUTCOMES} SELECT event_id AS review_id, action, name, coalesce(CASE WHEN action = 'merge' THEN there END, -1) AS character_id, coalesce(CASE WHEN action = 'merge' AND there IS NULL THEN first END, -1) AS created_by FROM outcome")
 def review_replay(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    name = F.when(F.col("k") % 2 == 0, "Red  Widget").otherwise("Nobody New")
-    payload = F.to_json(F.struct(F.struct(name.alias("name_used_in_text")).alias("character")))
-    queue = e.select(F.col("event_id").alias("review_id"), F.lit("possible_duplicate").alias("kind"), payload.alias("payload"), F.lit(False).alias("resolved"))
-    action = F.when(F.col("k") % 3 == 0, "merge").when(F.col("k") % 3 == 1, "create").otherwise("dismiss")
-    decisions = e.select(F.col("event_id").alias("review_id"), action.alias("action"), F.lit(None).cast("string").alias("target"), F.when(F.col("k") % 3 == 0, F.col("k")).cast("bigint").alias("target_cid"))
-    done = reconcile.decided(queue, decisions, directory(spark, sf_dir))
-    return done.select("review_id", "action", F.coalesce("character_id", F.lit(-1)).alias("character_id"))
+    done = reconcile.decided(*_review(spark, sf_dir), directory(spark, sf_dir))
+    return done.select("review_id", "action", "name", F.coalesce("character_id", F.lit(-1)).alias("character_id"), F.coalesce("created_by", F.lit(-1)).alias("created_by"))
+
+
+@query(f"""WITH {OUTCOMES}, m AS (SELECT event_id, name, event_type, CASE WHEN action = 'create' THEN event_id ELSE first END AS maker FROM outcome WHERE action = 'create' OR action = 'merge' AND there IS NULL),
+people AS (SELECT event_id AS maker, name AS primary_name FROM m WHERE maker = event_id)
+SELECT primary_name, arg_min(event_type, event_id) AS physical_traits, count(DISTINCT event_id % 50) AS appearances, 1::BIGINT AS aliases FROM m JOIN people USING (maker) GROUP BY primary_name""")
+def review_applied(spark, sf_dir):
+    """Characters that decisions made: the first account of them, and in how many chapters their items are."""
+    d = directory(spark, sf_dir)
+    queue, decisions = _review(spark, sf_dir)
+    after = replay.apply(d.having(review_queue=queue), decisions)
+    new = after.characters.join(d.characters.select("character_id"), "character_id", "left_anti").select("character_id", "primary_name", "physical_traits")
+    n = after.appearances.groupBy("character_id").agg(F.count(F.lit(1)).alias("appearances"))
+    names_ = after.aliases.groupBy("character_id").agg(F.count(F.lit(1)).alias("aliases"))
+    return new.join(n, "character_id", "left").join(names_, "character_id", "left").drop("character_id")
+
+
+@query(f"WITH {OUTCOMES} SELECT action, count(*) AS items, count(DISTINCT name) AS names FROM outcome GROUP BY action")
+def review_pending(spark, sf_dir):
+    """How many items each outcome has; unresolved ones stay open."""
+    done = reconcile.decided(*_review(spark, sf_dir), directory(spark, sf_dir))
+    return done.groupBy("action").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("name").alias("names"))
 
 
 # ---------------------------------------------------------------- texts

@@ -18,14 +18,14 @@ DECISIONS = "review_id bigint, action string, target string, target_cid bigint,
 PROPOSALS = "schema_version int, generated_at_iso string, db_file string, results array<struct<character_id:bigint, primary_name:string, nationality:string, basis:string, evidence:string, action:string, downgraded:boolean, current_nationality:string>>"
 
 
-#: What marks a file beside a snapshot that is none: copies made before a change, and attempts.
-NO_SNAPSHOT = ("backup", "bak", "copy", "old", "scratch", "test", "tmp")
+#: The one slot that is none: a copy beside the snapshots. Names with more parts, and those without a slot, are no snapshots either.
+NO_SNAPSHOT = ("backup",)
 
 
 def snapshot_slot(column):
-    """The slot of a snapshot's file name, null for others and for copies and attempts."""
+    """The slot of a snapshot's file name, null for others."""
     slot = F.nullif(F.regexp_extract(column, r"(?:^|/)[a-z]+_([a-z0-9]+)\.(?:db|parquet)/?$", 1), F.lit(""))
-    return F.when(~F.rlike(slot, F.lit(f"^(?:{'|'.join(NO_SNAPSHOT)})[0-9]*$")), slot)
+    return F.when(~F.rlike(slot, F.lit(f"^(?:{'|'.join(NO_SNAPSHOT)})$")), slot)
 
 
 def extractions(spark: SparkSession, path: str) -> DataFrame:
