@@ -44,6 +44,13 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def temporary(spark: SparkSession) -> str:
+    """A shared folder's place for what is needed until the driver ends."""
+    path = f"{shared_folder(spark)}/tesserae-{uuid.uuid4().hex}"
+    atexit.register(_at_exit, spark, path)
+    return path
+
+
 def forget(*frames: DataFrame) -> None:
     for df in frames:
         if path := getattr(df, "_tesserae_written", None):

@@ -222,7 +222,7 @@ def mention_gaps(d: Directory, threshold: int = 1) -> DataFrame:
     """
     of = terms(d)
     used = d.appearances.select("character_id", "chapter_id", F.coalesce("name_used", F.lit("")).alias("name_used"))
-    found = mentions_found(d.chapters, of.select("term").union(used.select("name_used").where("name_used <> ''")))
+    found = written(mentions_found(d.chapters, of.select("term").union(used.select("name_used").where("name_used <> ''"))))  # read three times, the texts once
     hits = found.join(of, "term").groupBy("character_id", "chapter_id").agg(F.sum(F.when(~N.is_noisy(F.col("term")), F.col("n")).otherwise(0)).alias("reliable"), F.sum("n").alias("total"))
     missing = hits.join(used, ["character_id", "chapter_id"], "left_anti").withColumn("kind", F.when(F.col("reliable") >= threshold, "missing").when(F.col("total") >= threshold, "missing_noisy"))
     bare = used.join(hits, ["character_id", "chapter_id"], "left_anti").join(found.select("chapter_id", F.col("term").alias("name_used")), ["chapter_id", "name_used"], "left_anti")

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tesserae import model, snapshots
+from tesserae.durable import written
 from tesserae.functions import ages, names, origins, texts
 from tesserae.functions import values as V
 from tesserae.operators import audits, read, resolve, write
@@ -32,6 +34,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def _once(spark, sf_dir, *tables: str) -> model.Directory:
+    """The directory with tables that a plan reads many times made once, as a real one has them."""
+    d = directory(spark, sf_dir)
+    return d.having(**{t: written(getattr(d, t)) for t in tables})
+
+
 def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -173,6 +181,38 @@ def snapshot_order(spark, sf_dir):
     return read.snapshot_order(_snapshots(spark, sf_dir))
 
 
+def _log(spark, sf_dir) -> snapshots.Log:
+    """Three versions: books up to the fifth, up to the ninth, and up to the twelfth with some chapters renamed and some gone."""
+    from tesserae.durable import temporary
+
+    d, log = directory(spark, sf_dir), snapshots.Log(spark, temporary(spark))
+    chapters = d.chapters.withColumn("full_text", F.lit(None).cast("string"))
+    for n, last in enumerate((5, 9, 12)):
+        books = d.books.where(F.col("series_order") <= last)
+        told = chapters.join(books.select("book_id"), "book_id", "left_semi").select(chapters.columns)
+        if n == 2:
+            told = told.where("chapter_id % 101 <> 7").withColumn("title", F.when(F.col("chapter_id") % 97 == 3, "Another title").otherwise(F.col("title")))
+        log.commit(model.Directory(spark, {"books": books, "chapters": told}), f"up to {last}", buckets=16)
+    return log
+
+
+TOLD = "(SELECT chapter_id, series_order FROM {chapters} c JOIN {books} b ON b.book_id = c.book_id)"
+
+
+@query(f"""SELECT version::BIGINT AS version, (version - 1)::BIGINT AS parent, 'up to ' || last AS note, name, rows FROM (SELECT * FROM (VALUES (0, 5), (1, 9), (2, 12)) v(version, last)) v, LATERAL (
+  SELECT 'books' AS name, count(*) AS rows FROM {{books}} WHERE series_order <= last UNION ALL SELECT 'chapters', count(*) FROM {TOLD} t WHERE series_order <= last AND (version < 2 OR chapter_id % 101 <> 7)) x""")
+def snapshot_versions(spark, sf_dir):
+    """What the log says of three commits; the first has no parent, -1 here."""
+    return _log(spark, sf_dir).history().select("version", F.coalesce("parent", F.lit(-1)).alias("parent"), "note", "name", "rows")
+
+
+@query(f"""SELECT chapter_id, CASE WHEN series_order > 5 THEN 'added' WHEN chapter_id % 101 = 7 THEN 'removed' ELSE 'changed' END AS change FROM {TOLD} t
+WHERE series_order BETWEEN 6 AND 12 AND chapter_id % 101 <> 7 OR series_order <= 5 AND (chapter_id % 101 = 7 OR chapter_id % 97 = 3)""")
+def snapshot_delta(spark, sf_dir):
+    """Chapters that differ between the first version and the last; only buckets whose digests differ are read."""
+    return _log(spark, sf_dir).delta("chapters", 0, 2).select("chapter_id", "change")
+
+
 @query("SELECT * FROM (VALUES ('newspring', 'newspring'), ('9', 'book9'), ('book12', 'book12'), ('nowhere', 'newspring'), ('', 'newspring')) t(wanted, snapshot)")
 def snapshot_select(spark, sf_dir):
     order = read.snapshot_order(_snapshots(spark, sf_dir))
@@ -464,7 +504,7 @@ def term_counts(spark, sf_dir):
 @query()
 def mention_gap(spark, sf_dir):
     """Words are told apart by Unicode rules that the other engine lacks; a test compares with a plain scan."""
-    d = directory(spark, sf_dir)
+    d = _once(spark, sf_dir, "characters", "aliases", "appearances")
     extra = spark.createDataFrame([(1, "erin"), (2, "trash"), (3, "clown")], "character_id bigint, alias_text string").select("character_id", "alias_text", F.col("alias_text").alias("alias_norm"), F.lit("nickname").alias("alias_type"), F.lit(False).alias("is_primary"))
     return audits.mention_gaps(d.having(aliases=d.aliases.select("character_id", "alias_text", "alias_norm", "alias_type", "is_primary").union(extra.select("character_id", "alias_text", "alias_norm", "alias_type", "is_primary"))))
 
@@ -618,7 +658,7 @@ def merge_plan_factions(spark, sf_dir):
 UNION ALL SELECT 'appearances', (SELECT count(*) FROM (SELECT DISTINCT coalesce(keep, character_id), chapter_id FROM {{appearances}} LEFT JOIN {PAIRS} p ON "drop" = character_id) x)
 UNION ALL SELECT 'character_factions', (SELECT count(*) FROM (SELECT DISTINCT coalesce(keep, character_id), faction_id FROM {{character_factions}} LEFT JOIN {PAIRS} p ON "drop" = character_id) x)""")
 def merge_applied_counts(spark, sf_dir):
-    d = merge.apply(directory(spark, sf_dir), _pairs(spark, sf_dir))
+    d = merge.apply(_once(spark, sf_dir, "characters", "aliases", "appearances", "relationships", "mentions", "character_factions"), _pairs(spark, sf_dir))
     one = lambda t: getattr(d, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows")
     return one("characters").union(one("appearances")).union(one("character_factions"))
 
@@ -652,7 +692,7 @@ UNION ALL SELECT 'character_factions', root, faction_id, role FROM f UNION ALL S
 UNION ALL SELECT 'characters', root, NULL, NULL FROM everyone WHERE depth = 0 AND root IN (SELECT character_id FROM {{characters}})""")
 def merge_chains_applied(spark, sf_dir):
     """What is left of all tables; relationships as pairs, whichever way they point."""
-    d = merge.apply(directory(spark, sf_dir), _links(spark, sf_dir))
+    d = merge.apply(_once(spark, sf_dir, "characters", "aliases", "appearances", "relationships", "mentions", "character_factions"), _links(spark, sf_dir))
     none = F.lit(None).cast("string")
     row = lambda df, name, a, b, said: df.select(F.lit(name).alias("name"), F.expr(a).cast("bigint").alias("a"), F.expr(b).cast("bigint").alias("b"), said.alias("said"))
     out = row(d.appearances, "appearances", "character_id", "chapter_id", F.col("whereabouts"))
@@ -671,7 +711,7 @@ UNION ALL SELECT 'acknowledged_collisions', count(*) FROM {{acknowledged_collisi
 UNION ALL SELECT 'characters', count(*) FROM {{characters}} WHERE character_id IN {DOOMED}""")
 def delete_cascade_counts(spark, sf_dir):
     ids = table(spark, sf_dir, "customer").where("c_custkey % 7 = 3").select(F.col("c_custkey").alias("character_id"))
-    return change.deletion_counts(directory(spark, sf_dir), ids)
+    return change.deletion_counts(_once(spark, sf_dir, "characters", "aliases", "appearances", "relationships", "mentions"), ids)
 
 
 @query(f"SELECT character_a, character_b, relationship_type FROM {{relationships}} WHERE character_a NOT IN {DOOMED} AND character_b NOT IN {DOOMED}")
@@ -766,7 +806,7 @@ SELECT character_id, CASE WHEN owner IS NULL THEN chosen ELSE primary_name END A
 UNION ALL SELECT character_id, primary_name, alias_text, alias_norm, alias_type, CASE rule WHEN 'corrected_misnomer' THEN 'DROP' WHEN 'rank_decorated' THEN 'DROP' WHEN 'article_dup' THEN 'COLLAPSE' WHEN '' THEN 'KEEP' ELSE 'REVIEW' END, rule, coalesce(notes, '') FROM v""")
 def cleanup_trace(spark, sf_dir):
     """Every decision of the cleaning and why."""
-    return traced.trace(directory(spark, sf_dir))
+    return traced.trace(_once(spark, sf_dir, "characters", "aliases"))
 
 
 ITEMS = """(SELECT event_id, k, CASE WHEN k % 2 = 0 THEN 'Red  Widget' ELSE 'Nobody ' || (user_id % 40)::VARCHAR END AS said, CASE k % 4 WHEN 0 THEN 'merge' WHEN 3 THEN 'dismiss' ELSE 'create' END AS asked,
@@ -807,7 +847,7 @@ people AS (SELECT event_id AS maker, name AS primary_name FROM m WHERE maker = e
 SELECT primary_name, arg_min(event_type, event_id) AS physical_traits, count(DISTINCT event_id % 50) AS appearances, 1::BIGINT AS aliases FROM m JOIN people USING (maker) GROUP BY primary_name""")
 def review_applied(spark, sf_dir):
     """Characters that decisions made: the first account of them, and in how many chapters their items are."""
-    d = directory(spark, sf_dir)
+    d = _once(spark, sf_dir, "characters", "aliases", "appearances")
     queue, decisions = _review(spark, sf_dir)
     after = replay.apply(d.having(review_queue=queue), decisions)
     new = after.characters.join(d.characters.select("character_id"), "character_id", "left_anti").select("character_id", "primary_name", "physical_traits")
@@ -915,7 +955,7 @@ def graph_legend(spark, sf_dir):
   (SELECT 'b' || series_order || '_c' || chapter_number FROM {{chapters}} h JOIN {{books}} b ON b.book_id = h.book_id WHERE h.chapter_id = c.first_chapter_id) AS sources,
   (SELECT count(*) FROM {{aliases}} a JOIN {{aliases}} b ON b.character_id = a.character_id AND a.alias_norm = 'the ' || b.alias_norm WHERE a.character_id = c.character_id) > 0 AS article FROM {{characters}} c""")
 def dossiers(spark, sf_dir):
-    f = audits.dossier(directory(spark, sf_dir))
+    f = audits.dossier(_once(spark, sf_dir, "characters", "aliases", "appearances", "relationships", "character_factions", "mentions"))
     text = lambda c: F.when(F.size(c) > 0, F.array_join(c, ", ")).alias(c)
     return f.select("character_id", text("neighbours"), text("sources"), F.array_contains("findings", "article duplicate").alias("article"))
 
