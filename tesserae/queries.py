@@ -422,6 +422,93 @@ def age_vocabulary(spark, sf_dir):
     return directory(spark, sf_dir).characters.select("character_id", a.alias("age"), ages.refined(a, F.lit("older (gray-haired)")).alias("refined"))
 
 
+def _listed(values) -> str:
+    return "[" + _quoted(values) + "]"
+
+
+def _numbers(d: dict[str, int]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': {n}" for k, n in d.items()) + "}"
+
+
+_SMALL = [k for k, n in V.UNITS.items() if n < 10]
+AGE_WORDS = ("young", "middle-aged", "old", "elderly", "Adult", "girl", "ageless", "immortal", "grey-haired", "well beyond thirty", "youngest of the four", "grown", "unknown", "novice", "little")
+#: How a phrase is made of a word, a number, a number's word and a row's number; in SQL for both engines.
+AGE_FORMS = (
+    "word", "concat(word, ' man')", "concat(num, ' years old')", "concat('about ', num)", "concat(word, ', ', num)", "concat('older than ', word)", "concat('killed ', num, ' years ago')", "concat('Nearly ', told)",
+    "concat(told, ' years old')", "concat('over ', told, ' years as a soldier')", "concat(word, ' (', told, ')')", "concat('not much older than the others, ', told)", "concat(told, ' or so')", "concat(word, '; ', word, ' woman')", "concat('same age as ', word, ', ', num)",
+)
+
+
+def _age_sql(x: str) -> str:
+    """An age on the scale, of a lower-cased phrase."""
+    units, small, tens = ("|".join(k) for k in (V.UNITS, _SMALL, V.TENS))
+    first = rf"(?s)^.*?(?:\b({tens})(?:[- ]({small}))?\b|\b({units})\b)(.{{0,24}})"
+    rest = f"regexp_replace({x}, '{V.COMPARATIVE}', ' ', 'g')"
+    part = lambda k: f"regexp_extract({rest}, '{first}', {k})"
+    word = f"CASE WHEN {part(1)} <> '' THEN {_numbers(V.TENS)}[{part(1)}] + coalesce({_numbers(V.UNITS)}[{part(2)}], 0) ELSE {_numbers(V.UNITS)}[{part(3)}] END"
+    counts = rf"(regexp_matches({part(4)}, '^\s*(years?|yrs?)\b') AND NOT regexp_matches({part(4)}, '^\s*(years?|yrs?)[- ]old\b') OR regexp_matches({part(4)}, '^\s+[a-z]') AND NOT regexp_matches({part(4)}, '^\s+(or|and|years?|yrs?)\b'))"
+    digits = rf"regexp_extract({rest}, '\b(\d{{1,3}})\b', 1)"
+    number = f"CASE WHEN NOT regexp_matches({rest}, '{V.DURATION}') THEN CASE WHEN {digits} <> '' THEN {digits}::INT WHEN NOT {counts} THEN {word} END END"
+    years = rf"regexp_extract({x}, '\b(\d{{1,3}}|{units})\s*(years?|yrs?)[- ]old\b', 1)"
+    said = lambda n: f"CASE WHEN {n} <= 12 THEN 'child' ELSE 'about ' || ({n}) END"
+    of_years = f"coalesce({_numbers(V.UNITS)}[{years}], try_cast({years} AS INT))"
+    bands = " ".join(f"WHEN regexp_matches({rest}, '{pattern.replace('(?<!-)aged', '[^-]aged')}') THEN '{band}'" for band, pattern in V.BAND_PATTERNS)
+    return rf"""CASE WHEN {x} = '' OR regexp_matches({x}, '{V.NO_AGE}') THEN NULL WHEN regexp_matches({x}, '\b(ageless|timeless)\b') THEN 'ageless' WHEN {years} <> '' THEN {said(of_years)}
+      WHEN {number} BETWEEN 1 AND 120 THEN {said(number)} {bands} END"""
+
+
+def _rank_sql(a: str) -> str:
+    n = f"try_cast(regexp_extract({a}, '^about (\\d+)', 1) AS INT)"
+    return f"CASE WHEN {a} IS NULL THEN -1 WHEN {a} = 'ageless' THEN 7 WHEN {a} LIKE 'about %' THEN CASE WHEN {n} <= 12 THEN 0 WHEN {n} <= 25 THEN 1 WHEN {n} <= 40 THEN 2 WHEN {n} <= 55 THEN 3 WHEN {n} <= 70 THEN 4 ELSE 5 END ELSE list_position({_listed(V.BANDS)}, {a}) - 1 END"
+
+
+_AGED = f"CASE k % {len(AGE_FORMS)} " + " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(AGE_FORMS)) + " END"
+
+
+@query(rf"""WITH w AS (SELECT p_partkey AS k, {_listed(AGE_WORDS)}[(p_partkey // 3) % {len(AGE_WORDS)} + 1] AS word, (p_size * 3 % 131)::VARCHAR AS num,
+  CASE p_size % 3 WHEN 0 THEN {_listed(V.UNITS)}[p_partkey % {len(V.UNITS)} + 1] WHEN 1 THEN {_listed(V.TENS)}[p_partkey % {len(V.TENS)} + 1] ELSE {_listed(V.TENS)}[p_partkey % {len(V.TENS)} + 1] || '-' || {_listed(_SMALL)}[p_size % {len(_SMALL)} + 1] END AS told FROM part),
+x AS (SELECT k, {_AGED} AS phrase FROM w), a AS (SELECT k, phrase, {_age_sql('lower(trim(phrase))')} AS age FROM x),
+b AS (SELECT a.k, a.phrase, a.age, n.age AS new FROM a LEFT JOIN a n ON n.k = a.k + 1)
+SELECT k, phrase, age, CASE WHEN new IS NULL THEN age WHEN age IS NULL THEN new WHEN {_rank_sql('new')} > {_rank_sql('age')} THEN new
+  WHEN {_rank_sql('new')} = {_rank_sql('age')} AND new LIKE 'about %' AND age NOT LIKE 'about %' THEN new ELSE age END AS refined FROM b""")
+def age_phrases(spark, sf_dir):
+    """Phrases of words, numbers and both, read onto the scale, and refined by the next part's phrase."""
+    p = table(spark, sf_dir, "part")
+    at = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    told = F.when(size % 3 == 0, at(V.UNITS, key % len(V.UNITS))).when(size % 3 == 1, at(V.TENS, key % len(V.TENS))).otherwise(F.concat(at(V.TENS, key % len(V.TENS)), F.lit("-"), at(_SMALL, size % len(_SMALL))))
+    w = p.select(key.alias("k"), at(AGE_WORDS, F.floor(key / 3) % len(AGE_WORDS)).alias("word"), (size * 3 % 131).cast("string").alias("num"), told.alias("told"))
+    x = w.select("k", F.expr(_AGED).alias("phrase")).withColumn("age", ages.normalized(F.col("phrase")))
+    follows = x.select((F.col("k") - 1).alias("k"), F.col("phrase").alias("new"))
+    both = x.join(follows, "k", "left")
+    return both.select("k", "phrase", "age", ages.refined(F.col("age"), F.col("new")).alias("refined"))
+
+
+_PLACES = (*V.DEMONYMS, *V.PARENTS, *V.PEOPLES, "Shayol Ghul", "unknown", "N/A", "not stated yet", "")
+_ORIGIN_FORMS = ("a", "concat(a, ' (presumably)')", "concat(a, ', ', b)", "concat(a, ',, ', b, ' (?)')", "concat('  ', upper(substr(a, 1, 1)), substr(a, 2))", "concat(a, ', ', b, ', ', a)", "concat('(maybe) ', a)")
+_ORIGIN = f"CASE k % {len(_ORIGIN_FORMS)} " + " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(_ORIGIN_FORMS)) + " END"
+_NAMED = "MAP {" + ", ".join(f"'{k.replace(chr(39), chr(39) * 2)}': '{v.replace(chr(39), chr(39) * 2)}'" for k, v in (V.DEMONYMS | V.PEOPLES).items()) + "}"
+_ABOVE = "(VALUES " + ", ".join(f"('{k.replace(chr(39), chr(39) * 2)}', '{v}')" for k, v in V.PARENTS.items()) + ") v(region, parent)"
+_NOWHERE = "(o IS NULL OR trim(o) = '' OR " + " OR ".join(f"starts_with(lower(trim(o)), '{x}')" for x in V.UNRESOLVED) + ")"
+
+
+@query(rf"""WITH RECURSIVE pl AS (SELECT {_listed(_PLACES)} AS l), w AS (SELECT p_partkey AS k, l[p_partkey % {len(_PLACES)} + 1] AS a, l[(p_partkey * 7 + p_size) % {len(_PLACES)} + 1] AS b FROM part, pl),
+x AS (SELECT k, {_ORIGIN} AS o FROM w),
+c AS (SELECT k, o, list_filter(list_transform(list_transform(string_split(o, ','), lambda p: trim(regexp_replace(p, '\([^)]*\)', '', 'g'))), lambda p: coalesce({_NAMED}[lower(p)], p)), lambda p: p <> '') AS parts FROM x),
+up AS (SELECT region, parent, 1 AS depth FROM {_ABOVE} UNION ALL SELECT up.region, v.parent, depth + 1 FROM up JOIN {_ABOVE} ON v.region = lower(up.parent)),
+ch AS (SELECT region, list(parent ORDER BY depth) AS above FROM up GROUP BY region),
+f AS (SELECT k, o, parts, coalesce(above, []) AS above, list_transform(parts, lambda p: lower(p)) AS seen FROM c LEFT JOIN ch ON region = lower(parts[-1])),
+g AS (SELECT *, coalesce(list_min(list_filter(range(1, len(above) + 1), lambda i: list_contains(seen, lower(above[i])))), len(above) + 1) AS first FROM f)
+SELECT k, o AS phrase, {_NOWHERE} AS unresolved, CASE WHEN NOT {_NOWHERE} AND len(parts) > 0 THEN array_to_string(list_concat(parts, above[1:first - 1]), ', ') END AS origin FROM g""")
+def origin_phrases(spark, sf_dir):
+    """Places, peoples and hedges, alone and in lists, completed with the regions above them."""
+    at = lambda i: F.element_at(F.array(*[F.lit(v) for v in _PLACES]), (i + 1).cast("int"))
+    key = F.col("p_partkey")
+    w = table(spark, sf_dir, "part").select(key.alias("k"), at(key % len(_PLACES)).alias("a"), at((key * 7 + F.col("p_size")) % len(_PLACES)).alias("b"))
+    x = w.select("k", F.expr(_ORIGIN).alias("phrase"))
+    return x.select("k", "phrase", origins.is_unresolved(F.col("phrase")).alias("unresolved"), origins.normalized(F.col("phrase")).alias("origin"))
+
+
 _HASH = "list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length(p_brand) + 1), lambda i: ascii(substr(p_brand, i, 1))::BIGINT)), lambda h, c: (h * 31 + c + 2147483648) & 4294967295 - 2147483648)"
 
 

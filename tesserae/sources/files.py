@@ -6,12 +6,14 @@ import io
 import posixpath
 import re
 import zipfile
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.durable import written
 from tesserae.session import ship
 
 DECISIONS = "review_id bigint, action string, target string, target_cid bigint, add_alias array<string>, note string"
@@ -101,6 +103,59 @@ def book_parts(data: bytes) -> list[tuple[str, str, str]]:
         return out
 
 
+_LINK = re.compile(r"(?:href|src)\s*=\s*[\"']([^\"'#?]+)|url\(\s*[\"']?([^\"')#?]+)|@import\s+[\"']([^\"'#?]+)")
+
+
+def package_links(data: bytes) -> list[tuple[str, list[str]]]:
+    """(file, files of the package that it refers to) for each file of an EPUB: from pages and style sheets, by the paths they have inside."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = {n for n in z.namelist() if not n.endswith("/")}
+        out = []
+        for name in sorted(names):
+            found = set()
+            if name.rpartition(".")[2].lower() in ("html", "xhtml", "htm", "css", "svg", "xml"):
+                for groups in _LINK.findall(z.read(name).decode(errors="replace")):
+                    ref = unquote(next(g for g in groups if g).strip())
+                    at = posixpath.normpath(posixpath.join(posixpath.dirname(name), ref))
+                    if at in names and at != name:
+                        found.add(at)
+            out.append((name, sorted(found)))
+        return out
+
+
+def links(spark: SparkSession, path: str) -> DataFrame:
+    """(file, name, refers): every part of every EPUB of a folder and the parts it refers to; each file is opened by one task."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").load(path).select("path", "content")
+
+    def run(batches):
+        for b in batches:
+            rows = [(p, *part) for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for part in package_links(c)]
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.list_(pa.string()))], ["file", "name", "refers"])
+
+    return files.mapInArrow(run, "file string, name string, refers array<string>")
+
+
+def volume_files(volumes: DataFrame, linked: DataFrame, most_rounds: int = 40) -> DataFrame:
+    """(file, volume, name, asset): what belongs to each volume of a file with several: its pages (file, volume, href), and all that they refer to, and what that refers to.
+
+    Pages of other volumes don't come along, nor does what only they need: a shared style sheet
+    belongs to both. Each round follows one more step of references, from what is new only, and is written.
+    """
+    pages = volumes.select("file", "volume", F.col("href").alias("name")).distinct()
+    page = pages.select("file", "name").distinct()
+    edges = linked.select("file", "name", F.explode("refers").alias("to")).join(page.withColumnRenamed("name", "to"), ["file", "to"], "left_anti")
+    every = written(pages.withColumn("asset", F.lit(False)))
+    new = every
+    for _ in range(most_rounds):
+        reached = new.join(edges, ["file", "name"]).select("file", "volume", F.col("to").alias("name")).distinct()
+        new = written(reached.join(every, ["file", "volume", "name"], "left_anti").withColumn("asset", F.lit(True)))
+        if new.isEmpty():
+            return every
+        every = written(every.unionByName(new))
+    raise ValueError("references did not end")
+
+
 def books(spark: SparkSession, path: str) -> DataFrame:
     """(file, position, label, href, html) of all EPUB files of a folder; each file is parsed by one task."""
     ship(spark)
