@@ -61,6 +61,9 @@ def rank(a: Column) -> Column:
 
 def refined(current: Column, incoming: Column) -> Column:
     """The later of two; a number instead of a word for the same band."""
-    new = normalized(incoming)
-    number = F.startswith(new, F.lit("about ")) & ~F.startswith(current, F.lit("about "))
-    return F.when(new.isNull(), current).when(current.isNull(), new).when(rank(new) > rank(current), new).when((rank(new) == rank(current)) & number, new).otherwise(current)
+
+    def later(new: Column) -> Column:
+        number = F.startswith(new, F.lit("about ")) & ~F.startswith(current, F.lit("about "))
+        return F.when(new.isNull(), current).when(current.isNull(), new).when(rank(new) > rank(current), new).when((rank(new) == rank(current)) & number, new).otherwise(current)
+
+    return F.element_at(F.transform(F.array(normalized(incoming)), later), 1)  # the phrase is read once

@@ -9,7 +9,7 @@ from tesserae.sources.analogue import TABLES, VIEWS, with_views
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the supplied tables are not here")
-SOME = ("roster_counts", "profile_relationships", "graph_nodes", "alias_cleanup", "origin_refine", "collisions_suppressed", "fuller_names", "resolve_tokens", "merge_plan_relationships", "carry_forward", "toc_classify", "broken_pointers")
+SOME = ("merge_chains", "merge_chains_applied", "review_replay", "review_applied", "search_many", "cleanup_trace", "snapshot_versions", "snapshot_delta", "age_phrases", "origin_phrases", "median_trend", "roster_counts", "profile_relationships", "graph_nodes", "alias_cleanup", "origin_refine", "collisions_suppressed", "fuller_names", "resolve_tokens", "merge_plan_relationships", "carry_forward", "toc_classify", "broken_pointers")
 
 
 @pytest.fixture(scope="module")
