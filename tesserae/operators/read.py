@@ -180,6 +180,17 @@ def select_snapshot(order: DataFrame, wanted: str | int | None) -> str | None:
     return first[0]["snapshot"] if first else None
 
 
+def select_snapshots(order: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(wanted, snapshot): for every request the snapshot it gets, by slot or number and without regard to case; the earliest where there is none such. order: as above."""
+    from tesserae.functions.names import slot_of_number
+
+    earliest = order.agg(F.min_by("snapshot", F.struct("at", "snapshot")).alias("earliest"))
+    there = order.select("snapshot").distinct()
+    asked = wanted.select("wanted").distinct().withColumn("key", slot_of_number(F.lower(F.coalesce("wanted", F.lit("")))))
+    met = asked.join(there, F.col("snapshot") == F.col("key"), "left").crossJoin(F.broadcast(earliest))  # one row
+    return met.select("wanted", F.coalesce("snapshot", "earliest").alias("snapshot"))
+
+
 def resolve_book(d: Directory, wanted: str) -> DataFrame:
     """The book of a slot, of a number as a slot, or of a place in the series, in this order; no row if there is none."""
     from tesserae.functions.names import slot_of_number
@@ -216,6 +227,17 @@ def shortened(texts: Column, most: int) -> Column:
     return F.when(n > most, F.concat(F.slice(texts, 1, most), F.array(F.concat(F.lit("... "), (n - most).cast("string"), F.lit(" more"))))).otherwise(texts)
 
 
+def cut(text: Column, most: int) -> Column:
+    """The first characters of a text, as long as a prompt or a report takes."""
+    return F.left(text, F.lit(most))
+
+
+def noted(rows: DataFrame, column: str, wanted: str, unwanted: str) -> DataFrame:
+    """Rows whose note has one piece of text and not another, ASCII letters without case; rows without a note are in neither."""
+    note = nocase(F.col(column))
+    return rows.where(F.contains(note, nocase(F.lit(wanted))) & ~F.contains(note, nocase(F.lit(unwanted))))
+
+
 def legend(nodes: DataFrame, most: int = 12) -> DataFrame:
     """The first groups of a graph's nodes, by name, each once."""
     return nodes.where("faction is not null").select("faction").distinct().orderBy("faction").limit(most)

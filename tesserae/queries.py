@@ -181,6 +181,30 @@ def snapshot_order(spark, sf_dir):
     return read.snapshot_order(_snapshots(spark, sf_dir))
 
 
+@query(f"""WITH w AS (SELECT DISTINCT CASE c_custkey % 4 WHEN 0 THEN (c_custkey % 15)::VARCHAR WHEN 1 THEN 'BOOK' || (c_custkey % 15) WHEN 2 THEN ' newspring ' ELSE c_name END AS wanted FROM customer),
+k AS (SELECT wanted, CASE WHEN regexp_matches(trim(wanted), '^[0-9]+$') THEN 'book' || trim(wanted)::BIGINT ELSE lower(trim(wanted)) END AS key FROM w),
+o AS (SELECT snapshot, max(series_order) AS latest FROM {SNAPSHOTS} s GROUP BY snapshot)
+SELECT wanted, coalesce(snapshot, (SELECT arg_min(snapshot, latest) FROM o)) AS snapshot FROM k LEFT JOIN o ON snapshot = key""")
+def snapshots_selected(spark, sf_dir):
+    """Numbers, slots in capitals and names that are none, each with the snapshot it gets."""
+    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    number = (key % 15).cast("string")
+    wanted = c.select(F.when(key % 4 == 0, number).when(key % 4 == 1, F.concat(F.lit("BOOK"), number)).when(key % 4 == 2, " newspring ").otherwise(F.col("c_name")).alias("wanted"))
+    return read.select_snapshots(read.snapshot_order(_snapshots(spark, sf_dir)), wanted)
+
+
+@query("SELECT character_id, alias_norm, notes FROM {aliases} WHERE notes ILIKE '%h%' AND notes NOT ILIKE '%WRONG%'")
+def notes_filtered(spark, sf_dir):
+    """Aliases by what their notes say and don't say; those without notes are in neither."""
+    return read.noted(directory(spark, sf_dir).aliases, "notes", "H", "wrong").select("character_id", "alias_norm", "notes")
+
+
+@query("SELECT doc_id, left(text, 400) AS head, length(text) > 400 AS is_cut FROM documents")
+def texts_cut(spark, sf_dir):
+    """Every text cut to what a prompt takes; the cut is the feature."""
+    return table(spark, sf_dir, "documents").select("doc_id", read.cut(F.col("text"), 400).alias("head"), (F.length("text") > 400).alias("is_cut"))
+
+
 def _log(spark, sf_dir) -> snapshots.Log:
     """Three versions: books up to the fifth, up to the ninth, and up to the twelfth with some chapters renamed and some gone."""
     from tesserae.durable import temporary
@@ -631,6 +655,19 @@ def audit_summary(spark, sf_dir):
     return audits.summary(directory(spark, sf_dir), list(AUDITED))
 
 
+#: Checks of a full audit by the queries that show their rows.
+REPORTED = {
+    "generic aliases": "generic_aliases", "odd names": "odd_names", "collisions": "collisions_suppressed", "reveals": "reveal_consistency",
+    "article duplicates": "article_duplicates", "rank duplicates": "rank_duplicates", "fuller names": "fuller_names",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS name, (SELECT count(*) FROM ({ORACLES[q]}) x) AS rows" for k, q in REPORTED.items()))
+def audit_report(spark, sf_dir):
+    """How many rows seven checks of a full audit flag, over tables that are made once."""
+    return audits.summary(_once(spark, sf_dir, "characters", "aliases", "appearances", "relationships", "mentions"), list(REPORTED))
+
+
 @query("SELECT 'nation' AS name, 'n_name' AS \"column\", count(*) AS rows FROM nation WHERE n_name LIKE '%NATION_1%' HAVING count(*) > 0")
 def path_marks(spark, sf_dir):
     return audits.leaks(table(spark, sf_dir, "nation"), "nation", ("nation_1", "BOOKS/"))

@@ -104,3 +104,12 @@ def test_tables_that_come_and_go(spark, log):
     queue = spark.createDataFrame([(1, 1, "k", None, None, False, None)], SCHEMAS["review_queue"])
     log.commit(log.load().having(review_queue=queue))
     assert [(r["change"]) for r in log.delta("review_queue", 0, 1).collect()] == ["added"]
+
+
+def test_slots_of_file_names(spark):
+    """One name beside the snapshots is a copy; names with more parts, and without a slot, are none."""
+    from tesserae.sources.files import snapshot_slot
+
+    names = ["x/abc_book1.db", "abc_old.db", "a/abc_test1.db", "abc_copy.db", "abc_newspring.db", "abc_backup.db", "abc.db", "abc_book1_cleanup.db", "abc_clean_book1.db", "abc_Book2.db", "abc_book3.db.bak", "abc_backup2.db"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", snapshot_slot(F.col("n")).alias("slot"))
+    assert {r["n"]: r["slot"] for r in df.collect() if r["slot"] is not None} == {"x/abc_book1.db": "book1", "abc_old.db": "old", "a/abc_test1.db": "test1", "abc_copy.db": "copy", "abc_newspring.db": "newspring", "abc_backup2.db": "backup2"}
