@@ -35,3 +35,11 @@ def test_known_collisions_are_those_of_owners(spark):
     view = d.aliases.select("alias_norm", F.col("character_id").alias("owner_cid")).join(d.characters.select(F.lower("primary_name").alias("alias_norm"), F.col("character_id").alias("other_cid")), "alias_norm")
     df = audits.collisions(d.having(acknowledged_collisions=view))
     assert "LeftSemi" in plan(df) and not df.collect()
+
+
+def test_fuller_names_are_paired_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(audits, "PAIRED", 2)
+    d, want = crowd(spark)
+    df = audits.fuller_names(d)
+    got = [(r["short_id"], r["long_id"]) for r in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
