@@ -43,3 +43,9 @@ def test_fuller_names_are_paired_in_parts(spark, monkeypatch):
     df = audits.fuller_names(d)
     got = [(r["short_id"], r["long_id"]) for r in df.collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_fuller_names_are_counted_by_names(spark):
+    d, want = crowd(spark)
+    assert {r["character_id"]: r["n"] for r in audits.fuller_counts(d).collect()} == {s: sum(x == s for x, _ in want) for s in {x for x, _ in want}}
+    assert [r["rows"] for r in audits.summary(d, ["fuller names"]).collect()] == [len(want)]
