@@ -49,3 +49,9 @@ def test_fuller_names_are_counted_by_names(spark):
     d, want = crowd(spark)
     assert {r["character_id"]: r["n"] for r in audits.fuller_counts(d).collect()} == {s: sum(x == s for x, _ in want) for s in {x for x, _ in want}}
     assert [r["rows"] for r in audits.summary(d, ["fuller names"]).collect()] == [len(want)]
+
+
+def test_ages_are_read_once(spark):
+    c = spark.createDataFrame([("about 40", "killed two years ago"), ("young", "Sixty-three"), (None, "ten years old")], "a string, b string")
+    df = c.select(ages.refined(ages.normalized(F.col("a")), F.col("b")).alias("x"))
+    assert plan(df).lower().count("regexp_replace") < 8 and [r["x"] for r in df.collect()] == ["about 40", "about 63", "child"]
