@@ -55,3 +55,9 @@ def test_ages_are_read_once(spark):
     c = spark.createDataFrame([("about 40", "killed two years ago"), ("young", "Sixty-three"), (None, "ten years old")], "a string, b string")
     df = c.select(ages.refined(ages.normalized(F.col("a")), F.col("b")).alias("x"))
     assert plan(df).lower().count("regexp_replace") < 8 and [r["x"] for r in df.collect()] == ["about 40", "about 63", "child"]
+
+
+def test_phrases_are_dealt_before_they_are_read(spark):
+    from tesserae.queries import QUERIES
+
+    assert "RepartitionByExpression [k" in plan(QUERIES["age_phrases"](spark, "/root/testdata/sf0.001"))
