@@ -61,3 +61,10 @@ def test_phrases_are_dealt_before_they_are_read(spark):
     from tesserae.queries import QUERIES
 
     assert "RepartitionByExpression [k" in plan(QUERIES["age_phrases"](spark, "/root/testdata/sf0.001"))
+
+
+def test_origins_are_read_once(spark):
+    c = spark.createDataFrame([("Two Rivers", "Andor"), ("Maule (presumably)", "Andor"), (None, "unknown")], "a string, b string")
+    df = c.select(origins.refined(F.col("a"), F.col("b")).alias("x"))
+    assert plan(df).lower().count("regexp_replace") < 40
+    assert [r["x"]["conflict"] for r in df.collect()] == [False, True, False]
