@@ -187,14 +187,16 @@ def clean_aliases(d: Directory) -> Directory:
 
 def promotions(d: Directory) -> DataFrame:
     """(character_id, primary_name, chosen, blocked): the one fullest form of the name among the given names, if it has all of its words; blocked where another character has that name."""
-    own = d.characters.select("character_id", "primary_name", N.adopted_tokens(F.col("primary_name")).alias("mine"))
-    given = d.aliases.where("alias_type = 'given_name'").select("character_id", "alias_text").withColumn("clean", N.adopted(F.col("alias_text"))).withColumn("theirs", N.adopted_tokens(F.col("alias_text")))
-    met = own.join(given, "character_id").where((F.size("theirs") > F.size("mine")) & N.subset(F.col("mine"), F.col("theirs"))).withColumn("key", N.norm(F.col("clean")))
+    given = d.aliases.where("alias_type = 'given_name'").select("character_id", "alias_text")
+    met = d.characters.select("character_id", "primary_name").join(given, "character_id")
+    met = met.withColumn("mine", N.adopted_tokens(F.col("primary_name"))).withColumn("clean", N.adopted(F.col("alias_text"))).withColumn("theirs", N.adopted_tokens(F.col("alias_text")))
+    met = met.where((F.size("theirs") > F.size("mine")) & N.subset(F.col("mine"), F.col("theirs"))).withColumn("key", N.norm(F.col("clean")))
     met = met.where((F.col("key") != "") & (F.col("key") != N.norm(N.adopted(F.col("primary_name"))))).groupBy("character_id", "primary_name", "key").agg(F.min_by(F.struct("clean", F.size("theirs").alias("size")), "alias_text").alias("c"))
     best = F.rank().over(Window.partitionBy("character_id").orderBy(F.desc("c.size")))
     top = met.withColumn("k", best).where("k = 1").groupBy("character_id", "primary_name").agg(F.count(F.lit(1)).alias("n"), F.first("c.clean").alias("chosen")).where("n = 1")
-    taken = d.characters.select(F.col("primary_name").alias("chosen"), F.col("character_id").alias("owner"))
-    return top.join(taken, "chosen", "left").groupBy("character_id", "primary_name", "chosen").agg(F.coalesce(F.bool_or(F.col("owner") != F.col("character_id")), F.lit(False)).alias("blocked"))
+    taken = d.characters.groupBy(F.col("primary_name").alias("chosen")).agg(F.min("character_id").alias("low"), F.max("character_id").alias("high"))
+    other = (F.col("low") != F.col("character_id")) | (F.col("high") != F.col("character_id"))
+    return top.join(taken, "chosen", "left").select("character_id", "primary_name", "chosen", F.coalesce(other, F.lit(False)).alias("blocked"))
 
 
 def fuller_used(d: Directory) -> DataFrame:

@@ -68,3 +68,11 @@ def test_origins_are_read_once(spark):
     df = c.select(origins.refined(F.col("a"), F.col("b")).alias("x"))
     assert plan(df).lower().count("regexp_replace") < 40
     assert [r["x"]["conflict"] for r in df.collect()] == [False, True, False]
+
+
+def test_promotions_meet_a_name_once(spark):
+    d, _ = crowd(spark)
+    more = spark.createDataFrame([(2, "Rand Thor", "rand thor", "given_name", False), (5, "Rand Smith Jones", "rand smith jones", "given_name", False)], d.aliases.schema)
+    df = change.promotions(d.having(aliases=d.aliases.union(more)))
+    assert "min(character_id" in plan(df)
+    assert {r["character_id"]: (r["chosen"], r["blocked"]) for r in df.collect()} == {2: ("Rand Thor", True), 5: ("Rand Smith Jones", False)}
