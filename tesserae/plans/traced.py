@@ -62,8 +62,11 @@ def trace(d: Directory, chosen: DataFrame | None = None, after: Directory | None
     """
     chosen = written(change.promotions(d)) if chosen is None else chosen
     after = _promoted_once(d, chosen) if after is None else after
-    owner = d.characters.select(F.col("primary_name").alias("chosen"), F.col("character_id").alias("owner"))
-    others = chosen.where("blocked").join(owner, "chosen").where("owner <> character_id").groupBy("character_id").agg(F.min("owner").alias("owner"))
+    owner = d.characters.select(F.col("primary_name").alias("chosen"), F.col("character_id").alias("owner")).join(chosen.where("blocked").select("chosen").distinct(), "chosen", "left_semi")
+    least = owner.groupBy("chosen").agg(F.min("owner").alias("least"))  # of all who have a name the two smallest tell who is the first that is another
+    next_ = owner.join(least, "chosen").where("owner > least").groupBy("chosen").agg(F.min("owner").alias("next"))
+    first = F.when(F.col("least") != F.col("character_id"), F.col("least")).otherwise(F.col("next"))
+    others = chosen.where("blocked").join(least, "chosen").join(next_, "chosen", "left").select("character_id", first.alias("owner"))
     ups = chosen.join(others, "character_id", "left").select(
         "character_id", F.when(F.col("blocked"), F.col("primary_name")).otherwise(F.col("chosen")).alias("primary_name"), F.col("chosen").alias("alias_text"), N.norm(F.col("chosen")).alias("alias_norm"), F.lit("primary").alias("alias_type"),
         F.when(F.col("blocked"), "PROMOTE_BLOCKED").otherwise("PROMOTE").alias("action"), F.lit("promotion").alias("rule"),

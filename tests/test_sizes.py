@@ -76,3 +76,13 @@ def test_promotions_meet_a_name_once(spark):
     df = change.promotions(d.having(aliases=d.aliases.union(more)))
     assert "min(character_id" in plan(df)
     assert {r["character_id"]: (r["chosen"], r["blocked"]) for r in df.collect()} == {2: ("Rand Thor", True), 5: ("Rand Smith Jones", False)}
+
+
+def test_names_are_read_once_and_a_block_names_the_first(spark):
+    c = spark.createDataFrame([("the Lord Agelmar of House Jagad",)], "x string")
+    assert plan(c.select(names.adopted(F.col("x")).alias("x"))).lower().count("regexp_replace") < 20
+    d, _ = crowd(spark)
+    more = spark.createDataFrame([(2, "Rand Thor", "rand thor", "given_name", False)], d.aliases.schema)
+    d = d.having(aliases=d.aliases.union(more).withColumn("notes", F.lit(None).cast("string")))
+    df = traced.trace(d)
+    assert {r["note"] for r in df.where("action = 'PROMOTE_BLOCKED'").collect()} == {"name of character 0"}
