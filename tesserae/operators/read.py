@@ -47,8 +47,11 @@ def search_many(d: Directory, queries: DataFrame, index: DataFrame | None = None
     q = queries.select("query", F.lower(F.trim("query")).alias("pattern")).where("pattern <> ''").distinct()
     keys = d.aliases.select("alias_norm").distinct().withColumn("key", F.col("alias_norm"))
     found = containing(q.select("pattern"), keys, "key", "alias_norm", None if index is None else index.withColumnRenamed("alias_norm", "key"))
-    hits = found.withColumnRenamed("key", "alias_norm").join(d.aliases.select("alias_norm", "character_id"), "alias_norm").select("pattern", "character_id").distinct()
-    named = hits.join(d.characters.select("character_id", "primary_name", "character_type"), "character_id")
+    # who is among the first of a query is among the first of a key that contains it, so no key needs more than that
+    owners = d.aliases.select("alias_norm", "character_id").distinct().join(d.characters.select("character_id", "primary_name", "character_type"), "character_id")
+    own = F.row_number().over(Window.partitionBy("alias_norm").orderBy("primary_name", "character_id"))
+    owners = owners.withColumn("k", own).where(F.col("k") <= limit).drop("k")
+    named = found.withColumnRenamed("key", "alias_norm").join(owners, "alias_norm").drop("alias_norm").distinct()
     first = F.row_number().over(Window.partitionBy("pattern").orderBy("primary_name", "character_id"))
     return named.withColumn("k", first).where(F.col("k") <= limit).join(q, "pattern").select("query", "character_id", "primary_name", "character_type")
 

@@ -86,3 +86,13 @@ def test_names_are_read_once_and_a_block_names_the_first(spark):
     d = d.having(aliases=d.aliases.union(more).withColumn("notes", F.lit(None).cast("string")))
     df = traced.trace(d)
     assert {r["note"] for r in df.where("action = 'PROMOTE_BLOCKED'").collect()} == {"name of character 0"}
+
+
+def test_searches_take_only_the_first_of_a_key(spark):
+    d, _ = crowd(spark)
+    df = read.search_many(d, spark.createDataFrame([("rand",), ("smith",), ("hor",)], "query string"), limit=3)
+    assert "windowspecdefinition(alias_norm" in plan(df)
+    got = {}
+    for r in df.collect():
+        got.setdefault(r["query"], []).append(r["character_id"])
+    assert {q: sorted(x) for q, x in got.items()} == {"rand": [2, 5, 8], "smith": [1, 3, 4], "hor": [0, 3, 6]}
