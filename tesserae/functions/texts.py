@@ -6,10 +6,12 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from tesserae.durable import written
 from tesserae.functions.names import norm_search
 
 #: How far a passage reaches to both sides, before it is cut at white space.
@@ -137,13 +139,44 @@ def passages(text: pd.Series, term: pd.Series) -> pd.Series:
     return pd.Series([passages_of(t, w) for t, w in zip(text, term, strict=True)])
 
 
+#: Chapters whose passages are one list, and characters of passages that a worker holds before it gives them away.
+LISTED, HELD = 64, 1 << 22
+
+
 def gathered(matches: DataFrame) -> DataFrame:
-    """matches: (id, chapter_id, term, full_text). (id, chapters, matches, passages): passages of all terms, each once, in order of chapters."""
-    found = matches.withColumn("p", passages(F.col("full_text"), F.col("term")))
-    rows = found.select("id", "chapter_id", "term", F.posexplode("p").alias("k", "passage"))
+    """matches: (id, chapter_id, term, full_text). (id, chapters, matches, block, passages): passages of all terms, each once, in order of chapters.
+
+    A frequent term has more passages than a row can hold: a list is that of a block of LISTED
+    chapters, by their ids, and an id has a row for each of its blocks; chapters and matches are those of the whole id.
+    """
+
+    def run(batches):
+        for b in batches:
+            made: list[tuple] = []
+            size = 0
+            for r in zip(*(b.column(c).to_pylist() for c in ("id", "chapter_id", "term", "full_text")), strict=True):
+                for k, p in enumerate(passages_of(r[3], r[2])):
+                    made.append((*r[:3], k, p))
+                    size += len(p)
+                    if size >= HELD:
+                        yield batch(made)
+                        made, size = [], 0
+            yield batch(made)
+
+    def batch(made: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string()))], ["id", "chapter_id", "term", "k", "passage"])
+
+    from tesserae.session import ship
+
+    ship(matches.sparkSession)
+    given = matches.select(F.col("id").cast("bigint"), F.col("chapter_id").cast("bigint"), "term", "full_text")
+    rows = given.mapInArrow(run, "id bigint, chapter_id bigint, term string, k int, passage string")
     first = rows.groupBy("id", "chapter_id", "passage").agg(F.min(F.struct("term", "k")).alias("at"), F.count(F.lit(1)).alias("n"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("chapter_id", "at", "passage"))), lambda s: s["passage"])
-    return first.groupBy("id").agg(F.count_distinct("chapter_id").alias("chapters"), F.sum("n").alias("matches"), listed.alias("passages"))
+    block = F.floor(F.col("chapter_id") / LISTED).alias("block")
+    parts = written(first.groupBy("id", block).agg(F.count_distinct("chapter_id").alias("own"), F.sum("n").alias("n"), listed.alias("passages")))
+    totals = parts.groupBy("id").agg(F.sum("own").alias("chapters"), F.sum("n").alias("matches"))
+    return parts.join(totals, "id").select("id", "chapters", "matches", "block", "passages")
 
 
 def outcome(current: Column, passages_: Column, said: Column, quoted: Column, error: Column) -> Column:

@@ -96,3 +96,14 @@ def test_searches_take_only_the_first_of_a_key(spark):
     for r in df.collect():
         got.setdefault(r["query"], []).append(r["character_id"])
     assert {q: sorted(x) for q, x in got.items()} == {"rand": [2, 5, 8], "smith": [1, 3, 4], "hor": [0, 3, 6]}
+
+
+def test_passages_are_listed_by_blocks(spark, monkeypatch):
+    from tesserae.functions import texts
+
+    monkeypatch.setattr(texts, "LISTED", 2)
+    monkeypatch.setattr(texts, "HELD", 10)
+    rows = [(7, k, "the", f"the {k} and " + "x " * 300 + f"the end {k}") for k in range(5)]
+    got = texts.gathered(spark.createDataFrame(rows, "id bigint, chapter_id bigint, term string, full_text string")).orderBy("block").collect()
+    assert [(r["block"], r["chapters"], r["matches"], len(r["passages"])) for r in got] == [(0, 5, 10, 4), (1, 5, 10, 4), (2, 5, 10, 2)]
+    assert [p[:5] for r in got for p in r["passages"]][::2] == [f"the {k}" for k in range(5)]
