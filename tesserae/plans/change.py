@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.durable import written
 from tesserae.functions import ages, origins
 from tesserae.functions import names as N
 from tesserae.functions import values as V
@@ -234,8 +235,9 @@ def seed_collisions(d: Directory, wanted: DataFrame) -> tuple[DataFrame, DataFra
     w = wanted.withColumn("ka", N.norm(F.col("owner"))).withColumn("kb", N.norm(F.col("other"))).withColumn("alias_norm", N.norm(F.col("alias")))
     met = w.join(ids.withColumnsRenamed({"key": "ka", "id": "owner_cid"}), "ka", "left").join(ids.withColumnsRenamed({"key": "kb", "id": "other_cid"}), "kb", "left")
     keys = ["owner_cid", "other_cid", "alias_norm"]
-    good = met.where("owner_cid is not null and other_cid is not null and owner_cid <> other_cid and alias_norm <> ''").select(*keys).distinct()
-    new = good.join(d.acknowledged_collisions.select(*keys), keys, "left_anti")
+    good = written(met.where("owner_cid is not null and other_cid is not null and owner_cid <> other_cid and alias_norm <> ''").select(*keys).distinct())
+    known = reduce(lambda k, c: k.join(good.select(c).distinct(), c, "left_semi"), keys[:2], d.acknowledged_collisions.select(*keys))  # of what may be very much only what can be met
+    new = good.join(known, keys, "left_anti")
     skipped = met.where("owner_cid is null").select(F.col("owner").alias("name")).union(met.where("other_cid is null").select("other")).distinct()
     return d.acknowledged_collisions.unionByName(new, allowMissingColumns=True), skipped
 

@@ -107,3 +107,10 @@ def test_passages_are_listed_by_blocks(spark, monkeypatch):
     got = texts.gathered(spark.createDataFrame(rows, "id bigint, chapter_id bigint, term string, full_text string")).orderBy("block").collect()
     assert [(r["block"], r["chapters"], r["matches"], len(r["passages"])) for r in got] == [(0, 5, 10, 4), (1, 5, 10, 4), (2, 5, 10, 2)]
     assert [p[:5] for r in got for p in r["passages"]][::2] == [f"the {k}" for k in range(5)]
+
+
+def test_names_of_many_are_dealt_in_parts(spark):
+    from tesserae.queries import QUERIES
+
+    shown = plan(QUERIES["seeded_collisions"](spark, "/root/testdata/sf0.001"))
+    assert "pmod(hash(" in shown and "LeftSemi" in shown
