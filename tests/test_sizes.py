@@ -114,3 +114,10 @@ def test_names_of_many_are_dealt_in_parts(spark):
 
     shown = plan(QUERIES["seeded_collisions"](spark, "/root/testdata/sf0.001"))
     assert "pmod(hash(" in shown and "LeftSemi" in shown
+
+
+def test_dossiers_name_those_with_fuller_names(spark):
+    d, want = crowd(spark)
+    df = audits.dossier(d.having(characters=d.characters.withColumn("first_chapter_id", F.lit(None).cast("bigint"))))
+    assert "taken" in plan(df) and "parts" not in plan(df)  # by counts of names, no pairs are made
+    assert {r["character_id"] for r in df.collect() if "fuller name" in r["findings"]} == {s for s, _ in want}
