@@ -121,3 +121,11 @@ def test_dossiers_name_those_with_fuller_names(spark):
     df = audits.dossier(d.having(characters=d.characters.withColumn("first_chapter_id", F.lit(None).cast("bigint"))))
     assert "taken" in plan(df) and "parts" not in plan(df)  # by counts of names, no pairs are made
     assert {r["character_id"] for r in df.collect() if "fuller name" in r["findings"]} == {s for s, _ in want}
+
+
+def test_pointers_of_a_table_are_followed_at_once(spark):
+    d, _ = crowd(spark)
+    d = d.having(appearances=spark.createDataFrame([(1, 11), (1, 99), (77, 99)], "character_id bigint, chapter_id bigint"))
+    df = audits.broken_pointers(d)
+    assert plan(df).count("LeftAnti") == 6  # one a table, for ten pointers
+    assert {tuple(r) for r in df.collect()} == {("appearances.chapter_id", 99, 2), ("appearances.character_id", 77, 1)}
