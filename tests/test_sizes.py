@@ -129,3 +129,9 @@ def test_pointers_of_a_table_are_followed_at_once(spark):
     df = audits.broken_pointers(d)
     assert plan(df).count("LeftAnti") == 6  # one a table, for ten pointers
     assert {tuple(r) for r in df.collect()} == {("appearances.chapter_id", 99, 2), ("appearances.character_id", 77, 1)}
+
+
+def test_a_summary_follows_pointers_at_once(spark):
+    d, _ = crowd(spark)
+    df = audits.summary(d, ["broken pointers"])
+    assert plan(df).count("LeftAnti") == 6 and df.collect()[0]["rows"] == 0
