@@ -1,15 +1,17 @@
 """Embedding near-dedup by NN-descent.
 
-Equal vectors of a label are one node. Every node starts with neighbours along a few random
+Equal vectors of a label are one node. Every node starts with the nearest in its stretches of a few random
 orderings of its label's nodes; then, again and again, a node's neighbours (and those it is a
 neighbour of) are compared with one another, and each keeps the nearest it has met. Every link met
 joins two components, whether or not a list has room for it, and each node also keeps the nearest
-it has met outside its component, so that a crowd of copies never hides what lies around it. Lists
-full of links are enlarged. A node may have more links than any list holds: inside each component
+it has met outside its component, so that a crowd of copies never hides what lies around it. Two nodes
+that a list held together before are not compared there again, lists with nobody new are left out,
+and only what is nearer than what a node keeps leaves a task, so that a round costs what the last one
+changed. A node may have more links than any list holds: inside each component
 that the links connect, all pairs are compared in blocks, in double precision, which gives the
 exact number of links and the exact links that remain. A sample compared with all rows tells what share
 of their links the sampled nodes have found, those with few links apart from those with many; if
-too little, the search goes on from more orderings, and if that does not help, all nodes of a
+too little, the search goes on from more orderings with longer lists, and if that does not help, all nodes of a
 label are compared in blocks.
 """
 
@@ -26,10 +28,12 @@ from tesserae.llm.common import arrow_map, durable, release
 from tesserae.llm.components import HELD, Sets, components
 
 SIMILARITY = 0.93
-#: Neighbours a node keeps at first, and at most; random orderings; rounds of refinement.
-NEAREST, MOST, ORDERINGS, ROUNDS = 8, 32, 4, 8
+#: Neighbours a node keeps in the first search, and in any; random orderings; rounds in a row that may join no components.
+NEAREST, MOST, ORDERINGS, ROUNDS = 8, 32, 4, 2
 #: Rows of an ordering that one task sorts, and nodes of a component that one task compares with as many.
 CELL, BLOCK = 4096, 2048
+#: Nodes of an ordering that are compared at once.
+STRETCH = 256
 #: Nodes compared with all others to audit the search, at least (their number grows with the root of all nodes), and the share of their links to be found.
 AUDITED, RECALL = 256, 0.99
 #: Sampled nodes with links that an audit asks for, and bytes of a sample that travel with tasks.
@@ -79,8 +83,8 @@ def _nodes(rows: DataFrame) -> DataFrame:
     return durable(arrow_map(same.select("node", "group", "x", "m"), run, "node bigint, group string, x binary, m bigint, u binary"))
 
 
-def _orderings(nodes: DataFrame, n: int, seeds: range, near: int) -> DataFrame:
-    """(pivot, member): each node with those that follow it in random orderings of its group, by the signs of 60 projections."""
+def _orderings(nodes: DataFrame, n: int, seeds: range) -> DataFrame:
+    """(pivot, member): stretches of STRETCH nodes of random orderings of each group, by the signs of 60 projections; a pivot stands for a stretch and is no node."""
 
     def run(batches):
         for b in batches:
@@ -102,32 +106,47 @@ def _orderings(nodes: DataFrame, n: int, seeds: range, near: int) -> DataFrame:
     # a cell may still be crowded by vectors that lie on one another: any two of its parts' nodes can meet in another ordering or later
     sizes = cut.groupBy("group", "seed", "cell").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
     cut = cut.join(sizes, ["group", "seed", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    w = Window.partitionBy("group", "seed", "cell", "part").orderBy("code", "node")
-    return cut.select("node", F.array_compact(F.array(*[F.lead("node", k).over(w) for k in range(1, near + 1)])).alias("next")).select(F.col("node").alias("pivot"), F.explode("next").alias("member"))
+    place = F.row_number().over(Window.partitionBy("group", "seed", "cell", "part").orderBy("code", "node"))
+    return cut.select(F.xxhash64("group", "seed", "cell", "part", F.floor((place - 1) / STRETCH)).alias("pivot"), F.col("node").alias("member"))
 
 
-def _met(lists: DataFrame, nodes: DataFrame, roots: DataFrame, near: int, similarity: float) -> DataFrame:
+def _met(lists: DataFrame, nodes: DataFrame, roots: DataFrame, near: int, similarity: float, before: DataFrame | None = None, graph: DataFrame | None = None) -> DataFrame:
     """lists: (pivot, member). (node, other, sim, out, link): what the members of a list, the pivot included, learn from one another.
 
     out: the two lie in different components. For link, node and other are roots of components
-    that links met here connect; each task gives a forest of them.
+    that links met here connect; each task gives a forest of them. before: lists of the last round; two members that
+    one of them held together aren't compared again. graph: what nodes keep by now; only what is as near as the last of these is told.
     """
-    members = lists.union(lists.select("pivot", F.col("pivot").alias("member"))).distinct()
-    known = nodes.select("node", "u").join(roots, "node").select(F.col("node").alias("member"), "root", "u")
-    rows = members.join(known, "member").repartition("pivot").sortWithinPartitions("pivot", "member").select("pivot", "member", "root", "u")
+    own = lists.union(lists.select("pivot", F.col("pivot").alias("member"))).withColumn("fresh", F.lit(True))
+    if before is not None:
+        held = before.union(before.select("pivot", F.col("pivot").alias("member"))).withColumn("fresh", F.lit(False))
+        each = own.union(held).repartition("pivot").groupBy("pivot", "member").agg(F.bool_and("fresh").alias("fresh"), F.bool_or("fresh").alias("now")).where("now").drop("now")
+        own = each.withColumn("some", F.max("fresh").over(Window.partitionBy("pivot"))).where("some").drop("some")
+    else:
+        own = own.distinct()
+    known = nodes.select("node", "u").join(roots, "node")
+    if graph is not None:
+        kth = lambda c: F.coalesce(F.try_element_at(F.sort_array(F.collect_list(c), asc=False), F.lit(near)), F.lit(-2.0).cast("float"))
+        known = known.join(graph.groupBy("node").agg(kth(F.col("sim")).alias("least"), kth(F.when(F.col("out"), F.col("sim"))).alias("least_out")), "node", "left")
+    else:
+        known = known.withColumns({"least": F.lit(None).cast("float"), "least_out": F.lit(None).cast("float")})
+    none = F.lit(-2.0).cast("float")
+    known = known.select(F.col("node").alias("member"), "root", "u", F.coalesce("least", none).alias("least"), F.coalesce("least_out", none).alias("least_out"))
+    rows = own.join(known, "member").repartition("pivot").sortWithinPartitions("pivot", "member").select("pivot", "member", "root", "fresh", "least", "least_out", "u")
 
     def run(batches):
-        held: tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]] | None = None
+        held: tuple | None = None
         sets = Sets()
         for b in batches:
-            pivot, member, root, u = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_pylist()
+            part = (*(b.column(k).to_numpy(zero_copy_only=False) for k in range(6)), b.column(6).to_pylist())
             if held is not None:
-                pivot, member, root, u = np.concatenate((held[0], pivot)), np.concatenate((held[1], member)), np.concatenate((held[2], root)), held[3] + u
+                part = (*(np.concatenate(x) for x in zip(held[:6], part[:6], strict=True)), held[6] + part[6])
+            pivot = part[0]
             if not len(pivot):
                 continue
             at = int(np.searchsorted(pivot, pivot[-1]))  # the last list may go on in the next batch
-            last = _learned(pivot[:at], member[:at], root[:at], u[:at], near, similarity, sets)
-            held = (pivot[at:], member[at:], root[at:], u[at:])
+            last = _learned(*(x[:at] for x in part), near, similarity, sets)
+            held = tuple(x[at:] for x in part)
             if last is not None:
                 yield last
             if len(sets.parent) > HELD:
@@ -149,7 +168,7 @@ def _joined(sets: Sets) -> pa.RecordBatch:
     return pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([r for _, r in links], pa.int64()), pa.array(np.zeros(n, np.float32)), pa.array(np.ones(n, bool)), pa.array(np.ones(n, bool))], _MET)
 
 
-def _learned(pivot: np.ndarray, member: np.ndarray, root: np.ndarray, u: list[bytes], near: int, similarity: float, sets: Sets) -> pa.RecordBatch | None:
+def _learned(pivot: np.ndarray, member: np.ndarray, root: np.ndarray, fresh: np.ndarray, least: np.ndarray, least_out: np.ndarray, u: list[bytes], near: int, similarity: float, sets: Sets) -> pa.RecordBatch | None:
     if not len(pivot):
         return None
     cuts = np.flatnonzero(pivot[1:] != pivot[:-1]) + 1
@@ -161,7 +180,9 @@ def _learned(pivot: np.ndarray, member: np.ndarray, root: np.ndarray, u: list[by
         x = np.frombuffer(b"".join(u[lo:hi]), "<f4").reshape(n, -1)
         sims = x @ x.T
         np.fill_diagonal(sims, -2)
-        own, of = member[lo:hi], root[lo:hi]
+        own, of, new = member[lo:hi], root[lo:hi], fresh[lo:hi]
+        if not new.all():
+            sims[~(new[:, None] | new[None, :])] = -2
         apart = of[:, None] != of[None, :]
         i, j = np.nonzero(np.triu(apart & (sims >= similarity - _SLACK)))
         for p, q in set(zip(of[i].tolist(), of[j].tolist(), strict=True)):
@@ -176,6 +197,7 @@ def _learned(pivot: np.ndarray, member: np.ndarray, root: np.ndarray, u: list[by
             more = np.zeros((n, n), bool)
             np.put_along_axis(more, best, True, axis=1)
             take |= more & apart
+        take &= (sims >= np.where(apart, least_out[lo:hi, None], least[lo:hi, None])) & (sims > -2)
         i, j = np.nonzero(take)
         a.append(own[i])
         b.append(own[j])
@@ -221,36 +243,35 @@ def _merged(roots: DataFrame, met: DataFrame) -> DataFrame | None:
     return durable(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
 
 
-def descend(nodes: DataFrame, graph: DataFrame | None, roots: DataFrame, n: int, similarity: float, seeds: range, near: int = NEAREST, most: int = MOST, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def descend(nodes: DataFrame, graph: DataFrame | None, roots: DataFrame, n: int, similarity: float, seeds: range, near: int = NEAREST, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(node, other, sim, out): each node's nearest; and (node, root), the components that all links met connect.
 
     Goes on until a round changes next to nothing and joins no components, or ``rounds`` in a row
-    join none; then lists that are full of links are enlarged.
+    join none. Lists full of links need no more room here, for what lies outside a component has its own
+    places; what is missed all the same an audit sees.
     """
-    found = _met(_orderings(nodes, n, seeds, near // 2), nodes, roots, near, similarity)
+    before = None
+    found = _met(_orderings(nodes, n, seeds), nodes, roots, near, similarity)
     if graph is not None:
         found = found.union(_told_apart(graph, roots))
     new = durable(_nearest(found, near))
     roots, graph = _merged(roots, new) or roots, new.where("not link")
-    full = similarity - _SLACK
     quiet = 0
     while quiet < rounds:
-        now = _told_apart(graph, roots)
+        now = durable(_told_apart(graph, roots))
+        lists = durable(_lists(now, near).distinct())
         held = new
-        new = durable(_nearest(now.union(_met(_lists(now, near), nodes, roots, near, similarity)), near))
+        new = durable(_nearest(now.union(_met(lists, nodes, roots, near, similarity, before, now)), near))
         merged, wider = _merged(roots, new), new.where("not link")
-        change = wider.join(graph.select("node", "other"), ["node", "other"], "left_anti").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("sim") >= full, 1)).alias("links")).first()
+        changed = wider.join(graph.select("node", "other"), ["node", "other"], "left_anti").count()
         quiet += 1
         if merged is not None:
             roots, quiet = merged, 0
-        release(held)
-        graph = wider
-        if merged is None and (change["n"] <= 0.02 * n or not change["links"]):
-            # saturated: every neighbour is a link. The search goes on with longer lists; what lies outside the component has its own places at any length
-            saturated = graph.where(F.col("sim") >= full).groupBy("node").count().where(F.col("count") >= near).limit(1).count()
-            if not saturated or near >= most:
-                break
-            near *= 2
+        release(held, now, *([] if before is None else [before]))
+        graph, before = wider, lists
+        if merged is None and changed <= 0.02 * n:
+            break
+    release(before)
     return graph, roots
 
 
@@ -388,7 +409,7 @@ def linked(vectors: DataFrame, similarity: float = SIMILARITY, recall: float = R
     n = nodes.count()
     graph, roots = None, nodes.select("node", F.col("node").alias("root"))
     for k in range(tries):
-        graph, roots = descend(nodes, graph, roots, n, similarity, range(k * ORDERINGS, (k + 1) * ORDERINGS))
+        graph, roots = descend(nodes, graph, roots, n, similarity, range(k * ORDERINGS, (k + 1) * ORDERINGS), min(MOST, NEAREST << k))
         near = roots.join(roots.where("node <> root").select("root").distinct(), "root", "left_semi").select("node", "root")
         exact = durable(_exact(nodes, near, similarity))
         counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))

@@ -145,3 +145,19 @@ def test_a_search_that_finds_nothing_is_made_up_for(spark, monkeypatch):
     rows = table(60)
     got = N.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == by_hand(rows)
+
+
+def test_a_list_compares_only_with_new_members(spark):
+    """Two that a list held together before are not compared again, and what is farther than what a node keeps isn't told."""
+    rows = [(k, v, 1) for k, (_, v, _) in enumerate(crowds(4))]
+    nodes = N._nodes(N.prepared(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")))
+    ids = sorted(r["node"] for r in nodes.select("node").collect())
+    lists = spark.createDataFrame([(ids[0], k) for k in ids[1:5]] + [(ids[5], ids[6])], "pivot bigint, member bigint")
+    before = lists.where(lists.member != ids[4])
+    roots = nodes.select("node", nodes.node.alias("root"))
+    met = N._met(lists, nodes, roots, 8, 0.93, before).where("not link").select("node", "other", "sim").collect()
+    pairs = {(r["node"], r["other"]) for r in met}
+    assert pairs and all(ids[4] in p for p in pairs) and len({x for p in pairs for x in p}) == 5
+    kept = spark.createDataFrame([(ids[1], k, 1.0, True) for k in range(100, 108)], "node bigint, other bigint, sim float, out boolean")
+    told = N._met(lists, nodes, roots, 8, 0.93, before, kept).where("not link").select("node", "other").collect()
+    assert {tuple(r) for r in told} == {p for p in pairs if p[0] != ids[1]}
