@@ -167,34 +167,30 @@ def _edges(d: Directory, pairs: DataFrame) -> DataFrame:
 
     What stood there stays. Moved edges follow in order; an undirected one needs a free pair, a directed one its
     own direction, and a duplicate gives one edge a type to the same other. Edges of one pair and
-    type are compared in one row, of which there are as many as went into the two characters.
+    type come together in one row, in one pass over all edges; there are as many as went into the two characters.
     """
     r = d.relationships
     for c, to, path in (("character_a", "__a", "__pa"), ("character_b", "__b", "__pb")):
         r = r.join(pairs.select(F.col("drop").alias(c), F.col("keep").alias(to), F.col("path").alias(path)), c, "left").withColumn(to, F.coalesce(to, c))
-    moved, sorted_ = F.col("__pa").isNotNull() | F.col("__pb").isNotNull(), ~F.coalesce("directed", F.lit(False)) & (F.col("__a") > F.col("__b"))
-    still = r.where(~moved).select(d.relationships.columns)
-    # characters whose edges may meet a moved one
-    gone = r.where(moved & (F.col("__a") != F.col("__b")))
-    low, high = F.least("__a", "__b"), F.greatest("__a", "__b")
-    touched = gone.select(low.alias("__low"), high.alias("__high"), F.col("relationship_type").alias("__type")).distinct()
-    placed = gone.withColumn("__order", F.coalesce("__pa", "__pb"))
-    rows = placed.select("__order", F.lit(True).alias("__moved"), F.when(sorted_, F.col("__b")).otherwise(F.col("__a")).alias("__x"), F.when(sorted_, F.col("__a")).otherwise(F.col("__b")).alias("__y"), low.alias("__low"), high.alias("__high"), *d.relationships.columns)
-    there = still.select(F.array().cast("array<bigint>").alias("__order"), F.lit(False).alias("__moved"), F.col("character_a").alias("__x"), F.col("character_b").alias("__y"), F.least("character_a", "character_b").alias("__low"), F.greatest("character_a", "character_b").alias("__high"), *d.relationships.columns)
-    met = (there["__low"] == touched["__low"]) & (there["__high"] == touched["__high"]) & there["relationship_type"].eqNullSafe(touched["__type"])
-    beside = there.join(touched, met, "left_semi")
-    edge = F.struct("__order", F.col("character_a").alias("__was_a"), F.col("character_b").alias("__was_b"), "__moved", "__x", "__y", F.coalesce("directed", F.lit(False)).alias("__way"), F.struct(*[c for c in d.relationships.columns if c not in ("character_a", "character_b", "relationship_type")]).alias("__rest"))
-    groups = rows.unionByName(beside).groupBy("__low", "__high", "relationship_type").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    moved, directed = F.col("__pa").isNotNull() | F.col("__pb").isNotNull(), F.coalesce("directed", F.lit(False))
+    turned = moved & ~directed & (F.col("__a") > F.col("__b"))
+    rest = F.struct(*[c for c in d.relationships.columns if c not in ("character_a", "character_b", "relationship_type")])
+    order = F.when(moved, F.coalesce("__pa", "__pb")).otherwise(F.array().cast("array<bigint>"))
+    ends_ = (F.when(turned, F.col("__b")).otherwise(F.col("__a")).alias("__x"), F.when(turned, F.col("__a")).otherwise(F.col("__b")).alias("__y"))
+    edge = F.struct(order.alias("__order"), F.col("character_a").alias("__was_a"), F.col("character_b").alias("__was_b"), moved.alias("__moved"), *ends_, directed.alias("__way"), rest.alias("__rest"))
+    rows = r.where(~moved | (F.col("__a") != F.col("__b"))).select(F.least("__a", "__b").alias("__low"), F.greatest("__a", "__b").alias("__high"), "relationship_type", edge.alias("edge"))
+    groups = rows.groupBy("__low", "__high", "relationship_type").agg(F.collect_list("edge").alias("edges"))
 
     def taken(kept, e):
         own = F.exists(kept, lambda k: k["__moved"] & (k["__order"] == e["__order"]))
         slot = F.exists(kept, lambda k: (k["__x"] == e["__x"]) & (k["__y"] == e["__y"]))
         free = ~own & F.when(e["__way"], ~slot).otherwise(F.size(kept) == 0)
-        return F.when(~e["__moved"] | free, F.concat(kept, F.array(e))).otherwise(kept)
+        return F.when(free, F.concat(kept, F.array(e))).otherwise(kept)
 
-    folded = groups.select("relationship_type", F.explode(F.aggregate("edges", F.slice("edges", 1, 1), lambda k, e: F.when(e == F.element_at("edges", 1), k).otherwise(taken(k, e)))).alias("e")).where("e.__moved")
-    made = folded.select(F.col("e.__x").alias("character_a"), F.col("e.__y").alias("character_b"), "relationship_type", "e.__rest.*")
-    return still.unionByName(made.select(d.relationships.columns))
+    still = F.filter("edges", lambda e: ~e["__moved"])
+    after = F.aggregate(F.array_sort(F.filter("edges", lambda e: e["__moved"])), still, taken)
+    made = groups.select("relationship_type", F.explode(F.when(F.exists("edges", lambda e: e["__moved"]), after).otherwise(F.col("edges"))).alias("e"))
+    return made.select(F.col("e.__x").alias("character_a"), F.col("e.__y").alias("character_b"), "relationship_type", "e.__rest.*").select(d.relationships.columns)
 
 
 def _memberships(d: Directory, pairs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import ages, names, origins
 from tesserae.operators import audits, read
-from tesserae.plans import change, traced
+from tesserae.plans import change, merge, traced
 from tests.test_reconcile import directory, table
 
 
@@ -135,3 +135,21 @@ def test_a_summary_follows_pointers_at_once(spark):
     d, _ = crowd(spark)
     df = audits.summary(d, ["broken pointers"])
     assert plan(df).count("LeftAnti") == 6 and df.collect()[0]["rows"] == 0
+
+
+def test_edges_of_a_merge_are_read_once(spark):
+    d, _ = crowd(spark)
+    rows = [(1, 2, "ally", False, "x", 1), (3, 2, "ally", False, "y", 1), (3, 1, "rival", True, "z", 1), (4, 5, "ally", True, "s", 1), (4, 5, "ally", True, "s", 1)]
+    d = d.having(relationships=spark.createDataFrame(rows, "character_a bigint, character_b bigint, relationship_type string, directed boolean, description string, first_chapter_id bigint"))
+    df = merge._edges(d, spark.createDataFrame([(1, 3, [3])], "keep bigint, drop bigint, path array<bigint>"))
+    assert plan(df).count("Join ") == 2
+    assert sorted(tuple(r) for r in df.collect()) == [rows[0], rows[3], rows[4]]
+
+
+def test_counts_of_a_merge_make_only_what_is_counted(spark, monkeypatch):
+    from tesserae import queries
+
+    made, once = [], queries._once
+    monkeypatch.setattr(queries, "_once", lambda s, f, *tables: made.extend(tables) or once(s, f, *tables))
+    queries.QUERIES["merge_applied_counts"](spark, "/root/testdata/sf0.001")
+    assert set(made) == {"characters", "appearances", "character_factions"}
