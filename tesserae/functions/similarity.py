@@ -37,8 +37,8 @@ def letters_allow(a: Column, b: Column, least: float) -> Column:
     return 2 * common >= F.lit(least) * (F.length(a) + F.length(b)) - 1e-9
 
 
-def may_be_similar(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
-    """(a, b): all pairs of texts that may have the ratio, found without comparing all with all. a, b: distinct texts, in one column each.
+def _segments(a: DataFrame, b: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(a, n, i, segment) and (b, n, i, segment): texts that may have the ratio share one of these. a, b: distinct texts, in one column each.
 
     A ratio of t leaves at most (1 - t) * (|a| + |b|) characters outside the matched blocks, which
     lie in the same order in both. If a is cut into one segment more than that, one of them is in b
@@ -53,6 +53,19 @@ def may_be_similar(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     near = b.withColumn("m", F.length("b")).withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("m") / most - 1e-9)).cast("int"), F.greatest(F.lit(1), F.floor(F.col("m") * most + 1e-9)).cast("int"))))
     near = pieces(near).withColumn("d", spare(F.col("n") + F.col("m")))
     moved = near.withColumn("low", F.greatest(F.col("s") - F.col("d"), F.lit(0))).withColumn("high", F.least(F.col("s") + F.col("d"), F.col("m") - F.col("l"))).where("low <= high")
-    sought = moved.withColumn("at", F.explode(F.sequence("low", "high"))).select("b", "n", "i", F.expr("substr(b, at + 1, l)").alias("segment")).distinct()
+    sought = moved.withColumn("at", F.explode(F.sequence("low", "high"))).select("b", "n", "i", F.expr("substr(b, at + 1, l)").alias("segment"))
+    return held, sought
+
+
+def may_be_similar(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(a, b): all pairs of texts that may have the ratio, found without comparing all with all. a, b: distinct texts, in one column each."""
+    held, sought = _segments(a, b, least)
+    sought = sought.distinct()
     met = held.join(sought, ["n", "i", "segment"]).select("a", "b").distinct()
     return met.where(lengths_allow(F.col("a"), F.col("b"), least) & letters_allow(F.col("a"), F.col("b"), least))
+
+
+def near_any(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(b): of the texts b those, and a few more, that may have the ratio with one of the texts a; no pairs are made."""
+    held, sought = _segments(a, b, least)
+    return sought.join(held.select("n", "i", "segment").distinct(), ["n", "i", "segment"], "left_semi").select("b").distinct()

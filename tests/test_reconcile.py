@@ -138,3 +138,21 @@ def test_times(spark):
     assert table(out, "characters", "character_id", "created_at", "updated_at") == [(1, old, old), (2, old, now), (3, now, now)]
     none = {"chapter_id": 12, "characters": []}
     assert table(R.reconcile(out, said(spark, none)), "characters", "created_at", "updated_at") == table(out, "characters", "created_at", "updated_at")
+
+
+def test_of_a_name_that_many_have_few_are_held(spark):
+    """The fold holds the ends of a crowd, names all of it in its notes, and tells rows of one chapter as one."""
+    from pyspark.sql import functions as F
+
+    people = [(k, "Rand Thor", "human", None, None, None, None, None, None, None, None, None, None) for k in range(1, 41)]
+    aliases = [(k, k, "Rand Thor", "rand thor", "primary", None, True, None) for k in range(1, 41)]
+    d = directory(spark, characters=people, aliases=aliases)
+    rows = [{"chapter_id": 11, "characters": [person(n, False, physical_traits=t)]} for n, t in (("Old Rand Thor", None), ("Rand Thor", None), ("rand thor", "tall"))]
+    told = said(spark, *rows).withColumn("part", F.when(F.col("characters")[0]["name_used_in_text"] == "rand thor", 2).otherwise(1))
+    entries = R._entries(told)
+    assert sorted(r["x"]["stable_traits"]["physical_traits"] or "" for r in entries.collect()) == ["", "tall"]
+    assert R.Met(d, R._names(R._texts(told)["name"]), entries, 2).people.count() == 4
+    out = R.reconcile(d, told)
+    assert table(out, "review_queue", "kind", "note") == [("ambiguous_character", f"Old Rand Thor shares words with {list(range(1, 41))}")]
+    assert table(out.having(characters=out.characters.where("physical_traits is not null")), "characters", "character_id", "physical_traits") == [(40, "tall")]
+    assert out.characters.count() == out.aliases.count() == 40
