@@ -45,10 +45,23 @@ def normal(line: bytes) -> bytes:
 def _rolled(text: bytes, k: int) -> np.ndarray:
     """A 64-bit number for each k characters in a row of a UTF-8 text."""
     c = np.frombuffer(text, np.uint8).astype(np.uint64) if text.isascii() else np.frombuffer(text.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
-    x = c[: max(0, len(c) - k + 1)]
-    for j in range(1, k):
-        x = x * _D + c[j : j + len(x)]
-    return _mixed(x)
+    if len(c) < k:
+        return _mixed(c[:0])
+    # numbers of 2, 4, 8 .. characters are put together from halves, what is left of k is put behind them
+    whole, x, n, step = None, c, 1, _D
+    done = 0
+    for bit in range(k.bit_length()):
+        if k >> bit & 1:
+            if whole is None:
+                whole = x
+            else:  # the longer number first
+                size = len(c) - (done + n) + 1
+                whole = x[:size] * np.uint64(pow(int(_D), done, 1 << 64)) + whole[n : n + size]
+            done += n
+        if n * 2 <= k:
+            x = x[: len(x) - n] * step + x[n:]
+            n, step = n * 2, np.uint64(int(step) * int(step) & (1 << 64) - 1)
+    return _mixed(whole)
 
 
 def shingles(line: bytes, k: int) -> np.ndarray:
@@ -176,7 +189,7 @@ class Line:
     """A line's shingles, of both lengths if it may be part of short and of long pairs."""
 
     def __init__(self, text: bytes):
-        self.chars = int(lengths([text])[0])
+        self.chars = len(text) if text.isascii() else len(text.decode())
         self.short = shingles(text, SHORT_SHINGLE) if self.chars < LONG else None
         self._long, self._text = None, text
 
@@ -221,38 +234,62 @@ class _Band:
         return [(x, r) for x in list(self.sets.parent) if (r := self.sets.root(x)) != x]
 
 
-def _fresh(rows: DataFrame) -> DataFrame:
-    """rows: (band, a, b, class, bands) clustered and sorted by the first three. (band, a, b, class) of those that meet someone there for the first time.
+def first_met(band: np.ndarray, cut: np.ndarray, start: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """Which lines meet someone in a band for the first time. Lines of one (band, part) lie side by side: cut says where each such group begins, and the last one ends.
 
-    Two lines that share a band before this one are compared in that one.
+    band: each line's; bands: the bands of all lines in a row, start: where each line's begin. Two lines that share a band before this one are compared in that one.
     """
+    out = np.zeros(len(band), bool)
+    size = np.diff(cut)
+
+    def own(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ten bands of each line among which its band is, and its place there: those among short lines, or among long ones."""
+        first = bands[start[rows][:, None] + np.arange(BANDS)]
+        there = first == band[rows][:, None]
+        late = np.flatnonzero(~there.any(axis=1))
+        if len(late):
+            first[late] = bands[start[rows[late]][:, None] + BANDS + np.arange(BANDS)]
+            there[late] = first[late] == band[rows[late]][:, None]
+        return first, there.argmax(axis=1)
+
+    two = cut[:-1][size == 2]
+    if len(two):
+        (a, place), (b, _) = own(two), own(two + 1)
+        new = ~((a == b) & (np.arange(BANDS) < place[:, None])).any(axis=1)
+        out[two] = out[two + 1] = new
+    for at, n in zip(cut[:-1][size > 2], size[size > 2], strict=True):
+        rows = np.arange(at, at + n)
+        mine, places = own(rows)
+        met = np.eye(n, dtype=bool)
+        for k in range(int(places[0])):
+            met |= mine[:, k][:, None] == mine[:, k][None, :]
+        out[rows] = ~met.all(axis=1)
+    return out
 
-    def of(part: list[tuple]) -> list[tuple]:
-        at = [r[4].index(r[0]) // BANDS * BANDS for r in part]  # among short lines or among long ones
-        bands = np.array([r[4][k : k + BANDS] for r, k in zip(part, at, strict=True)], np.int64)
-        place = int(np.flatnonzero(bands[0] == part[0][0])[0])
-        met = np.eye(len(part), dtype=bool)
-        for k in range(place):
-            met |= bands[:, k][:, None] == bands[:, k][None, :]
-        return [part[k][:4] for k in np.flatnonzero(~met.all(axis=1))]
-
-    def run(batches):
-        part: list[tuple] = []
 
-        def out(found):
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], ["band", "a", "b", "class"])
+def _fresh(rows: DataFrame) -> DataFrame:
+    """rows: (band, a, b, class, bands) clustered and sorted by the first three. (band, a, b, class) of those that meet someone there for the first time."""
+
+    def of(batch: pa.RecordBatch, whole: bool) -> tuple[pa.RecordBatch | None, pa.RecordBatch]:
+        """What is found in all groups, or in all but the last one, which may go on; and that one."""
+        band, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        cut = np.concatenate(([0], np.flatnonzero((band[1:] != band[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1, [len(band)]))
+        cut = cut if whole else cut[:-1]
+        lists = batch.column(4)
+        start = lists.offsets.to_numpy()[:-1].astype(np.int64)
+        keep = first_met(band[: cut[-1]], cut, start, lists.values.to_numpy(zero_copy_only=False))
+        found = batch.slice(0, int(cut[-1])).filter(pa.array(keep)).select(["band", "a", "b", "class"]) if keep.any() else None
+        return found, batch.slice(int(cut[-1]))
 
-        for b in batches:
-            found = []
-            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if part and r[:3] != part[0][:3]:
-                    found += of(part)
-                    part = []
-                part.append(r)
-            if found:
-                yield out(found)
-        if part and (found := of(part)):
-            yield out(found)
+    def run(batches):
+        rest = None
+        for batch in batches:
+            if batch.num_rows:
+                found, rest = of(batch if rest is None or not rest.num_rows else pa.concat_batches([rest, batch]), False)
+                if found is not None:
+                    yield found
+        if rest is not None and rest.num_rows and (found := of(rest, True)[0]) is not None:
+            yield found
 
     return arrow_map(rows, run, "band bigint, a int, b int, class bigint")
 

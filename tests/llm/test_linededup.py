@@ -138,3 +138,23 @@ def test_short_lines_that_are_equal(spark, tmp_path):
     assert got == [(k, 7, [1, 2, 5] if k else []) for k in range(6)]
     left = rows_of(L.drop_lines(docs(spark, table)), "doc_id", "text")
     assert left[1] == (1, "\n".join((prose(20, 901), "-----", "", "item 1")))
+
+
+def test_lines_that_met_before_are_not_compared_again():
+    """Groups of any size, lines with bands among short and long lines, at any place: as a plain look at all earlier bands says."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    lines = [list(1 + 100 * np.arange(10) + rng.integers(0, 2, 10)) + (list(5000 + 100 * np.arange(10) + rng.integers(0, 2, 10)) if k % 3 else []) for k in range(12)]
+    groups = [(x, [v for v in lines if x in v][:n]) for x in sorted({int(x) for v in lines for x in v}) for n in (2, 3, 9)]
+    band = np.array([x for x, g in groups for _ in g])
+    cut = np.cumsum([0] + [len(g) for _, g in groups])
+    own = [v for _, g in groups for v in g]
+    start = np.cumsum([0] + [len(v) for v in own])[:-1]
+    want = []
+    for x, g in groups:
+        for i, v in enumerate(g):
+            before = lambda w: w[w.index(x) // 10 * 10 : w.index(x)]
+            want.append(any(not any(p == q for p, q in zip(before(v), before(w), strict=True)) for j, w in enumerate(g) if j != i))
+    got = L.first_met(band, cut, start, np.array([x for v in own for x in v]))
+    assert got.tolist() == want and any(want) and not all(want)
