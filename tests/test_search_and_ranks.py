@@ -49,6 +49,14 @@ def test_terms_in_texts(spark, monkeypatch, terms, most):
     assert all(r["full_text"] == TEXTS[r["chapter_id"]] for r in kept) and len(kept) >= len(expected)
 
 
+def test_texts_are_folded_at_once(monkeypatch):
+    cases = search._cases()
+    texts = [*(x for x in TEXTS if x), "ΟΔΟΣ ΟΔΟΣ", "ſo µ ı İ ς", "x\u0130", *(f"x{chr(i)}y" for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).lower() != chr(i))]
+    assert [search.folded(x) for x in texts] == [x.translate(cases) for x in texts]
+    monkeypatch.setattr(search, "_cases", lambda: 1 / 0)
+    assert search.folded("ÉCLAIR Straße 日本") == "éclair straße 日本"  # not letter by letter
+
+
 def test_no_text_is_moved(spark):
     c = spark.createDataFrame(list(enumerate(TEXTS)), "chapter_id bigint, full_text string")
     wanted = spark.createDataFrame([(t,) for t in TERMS], "term string")

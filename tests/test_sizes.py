@@ -153,3 +153,40 @@ def test_counts_of_a_merge_make_only_what_is_counted(spark, monkeypatch):
     monkeypatch.setattr(queries, "_once", lambda s, f, *tables: made.extend(tables) or once(s, f, *tables))
     queries.QUERIES["merge_applied_counts"](spark, "/root/testdata/sf0.001")
     assert set(made) == {"characters", "appearances", "character_factions"}
+
+
+def test_gaps_move_no_texts_and_meet_notes_once(spark, monkeypatch):
+    from tesserae.queries import QUERIES
+
+    seen, found = [], audits.mentions_found
+    monkeypatch.setattr(audits, "mentions_found", lambda chapters, wanted, **k: seen.append(plan(chapters)) or found(chapters, wanted, **k))
+    df = QUERIES["mention_gap"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1 and "Join" not in seen[0] and "Window" not in seen[0]
+    shown = plan(df)
+    assert "LeftAnti" not in shown and shown.count("Join ") == 5  # whose names, hits twice, terms of a chapter, notes of a chapter
+
+
+def test_terms_are_taken_apart_once_each(spark, monkeypatch):
+    made, old = [], audits.written
+    monkeypatch.setattr(audits, "written", lambda df: made.append(plan(df)) or old(df))
+    audits.mentions_found(spark.createDataFrame([(1, "a b")], "chapter_id bigint, full_text string"), spark.createDataFrame([("a",), ("a",), ("-",)], "term string"))
+    assert not any("Aggregate" in x and "split" in x for x in made)
+
+
+def test_gaps_with_notes_given_twice_and_names_in_other_cases(spark):
+    people = [(1, "Rand", "human"), (2, " the Red\t", "human"), (3, None, "human"), (4, "Loial", "other"), (None, "Egwene", "human")]
+    rows = [(1, "RAND", False), (1, "rand ", True), (2, "The red", False), (3, "", False), (3, "Mat", False), (9, "loial", False), (4, None, False)]
+    text = {11: "rand and RAND, the red", 12: "Mat met Loial.", 13: None, 14: "Egwene, Perrin", None: "Mat"}
+    notes = [(1, 11, "Rand"), (1, 12, "nobody"), (1, 12, "mat"), (1, 12, "Mat"), (2, 12, "Perrin"), (2, 12, None), (3, 13, "Mat"), (4, 99, "Loial"), (4, None, "Mat"), (4, 14, "Perrin"), (4, 14, "x"), (None, 14, "y"), (2, 14, ""), (2, 14, "")]
+    d = directory(spark).having(
+        characters=spark.createDataFrame(people, "character_id bigint, primary_name string, character_type string"),
+        aliases=spark.createDataFrame(rows, "character_id bigint, alias_text string, is_primary boolean"),
+        chapters=spark.createDataFrame(list(text.items()), "chapter_id bigint, full_text string"),
+        appearances=spark.createDataFrame(notes, "character_id bigint, chapter_id bigint, name_used string"),
+    )
+    order = lambda rows: sorted(rows, key=str)
+    want = [
+        (2, 11, "missing", 1, 1), (3, 12, "missing_noisy", 0, 1), (4, 12, "missing", 1, 1), (9, 12, "missing", 1, 1), (3, None, "missing_noisy", 0, 1), (None, 14, "missing", 1, 1),
+        (1, 12, "phantom", 0, 0), (2, 12, "phantom", 0, 0), (2, 12, "phantom", 0, 0), (3, 13, "phantom", 0, 0), (4, 14, "phantom", 0, 0), (None, 14, "phantom", 0, 0), (2, 14, "phantom", 0, 0), (2, 14, "phantom", 0, 0),
+    ]
+    assert order(tuple(r) for r in audits.mention_gaps(d).collect()) == order(want)
