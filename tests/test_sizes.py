@@ -190,3 +190,12 @@ def test_gaps_with_notes_given_twice_and_names_in_other_cases(spark):
         (1, 12, "phantom", 0, 0), (2, 12, "phantom", 0, 0), (2, 12, "phantom", 0, 0), (3, 13, "phantom", 0, 0), (4, 14, "phantom", 0, 0), (None, 14, "phantom", 0, 0), (2, 14, "phantom", 0, 0), (2, 14, "phantom", 0, 0),
     ]
     assert order(tuple(r) for r in audits.mention_gaps(d).collect()) == order(want)
+
+
+def test_notes_and_texts_are_those_of_the_directory(spark):
+    from tesserae.sources.analogue import view
+
+    for short, whole in (("noted", "appearances"), ("texts", "chapters")):
+        a = view(spark, "/root/testdata/sf0.001", short)
+        b = view(spark, "/root/testdata/sf0.001", whole).select(a.columns)
+        assert a.count() and not a.exceptAll(b).count() and not b.exceptAll(a).count()
