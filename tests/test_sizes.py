@@ -199,3 +199,25 @@ def test_notes_and_texts_are_those_of_the_directory(spark):
         a = view(spark, "/root/testdata/sf0.001", short)
         b = view(spark, "/root/testdata/sf0.001", whole).select(a.columns)
         assert a.count() and not a.exceptAll(b).count() and not b.exceptAll(a).count()
+
+
+def test_reports_send_no_large_table_to_the_driver(spark, monkeypatch):
+    from tesserae import durable, queries
+
+    monkeypatch.setattr(durable, "SENT", 0)  # all are large
+    made, old = [], queries.written
+    monkeypatch.setattr(queries, "written", lambda df: made.append(df) or old(df))
+    df = queries.QUERIES["audit_report"](spark, "/root/testdata/sf0.001")
+    shown = df._jdf.queryExecution().sparkPlan().toString()
+    assert len(made) == 2  # no table is made that no count needs
+    assert "SortMergeJoin [character_id" in shown and "BroadcastHashJoin [character_id" not in shown
+    d, _ = crowd(spark)
+    shown = audits.fuller_counts(d)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in "".join(x for x in shown.splitlines() if "_id" in x)
+
+
+def test_odd_names_are_counted_by_themselves(spark):
+    d, _ = crowd(spark)
+    d = d.having(characters=d.characters.withColumn("primary_name", F.when(F.col("character_id") == 4, "the Girl").otherwise(F.col("primary_name"))))
+    df = audits.summary(d, ["odd names"])
+    assert "Join" not in plan(df) and df.collect()[0]["rows"] == audits.odd_names(d).count() == 1
