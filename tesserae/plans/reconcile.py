@@ -15,6 +15,7 @@ import json
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,6 +182,36 @@ def _similar(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
+class Lettered:
+    """Texts by length with how often each letter is in them, letters in 32 bins: what bounds a similarity, for all texts of a length at once."""
+
+    def __init__(self):
+        self.texts: dict[int, list[str]] = defaultdict(list)
+        self.counts: dict[int, np.ndarray] = {}
+
+    @staticmethod
+    def count(text: str) -> np.ndarray:
+        return np.bincount([ord(x) % 32 for x in text], minlength=32).clip(max=255).astype("uint8")  # 255 stands for all above, on both sides
+
+    def add(self, text: str) -> None:
+        n, own = len(text), self.texts[len(text)]
+        if len(own) == len(held := self.counts.get(n, np.zeros((0, 32), "uint8"))):
+            self.counts[n] = np.concatenate([held, np.zeros((max(16, len(held)), 32), "uint8")])
+        self.counts[n][len(own)] = self.count(text)
+        own.append(text)
+
+    def near(self, text: str, least: float) -> Iterator[str]:
+        """All texts whose similarity with this one may be that, and a few more."""
+        n, mine = len(text), self.count(text)
+        if (mine == 255).any():  # its letters aren't all counted
+            yield from (x for own in self.texts.values() for x in own)
+            return
+        for m, own in self.texts.items():
+            if 2 * min(m, n) >= least * (m + n) - 1e-9:
+                common = np.minimum(self.counts[m][: len(own)], mine).sum(axis=1, dtype="int64")
+                yield from (own[k] for k in np.flatnonzero(2 * common >= least * (m + n) - 1e-9))
+
+
 class Fold:
     """A directory in the making: those of its characters who can be meant, and what is known of all others.
 
@@ -198,10 +229,12 @@ class Fold:
         for p in self.people.values():
             p |= {"name": told.name(p["primary_name"]), "origin_known": bool(told.of("origin", p.get("nationality")).get("value")), "age_rank": told.of("age", p.get("age")).get("own", -1)}
         self.aliases: dict[int, dict[str, dict]] = defaultdict(dict)
-        # whose is a key; whose is it without ranks; which keys have a word
+        # whose is a key; whose is it without ranks; which keys have a word, and which have it as the rarest when they came; keys by letters
         self.norms: dict[str, set[int]] = defaultdict(set)
         self.keys: dict[str, Counter] = defaultdict(Counter)
         self.words: dict[str, set[str]] = defaultdict(set)
+        self.rarest: dict[str, set[str]] = defaultdict(set)
+        self.lettered = Lettered()
         self.last_alias = last["aliases"]
         for r in sorted(state["aliases"], key=lambda r: r.get("alias_id") or 0):
             self.put(r["character_id"], r.get("alias_norm") or told.name(r["alias_text"])["norm"], r | {"name": told.name(r["alias_text"])})
@@ -225,10 +258,14 @@ class Fold:
             self.last_alias += 1
             alias["alias_id"] = self.last_alias
         self.aliases[c][n] = alias
-        self.norms[n].add(c)
         self.keys[alias["name"]["key"]][c] += 1
-        for w in n.split():
-            self.words[w].add(n)
+        if n not in self.norms:
+            self.lettered.add(n)
+            if words := n.split():
+                self.rarest[min(words, key=lambda w: len(self.words.get(w, ())))].add(n)
+            for w in words:
+                self.words[w].add(n)
+        self.norms[n].add(c)
 
     def drop(self, c: int, n: str) -> None:
         key = self.aliases[c].pop(n)["name"]["key"]
@@ -247,10 +284,12 @@ class Fold:
         """Those with an alias whose words are all in the name, or have all of it; and such aliases that others have as well."""
         mine, out, more = set(name["norm"].split()), {}, {}
         telling = lambda words: sum(len(t) > 1 and t not in V.STOPWORDS for t in words)
-        for n in {n for w in mine if telling([w]) for n in self.words.get(w, ())}:
+        # what has all words of the name has its rarest one; what has no other words has its own rarest one in the name
+        whole = min((self.words.get(w, set()) for w in mine), key=len, default=set())
+        for n in whole.union(*[self.rarest.get(w, ()) for w in mine]):
             theirs = set(n.split())
             both = mine & theirs
-            if both == mine or both == theirs:
+            if (both == mine or both == theirs) and telling(both):
                 for c in self.norms.get(n, ()):
                     d, s = out.get(c, (0, 0.0))
                     out[c] = max(d, telling(both)), max(s, len(both) / max(len(mine), len(theirs)))
@@ -259,11 +298,11 @@ class Fold:
         return out, more
 
     def closest(self, name: dict) -> tuple[int | None, float]:
-        """The most similar key's owner, if it is similar enough to matter; cheap bounds come first."""
+        """The most similar key's owner, if it is similar enough to matter; bounds by letters come first, for all keys at once."""
         best: tuple[int | None, float] = (None, 0.0)
         m = difflib.SequenceMatcher(None, "", "")
-        for n, owners in self.norms.items():
-            if owners and 2 * min(len(n), len(name["norm"])) >= V.FUZZY * (len(n) + len(name["norm"])):
+        for n in self.lettered.near(name["norm"], V.FUZZY):
+            if (owners := self.norms[n]) and 2 * min(len(n), len(name["norm"])) >= V.FUZZY * (len(n) + len(name["norm"])):
                 m.set_seqs(name["norm"], n)
                 if m.quick_ratio() >= V.FUZZY and (r := m.ratio()) >= V.FUZZY and (r, -min(owners)) > (best[1], -(best[0] or 0)):
                     best = min(owners), r

@@ -156,3 +156,38 @@ def test_of_a_name_that_many_have_few_are_held(spark):
     assert table(out, "review_queue", "kind", "note") == [("ambiguous_character", f"Old Rand Thor shares words with {list(range(1, 41))}")]
     assert table(out.having(characters=out.characters.where("physical_traits is not null")), "characters", "character_id", "physical_traits") == [(40, "tall")]
     assert out.characters.count() == out.aliases.count() == 40
+
+
+def test_the_fold_meets_few_names_and_misses_none():
+    """Against plain scans of all keys: who has the name's words, and whose key is the most similar; and that only few keys are looked at."""
+    import difflib
+    import random
+
+    from tesserae.functions import values as V
+
+    told = lambda n: {"text": n, "norm": n, "key": n, "bare": n.split(), "ranked": False, "plain": n.split(), "generic": False, "clean": n, "clean_norm": n, "clean_tokens": n.split()}
+    dice = random.Random(7)
+    word = lambda: "".join(dice.choice("abcdeé'") for _ in range(dice.randint(1, 9)))
+    names = sorted({" ".join([word(), *dice.sample(["red", "widget", "of", "the"], dice.randint(0, 3))]) for _ in range(400)} | {"a" * 300, "a" * 299 + "b", "red", "of the"})
+    empty = {t: [] for t in ("more norms", "more keys", "taken", "last", "characters", "aliases", "factions", "character_factions", "appearances")}
+    fold = R.Fold(empty | {"more norms": [{"n": names[5]}]}, R.Told([]))
+    for c, n in enumerate(names):
+        fold.put(c % 300, n, {"alias_type": "nickname", "name": told(n)})
+    fold.drop(3, names[3])
+    telling = lambda ws: sum(len(t) > 1 and t not in V.STOPWORDS for t in ws)
+    looked = 0
+    for name in names[::3] + [n[:-1] + "x" for n in names[::2]] + ["widget red", "the", "x", "a" * 301]:
+        mine, want, more = set(name.split()), {}, {}
+        for n, owners in fold.norms.items():
+            both = mine & set(n.split())
+            if telling(both) and both in (mine, set(n.split())):
+                for c in owners:
+                    d, s = want.get(c, (0, 0.0))
+                    want[c] = max(d, telling(both)), max(s, len(both) / max(len(mine), len(n.split())))
+                more |= {n: telling(both)} if n in fold.more_norms else {}
+        assert fold.candidates(told(name)) == (want, more)
+        ratios = [(difflib.SequenceMatcher(None, name, n).ratio(), -min(o)) for n, o in fold.norms.items() if o]
+        r, c = max(ratios)
+        assert fold.closest(told(name)) == ((-c, r) if r >= V.FUZZY else (None, 0.0))
+        looked += len(list(fold.lettered.near(name, V.FUZZY))) if len(name) < 300 else 0
+    assert looked < 30 * len(names)
