@@ -221,3 +221,9 @@ def test_odd_names_are_counted_by_themselves(spark):
     d = d.having(characters=d.characters.withColumn("primary_name", F.when(F.col("character_id") == 4, "the Girl").otherwise(F.col("primary_name"))))
     df = audits.summary(d, ["odd names"])
     assert "Join" not in plan(df) and df.collect()[0]["rows"] == audits.odd_names(d).count() == 1
+
+
+def test_anchors_of_dossiers_are_joined_by_sorting(spark):
+    d, _ = crowd(spark)
+    shown = audits.dossier(d.having(characters=d.characters.withColumn("first_chapter_id", F.lit(11).cast("bigint"))))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [chapter_id" in shown
