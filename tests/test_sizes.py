@@ -227,3 +227,20 @@ def test_anchors_of_dossiers_are_joined_by_sorting(spark):
     d, _ = crowd(spark)
     shown = audits.dossier(d.having(characters=d.characters.withColumn("first_chapter_id", F.lit(11).cast("bigint"))))._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin [chapter_id" in shown
+
+
+def test_collisions_with_every_owner(spark, monkeypatch):
+    monkeypatch.setattr(audits, "PAIRED", 2)
+    d, _ = crowd(spark)
+    d = d.having(
+        characters=d.characters.union(spark.createDataFrame([(40, "RAND", "human"), (40, "RAND", "human"), (41, None, "human")], d.characters.schema)),
+        acknowledged_collisions=spark.createDataFrame([(1, 0, "rand thor"), (1, 27, "rand thor"), (1, 27, "rand thor"), (4, 40, "rand"), (4, 2, "other"), (3, None, "rand thor smith")], "owner_cid bigint, other_cid bigint, alias_norm string"),
+    )
+    people = d.characters.collect()
+    known = {tuple(r) for r in d.acknowledged_collisions.collect()}
+    want = sorted(
+        (a["character_id"], p["character_id"], p["primary_name"]) for a in d.aliases.where("not is_primary").collect() for p in people
+        if p["primary_name"] and p["primary_name"].lower() == a["alias_norm"] and p["character_id"] != a["character_id"] and (a["character_id"], p["character_id"], a["alias_norm"]) not in known
+    )
+    got = audits.all_collisions(d)
+    assert sorted((r["character_id"], r["other_id"], r["other"]) for r in got.collect()) == want and len(want) > 20
